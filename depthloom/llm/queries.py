@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depthloom.llm import decontaminate, mixing, neardup, quality, sharding, tokenids
+from depthloom.llm import decontaminate, mixing, neardup, quality, recompress, sharding, sql, tokenids
 from depthloom.llm.common import table
 
 SHARDS = 40
@@ -43,6 +43,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.remove(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -50,9 +54,16 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [pipeline, op1_token_ids, op3_decontamination, op5_near_duplicates, op7_sharding, op8_quality, op9_mixing]
+    own = [pipeline, op1_token_ids, op3_decontamination, op5_near_duplicates, op7_sharding, op8_quality, op9_mixing, op10_substrings]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    tree = sharding.Tree((1.0,) * SHARDS)
+    return {
+        "op3_decontamination": sql.OP3,
+        "op5_near_duplicates": sql.OP5,
+        "op7_sharding": sql.op7(SHARDS, tree.shards_a_rack, tree.racks_a_region, tree.seed),
+        "op9_mixing": sql.OP9,
+        "op10_substrings": sql.OP10,
+    }
