@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from depthloom.llm import decontaminate, mixing, neardup, quality, recompress, sharding, sql, tokenids
+from depthloom.llm import decontaminate, hilbert, mixing, neardup, pii, quality, recompress, sharding, sql, tokenids
 from depthloom.llm.common import table
 
 SHARDS = 40
@@ -22,10 +23,18 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.digest(table(spark, sf_dir, "documents"), tokenids.Params(tokenizer_path()))
 
 
+def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"), pii.default_model(pii.Params()))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"))
 
@@ -54,7 +63,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [pipeline, op1_token_ids, op3_decontamination, op5_near_duplicates, op7_sharding, op8_quality, op9_mixing, op10_substrings]
+    own = [pipeline, op1_token_ids, op2_nearest_vectors, op3_decontamination, op4_personal_data, op5_near_duplicates, op7_sharding, op8_quality, op9_mixing, op10_substrings]
     return {f.__name__: f for f in own}
 
 
