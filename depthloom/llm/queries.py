@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthloom.llm import decontaminate, hilbert, mixing, neardup, pii, quality, recompress, sharding, sql, tokenids
+from depthloom.llm import decontaminate, hilbert, linetemplates, mixing, neardup, pii, quality, recompress, sharding, sql, tokenids
 from depthloom.llm.common import table
 
 SHARDS = 40
@@ -39,6 +39,10 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"))
 
 
+def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linetemplates.remove(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), sharding.Tree((1.0,) * SHARDS))
 
@@ -63,15 +67,17 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [pipeline, op1_token_ids, op2_nearest_vectors, op3_decontamination, op4_personal_data, op5_near_duplicates, op7_sharding, op8_quality, op9_mixing, op10_substrings]
+    own = [pipeline, op1_token_ids, op2_nearest_vectors, op3_decontamination, op4_personal_data, op5_near_duplicates, op6_line_templates, op7_sharding, op8_quality, op9_mixing, op10_substrings]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
     tree = sharding.Tree((1.0,) * SHARDS)
+    lines = linetemplates.Params()
     return {
         "op3_decontamination": sql.OP3,
         "op5_near_duplicates": sql.OP5,
+        "op6_line_templates": sql.op6(lines.depth, lines.share, lines.similar, lines.documents),
         "op7_sharding": sql.op7(SHARDS, tree.shards_a_rack, tree.racks_a_region, tree.seed),
         "op9_mixing": sql.OP9,
         "op10_substrings": sql.OP10,
