@@ -21,9 +21,12 @@ from __future__ import annotations
 
 import functools
 import json
+import logging
 import math
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +43,8 @@ from depthloom.llm.textkernel import mix
 
 CACHE_PIECES = 500_000
 LONGEST_CACHED = 48
+log = logging.getLogger(__name__)
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{1,64})([.,;:!?]?)").fullmatch
 
 
 @dataclass(frozen=True)
@@ -50,8 +55,23 @@ class Params:
     keys_a_bucket: int = 50_000
 
 
+def _byte_characters() -> dict[int, str]:
+    """Byte-level vocabularies write printable bytes as themselves and the others, in order, from U+0100 on."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in kept)}
+
+
+_CHARACTERS = _byte_characters()
+
+
 class Encoder:
-    """Encodes texts to arrays of ids, remembering pieces between spaces."""
+    """Encodes texts to arrays of ids, remembering pieces between spaces.
+
+    A piece of basic Latin or Latin-1 letters, with at most one mark after it, is a pre-token of the letters and
+    one of the mark whatever the normaliser does (composed letters stay, lower case maps letter to letter), so its
+    letters go to the model directly where the tokenizer's steps are the known ones; all other pieces go through
+    the whole tokenizer.
+    """
 
     def __init__(self, path: str, end_id: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,30 +81,54 @@ class Encoder:
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 65_536 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        self.marks = {m: self._whole([m])[m] for m in ("", *".,;:!?")}
+        self.plain = self._plain()
+
+    def _plain(self) -> bool:
+        """Whether letters may go to the model directly: tried on letters of both cases."""
+        try:
+            words = ["a", "Qz", "straße", "ÀÉÎÕÜŸ"[:5], "ñandú", "Îlexandréa", "thereof", "x" * 40]
+            return all(self._letters(w) + self.marks[m] == self._whole([w + m])[w + m] for w in words for m in self.marks)
+        except Exception as error:  # a tokenizer of another kind
+            log.info("no direct model access: %s", error)
+            return False
+
+    def _letters(self, word: str) -> bytes:
+        low = word.lower()
+        if not low.isascii():
+            low = low.encode().decode("latin-1").translate(_CHARACTERS)
+        return array(self.dtype.char, [t.id for t in self.tokenizer.model.tokenize(low)]).tobytes()
+
+    def _whole(self, pieces: list[str]) -> dict[str, bytes]:
         encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return {p: np.array(e.ids, self.dtype).tobytes() for p, e in zip(pieces, encoded, strict=True)}
 
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        if not self.plain:
+            return self._whole(list(pieces))
+        out, other, letters, marks = {}, [], self._letters, self.marks
+        for piece in pieces:
+            m = _SIMPLE(piece)
+            if m:
+                out[piece] = letters(m[1]) + marks[m[2]]
+            else:
+                other.append(piece)
+        return out | self._whole(other) if other else out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, as bytes."""
-        out = []
-        for text in texts:
-            pieces = text.replace("\n", " ").split(" ")
-            try:
-                out.append(b"".join(map(self.known.__getitem__, pieces)) + self.end)
-                continue
-            except KeyError:
-                pass
-            new = set(pieces).difference(self.known)
-            extra = self._learn(list(new))
-            if len(self.known) + len(extra) > CACHE_PIECES:
-                self.known = {}
-                extra |= self._learn(list(set(pieces).difference(extra)))
-            self.known.update((k, v) for k, v in extra.items() if len(k) <= LONGEST_CACHED)
-            long = {k: v for k, v in extra.items() if len(k) > LONGEST_CACHED}
-            known = self.known
-            out.append(b"".join([known[p] if p in known else long[p] for p in pieces] if long else map(known.__getitem__, pieces)) + self.end)
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        new = set().union(*split).difference(self.known)
+        if len(self.known) + len(new) > CACHE_PIECES:
+            self.known.clear()
+            new = set().union(*split)
+        extra = self._learn(new)
+        known = self.known
+        known.update(extra)
+        out = [b"".join(map(known.__getitem__, pieces)) + self.end for pieces in split]
+        for piece in extra:
+            if len(piece) > LONGEST_CACHED:
+                del known[piece]
         return out
 
 
@@ -134,8 +178,8 @@ def write(docs: DataFrame, p: Params, path: str | None = None) -> Dataset:
                 continue
             draft = draft or files.Draft(_shard(path, number))
             lengths = np.zeros(batch.num_rows, np.int64)
-            for first in range(0, batch.num_rows, 256):
-                made = tool.encode(batch.column("text").slice(first, 256).to_pylist())
+            for first in range(0, batch.num_rows, 128):
+                made = tool.encode(batch.column("text").slice(first, 128).to_pylist())
                 draft.write(b"".join(made))
                 lengths[first : first + len(made)] = [len(x) // tool.dtype.itemsize for x in made]
             ends = at + np.cumsum(lengths)
