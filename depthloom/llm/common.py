@@ -55,16 +55,22 @@ def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(CLEANUP, before)
 
 
+def stored_at(df: DataFrame, name: str) -> str:
+    """Writes ``df`` as Parquet to the shared folder and returns the path."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, name)
+    with shuffle_cleanup(spark):
+        df.write.parquet(path)
+    return path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: its lineage ends here.
 
     The files survive lost executors, and the work behind them is done once.
     """
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    with shuffle_cleanup(spark):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = stored_at(df, name)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyarrow import fs
+import pyarrow as pa
+from pyarrow import dataset, fs
 
 
 def _resolve(uri: str) -> tuple[fs.FileSystem, str]:
@@ -49,3 +50,9 @@ def read_whole(uri: str) -> bytes:
 def open_random(uri: str):
     system, path = _resolve(uri)
     return system.open_input_file(path)
+
+
+def read_table(uri: str) -> pa.Table:
+    """A Parquet folder as one table; for tables of bounded size."""
+    system, path = _resolve(uri)
+    return dataset.dataset(path, filesystem=system, format="parquet", exclude_invalid_files=True).to_table()

@@ -25,7 +25,8 @@ contradicting labels is no target.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,8 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from depthloom.llm import files
 from depthloom.llm import textkernel as K
-from depthloom.llm.common import stored
+from depthloom.llm.common import stored, stored_at
 
 SPLIT = 0x5EED
 
@@ -117,8 +119,8 @@ def _member(ids: np.ndarray, sample: np.ndarray) -> np.ndarray:
     return sample[np.minimum(np.searchsorted(sample, ids), len(sample) - 1)] == ids
 
 
-def model(docs: DataFrame, target: np.ndarray, p: Params) -> np.ndarray:
-    """log(target / raw) of each bucket, the raw counts over all documents."""
+def model(docs: DataFrame, target: np.ndarray, p: Params) -> str | None:
+    """Path of the table of log(target / raw) by bucket, the raw counts over all documents; None without target text."""
     size = 1 << p.bits
     shared = docs.sparkSession.sparkContext.broadcast(target)
 
@@ -139,14 +141,21 @@ def model(docs: DataFrame, target: np.ndarray, p: Params) -> np.ndarray:
             yield pa.record_batch([pa.array(k.astype(np.int32)), pa.array(raw[k]), pa.array(good[k])], names=["bucket", "raw", "good"])
 
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(count, "bucket int, raw long, good long")
-    sums = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas()  # at most 2**bits rows
-    raw, good = np.zeros(size), np.zeros(size)
-    raw[sums["bucket"].to_numpy()] = sums["raw"].to_numpy()
-    good[sums["bucket"].to_numpy()] = sums["good"].to_numpy()
-    if good.sum() == 0:
-        return np.zeros(size)
-    expected = raw * (good.sum() / raw.sum())
-    return np.log((good + p.smoothing) / (expected + p.smoothing))
+    sums = stored(counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")), "quality-counts")
+    raw, good = sums.agg(F.sum("raw"), F.sum("good")).first()
+    if not good:
+        return None
+    log_ratio = F.log((F.col("good") + p.smoothing) / (F.col("raw") * (good / raw) + p.smoothing))
+    return stored_at(sums.select("bucket", log_ratio.alias("weight")), "quality-model")
+
+
+@functools.lru_cache(maxsize=2)
+def load_weights(path: str, bits: int) -> np.ndarray:
+    """A stored model as an array of 2**bits weights, once a worker process."""
+    rows = files.read_table(path)
+    out = np.zeros(1 << bits)
+    out[np.asarray(rows["bucket"])] = np.asarray(rows["weight"])
+    return out
 
 
 def kth_largest(df: DataFrame, column: str, k: int, bins: int = 4096, few: int = 4096) -> float:
@@ -180,27 +189,25 @@ def kth_largest(df: DataFrame, column: str, k: int, bins: int = 4096, few: int =
 class Selection:
     """A fitted classifier with its cut: documents whose key reaches ``cut`` are kept."""
 
-    weights: np.ndarray
+    weights: str | None
     cut: float
     params: Params
 
 
-def _scorer(spark, weights: np.ndarray, p: Params):
-    shared = spark.sparkContext.broadcast(weights)
-
+def _scorer(weights: str | None, p: Params) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]:
     def keyed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         score = np.zeros(batch.num_rows)
-        for first, end, buf, offsets in K.slices(batch.column("text")):
+        for first, end, buf, offsets in K.slices(batch.column("text")) if weights else ():
             buckets, ptr = token_buckets(buf, offsets, p.bits)
-            score[first:end] = weakest(shared.value, buckets, ptr, p.window)
+            score[first:end] = weakest(load_weights(weights, p.bits), buckets, ptr, p.window)
         return score, p.sharpness * score + gumbel(batch.column("doc_id").cast(pa.int64()), p.seed)
 
     return keyed
 
 
-def scores(docs: DataFrame, weights: np.ndarray, p: Params) -> DataFrame:
+def scores(docs: DataFrame, weights: str | None, p: Params) -> DataFrame:
     """doc_id, score and draw key of every document."""
-    keyed = _scorer(docs.sparkSession, weights, p)
+    keyed = _scorer(weights, p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[Selec
     weights = model(docs, target, p)
     scored = stored(scores(docs, weights, p), "quality-scores")
     cut = float("-inf")
-    if weights.any():
+    if weights:
         held_rows = docs.sparkSession.createDataFrame([(int(x),) for x in held], "doc_id long")  # bounded by max_labelled
         level = scored.join(F.broadcast(held_rows), "doc_id", "left_semi").agg(F.percentile("score", F.lit(1 - p.keep_clean))).first()[0]
         if level is not None:
@@ -234,7 +241,7 @@ def classify(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFr
 def keep(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
     """The documents that the draw keeps, with all their columns. No text is shuffled."""
     chosen, _ = fit(docs, labels, p)
-    keyed, schema = _scorer(docs.sparkSession, chosen.weights, p), docs.schema
+    keyed, schema = _scorer(chosen.weights, p), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
