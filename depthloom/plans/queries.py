@@ -485,7 +485,7 @@ def q_point_colour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT s_suppkey, CASE WHEN s_nationkey % 3 = 0 AND s_suppkey % 2 = 0 THEN NULL ELSE coalesce(CASE WHEN s_nationkey % 3 <> 0 THEN s_acctbal END, 0.0) END AS tx,
-CASE WHEN s_nationkey % 3 = 0 AND s_suppkey % 2 = 0 THEN NULL ELSE coalesce(CASE WHEN s_suppkey % 2 <> 0 THEN 0.5 END, 1.0) END AS qw FROM supplier"""
+CASE WHEN s_nationkey % 3 = 0 AND s_suppkey % 2 = 0 THEN NULL ELSE CAST(coalesce(CASE WHEN s_suppkey % 2 <> 0 THEN 0.5 END, 1.0) AS DOUBLE) END AS qw FROM supplier"""
 )
 def q_pose(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.when(F.col("s_nationkey") % 3 != 0, F.array("s_acctbal", F.lit(0.0), F.lit(0.0)))
