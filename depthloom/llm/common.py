@@ -10,7 +10,12 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a table is stored: shuffle files go when the query ends, and Arrow batches stay small.
+WHILE_STORING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,24 +47,23 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 @contextlib.contextmanager
-def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
-    """Queries run inside drop their shuffle files when they end."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+def storing(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside with ``WHILE_STORING``; the session's settings are put back."""
+    before = {k: spark.conf.get(k, None) for k in WHILE_STORING}
+    for k, v in WHILE_STORING.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stored_at(df: DataFrame, name: str) -> str:
     """Writes ``df`` as Parquet to the shared folder and returns the path."""
     spark = df.sparkSession
     path = fresh_dir(spark, name)
-    with shuffle_cleanup(spark):
+    with storing(spark):
         df.write.parquet(path)
     return path
 

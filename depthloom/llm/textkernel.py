@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 _RNG = np.random.default_rng(20240229)
 _ODD = 0x9E3779B97F4A7C15
 _LANES = 2
