@@ -102,6 +102,11 @@ def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
 
 
+def column_of(matrix: Column, j: int) -> Column:
+    """Column j of a row-major matrix."""
+    return F.transform(matrix, lambda row: row[j])
+
+
 def turned(matrix: Column, vector: Column) -> Column:
     """Product of a row-major 3x3 array and a vector."""
     return F.transform(matrix, lambda row: dot(row, vector))
@@ -109,8 +114,7 @@ def turned(matrix: Column, vector: Column) -> Column:
 
 def gravity_to_ego(tilt: Column, vector: Column) -> Column:
     """A gravity-frame vector in ego axes: tilt transposed, then (right, forward, up) to (forward, left, up)."""
-    t = [F.element_at(F.transform(tilt, lambda row, j=j: row[j]), k) for j in range(3) for k in range(1, 4)]
-    rows = [F.array(*t[3 * j : 3 * j + 3]) for j in range(3)]
+    rows = [column_of(tilt, j) for j in range(3)]
     right, forward, up = (dot(r, vector) for r in rows)
     return F.array(forward, -right, up)
 

@@ -14,16 +14,13 @@ def linked(frames: DataFrame, scene: str, order: list[str], token: str = "token"
 
 def extended(known: DataFrame, added: DataFrame, scene: str, order: list[str], token: str = "token", end: str = "EOF") -> DataFrame:
     """A chain after re-adding frames: known tokens keep their place and get the new values, new tokens follow at the tail."""
-    fresh = added.join(known.select(token, F.col("_at").alias("_kept")) if "_at" in known.columns else _placed(known, scene, order).select(token, F.col("_at").alias("_kept")), token, "left")
-    old = (known if "_at" in known.columns else _placed(known, scene, order)).join(added.select(token), token, "left_anti")
-    both = old.select(*known.columns, F.struct(F.lit(0), F.col("_at")).alias("_o")).unionByName(
-        fresh.select(*known.columns, F.struct(F.col("_kept").isNull().cast("int"), F.coalesce("_kept", F.row_number().over(Window.partitionBy(scene).orderBy(*order)).cast("long"))).alias("_o"))
+    place = F.row_number().over(Window.partitionBy(scene).orderBy(*order))
+    old = known.select(*added.columns, F.struct(F.lit(0).alias("late"), place.alias("at")).alias("_o"))
+    kept = old.join(added.select(token), token, "left_anti").select(*added.columns, "_o")
+    fresh = added.join(old.select(token, F.col("_o").alias("_old")), token, "left").select(
+        *added.columns, F.coalesce("_old", F.struct(F.lit(1).alias("late"), place.alias("at"))).alias("_o")
     )
-    return linked(both.drop("prev", "next"), scene, ["_o"], token, end).drop("_o")
-
-
-def _placed(frames: DataFrame, scene: str, order: list[str]) -> DataFrame:
-    return frames.withColumn("_at", F.row_number().over(Window.partitionBy(scene).orderBy(*order)).cast("long"))
+    return linked(kept.union(fresh), scene, ["_o"], token, end).drop("_o")
 
 
 def scene_rollup(frames: DataFrame, scene: str, order: list[str], token: str = "token") -> DataFrame:
