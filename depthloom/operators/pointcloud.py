@@ -20,34 +20,39 @@ def deproject(depth: np.ndarray, fx: float, fy: float, cx: float, cy: float, lea
     return np.stack([z, -(u - cx) / fx * z, -(v - cy) / fy * z], 1), mask
 
 
-def near_counts(cells: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """For distinct cells, the summed weights of the 3x3x3 cells around each, itself counted."""
+def _codes(cells: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """One number a cell, with a free cell around the occupied box, and the steps along the first two axes."""
     low = cells.min(0) - 1
     span = cells.max(0) - low + 2
-    code = lambda c: ((c[:, 0] - low[0]) * span[1] + (c[:, 1] - low[1])) * span[2] + (c[:, 2] - low[2])
-    keys = code(cells)
-    order = np.argsort(keys)
-    keys, held = keys[order], weights[order]
-    total = np.zeros(len(cells), np.int64)
-    for step in np.ndindex(3, 3, 3):
-        wanted = code(cells + np.array(step) - 1)
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        total += np.where(keys[at] == wanted, held[at], 0)
-    return total
+    step = int(span[1] * span[2]), int(span[2])
+    return (cells[:, 0] - low[0]) * step[0] + (cells[:, 1] - low[1]) * step[1] + (cells[:, 2] - low[2]), *step
+
+
+def near_counts(keys: np.ndarray, weights: np.ndarray, first: int, second: int) -> np.ndarray:
+    """For sorted cell codes, the summed weights of the 3x3x3 cells around each, itself counted.
+
+    Neighbours along the last axis have adjacent codes, so prefix sums give three cells at once.
+    """
+    total = np.concatenate([[0], np.cumsum(weights)])
+    out = np.zeros(len(keys), np.int64)
+    for shift in (a * first + b * second for a in (-1, 0, 1) for b in (-1, 0, 1)):
+        out += total[np.searchsorted(keys, keys + shift + 1, "right")] - total[np.searchsorted(keys, keys + shift - 1)]
+    return out
 
 
 def radius_keep(points: np.ndarray, radius: float = 0.03, least: int = 6) -> np.ndarray:
-    cells, own, count = np.unique(np.floor(points / radius).astype(np.int64), axis=0, return_inverse=True, return_counts=True)
-    return near_counts(cells, count)[own.ravel()] >= least
+    codes, first, second = _codes(np.floor(points / radius).astype(np.int64))
+    keys, own, count = np.unique(codes, return_inverse=True, return_counts=True)
+    return near_counts(keys, count, first, second)[own] >= least
 
 
 def speckle_keep(points: np.ndarray, voxel: float = 0.05, low: tuple[float, float, float] = (-4.0, 0.3, -1.5), least: int = 4) -> np.ndarray:
     """Cells below the corner wrap round to the frame's other end, as negative indices do."""
     cell = np.floor((points - np.asarray(low)) / voxel).astype(np.int64)
     top = cell.max(0) + 1
-    cell = np.where(top > 0, np.mod(cell, np.maximum(top, 1)), cell)
-    cells, own = np.unique(cell, axis=0, return_inverse=True)
-    return near_counts(cells, np.ones(len(cells), np.int64))[own.ravel()] >= least
+    codes, first, second = _codes(np.where(top > 0, np.mod(cell, np.maximum(top, 1)), cell))
+    keys, own = np.unique(codes, return_inverse=True)
+    return near_counts(keys, np.ones(len(keys), np.int64), first, second)[own] >= least
 
 
 def depth_to_points(depth: np.ndarray, rgb: np.ndarray, fx: float, cx: float, cy: float, fy: float | None = None) -> tuple[np.ndarray, np.ndarray]:

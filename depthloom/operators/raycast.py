@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,13 +49,16 @@ def traverse(ends: np.ndarray, grid: Grid) -> tuple[np.ndarray, np.ndarray]:
 def crossed(points: DataFrame, grid: Grid, frame: str = "frame") -> DataFrame:
     """Distinct (frame, ix, iy, iz) that the rays to the points cross; repeats within a batch never leave the worker."""
 
+    size = math.prod(grid.dims)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends = np.stack([np.asarray(batch.column(c), float) for c in ("x", "y", "z")], 1)
             ray, cell = traverse(ends, grid)
-            frames = np.asarray(batch.column(frame))[ray]
-            seen = np.unique(np.concatenate([frames[:, None], cell], 1), axis=0) if len(ray) else np.zeros((0, 4), np.int64)
-            yield pa.record_batch([pa.array(seen[:, i]) for i in range(4)], names=[frame, *CELL])
+            names, at = np.unique(np.asarray(batch.column(frame)), return_inverse=True)
+            seen = np.unique(np.ravel_multi_index(tuple(cell.T), grid.dims) + at[ray] * size)
+            found = np.unravel_index(seen % size, grid.dims)
+            yield pa.record_batch([pa.array(names[seen // size]), *(pa.array(c.astype(np.int64)) for c in found)], names=[frame, *CELL])
 
     whole = points.select(F.col(frame).cast("long").alias(frame), *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z")]).where("x is not null and y is not null and z is not null")
     return whole.mapInArrow(run, f"{frame} long, ix long, iy long, iz long").distinct()
