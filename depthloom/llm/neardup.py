@@ -6,11 +6,12 @@ hashes; the signature is the minima of ``bands * rows`` universal hashes. Docume
 Two nodes that share all minima of a band meet in that band's bucket; at a similarity of 0.75, 32 bands of 4
 miss a pair with probability 5e-6.
 
-Not all pairs of a bucket are made. In each of ``rounds`` rounds every bucket has another centre, and its
-members are compared with the centre alone: a group of n near copies costs n comparisons a band. After that only
-pairs of a bucket that still lie in different components are left, and all of those are compared, so no link
-that could join two components is lost. A pair must agree in enough minima (six standard deviations below
-the expected number at the threshold), then in the full sets of its texts.
+Pairs are not made within a bucket. In each of ``rounds`` rounds every bucket has a centre (first the member
+that meets most others, then a random one), and its members are compared with the centre alone: a pair must
+agree in enough minima (six standard deviations below the expected number at the threshold), then in the full sets
+of its texts. What buckets still hold in different components is compared in blocks, by products of
+shingle incidence matrices over the full sets, which give out a spanning forest only: every pair of a bucket
+that could still join two components is compared, and the links returned stay below the number of documents.
 
 Edge cases: documents without words are linked with nothing, have a set size of 0 and stay. Null doc_ids take
 no part: component null, kept. Rows that repeat a doc_id are one document, so its texts are linked; those of them with words
@@ -41,6 +42,8 @@ class Params:
     bands: int = 32
     rows: int = 4
     rounds: int = 2
+    block_rows: int = 512
+    block_bytes: int = 4_000_000
     seed: int = 5
 
     @property
@@ -163,6 +166,59 @@ def _repeated(named: DataFrame) -> DataFrame:
     return own.join(several, "doc_id").select("u", F.col("node").alias("v"))
 
 
+def _forest(batch: pa.Table, p: Params) -> pa.Table:
+    """Compares all texts of a block pair by products of their shingle incidence matrix; links of a spanning forest
+    between the components that were not joined before."""
+    node = np.asarray(batch.column("node").combine_chunks())
+    _, mark = np.unique(np.asarray(batch.column("component").combine_chunks()), return_inverse=True)
+    u, v = [], []
+    if mark.max() > 0:
+        _, _, buf, offsets = next(K.slices(batch.column("text").combine_chunks(), 2**62))
+        grams, row = shingles(buf, offsets, p.shingle)
+        once = _first_of_row(grams, row)
+        grams, row = grams[once], row[once]
+        size = np.bincount(row, minlength=len(node))
+        _, name, times = np.unique(grams, return_inverse=True, return_counts=True)
+        shared = times[name] > 1
+        _, name = np.unique(name[shared], return_inverse=True)
+        row = row[shared]
+        order = np.argsort(name, kind="stable")
+        name, row = name[order], row[order]
+        common = np.zeros((len(node), len(node)), np.float32)
+        for low in range(0, int(name.max()) + 1 if len(name) else 0, 4096):
+            i, j = np.searchsorted(name, [low, low + 4096])
+            part = np.zeros((len(node), 4096), np.float32)
+            part[row[i:j], name[i:j] - low] = 1
+            common += part @ part.T
+        linked = (100 * common >= p.percent * (size[:, None] + size[None, :] - common)) & (size > 0)[:, None]
+        for i in range(len(node)):
+            near = np.flatnonzero(linked[i] & (mark != mark[i]))
+            for j in near:
+                if mark[j] != mark[i]:
+                    u.append(node[i])
+                    v.append(node[j])
+                    mark[mark == mark[j]] = mark[i]
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def _within_clusters(members: DataFrame, texts: DataFrame, found: DataFrame, p: Params) -> DataFrame:
+    """Links between different components among documents that buckets of several components hold together.
+
+    Such documents form clusters; a cluster is cut by hash into blocks of about ``block_rows`` rows and
+    ``block_bytes`` bytes, and every pair of blocks is one group, so no group grows with its cluster.
+    """
+    own = members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    mixed = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("v")).where("x <> y").select("bucket", "v")
+    open_ = stored(own.join(mixed, "bucket"), "open-members")
+    cluster = components(open_.select(F.col("node").alias("u"), "v")).withColumnRenamed("component", "cluster")
+    rows = open_.select("node", "component").distinct().join(cluster, "node").join(texts, "node")
+    whole = rows.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / p.block_rows), F.ceil(F.sum(F.octet_length("text")) / p.block_bytes)).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = rows.join(whole, "cluster").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = placed.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component", "text")
+    return keyed.groupBy("cluster", "i", "j").applyInArrow(lambda t: _forest(t, p), "u long, v long")
+
+
 def link(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     """(signature table with the node of each document, (node, component) of linked nodes)."""
     base = stored(signatures(docs, p), "signatures")
@@ -177,30 +233,21 @@ def link(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     meeting = members.select("node").distinct()
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty().alias("text")).join(meeting, "node", "left_semi"), "member-texts")
     met = stored(nodes.select("node", "n", "sig").join(meeting, "node", "left_semi"), "member-signatures")
-    links, tried, found = None, None, None
-    for turn in range(p.rounds + 1):
-        if turn:
-            own = members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-            mixed = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-            open_ = stored(own.join(mixed, "bucket", "left_semi"), "open-buckets")
-        else:
-            open_ = members.withColumn("component", F.col("node"))
-        if turn < p.rounds:
-            centre = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("c"), F.col("component").alias("cc")), F.xxhash64("node", F.lit(turn)) if turn else F.col("node")).alias("m")).select("bucket", "m.*")
-            pairs = _ordered(open_.join(centre, "bucket").where("component <> cc"), "node", "c")
-        else:
-            left, right = open_.select("bucket", F.col("node").alias("x"), F.col("component").alias("cx")), open_.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy"))
-            pairs = _ordered(left.join(right, "bucket").where("cx < cy"), "x", "y")
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        new = stored(_confirmed(_agreeing(pairs, met, p), texts, p), "confirmed")
-        links = new.union(_repeated(named)) if links is None else links.union(new)
-        if turn == 0 or not new.isEmpty():
-            found = stored(components(links), "components")
-        if pairs.isEmpty():
-            break
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    crowd = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("crowd"))
+    ranked = stored(members.join(crowd, "node"), "ranked-members")
+    links, found = _repeated(named), None
+    for turn in range(p.rounds):
+        own = ranked if found is None else ranked.join(found, "node", "left")
+        own = own.withColumn("component", F.col("node") if found is None else F.coalesce("component", "node"))
+        first = F.struct(F.xxhash64("node", F.lit(turn)) if turn else -F.col("crowd"), F.col("node"))
+        centre = own.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("c"), F.col("component").alias("cc")), first).alias("m")).select("bucket", "m.*")
+        pairs = stored(_ordered(own.join(centre, "bucket").where("component <> cc"), "node", "c"), "pairs")
+        links = links.union(stored(_confirmed(_agreeing(pairs, met, p), texts, p), "confirmed"))
+        found = stored(components(links), "components")
+    new = stored(_within_clusters(members, texts, found, p), "cluster-links")
+    if not new.isEmpty():
+        found = stored(components(links.union(new)), "components")
     return named, found
 
 
