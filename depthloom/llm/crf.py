@@ -1,7 +1,8 @@
 """A linear-chain conditional random field over word-shape features, in numpy.
 
-A word has three features: its shape (runs of capitals, small letters, digits and each mark, collapsed),
-its length with its number of digits, and its identity if the training table has it often enough.
+A word has four features: its shape (runs of capitals, small letters, digits and each mark, collapsed),
+its length with its number of digits, and its identity and its first three bytes, where the training table has
+them often enough.
 The score of a label sums the weights of the features of the word and of its two neighbours, and of the step
 from the label before. Training climbs the penalised log-likelihood by Adam, with forward-backward sums.
 
@@ -43,8 +44,8 @@ class Words:
     ids: np.ndarray
 
 
-def raw_features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, ptr, shape hash, length and digits, hash of the lower-cased word)."""
+def raw_features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(starts, ends, ptr, shape hash, length and digits, hash of the lower-cased word, prefix)."""
     starts, ends, ptr = K.word_spans(buf, offsets, _SPACE)
     kind = _KIND[buf]
     edge = np.ones(len(buf), bool)
@@ -55,7 +56,16 @@ def raw_features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     shape = K.word_hashes(kind[edge], before[starts], before[ends])
     digit = np.concatenate([[0], np.cumsum(_KIND[buf] == ord("d"))])
     sized = np.searchsorted(_LENGTHS, ends - starts, "right") * (len(_DIGITS) + 1) + np.searchsorted(_DIGITS, digit[ends] - digit[starts], "right")
-    return starts, ends, ptr, shape, sized, K.word_hashes(K.lower_ascii()[buf], starts, ends)
+    return starts, ends, ptr, shape, sized, K.word_hashes(K.lower_ascii()[buf], starts, ends), _prefix(buf, starts, ends)
+
+
+def _prefix(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """First three bytes of each word as one number; missing ones are 0."""
+    out = np.zeros(len(starts), np.uint64)
+    for i in range(3):
+        byte = buf[np.minimum(starts + i, len(buf) - 1)] if len(buf) else out
+        out = out << np.uint64(8) | np.where(starts + i < ends, byte, 0).astype(np.uint64)
+    return out
 
 
 @dataclass
@@ -63,6 +73,7 @@ class Crf:
     labels: list[str]
     shapes: np.ndarray
     lexicon: np.ndarray
+    prefixes: np.ndarray
     emit: list[list[np.ndarray]] = field(default_factory=list)
     step: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     start: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -71,11 +82,11 @@ class Crf:
     known: int = 0
 
     def words(self, buf: np.ndarray, offsets: np.ndarray) -> Words:
-        starts, ends, ptr, shape, sized, word = raw_features(buf, offsets)
-        return Words(starts, ends, ptr, np.stack([_index(self.shapes, shape), sized, _index(self.lexicon, word)]))
+        starts, ends, ptr, shape, sized, word, prefix = raw_features(buf, offsets)
+        return Words(starts, ends, ptr, np.stack([_index(self.shapes, shape), sized, _index(self.lexicon, word), _index(self.prefixes, prefix)]))
 
     def sizes(self) -> list[int]:
-        return [len(self.shapes) + 1, (len(_LENGTHS) + 1) * (len(_DIGITS) + 1), len(self.lexicon) + 1]
+        return [len(self.shapes) + 1, (len(_LENGTHS) + 1) * (len(_DIGITS) + 1), len(self.lexicon) + 1, len(self.prefixes) + 1]
 
     def _neighbours(self, w: Words) -> list[tuple[int, np.ndarray, np.ndarray]]:
         """(offset, words that have a neighbour there, the neighbour)."""
@@ -95,11 +106,11 @@ class Crf:
         for o, word, other in self._neighbours(w):
             chosen = place[word] >= 0
             at, near = place[word[chosen]], other[chosen]
-            out[at] += sum(self.emit[o][f][w.ids[f, near]] for f in range(3))
+            out[at] += sum(self.emit[o][f][w.ids[f, near]] for f in range(len(w.ids)))
         return out
 
     def _classes(self, w: Words) -> np.ndarray:
-        """A number for each combination of the three features; their weights are summed once a combination."""
+        """A number for each combination of the first three features; their weights are summed once a combination."""
         size = self.sizes()
         if self.slots is None:
             self.slots = np.full(size[0] * size[1] * size[2], -1, np.int32)
@@ -125,10 +136,10 @@ class Crf:
         where that leaves a stretch open.
         """
         kind, t = self._classes(w), self.step
-        lead = self.lead[1][kind]
+        lead = np.zeros(len(kind))
         for o, word, other in self._neighbours(w):
-            if o != 1:
-                lead[word] += self.lead[o][kind[other]]
+            last = self.emit[o][3]
+            lead[word] += self.lead[o][kind[other]] + (last[:, 1:] - last[:, :1]).max(1)[w.ids[3, other]]
         inside = t[1:, 1:].max() - t[0, 0]
         ways = max(t[0, 1:].max() - t[0, 0], (self.start[1:] - self.start[0]).max()) + max(t[1:, 0].max() - t[0, 0], 0)
         open_ = self._gains(lead + inside, inside - ways, w.ptr)
@@ -204,9 +215,9 @@ def train(examples: list[tuple[list[str], list[str]]], often: int = 3, rounds: i
     labels = ["O", *sorted({x for _, tags in examples for x in tags} - {"O"})]
     text = [" ".join(words).encode() for words, _ in examples]
     buf, offsets = np.frombuffer(b"".join(text), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in text])])
-    _, _, ptr, shape, _, word = raw_features(buf, offsets)
-    names, count = np.unique(word, return_counts=True)
-    model = Crf(labels, np.unique(shape), names[count >= often])
+    _, _, ptr, shape, _, word, prefix = raw_features(buf, offsets)
+    common = [names[count >= often] for names, count in (np.unique(x, return_counts=True) for x in (word, prefix))]
+    model = Crf(labels, np.unique(shape), *common)
     w = model.words(buf, offsets)
     truth = np.array([labels.index(x) for _, tags in examples for x in tags])
     k, lengths = len(labels), np.diff(ptr)
@@ -223,7 +234,7 @@ def train(examples: list[tuple[list[str], list[str]]], often: int = 3, rounds: i
         gap[np.arange(len(truth)), truth] += 1
         grads = []
         for o, here, other in pairs:
-            for f in range(3):
+            for f in range(len(w.ids)):
                 g = np.zeros_like(model.emit[o][f])
                 np.add.at(g, w.ids[f, other], gap[here])
                 grads.append(g)
