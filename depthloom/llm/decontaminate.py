@@ -170,24 +170,31 @@ def scan(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFra
 
     Several blocks of patterns add to a bit set of the words that are hit, which stays with the document.
     """
-    out = docs.drop("n_words", "n_hit", "items", "_bits").withColumns(
-        {"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>"), "_bits": F.lit(None).cast("binary")}
-    )
+    found, own = _scanned(docs, benchmark, p)
+    made = ("n_words", "n_hit", "items")
+    return found.select(*[F.col(c).alias(name) for c, name in zip(own, docs.columns, strict=True) if name not in made], *made)
+
+
+def _scanned(docs: DataFrame, benchmark: DataFrame, p: Params) -> tuple[DataFrame, list[str]]:
+    """Documents with their columns as c0, c1, ... (whatever they are called), n_words, n_hit and items."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    text = own[docs.columns.index("text")]
+    out = docs.toDF(*own).withColumns({"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>"), "bits": F.lit(None).cast("binary")})
     passes = 0
     for searcher in searchers(benchmark, p):
-        out, passes = _pass(out, searcher), passes + 1
-    return (out if passes else _pass(out, Searcher({}))).drop("_bits")
+        out, passes = _pass(out, searcher, text), passes + 1
+    return (out if passes else _pass(out, Searcher({}), text)).drop("bits"), own
 
 
-def _pass(docs: DataFrame, searcher: Searcher) -> DataFrame:
+def _pass(docs: DataFrame, searcher: Searcher, text: str) -> DataFrame:
     shared, schema = docs.sparkSession.sparkContext.broadcast(searcher), docs.schema
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_hit, bits, items = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), [b""] * batch.num_rows, batch.column("items").to_pylist()
-            earlier = batch.column("_bits")
-            for first, end, buf, offsets in K.slices(batch.column("text")):
+            earlier = batch.column("bits")
+            for first, end, buf, offsets in K.slices(batch.column(text)):
                 low, starts, ends, ptr, hashes = _words(buf, offsets)
                 words = shared.value.ids(low, starts, ends, hashes)
                 edge = np.zeros(len(words) + 1, np.int32)
@@ -209,7 +216,7 @@ def _pass(docs: DataFrame, searcher: Searcher) -> DataFrame:
                             mine = mine | np.unpackbits(np.frombuffer(old, np.uint8), count=len(mine)).astype(bool)
                             n_hit[first + r] = mine.sum()
                         bits[first + r] = np.packbits(mine).tobytes()
-            made = {"n_words": pa.array(n_words), "n_hit": pa.array(n_hit), "items": pa.array(items, pa.list_(pa.string())), "_bits": pa.array(bits, pa.binary())}
+            made = {"n_words": pa.array(n_words), "n_hit": pa.array(n_hit), "items": pa.array(items, pa.list_(pa.string())), "bits": pa.array(bits, pa.binary())}
             yield pa.record_batch([made[c] if c in made else batch.column(c) for c in names], names=names)
 
     return docs.mapInArrow(run, schema)
@@ -225,5 +232,6 @@ def digest(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataF
 
 def clean(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with their columns."""
-    return scan(docs, benchmark, p).where("n_hit = 0").select(*docs.columns)
+    found, own = _scanned(docs, benchmark, p)
+    return found.where("n_hit = 0").select(*own).toDF(*docs.columns)
 

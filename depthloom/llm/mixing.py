@@ -63,44 +63,51 @@ def targets(totals: DataFrame, p: Params) -> DataFrame:
     return ranked.select("source", "source_size", F.least(F.col("most").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
-def mix(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """Adds size, source_size, target and taken to the documents (columns doc_id, text, source needed).
-
-    Columns of ``docs`` with those names are replaced.
-    """
+def _mixed(docs: DataFrame, p: Params) -> tuple[DataFrame, list[str]]:
+    """Documents with their columns as c0, c1, ... (whatever they are called) and size, source_size, target, taken."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    at = {name: own[i] for i, name in enumerate(docs.columns)}
     rows = (
-        docs.drop("size", "source_size", "target", "taken")
-        .withColumn("size", size_of(text_or_empty()))
-        .withColumn("_key", _key(p))
-        .withColumn("_range", F.substring("_key", 1, p.digits))
-        .withColumn("_tie", F.xxhash64("text"))
+        docs.toDF(*own)
+        .withColumns({"doc_id": F.col(at["doc_id"]), "source": F.col(at["source"]), "size": size_of(text_or_empty(at["text"])), "tie": F.xxhash64(at["text"])})
+        .withColumn("key", _key(p))
+        .withColumn("range", F.substring("key", 1, p.digits))
     )
-    ranges = stored(rows.groupBy("source", "_range").agg(F.sum("size").alias("_sum")), "mix-ranges")
-    plan = targets(ranges.groupBy("source").agg(F.sum("_sum").alias("source_size")), p)
-    before = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = stored(rows.groupBy("source", "range").agg(F.sum("size").alias("sum")), "mix-ranges")
+    plan = targets(ranges.groupBy("source").agg(F.sum("sum").alias("source_size")), p)
+    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     base = (
-        ranges.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-        .join(plan.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
-        .select(F.col("source").alias("_bs"), F.col("_range").alias("_br"), "_base", "source_size", "target")
-    )
-    inner = Window.partitionBy("source", "_range").orderBy("_key", "size", "_tie").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("_inner", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(
-        base, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("_range") == F.col("_br"))
+        ranges.withColumn("base", F.coalesce(F.sum("sum").over(before), F.lit(0)))
+        .join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        .select(F.col("source").alias("bs"), F.col("range").alias("br"), "base", "source_size", "target")
     )
+    inner = Window.partitionBy("source", "range").orderBy("key", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("inner", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(base, F.col("source").eqNullSafe(F.col("bs")) & (F.col("range") == F.col("br")))
     budget = F.round("target").cast("long")
     rest = budget % F.greatest("source_size", F.lit(1))
     whole = F.floor(budget / F.greatest("source_size", F.lit(1))).cast("long")
-    taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_base") - F.col("_inner")))
-    return placed.withColumn("taken", taken.cast("long")).drop("_key", "_range", "_tie", "_base", "_inner", "_bs", "_br")
+    taken = whole * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("base") - F.col("inner")))
+    return placed.withColumn("taken", taken.cast("long")).select(*own, "size", "source_size", "target", "taken"), own
+
+
+def mix(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """Adds size, source_size, target and taken to the documents (columns doc_id, text, source needed).
+
+    Columns of ``docs`` with those names are replaced.
+    """
+    mixed, own = _mixed(docs, p)
+    made = ("size", "source_size", "target", "taken")
+    return mixed.select(*[F.col(c).alias(name) for c, name in zip(own, docs.columns, strict=True) if name not in made], *made)
 
 
 def apply(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: a row for each whole time that a document is
     taken, and one with the words up to the budget for a document that is cut."""
-    mixed = mix(docs, p)
+    mixed, own = _mixed(docs, p)
+    text = own[docs.columns.index("text")]
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("int")
     part = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0).cast("int")
     parts = F.concat(F.array_repeat(F.lit(0), times), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), 1), 1, F.col("_part")), " ")
-    out = mixed.withColumn("_part", F.explode(parts)).withColumn("text", F.when(F.col("_part") > 0, head).otherwise(F.col("text")))
-    return out.select(*docs.columns)
+    head = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})"), 1), 1, F.col("part")), " ")
+    out = mixed.withColumn("part", F.explode(parts)).withColumn(text, F.when(F.col("part") > 0, head).otherwise(F.col(text)))
+    return out.select(*own).toDF(*docs.columns)
