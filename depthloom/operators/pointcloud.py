@@ -127,3 +127,21 @@ def surface_pixels(frames: DataFrame, scale: float = 1.0 / 6553.5, valid: tuple[
                     )
 
     return frames.select("frame", "fx", "fy", "cx", "cy", "depth_bytes", "label_bytes").mapInArrow(run, "frame string, error string, seq long, x double, y double, z double, label int")
+
+
+def labelled_clouds(frames: DataFrame, scale: float = 1.0 / 6553.5) -> DataFrame:
+    """frame, error, x, y, z, label: pixels that pass the median and gradient filter, with their label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["frame", "error", "x", "y", "z", "label"]
+        for batch in batches:
+            for row in batch.to_pylist():
+                try:
+                    depth = filtered_image(codecs.decode_png(row["depth_bytes"]).astype(np.float64) * scale)
+                    p, mask = deproject(depth, row["fx"], row["fx"], row["cx"], row["cy"])
+                    label = codecs.decode_png(row["label_bytes"])[mask].astype(np.int32)
+                    yield pa.record_batch([pa.array([row["frame"]] * len(p), pa.string()), pa.nulls(len(p), pa.string()), *(pa.array(p[:, i]) for i in range(3)), pa.array(label)], names=names)
+                except Exception as error:
+                    yield pa.record_batch([pa.array([row["frame"]]), pa.array([f"{type(error).__name__}: {error}"]), *(pa.nulls(1, pa.float64()) for _ in range(3)), pa.nulls(1, pa.int32())], names=names)
+
+    return frames.select("frame", "fx", "cx", "cy", "depth_bytes", "label_bytes").mapInArrow(run, "frame string, error string, x double, y double, z double, label int")

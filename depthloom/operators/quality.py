@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from depthloom.sources import codecs
+
 
 def low_counts(entries: DataFrame, count: str, share: float = 0.05) -> DataFrame:
     """Entries far below the exact median, which a one-row table brings to every row."""
@@ -47,3 +53,42 @@ def file_issues(entries: DataFrame, files: DataFrame) -> DataFrame:
 
 def status_tally(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("frames"))
+
+
+def deep_checks(files: DataFrame, product: str) -> DataFrame:
+    """file and fault of files (file, frame, content) whose inside is not as it should be.
+
+    Point records: bytes a positive multiple of 20. Label files: the three arrays, of bytes, the standard shape unless
+    the file describes its grid, labels up to 17, equal masks.
+    """
+
+    def faults(raw: bytes) -> list[str]:
+        if product == "nuscenes":
+            return [] if raw and len(raw) % 20 == 0 else [f"{len(raw)} bytes are no point records"]
+        z = codecs.decode_npz(raw)
+        need = ("semantics", "mask_lidar", "mask_camera")
+        if not set(need) <= set(z):
+            return [f"arrays are {sorted(z)}"]
+        sem, lidar, camera = (z[n] for n in need)
+        shape = sem.shape == (200, 200, 16) or "voxel" in z
+        said = [] if shape and all(a.dtype == np.uint8 for a in (sem, lidar, camera)) else ["shape or type"]
+        said += [f"label {sem.max()} is above 17"] if sem.max() > 17 else []
+        return said + ([] if np.array_equal(lidar, camera) else ["masks differ"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for file, raw in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                try:
+                    found += [(file, f) for f in faults(raw)]
+                except Exception as error:  # a broken file is a finding
+                    found.append((file, f"{type(error).__name__}: {error}"))
+            yield pa.record_batch([pa.array([f for f, _ in found], pa.string()), pa.array([f for _, f in found], pa.string())], names=["file", "fault"])
+
+    return files.select("file", "content").mapInArrow(run, "file string, fault string")
+
+
+def warned_frames(messages: DataFrame, annotations: DataFrame) -> DataFrame:
+    """Annotation rows whose token a report's message names."""
+    tokens = messages.select(F.regexp_extract("message", r"([0-9a-f]{32}|img-\d+)", 1).alias("token")).where("token <> ''").distinct()
+    return annotations.join(tokens, "token", "left_semi")

@@ -7,8 +7,10 @@ skipped; failed frames are listed and done again by the next run.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,6 +146,37 @@ def detections(boxes: DataFrame, points: DataFrame, root: str, min_pts: int = 0)
     return rows
 
 
+def label_agreement(frames: DataFrame, boxes: DataFrame, every: int = 50, scale: float = 1.0 / 6553.5) -> DataFrame:
+    """One row n, mean, median, gt05: how far pixel labels in boxes are the box's class, over each ``every``-th frame.
+
+    Points take the whole point-cloud filter without down-sampling; boxes are 0.1 m wider; fewer than 5 points don't count.
+    """
+    sampled = with_intrinsics(frames.where((F.col("i") % max(every, 1) == 0) & F.col("label_bytes").isNotNull()))
+    cloud = pointcloud.labelled_clouds(sampled, scale).where("error is null")
+    b = ego_boxes(boxes).withColumn("number", F.array_position(F.array(*[F.lit(c) for c in detection.CLASSES]), F.col("cls13")))
+    delta = F.array(*[F.col(c) - F.col("translation")[i] for i, c in enumerate(("x", "y", "z"))])
+    inside = F.lit(True)
+    for i in range(3):
+        inside = inside & (F.abs(G.dot(delta, G.column_of(F.col("rot"), i))) <= F.col("coeffs")[i] / 2 + F.lit(0.1))
+    pairs = cloud.join(b.select("frame", "j", "translation", "rot", "coeffs", "number"), "frame").where(inside)
+    rates = pairs.groupBy("frame", "j").agg(F.count(F.lit(1)).alias("points"), F.avg((F.col("label") == F.col("number")).cast("double")).alias("rate")).where("points >= 5")
+    return detection.rate_summary(rates)
+
+
+def copied_images(frames: DataFrame, root: str) -> DataFrame:
+    """Writes each frame's colour image below samples/CAM_FRONT as it is; returns frame and bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, raws = batch.column("frame").to_pylist(), batch.column("rgb_bytes").to_pylist()
+            for name, raw in zip(names, raws, strict=True):
+                filesystem.write(f"{root}/samples/CAM_FRONT/{name}.{'png' if raw[:4] == b'\x89PNG' else 'jpg'}", raw)
+            yield pa.record_batch([batch.column("frame"), pa.array([len(r) for r in raws], pa.int64())], names=["frame", "bytes"])
+
+    rows = with_intrinsics(frames).where("rgb_bytes is not null").select("frame", "rgb_bytes")
+    return rows.mapInArrow(run, "frame string, bytes long")
+
+
 def boxes_2d(boxes: DataFrame, root: str, limit: int = 0) -> DataFrame:
     """annotations2d.json of frames with valid 2-D boxes, at most ``limit`` frames a split."""
     b = boxes.select("frame", "j", "cls", detection.class_of(F.col("cls")).alias("cls13"), detection.valid_bb2d(F.col("bb2d")).alias("bbox"))

@@ -54,3 +54,35 @@ def points_png(points: DataFrame, size: int = 600, extent: float = 40.0) -> byte
     share = (top.z.clip(-1, 5.4).to_numpy() + 1) / 6.4
     image[top.row, top.column] = np.stack([60 + 195 * share, 80 + 120 * share, 255 - 195 * share], 1).astype(np.uint8)
     return codecs.encode_png(_marked(image, size / 2, size / 2))
+
+
+def _line(image: np.ndarray, a: tuple[float, float], b: tuple[float, float], colour: tuple[int, int, int]) -> None:
+    """A straight line between two (u, v) places, cut at the picture's border."""
+    n = int(max(abs(b[0] - a[0]), abs(b[1] - a[1]), 1)) + 1
+    u, v = (np.rint(np.linspace(p, q, n)).astype(int) for p, q in zip(a, b, strict=True))
+    inside = (u >= 0) & (v >= 0) & (u < image.shape[1]) & (v < image.shape[0])
+    image[v[inside], u[inside]] = colour
+
+
+def preview_png(image: np.ndarray, boxes_2d: list[tuple[int, list[float]]], corners_3d: list[tuple[int, np.ndarray]]) -> bytes:
+    """A picture with 2-D boxes (label, [x, y, w, h]) and 3-D boxes (label, 8 projected corners by the bits x, y, z) as outlines."""
+    out = image.copy()
+    for label, (x, y, w, h) in boxes_2d:
+        ring = [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]
+        for a, b in zip(ring, ring[1:], strict=False):
+            _line(out, a, b, COLOURS[label])
+    for label, corner in corners_3d:
+        for i in range(8):
+            for bit in (1, 2, 4):
+                if not i & bit:
+                    _line(out, tuple(corner[i]), tuple(corner[i | bit]), COLOURS[label])
+    return codecs.encode_png(out)
+
+
+def projected_corners(translation: np.ndarray, rotation: np.ndarray, half: np.ndarray, k: np.ndarray) -> np.ndarray | None:
+    """Pixels of an ego-frame box's eight corners, None if one is nearer than 0.05 in front of the camera."""
+    bits = np.array([[i >> 2 & 1, i >> 1 & 1, i & 1] for i in range(8)]) * 2 - 1
+    at = translation + (bits * half) @ rotation.T
+    if (at[:, 0] <= 0.05).any():
+        return None
+    return np.stack([k[0, 0] * -at[:, 1] / at[:, 0] + k[0, 2], -k[1, 1] * at[:, 2] / at[:, 0] + k[1, 2]], 1)
