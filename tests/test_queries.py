@@ -6,6 +6,7 @@ import math
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 
 from depthloom.plans import queries as plans
@@ -37,13 +38,12 @@ def test_query(spark, duck, sf_dir, name):
 
 
 def test_recursive_rays_equal_the_kernel(spark):
-    from pyspark.sql import functions as F
-
     from depthloom.functions.geometry import Grid
     from depthloom.operators import raycast
 
     grid = Grid(0.5, (-3.0, -3.0, -2.0), (12, 12, 8))
-    pts = spark.range(60).select((F.col("id") % 3).alias("frame"), *[(F.rand(k) * 8 - 4).alias(c) for k, c in enumerate("xyz")]).localCheckpoint()
+    rows = np.random.default_rng(0).uniform(-4, 4, (60, 3)).tolist()
+    pts = spark.createDataFrame([(i % 3, *row) for i, row in enumerate(rows)], "frame long, x double, y double, z double")
     pts.createOrReplaceTempView("ray_ends")
     kernel = {tuple(r) for r in raycast.crossed(pts, grid).collect()}
     assert kernel == {tuple(r) for r in spark.sql(raycast.crossed_sql(grid, "ray_ends")).collect()}
