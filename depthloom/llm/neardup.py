@@ -225,7 +225,7 @@ def link(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     nodes = stored(
         base.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")), "nodes"
     )
-    named = base.select("doc_id", "n", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    named = base.select("doc_id", "n", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left").select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
     width = 4 * p.rows
     buckets = nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda i: F.xxhash64(i, F.substring("sig", i * width + 1, F.lit(width))))).alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
