@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import tempfile
 import uuid
@@ -10,6 +11,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from depthloom.llm import files
+
 #: Settings while a table is stored: shuffle files go when the query ends, and Arrow batches stay small.
 WHILE_STORING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
@@ -42,8 +45,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path below the shared folder, in the application's own part of it, which goes when the driver ends."""
+    own = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    if own not in _TO_DROP:
+        _TO_DROP.add(own)
+        atexit.register(_drop, own)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_TO_DROP: set[str] = set()
+
+
+def _drop(uri: str) -> None:
+    system, path = files.resolve(uri)
+    with contextlib.suppress(FileNotFoundError):
+        system.delete_dir(path)
 
 
 @contextlib.contextmanager

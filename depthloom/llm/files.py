@@ -9,13 +9,13 @@ import pyarrow as pa
 from pyarrow import dataset, fs
 
 
-def _resolve(uri: str) -> tuple[fs.FileSystem, str]:
+def resolve(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(re.sub(r"^file:/*", "file:///", uri))
 
 
 def write_whole(uri: str, parts: list[bytes] | bytes) -> None:
     """Writes under another name and renames, so that a second attempt of a task does no harm."""
-    system, path = _resolve(uri)
+    system, path = resolve(uri)
     system.create_dir(path.rsplit("/", 1)[0], recursive=True)
     draft = f"{path}.{uuid.uuid4().hex}.part"
     with system.open_output_stream(draft) as out:
@@ -28,7 +28,7 @@ class Draft:
     """A file that grows piece by piece and gets its name at the end."""
 
     def __init__(self, uri: str) -> None:
-        self.system, self.path = _resolve(uri)
+        self.system, self.path = resolve(uri)
         self.system.create_dir(self.path.rsplit("/", 1)[0], recursive=True)
         self.draft = f"{self.path}.{uuid.uuid4().hex}.part"
         self.out = self.system.open_output_stream(self.draft)
@@ -42,17 +42,17 @@ class Draft:
 
 
 def read_whole(uri: str) -> bytes:
-    system, path = _resolve(uri)
+    system, path = resolve(uri)
     with system.open_input_stream(path) as source:
         return source.read()
 
 
 def open_random(uri: str):
-    system, path = _resolve(uri)
+    system, path = resolve(uri)
     return system.open_input_file(path)
 
 
 def read_table(uri: str) -> pa.Table:
     """A Parquet folder as one table; for tables of bounded size."""
-    system, path = _resolve(uri)
+    system, path = resolve(uri)
     return dataset.dataset(path, filesystem=system, format="parquet", exclude_invalid_files=True).to_table()
