@@ -14,7 +14,8 @@ whole text. A worker's cache is emptied at ``CACHE_PIECES``.
 Edge cases: a null or empty text is the end id alone. Null doc_ids come first. Rows that repeat a
 doc_id are ordered by a hash of the text and are all written; the index leads to the first of them, and null
 doc_ids are not indexed: ``read_documents`` reads both by their stored place. An empty table gives no
-shards. Shard boundaries follow a sample; contents and order do not depend on them.
+shards. Shard boundaries follow a sample; contents and order do not depend on them. The driver holds two
+numbers a shard of ``shard_bytes`` of text.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ _SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{1,64})([.
 class Params:
     tokenizer: str
     end_id: int = 2
-    shard_bytes: int = 32_000_000
+    shard_bytes: int = 128_000_000
     keys_a_bucket: int = 50_000
 
 
@@ -140,12 +141,13 @@ def encoder(path: str, end_id: int) -> Encoder:
 
 @dataclass(frozen=True)
 class Dataset:
-    """A written data set. bases: ids before each shard; entries: a row a document."""
+    """A written data set. shards: numbers of its files, ascending; bases: ids before each; entries: a row a document."""
 
     path: str
     width: int
     n_buckets: int
-    bases: dict[int, int]
+    shards: np.ndarray
+    bases: np.ndarray
     entries: DataFrame
 
 
@@ -167,7 +169,7 @@ def write(docs: DataFrame, p: Params, path: str | None = None) -> Dataset:
     path = path or fresh_dir(spark, "token-ids")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, math.ceil(total / p.shard_bytes))
+    shards = max(1, math.ceil(total / p.shard_bytes), min(spark.sparkContext.defaultParallelism, math.ceil(total / 1_000_000)))
     tie = F.xxhash64("text").alias("_tie")
     dealt = rows.select("doc_id", "text", tie).repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "_tie").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "_tie", "text")
 
@@ -192,14 +194,14 @@ def write(docs: DataFrame, p: Params, path: str | None = None) -> Dataset:
             draft.close()
 
     entries = stored(dealt.select("doc_id", "text").mapInArrow(encode, "doc_id long, shard int, offset long, n_tokens long"), "token-entries")
-    sums = {r.shard: r.n for r in entries.groupBy("shard").agg(F.sum("n_tokens").alias("n")).collect()}  # a row a shard
-    bases, before = {}, 0
-    for number in sorted(sums):
-        bases[number], before = before, before + sums[number]
+    sums = entries.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").toPandas()  # two numbers a shard
+    numbers, sizes = sums["shard"].to_numpy(np.int64), sums["n"].to_numpy(np.int64)
+    bases = np.cumsum(sizes) - sizes
     n_buckets = _index(entries, p, path)
     width = encoder(p.tokenizer, p.end_id).dtype.itemsize
-    files.write_whole(f"{path}/manifest.json", json.dumps({"width": width, "buckets": n_buckets, "end_id": p.end_id, "shards": [[n, bases[n], sums[n]] for n in sorted(sums)]}).encode())
-    return Dataset(path, width, n_buckets, bases, entries)
+    shards_said = [list(map(int, row)) for row in zip(numbers, bases, sizes, strict=True)]
+    files.write_whole(f"{path}/manifest.json", json.dumps({"width": width, "buckets": n_buckets, "end_id": p.end_id, "shards": shards_said}).encode())
+    return Dataset(path, width, n_buckets, numbers, bases, entries)
 
 
 def _numbered(keyed: DataFrame, n_buckets: int) -> DataFrame:
@@ -266,20 +268,22 @@ def locate(keys: DataFrame, data: Dataset) -> DataFrame:
 
 def read(places: DataFrame, data: Dataset) -> DataFrame:
     """Adds start and ids_crc32 from the shard files to located rows; each task opens its shards in turn."""
-    path, width, bases = data.path, data.width, data.bases
+    path, width = data.path, data.width
+    known = places.sparkSession.sparkContext.broadcast((data.shards, data.bases))  # two numbers a shard
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, source = -1, None
+        number, base, source = -1, 0, None
         for batch in batches:
             shard, offset, length = (np.asarray(batch.column(c)) for c in ("shard", "offset", "n_tokens"))
             start, crc = np.empty(len(shard), np.int64), np.empty(len(shard), np.int64)
             for i in range(len(shard)):
                 if shard[i] != number:
                     number = int(shard[i])
+                    base = int(known.value[1][np.searchsorted(known.value[0], number)])
                     source = files.open_random(_shard(path, number))
                 raw = source.read_at(int(length[i]) * width, int(offset[i]) * width)
                 ids = np.frombuffer(raw, f"<u{width}")
-                start[i], crc[i] = bases[number] + int(offset[i]), zlib.crc32(ids.astype("<u4").tobytes())
+                start[i], crc[i] = base + int(offset[i]), zlib.crc32(ids.astype("<u4").tobytes())
             yield pa.record_batch([batch.column("doc_id"), pa.array(start), batch.column("n_tokens"), pa.array(crc)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return places.select("doc_id", "shard", "offset", "n_tokens").mapInArrow(load, "doc_id long, start long, n_tokens long, ids_crc32 long")
@@ -292,7 +296,7 @@ def read_documents(data: Dataset) -> DataFrame:
     firsts = first.select(F.col("f.shard").alias("fs"), F.col("f.offset").alias("fo"))
     rest = data.entries.join(firsts, (F.col("shard") == F.col("fs")) & (F.col("offset") == F.col("fo")), "left_anti")
     places = found.unionByName(rest)
-    return read(places.repartition(max(1, len(data.bases)), "shard").sortWithinPartitions("shard", "offset"), data)
+    return read(places.repartition(max(1, len(data.shards)), "shard").sortWithinPartitions("shard", "offset"), data)
 
 
 def digest(docs: DataFrame, p: Params) -> DataFrame:
@@ -303,4 +307,5 @@ def digest(docs: DataFrame, p: Params) -> DataFrame:
 def open_dataset(spark: SparkSession, path: str, entries: DataFrame) -> Dataset:
     """A data set that was written before."""
     m = json.loads(files.read_whole(f"{path}/manifest.json"))
-    return Dataset(path, m["width"], m["buckets"], {n: base for n, base, _ in m["shards"]}, entries)
+    said = np.array(m["shards"], np.int64).reshape(-1, 3)
+    return Dataset(path, m["width"], m["buckets"], said[:, 0], said[:, 1], entries)
