@@ -2,8 +2,8 @@
 
 Each of ``curves`` random projections takes the vectors to ``dims`` coordinates, which are standardised over all
 rows, shifted by a random part of a cell and laid on a Hilbert curve. Spark cuts every curve into key ranges of
-about ``block`` rows (the cuts are quantiles of the key) and a query's window on a curve is the ranges within ``reach``
-of the table's length of its own key. The windows of all curves are merged: every row in one of them
+about ``block`` rows (the cuts are quantiles of the key; beyond ``most_blocks`` ranges these grow instead), and a
+query's window on a curve is the ranges within ``reach`` of the table's length of its own key. The windows of all curves are merged: every row in one of them
 is ranked by its Euclidean distance, in double precision on the original vectors.
 
 Rows with equal vectors are one point, kept with their ``k + 1`` smallest ids, found by hash-dealt partial
@@ -42,6 +42,7 @@ class Params:
     dims: int = 8
     bits: int = 5
     block: int = 2048
+    most_blocks: int = 20_000
     reach: float = 0.36
     seed: int = 2
 
@@ -164,7 +165,7 @@ def search(vectors: DataFrame, wanted: Column, p: Params = Params()) -> DataFram
             yield pa.record_batch([batch.column("embedding"), batch.column("ids"), lists], names=["embedding", "ids", "keys"])
 
     keyed = stored(laid.mapInArrow(curve_keys, "embedding array<double>, ids array<long>, keys array<long>"), "curve-keys")
-    blocks = max(1, round(stats["n"] / p.block))
+    blocks = min(p.most_blocks, max(1, round(stats["n"] / p.block)))
     cuts = keyed.agg(*[F.percentile_approx(F.col("keys")[c], [i / blocks for i in range(1, blocks)] or [0.5], 100 * blocks).alias(f"c{c}") for c in range(p.curves)]).first()
     reach = math.ceil(p.reach * blocks) if blocks > 1 else 0
     edges = [np.array(cuts[c] if blocks > 1 else [], np.int64) for c in range(p.curves)]
