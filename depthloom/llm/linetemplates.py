@@ -40,18 +40,32 @@ def _masked(token: Column) -> Column:
     return F.when(token.rlike("[0-9]"), F.lit(VARIABLE)).otherwise(token)
 
 
-def lines(docs: DataFrame, p: Params) -> DataFrame:
-    """doc, pos, tokens, leaf of every line that has tokens."""
+def _tokens(line: Column) -> Column:
+    return F.array_remove(F.split(line, "[ \t\r]+"), "")
+
+
+def _leaf(tokens: Column, p: Params) -> Column:
+    """Hash of the path to a leaf: number of tokens and leading tokens."""
+    return F.unhex(F.md5(F.concat_ws(" ", F.size(tokens).cast("string"), F.transform(F.slice(tokens, 1, p.depth), _masked))))
+
+
+def leaf_lines(docs: DataFrame, p: Params) -> DataFrame:
+    """doc, pos, tokens, leaf of the lines in leaves of enough documents.
+
+    Only hashes of lines are shuffled to find them; the texts are joined once, by document, to the places found.
+    """
     spread = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    cut = spread.select("doc", "pos", F.filter(F.split("line", "[ \t\r]+"), lambda t: t != "").alias("tokens")).where(F.size("tokens") > 0)
-    path = F.concat_ws(" ", F.size("tokens").cast("string"), F.transform(F.slice("tokens", 1, p.depth), _masked))
-    return cut.withColumn("leaf", F.md5(path))
+    cut = spread.select("doc", "pos", _tokens(F.col("line")).alias("tokens")).where(F.size("tokens") > 0)
+    keyed = stored(cut.select("doc", "pos", _leaf(F.col("tokens"), p).alias("leaf")), "line-leaves")
+    shared = keyed.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.documents).select("leaf")
+    places = stored(keyed.join(shared, "leaf", "left_semi"), "shared-lines").groupBy("doc").agg(F.collect_list(F.struct("pos", "leaf")).alias("places"))
+    found = docs.join(places.hint("merge"), "doc").withColumn("lines", F.split("text", "\n")).select("doc", "lines", F.explode("places").alias("at"))
+    return found.select("doc", F.col("at.pos").alias("pos"), _tokens(F.get("lines", F.col("at.pos"))).alias("tokens"), F.col("at.leaf").alias("leaf"))
 
 
-def templates(rows: DataFrame, p: Params) -> DataFrame:
+def templates(docs: DataFrame, p: Params) -> DataFrame:
     """doc, pos, template (a hash) of the lines in leaves of enough documents."""
-    shared = rows.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.documents).select("leaf")
-    mine = stored(rows.join(shared, "leaf", "left_semi"), "leaf-lines")
+    mine = stored(leaf_lines(docs, p), "leaf-lines")
     token = mine.select("leaf", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n"))
     best = token.groupBy("leaf", "at").agg(F.min_by("token", F.struct(-F.col("n"), F.col("token"))).alias("token"), F.max("n").alias("n"), F.sum("n").alias("all"))
     constant = F.when(F.col("n") >= F.col("all") * p.share, F.col("token"))
@@ -60,19 +74,19 @@ def templates(rows: DataFrame, p: Params) -> DataFrame:
     of_leaf = F.concat_ws(" ", F.transform("fixed", lambda x: F.coalesce(x, F.lit(VARIABLE))))
     own = F.concat_ws(" ", F.transform("tokens", _masked))
     said = F.when(same >= F.size("tokens") * p.similar, of_leaf).otherwise(own)
-    return mine.join(fixed, "leaf").select("doc", "pos", F.md5(said).alias("template"))
+    return mine.join(fixed, "leaf").select("doc", "pos", F.unhex(F.md5(said)).alias("template"))
 
 
 def remove(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, n_lines (with tokens), n_dropped, kept_sha256 (kept lines joined by line feeds)."""
-    base = docs.select(F.col("doc_id"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("doc"), text_or_empty().alias("text"))
-    named = stored(templates(lines(base, p), p), "templates")
+    base = docs.select(F.col("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"), text_or_empty().alias("text"))
+    named = stored(templates(base, p), "templates")
     often = named.select("template", "doc").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.documents).select("template")
     gone = named.join(often, "template", "left_semi").groupBy("doc").agg(F.array_distinct(F.collect_list("pos")).alias("gone"))
     cut = F.split("text", "\n")
     kept = F.filter(cut, lambda line, i: ~F.array_contains("gone", i))
     filled = F.size(F.filter(cut, lambda line: line.rlike("[^ \t\r]")))
-    joined = base.join(gone, "doc", "left")
+    joined = base.join(gone.hint("merge"), "doc", "left")
     return joined.select(
         "doc_id",
         filled.cast("long").alias("n_lines"),
