@@ -21,7 +21,16 @@ def write_whole(uri: str, parts: list[bytes] | bytes) -> None:
     with system.open_output_stream(draft) as out:
         for part in [parts] if isinstance(parts, bytes) else parts:
             out.write(part)
-    system.move(draft, path)
+    _rename(system, draft, path)
+
+
+def _rename(system: fs.FileSystem, draft: str, path: str) -> None:
+    """Puts a draft in place of what an earlier attempt left; some stores refuse to rename onto a file."""
+    try:
+        system.move(draft, path)
+    except OSError:
+        system.delete_file(path)
+        system.move(draft, path)
 
 
 class Draft:
@@ -38,7 +47,7 @@ class Draft:
 
     def close(self) -> None:
         self.out.close()
-        self.system.move(self.draft, self.path)
+        _rename(self.system, self.draft, self.path)
 
 
 def read_whole(uri: str) -> bytes:
