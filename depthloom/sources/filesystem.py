@@ -21,7 +21,11 @@ def write(uri: str, data: bytes) -> None:
     draft = f"{path}.{uuid.uuid4().hex}.part"
     with system.open_output_stream(draft) as out:
         out.write(data)
-    system.move(draft, path)
+    try:
+        system.move(draft, path)
+    except OSError:  # some stores refuse to rename onto a file
+        system.delete_file(path)
+        system.move(draft, path)
 
 
 def read(uri: str) -> bytes:
