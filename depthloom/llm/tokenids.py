@@ -8,8 +8,8 @@ by slot, the key, shard, offset and length. ``locate`` finds documents in consta
 those files, ``read`` their ids.
 
 Texts are cut at spaces and line feeds, where the tokenizer's pre-tokeniser always cuts and its
-normaliser joins nothing, and each distinct piece is encoded once per worker; the ids equal those of the
-whole text. A worker's cache is emptied at ``CACHE_PIECES``.
+normaliser joins nothing, and a worker remembers the pieces it has encoded; the ids equal those of the whole text. At
+``CACHE_PIECES`` the memory becomes the older generation, from which pieces met again move to the new one.
 
 Edge cases: a null or empty text is the end id alone. Null doc_ids come first. Rows that repeat a
 doc_id are ordered by a hash of the text and are all written; the index leads to the first of them, and null
@@ -42,10 +42,10 @@ from depthloom.llm.common import fresh_dir, stored, text_or_empty
 from depthloom.llm.perfecthash import PerfectHash
 from depthloom.llm.textkernel import mix
 
-CACHE_PIECES = 500_000
+CACHE_PIECES = 350_000
 LONGEST_CACHED = 48
 log = logging.getLogger(__name__)
-_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{1,64})([.,;:!?]?)").fullmatch
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{0,64})([!-&(-/:-@\\[-`{-~]{0,16})").fullmatch
 
 
 @dataclass(frozen=True)
@@ -65,71 +65,74 @@ def _byte_characters() -> dict[int, str]:
 _CHARACTERS = _byte_characters()
 
 
-class Encoder:
-    """Encodes texts to arrays of ids, remembering pieces between spaces.
+class Encoder(dict):
+    """Encodes texts to arrays of ids; a dictionary from pieces between spaces to their ids' bytes.
 
-    A piece of basic Latin or Latin-1 letters, with at most one mark after it, is a pre-token of the letters and
-    one of the mark whatever the normaliser does (composed letters stay, lower case maps letter to letter), so its
-    letters go to the model directly where the tokenizer's steps are the known ones; all other pieces go through
-    the whole tokenizer.
+    A piece of basic Latin or Latin-1 letters, or of ASCII marks without an apostrophe, or the one followed by the
+    other, is a pre-token of the letters and one of the marks whatever the normaliser does (composed letters stay,
+    lower case maps letter to letter), so its letters go to the model directly where the tokenizer's steps are the known
+    ones; all other pieces go through the whole tokenizer.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 65_536 else "<u4")
+        self.code = self.dtype.char
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.known: dict[str, bytes] = {}
-        self.marks = {m: self._whole([m])[m] for m in ("", *".,;:!?")}
+        self.marks: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
         self.plain = self._plain()
 
     def _plain(self) -> bool:
-        """Whether letters may go to the model directly: tried on letters of both cases."""
+        """Whether letters may go to the model directly: tried on letters of both cases and on marks."""
         try:
-            words = ["a", "Qz", "straße", "ÀÉÎÕÜŸ"[:5], "ñandú", "Îlexandréa", "thereof", "x" * 40]
-            return all(self._letters(w) + self.marks[m] == self._whole([w + m])[w + m] for w in words for m in self.marks)
+            words = ["a", "Qz", "straße", "ÀÉÎÕÜ", "ñandú", "Îlexandréa", "thereof", "x" * 40]
+            marks = ["", *".,;:!?|", "!!", "%%%", "-->", "(*)"]
+            return all(self._simple(w, m) == self._whole(w + m) for w in ["", *words] for m in marks)
         except Exception as error:  # a tokenizer of another kind
             log.info("no direct model access: %s", error)
             return False
 
-    def _letters(self, word: str) -> bytes:
-        low = word.lower()
+    def _simple(self, letters: str, mark: str) -> bytes:
+        low = letters.lower()
         if not low.isascii():
             low = low.encode().decode("latin-1").translate(_CHARACTERS)
-        return array(self.dtype.char, [t.id for t in self.tokenizer.model.tokenize(low)]).tobytes()
-
-    def _whole(self, pieces: list[str]) -> dict[str, bytes]:
-        encoded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return {p: np.array(e.ids, self.dtype).tobytes() for p, e in zip(pieces, encoded, strict=True)}
-
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
-        if not self.plain:
-            return self._whole(list(pieces))
-        out, other, letters, marks = {}, [], self._letters, self.marks
-        for piece in pieces:
-            m = _SIMPLE(piece)
-            if m:
-                out[piece] = letters(m[1]) + marks[m[2]]
+        ids = array(self.code, [t.id for t in self.model.tokenize(low)]).tobytes() if low else b""
+        tail = self.marks.get(mark)
+        if tail is None:
+            tail = self._whole(mark)
+            if len(self.marks) < CACHE_PIECES:
+                self.marks[mark] = tail
+        return ids + tail
+
+    def _whole(self, piece: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            if self.plain and len(piece) <= 64 and piece.isascii() and piece.isalpha():
+                ids = array(self.code, [t.id for t in self.model.tokenize(piece.lower())]).tobytes()
             else:
-                other.append(piece)
-        return out | self._whole(other) if other else out
+                m = _SIMPLE(piece) if self.plain else None
+                ids = self._simple(m[1], m[2]) if m else self._whole(piece)
+        if len(piece) <= LONGEST_CACHED:
+            self[piece] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, as bytes."""
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known.clear()
-            new = set().union(*split)
-        extra = self._learn(new)
-        known = self.known
-        known.update(extra)
-        out = [b"".join(map(known.__getitem__, pieces)) + self.end for pieces in split]
-        for piece in extra:
-            if len(piece) > LONGEST_CACHED:
-                del known[piece]
+        out, known, end = [], self.__getitem__, self.end
+        for text in texts:
+            if len(self) > CACHE_PIECES:
+                self.older = dict(self)
+                self.clear()
+            out.append(b"".join(map(known, text.replace("\n", " ").split(" "))) + end)
         return out
 
 
