@@ -9,10 +9,11 @@ is dropped from all of them; the first document keeps nothing of it either, as i
 
 Only leaves that enough documents share can hold such a template, so the tokens of all other lines are
 never spread out. Counting a leaf's documents and tokens is a partial aggregate; lines travel as hashes, and the
-text is joined once, by document.
+text is joined once, by row. Rows are told apart by doc_id and a 64-bit hash of their text.
 
 Edge cases: null and empty texts have no lines, as do lines of white space only, which are kept as they are and never
-counted. Rows that repeat a doc_id count as one document; null doc_ids count as one more. Tokens at equal count in a
+counted. Rows that repeat a doc_id count as one document; null doc_ids count as one more; each row loses its own
+lines only. Tokens at equal count in a
 place are taken by smallest token. Other columns are not read.
 """
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from depthloom.llm.common import stored, text_or_empty
 
 VARIABLE = "<*>"
+ROW = ["doc", "row"]
 
 
 @dataclass(frozen=True)
@@ -50,21 +52,21 @@ def _leaf(tokens: Column, p: Params) -> Column:
 
 
 def leaf_lines(docs: DataFrame, p: Params) -> DataFrame:
-    """doc, pos, tokens, leaf of the lines in leaves of enough documents.
+    """doc, row, pos, tokens, leaf of the lines in leaves of enough documents.
 
-    Only hashes of lines are shuffled to find them; the texts are joined once, by document, to the places found.
+    Only hashes of lines are shuffled to find them; the texts are joined once, by row, to the places found.
     """
-    spread = docs.select("doc", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    cut = spread.select("doc", "pos", _tokens(F.col("line")).alias("tokens")).where(F.size("tokens") > 0)
-    keyed = stored(cut.select("doc", "pos", _leaf(F.col("tokens"), p).alias("leaf")), "line-leaves")
+    spread = docs.select(*ROW, F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    cut = spread.select(*ROW, "pos", _tokens(F.col("line")).alias("tokens")).where(F.size("tokens") > 0)
+    keyed = stored(cut.select(*ROW, "pos", _leaf(F.col("tokens"), p).alias("leaf")), "line-leaves")
     shared = keyed.select("leaf", "doc").distinct().groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.documents).select("leaf")
-    places = stored(keyed.join(shared, "leaf", "left_semi"), "shared-lines").groupBy("doc").agg(F.collect_list(F.struct("pos", "leaf")).alias("places"))
-    found = docs.join(places.hint("merge"), "doc").withColumn("lines", F.split("text", "\n")).select("doc", "lines", F.explode("places").alias("at"))
-    return found.select("doc", F.col("at.pos").alias("pos"), _tokens(F.get("lines", F.col("at.pos"))).alias("tokens"), F.col("at.leaf").alias("leaf"))
+    places = stored(keyed.join(shared, "leaf", "left_semi"), "shared-lines").groupBy(*ROW).agg(F.collect_set(F.struct("pos", "leaf")).alias("places"))
+    found = docs.join(places.hint("merge"), ROW).withColumn("lines", F.split("text", "\n")).select(*ROW, "lines", F.explode("places").alias("at"))
+    return found.select(*ROW, F.col("at.pos").alias("pos"), _tokens(F.get("lines", F.col("at.pos"))).alias("tokens"), F.col("at.leaf").alias("leaf"))
 
 
 def templates(docs: DataFrame, p: Params) -> DataFrame:
-    """doc, pos, template (a hash) of the lines in leaves of enough documents."""
+    """doc, row, pos, template (a hash) of the lines in leaves of enough documents."""
     mine = stored(leaf_lines(docs, p), "leaf-lines")
     token = mine.select("leaf", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.count(F.lit(1)).alias("n"))
     best = token.groupBy("leaf", "at").agg(F.min_by("token", F.struct(-F.col("n"), F.col("token"))).alias("token"), F.max("n").alias("n"), F.sum("n").alias("all"))
@@ -74,19 +76,19 @@ def templates(docs: DataFrame, p: Params) -> DataFrame:
     of_leaf = F.concat_ws(" ", F.transform("fixed", lambda x: F.coalesce(x, F.lit(VARIABLE))))
     own = F.concat_ws(" ", F.transform("tokens", _masked))
     said = F.when(same >= F.size("tokens") * p.similar, of_leaf).otherwise(own)
-    return mine.join(fixed, "leaf").select("doc", "pos", F.unhex(F.md5(said)).alias("template"))
+    return mine.join(fixed, "leaf").select(*ROW, "pos", F.unhex(F.md5(said)).alias("template"))
 
 
 def remove(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, n_lines (with tokens), n_dropped, kept_sha256 (kept lines joined by line feeds)."""
-    base = docs.select(F.col("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"), text_or_empty().alias("text"))
+    base = docs.select(F.col("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc"), text_or_empty().alias("text")).withColumn("row", F.xxhash64("text"))
     named = stored(templates(base, p), "templates")
     often = named.select("template", "doc").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.documents).select("template")
-    gone = named.join(often, "template", "left_semi").groupBy("doc").agg(F.array_distinct(F.collect_list("pos")).alias("gone"))
+    gone = named.join(often, "template", "left_semi").groupBy(*ROW).agg(F.collect_set("pos").alias("gone"))
     cut = F.split("text", "\n")
     kept = F.filter(cut, lambda line, i: ~F.array_contains("gone", i))
     filled = F.size(F.filter(cut, lambda line: line.rlike("[^ \t\r]")))
-    joined = base.join(gone.hint("merge"), "doc", "left")
+    joined = base.join(gone.hint("merge"), ROW, "left")
     return joined.select(
         "doc_id",
         filled.cast("long").alias("n_lines"),

@@ -215,6 +215,17 @@ def test_line_templates(spark, odd, empty):
     assert linetemplates.remove(odd).count() == odd.count() and linetemplates.remove(empty).count() == 0
 
 
+def test_line_templates_cut_each_row_by_itself(spark):
+    """Rows that share a doc_id, null or not, lose their own recurring lines, not those at the places of another's."""
+    sha = lambda *lines: hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    common = "all rights are reserved here"
+    texts = [f"{common}\nclean apples", f"plums stay clean too\n{common}", "nothing of it in this one line", f"{common}\nclean apples"]
+    for shared in (None, 7):
+        rows = [(shared, t) for t in texts] + [(i, common) for i in range(2)]
+        got = sorted((r.n_lines, r.n_dropped, r.kept_sha256) for r in linetemplates.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.doc_id == shared)
+        assert got == sorted([(2, 1, sha("clean apples"))] * 2 + [(2, 1, sha("plums stay clean too")), (1, 0, sha("nothing of it in this one line"))])
+
+
 def test_word_hashes():
     texts = ["", "a b  c", "été\ta", None, " x ", "a"]
     (first, end, buf, offsets), *rest = K.slices(pa.array(texts))
