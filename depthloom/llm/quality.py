@@ -6,9 +6,11 @@ corpus. A document is judged by its weakest passage: the smallest sum of
 log(target / raw) over any ``window`` consecutive tokens (or over the whole of a
 shorter text), so that a few bad lines are not outweighed by a long clean rest.
 
-The number of documents to keep, k, is how many reach the score that ``keep_clean``
-of the held-back good labels reach; the k largest ``sharpness * score + Gumbel
-noise`` are drawn, which samples without replacement in proportion to the importance.
+A minimum over more windows is lower, so a score is judged within its length: the held-back good labels
+are cut by token count into at most ``bands`` bands of equal size, ``band_rows`` of them or more in each, and a
+band's level is the score that ``keep_clean`` of its held-back labels reach. The number of documents to keep, k, is how many
+reach the level of their band; the k largest ``sharpness * (score - level) + Gumbel
+noise`` are drawn, which samples without replacement in proportion to the importance over the level's.
 
 Tokens are runs of ASCII letters, digits and non-ASCII bytes, or runs of other
 printable bytes, lower-cased over A-Z.
@@ -31,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depthloom.llm import files
@@ -48,6 +50,8 @@ class Params:
     smoothing: float = 2.0
     keep_clean: float = 0.98
     max_labelled: int = 40_000
+    bands: int = 16
+    band_rows: int = 50
     sharpness: float = 3.0
     seed: int = 17
 
@@ -188,34 +192,59 @@ def kth_largest(df: DataFrame, column: str, k: int, bins: int = 4096, few: int =
 
 @dataclass(frozen=True)
 class Selection:
-    """A fitted classifier with its cut: documents whose key reaches ``cut`` are kept."""
+    """A fitted classifier with its cut: documents whose key reaches ``cut`` are kept.
+
+    ``levels`` has the clean level of each band of token counts; ``edges`` the largest count of each band but the last.
+    """
 
     weights: str | None
     cut: float
     params: Params
+    edges: tuple[int, ...] = ()
+    levels: tuple[float, ...] = (0.0,)
 
 
-def _scorer(weights: str | None, p: Params) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]]:
-    def keyed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        score = np.zeros(batch.num_rows)
+def _scorer(weights: str | None, p: Params) -> Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Score, number of tokens and noise of each row."""
+
+    def scored(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        score, tokens = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
         for first, end, buf, offsets in K.slices(batch.column("text")) if weights else ():
             buckets, ptr = token_buckets(buf, offsets, p.bits)
             score[first:end] = weakest(load_weights(weights, p.bits), buckets, ptr, p.window)
-        return score, p.sharpness * score + gumbel(batch.column("doc_id").cast(pa.int64()), p.seed)
+            tokens[first:end] = np.diff(ptr)
+        return score, tokens, gumbel(batch.column("doc_id").cast(pa.int64()), p.seed)
 
-    return keyed
+    return scored
 
 
 def scores(docs: DataFrame, weights: str | None, p: Params) -> DataFrame:
-    """doc_id, score and draw key of every document."""
-    keyed = _scorer(weights, p)
+    """doc_id, score, tokens (their number) and noise of every document."""
+    scored = _scorer(weights, p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score, key = keyed(batch)
-            yield pa.record_batch([batch.column("doc_id"), pa.array(score), pa.array(key)], names=["doc_id", "score", "draw"])
+            yield pa.record_batch([batch.column("doc_id"), *map(pa.array, scored(batch))], names=["doc_id", "score", "tokens", "noise"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, tokens long, noise double")
+
+
+def _by_band(edges: list[int], values: list) -> Column:
+    out = F.lit(values[-1])
+    for edge, value in zip(reversed(edges), reversed(values[:-1]), strict=True):
+        out = F.when(F.col("tokens") <= edge, F.lit(value)).otherwise(out)
+    return out
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, draw double")
+def clean_levels(held: DataFrame, p: Params) -> tuple[list[int], list[float]]:
+    """(edges, levels) of the bands of token counts over the scored held-back rows; no levels without rows."""
+    n = held.count()
+    bands = max(1, min(p.bands, n // p.band_rows))
+    cuts = held.agg(F.percentile("tokens", F.array(*[F.lit(i / bands) for i in range(1, bands)]))).first()[0] if bands > 1 else []
+    edges = sorted({int(x) for x in cuts})
+    band = _by_band(edges, list(range(len(edges) + 1)))
+    rows = held.groupBy(band.alias("band")).agg(F.percentile("score", F.lit(1 - p.keep_clean)).alias("level")).orderBy("band").collect()  # a row a band
+    return [edges[r.band] for r in rows[:-1]], [r.level for r in rows]
 
 
 def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[Selection, DataFrame]:
@@ -223,14 +252,16 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> tuple[Selec
     target, held = target_sample(labels, p)
     weights = model(docs, target, p)
     scored = stored(scores(docs, weights, p), "quality-scores")
-    cut = float("-inf")
+    cut, edges, levels = float("-inf"), [], []
     if weights:
         held_rows = docs.sparkSession.createDataFrame([(int(x),) for x in held], "doc_id long")  # bounded by max_labelled
-        level = scored.join(F.broadcast(held_rows), "doc_id", "left_semi").agg(F.percentile("score", F.lit(1 - p.keep_clean))).first()[0]
-        if level is not None:
-            k = scored.where(F.col("score") >= level).count()
-            cut = kth_largest(scored, "draw", k) if k else float("inf")
-    return Selection(weights, cut, p), scored
+        edges, levels = clean_levels(scored.join(F.broadcast(held_rows), "doc_id", "left_semi"), p)
+    above = F.col("score") - _by_band(edges, levels or [0.0])
+    drawn = scored.withColumn("draw", F.lit(p.sharpness) * above + F.col("noise"))
+    if levels:
+        k = scored.where(above >= 0).count()
+        cut = kth_largest(drawn, "draw", k) if k else float("inf")
+    return Selection(weights, cut, p, tuple(edges), tuple(levels or [0.0])), drawn.select("doc_id", "score", "draw")
 
 
 def classify(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
@@ -242,11 +273,13 @@ def classify(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFr
 def keep(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
     """The documents that the draw keeps, with all their columns. No text is shuffled."""
     chosen, _ = fit(docs, labels, p)
-    keyed, schema = _scorer(chosen.weights, p), docs.schema
+    scored, schema = _scorer(chosen.weights, p), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(keyed(batch)[1] >= chosen.cut))
+            score, tokens, noise = scored(batch)
+            level = np.asarray(chosen.levels)[np.searchsorted(np.asarray(chosen.edges, np.int64), tokens)]
+            yield batch.filter(pa.array(p.sharpness * (score - level) + noise >= chosen.cut))
 
     return docs.mapInArrow(run, schema)
 

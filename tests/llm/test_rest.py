@@ -116,6 +116,30 @@ def test_quality_on_the_driver_table(spark):
     assert rows[good].kept.mean() > 0.95 and rows[rows.toxic == 1].kept.mean() < 0.5 and rows[rows.quality == 0].kept.mean() < 0.15
 
 
+def test_quality_of_short_and_long_texts(spark):
+    """The cut of a length is its own: short toxic documents go, and clean ones stay at every length."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    seen, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1").join(docs.select("doc_id", F.size(F.split("text", " ")).alias("n")), "doc_id")
+    rows = quality.classify(docs, seen).join(held, "doc_id").toPandas()
+    good, short = (rows.quality == 1) & (rows.toxic == 0), rows.n < 100
+    assert rows[(rows.toxic == 1) & short].kept.mean() < 0.5
+    assert rows[good & short].kept.mean() > 0.93 and rows[good & (rows.n >= 1000)].kept.mean() > 0.93
+    kept, told = ({r.doc_id for r in df.collect()} for df in (quality.keep(docs, seen).select("doc_id"), quality.classify(docs, seen).where("kept")))
+    assert len(kept ^ told) <= 1  # the row at the cut, as running sums round differently in other batches
+
+
+def test_quality_bands(spark):
+    rows = [(float(-n), n) for n in range(1, 401)]
+    held = spark.createDataFrame(rows, "score double, tokens long")
+    edges, levels = quality.clean_levels(held, quality.Params(bands=4, keep_clean=0.5))
+    assert edges == [100, 200, 300] and levels == [-50.5, -150.5, -250.5, -350.5]
+    assert quality.clean_levels(held.limit(99), quality.Params()) == ([], [pytest.approx(-97.04)])
+    assert quality.clean_levels(held.withColumn("tokens", F.lit(5).cast("long")), quality.Params(bands=4, keep_clean=0.5)) == ([], [-200.5])
+    assert quality.clean_levels(held.limit(0), quality.Params()) == ([], [])
+
+
 def test_quality_edges(spark, odd, docs, empty):
     labels = spark.createDataFrame([(7, 1, 0), (7, 0, 0), (9, 1, None), (None, 1, 0), (5, 1, 0), (6, 1, 0), (11, None, 0)], "doc_id long, quality int, toxic int")
     assert sorted(quality.target_sample(labels, quality.Params())[0].tolist() + quality.target_sample(labels, quality.Params())[1].tolist()) == [5, 6]
