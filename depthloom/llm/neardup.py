@@ -13,8 +13,9 @@ of its texts. What buckets still hold in different components is compared in blo
 shingle incidence matrices over the full sets, which give out a spanning forest only: every pair of a bucket
 that could still join two components is compared, and the links returned stay below the number of documents.
 
-Edge cases: documents without words are linked with nothing, have a set size of 0 and stay. Null doc_ids take
-no part: component null, kept. Rows that repeat a doc_id are one document, so its texts are linked; those of them with words
+Edge cases: documents without words are linked with nothing, have a set size of 0 and stay. In ``groups`` null doc_ids take
+no part: component null, kept. In ``deduplicate`` a set that only rows without a doc_id have is a node of its own, above
+2**62, so that a copy of a document with an id goes and one row of a group without ids stays. Rows that repeat a doc_id are one document, so its texts are linked; those of them with words
 share its fate. Ties of components go to the smallest doc_id.
 """
 
@@ -27,12 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from depthloom.llm import textkernel as K
 from depthloom.llm.common import stored, text_or_empty
 from depthloom.llm.components import components
 
 _SALT = np.uint64(0x7F4A7C159E3779B9)
+_NO_ID = 2**62
 
 
 @dataclass(frozen=True)
@@ -84,6 +87,17 @@ def _first_of_row(grams: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
+def _set_hashes(grams: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(set size, k1 and k2 of each row, rows with a set, start of each of these in ``grams``), given distinct shingles."""
+    n, k1, k2 = np.bincount(row, minlength=rows), np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
+    full = np.flatnonzero(n)
+    at = (np.cumsum(n) - n)[full]
+    if len(full):
+        k1[full] = np.add.reduceat(K.mix(grams), at)
+        k2[full] = np.add.reduceat(K.mix(grams ^ _SALT), at)
+    return n, k1, k2, full, at
+
+
 def signatures(docs: DataFrame, p: Params) -> DataFrame:
     """doc_id, n (set size), k1 and k2 (hash of the set), sig (minima, little-endian 32-bit)."""
     rng = np.random.default_rng(p.seed)
@@ -94,16 +108,11 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
         for batch in batches:
             for first, end, buf, offsets in K.slices(batch.column("text")):
                 grams, row = shingles(buf, offsets, p.shingle)
-                n, k1, k2 = (np.zeros(end - first, t) for t in (np.int64, np.uint64, np.uint64))
+                once = _first_of_row(grams, row)
+                grams, row = grams[once], row[once]
+                n, k1, k2, full, at = _set_hashes(grams, row, end - first)
                 sig = np.zeros((end - first, p.hashes), np.uint32)
                 if len(grams):
-                    once = _first_of_row(grams, row)
-                    grams, row = grams[once], row[once]
-                    n = np.bincount(row, minlength=end - first)
-                    full = np.flatnonzero(n)
-                    at = (np.cumsum(n) - n)[full]
-                    k1[full] = np.add.reduceat(K.mix(grams), at)
-                    k2[full] = np.add.reduceat(K.mix(grams ^ _SALT), at)
                     scaled = np.empty_like(grams)
                     for i in range(p.hashes):
                         np.multiply(grams, a[i], out=scaled)
@@ -117,6 +126,23 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, n long, k1 long, k2 long, sig binary")
 
 
+def rows_without_id(docs: DataFrame, p: Params) -> DataFrame:
+    """row (all columns), text, n, k1, k2 of the rows without a doc_id."""
+    bare = docs.where("doc_id is null").select(F.struct("*").alias("row"), text_or_empty().alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, buf, offsets in K.slices(batch.column("text")):
+                grams, row = shingles(buf, offsets, p.shingle)
+                once = _first_of_row(grams, row)
+                n, k1, k2, _, _ = _set_hashes(grams[once], row[once], end - first)
+                part = batch.slice(first, end - first)
+                yield pa.record_batch([*part.columns, pa.array(n), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))], names=["row", "text", "n", "k1", "k2"])
+
+    schema = T.StructType([*bare.schema.fields, *(T.StructField(c, T.LongType()) for c in ("n", "k1", "k2"))])
+    return bare.mapInArrow(run, schema)
+
+
 def _agreeing(pairs: DataFrame, nodes: DataFrame, p: Params) -> DataFrame:
     """Signature verification of pairs (a, b)."""
     sig = nodes.select("node", "n", "sig")
@@ -161,7 +187,7 @@ def _ordered(df: DataFrame, x: str, y: str) -> DataFrame:
 
 def _repeated(named: DataFrame) -> DataFrame:
     """Links between the nodes of rows that repeat a doc_id."""
-    own = named.where("node is not null").select("doc_id", "node")
+    own = named.where("node is not null and doc_id is not null").select("doc_id", "node")
     several = own.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("top")).where("u <> top").select("doc_id", "u")
     return own.join(several, "doc_id").select("u", F.col("node").alias("v"))
 
@@ -219,19 +245,28 @@ def _within_clusters(members: DataFrame, texts: DataFrame, found: DataFrame, p:
     return keyed.groupBy("cluster", "i", "j").applyInArrow(lambda t: _forest(t, p), "u long, v long")
 
 
-def link(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
-    """(signature table with the node of each document, (node, component) of linked nodes)."""
+def link(docs: DataFrame, p: Params = Params(), bare: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(signature table with the node of each document, (node, component) of linked nodes).
+
+    Rows without a doc_id take part if they are given as ``bare``.
+    """
     base = stored(signatures(docs, p), "signatures")
+    takes_part = (F.col("n") > 0) & (F.col("doc_id").isNotNull() if bare is None else F.lit(True))
+    node = F.min("doc_id") if bare is None else F.coalesce(F.min("doc_id"), F.col("k1").bitwiseAND(_NO_ID - 1).bitwiseOR(_NO_ID))
     nodes = stored(
-        base.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")), "nodes"
+        base.where(takes_part).groupBy("k1", "k2").agg(node.alias("node"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")), "nodes"
     )
-    named = base.select("doc_id", "n", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left").select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
+    named = base.select("doc_id", "n", "k1", "k2").join(nodes.select("k1", "k2", "node"), ["k1", "k2"], "left").select("doc_id", "n", "k1", "k2", F.when(takes_part, F.col("node")).alias("node"))
     width = 4 * p.rows
     buckets = nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), lambda i: F.xxhash64(i, F.substring("sig", i * width + 1, F.lit(width))))).alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(buckets.join(shared.select("bucket"), "bucket", "left_semi"), "members")
     meeting = members.select("node").distinct()
-    texts = stored(docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty().alias("text")).join(meeting, "node", "left_semi"), "member-texts")
+    told = docs.select(F.col("doc_id").cast("long").alias("node"), text_or_empty().alias("text"))
+    if bare is not None:
+        alone = named.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.any_value("node").alias("node")).where("first is null").select("k1", "k2", "node")
+        told = told.union(bare.join(alone, ["k1", "k2"]).groupBy("node").agg(F.min("text").alias("text")))
+    texts = stored(told.join(meeting, "node", "left_semi"), "member-texts")
     met = stored(nodes.select("node", "n", "sig").join(meeting, "node", "left_semi"), "member-signatures")
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     crowd = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("crowd"))
@@ -262,6 +297,16 @@ def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """The documents of smallest doc_id of each group, with their columns."""
-    gone = groups(docs, p).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """The documents of smallest doc_id of each group, with their columns; of a group without doc_ids one row."""
+    bare = stored(rows_without_id(docs, p), "rows-without-id")
+    if bare.isEmpty():
+        gone = groups(docs, p).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    named, found = link(docs, p, bare)
+    named = stored(named.join(found, "node", "left").withColumn("component", F.coalesce("component", "node", "doc_id")), "named")
+    gone = named.where("doc_id <> component").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    alone = named.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.any_value("node").alias("node"), F.any_value("component").alias("component"))
+    roots = alone.where("first is null and node = component").select("k1", "k2")
+    one = bare.where("n > 0").join(roots, ["k1", "k2"]).groupBy("k1", "k2").agg(F.min_by("row", F.struct("text", F.xxhash64("row"))).alias("row"))
+    return kept.union(one.select("row.*")).union(bare.where("n = 0").select("row.*"))

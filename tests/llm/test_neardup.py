@@ -63,6 +63,20 @@ def test_repeated_and_null_ids(odd):
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [7, 7, 7, 8]
 
 
+def test_copies_among_rows_without_an_id(spark):
+    """Of copies of a document with an id none stays, of a group without ids one row, and all texts without words."""
+    rng = random.Random(3)
+    say = lambda tag: [f"{tag}{rng.randrange(10**6)}" for _ in range(80)]
+    a, b, c, d = say("a"), say("b"), say("c"), say("d")
+    near = lambda t, i: " ".join([*t[:-1], f"x{i}"])
+    rows = [(1, " ".join(a)), (2, near(a, 2)), (3, " ".join(d)), (None, " ".join(a)), (None, near(a, 3)), (None, "")]
+    rows += [(None, " ".join(b))] * 3 + [(None, " ".join(b).upper())] + [(None, near(c, i)) for i in range(4)] + [(None, " \n"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, (r.text or "").strip()[:1].lower()) for r in neardup.deduplicate(df).collect()]
+    assert sorted(got, key=str) == sorted([(1, "a"), (3, "d"), (None, "b"), (None, "c"), (None, ""), (None, ""), (None, "")], key=str)
+    assert neardup.deduplicate(df).columns == df.columns
+
+
 def test_empty(empty):
     assert neardup.groups(empty).collect() == [] and neardup.deduplicate(empty).count() == 0
 
