@@ -44,7 +44,7 @@ def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign(table(spark, sf_dir, "documents"), sharding.Tree((1.0,) * SHARDS))
+    return sharding.assign(table(spark, sf_dir, "documents"), sharding.Tree.even(SHARDS))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,13 +72,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    tree = sharding.Tree((1.0,) * SHARDS)
+    tree = sharding.Tree.even(SHARDS)
     lines = linetemplates.Params()
     return {
         "op3_decontamination": sql.OP3,
         "op5_near_duplicates": sql.OP5,
         "op6_line_templates": sql.op6(lines.depth, lines.share, lines.similar, lines.documents),
-        "op7_sharding": sql.op7(SHARDS, tree.shards_a_rack, tree.racks_a_region, tree.seed),
+        "op7_sharding": sql.op7(tree.regions, tree.grown().regions, tree.seed),
         "op9_mixing": sql.OP9,
         "op10_substrings": sql.OP10,
     }

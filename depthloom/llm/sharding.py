@@ -1,20 +1,23 @@
 """Shards by a hierarchical weighted hash tree. Native: DataFrame functions only.
 
-Shards are leaves of a tree: a region holds racks, a rack holds shards, filled in shard order.
-Every leaf draws -ln(u) / weight for a row, u a hash of doc_id and the leaf alone. A rack's draw
-is the least of its shards', a region's the least of its racks'; the row descends to the least
-region, in it to the least rack, in it to the least shard. The least of exponential draws is
-an exponential draw for the summed weight, so each level is a weighted draw over its subtrees.
-A subtree's draw changes only if a weight in it does, so a change of weights moves rows only into
-or out of that subtree; a new shard takes rows only into itself (a rack that drew on its own hash
-could, on gaining a shard, also deal the rows it wins to its older shards).
+A tree has regions, a region racks, a rack shards. A row descends: each region draws -ln(u) / weight, u a
+hash of doc_id and the region, weight the sum of its shards'; the least draw wins. Then the racks of that region
+draw, each on its own hash, and at last the shards of that rack. A row costs as many hashes as the nodes on its way
+have children, whatever the number of shards.
+
+A draw changes only with its node's weight. So when the weights in one rack change, rows move only into or out of
+that rack (and, where its region's weight changes too, that region): subtrees whose weights stay keep
+exchanging nothing with each other. ``grown`` opens a region of its own for a new shard, so that rows move only into
+the new shard. Added to an older rack it would raise the rack's weight, and some of the rows that the rack then
+wins would go to its older shards.
 
 Law ``key``: doc_id and the shard count decide. Slots number the rows of a shard gaplessly from 0
 in the order of a hash of doc_id, then size, then CRC; range totals give each row's base, so
 no task sees a whole shard.
 
 Edge cases: null texts have size 16 and the CRC of nothing, 0; null doc_ids hash as the word null;
-repeated doc_ids share a shard; an empty table gives no rows; other columns are not read.
+repeated doc_ids share a shard; texts of any length are only measured; a node of weight 0 gets no rows; an empty table gives
+no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,43 +32,62 @@ from depthloom.llm.common import stored, text_or_empty
 
 @dataclass(frozen=True)
 class Tree:
-    """weights: of the shards in order; shards_a_rack, racks_a_region: the tree's fan-outs."""
+    """regions: weights of the shards by rack by region; shards are numbered in that order."""
 
-    weights: tuple[float, ...]
-    shards_a_rack: int = 5
-    racks_a_region: int = 4
+    regions: tuple[tuple[tuple[float, ...], ...], ...]
     seed: int = 7
 
+    @classmethod
+    def even(cls, shards: int, shards_a_rack: int = 5, racks_a_region: int = 4, seed: int = 7) -> Tree:
+        """Shards of weight 1, filled rack by rack and region by region."""
+        racks = [(1.0,) * min(shards_a_rack, shards - i) for i in range(0, shards, shards_a_rack)]
+        return cls(tuple(tuple(racks[i : i + racks_a_region]) for i in range(0, len(racks), racks_a_region)), seed)
+
     def grown(self, weight: float = 1.0) -> Tree:
-        return Tree((*self.weights, weight), self.shards_a_rack, self.racks_a_region, self.seed)
+        return Tree((*self.regions, ((float(weight),),)), self.seed)
 
-    def regions(self) -> list[list[list[int]]]:
-        racks = [list(range(i, min(i + self.shards_a_rack, len(self.weights)))) for i in range(0, len(self.weights), self.shards_a_rack)]
-        return [racks[i : i + self.racks_a_region] for i in range(0, len(racks), self.racks_a_region)]
+    def first_numbers(self) -> list[list[int]]:
+        """Number of the first shard of each rack, by region."""
+        out, n = [], 0
+        for region in self.regions:
+            out.append([])
+            for rack in region:
+                out[-1].append(n)
+                n += len(rack)
+        return out
 
 
 def _name() -> Column:
     return F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
 
 
-def leaf_draw(tree: Tree, shard: int) -> Column:
-    bits = F.conv(F.substring(F.md5(F.concat(_name(), F.lit(f":{tree.seed}:{shard}"))), 1, 12), 16, 10).cast("double")
-    return -F.log((bits + 0.5) / float(2**48)) / tree.weights[shard]
+def _nested(values: object) -> Column:
+    return F.array(*[_nested(v) for v in values]) if isinstance(values, list | tuple) else F.lit(values)
+
+
+def draw(node: Column, weight: Column, seed: int) -> Column:
+    """-ln(u) / weight, u from 48 bits of a hash of doc_id and the node's path."""
+    bits = F.conv(F.substring(F.md5(F.concat(_name(), F.lit(f":{seed}:"), node)), 1, 12), 16, 10).cast("double")
+    return F.when(weight > 0, -F.log((bits + 0.5) / float(2**48)) / F.when(weight > 0, weight)).otherwise(F.lit(float("inf")))
+
+
+def _least(df: DataFrame, column: str, path: Column, weights: Column, seed: int) -> DataFrame:
+    """Adds the index of the child that draws least; the children's paths are ``path`` and their index."""
+    drawn = F.transform(weights, lambda w, i: draw(F.concat(path, i.cast("string")), w, seed))
+    step = df.withColumn("_drawn", drawn)
+    return step.withColumn(column, (F.array_position("_drawn", F.array_min("_drawn")) - 1).cast("int")).drop("_drawn")
 
 
 def descend(df: DataFrame, tree: Tree, column: str) -> DataFrame:
-    """Adds the shard of each row: least region, least rack in it, least shard in it."""
-    nested = F.array(*[F.array(*[F.array(*[leaf_draw(tree, s) for s in rack]) for rack in region]) for region in tree.regions()])
-    step = df.withColumn("_leaf", nested)
-    step = step.withColumn("_rack", F.transform("_leaf", lambda region: F.transform(region, F.array_min)))
-    step = step.withColumn("_region", F.transform("_rack", F.array_min))
-    step = step.withColumn("_r", F.array_position("_region", F.array_min("_region")))
-    step = step.withColumn("_racks", F.element_at("_rack", F.col("_r").cast("int")))
-    step = step.withColumn("_k", F.array_position("_racks", F.array_min("_racks")))
-    step = step.withColumn("_shards", F.element_at(F.element_at("_leaf", F.col("_r").cast("int")), F.col("_k").cast("int")))
-    step = step.withColumn("_s", F.array_position("_shards", F.array_min("_shards")))
-    shard = ((F.col("_r") - 1) * tree.racks_a_region + F.col("_k") - 1) * tree.shards_a_rack + F.col("_s") - 1
-    return step.withColumn(column, shard.cast("int")).drop("_leaf", "_rack", "_region", "_r", "_racks", "_k", "_shards", "_s")
+    """Adds the shard of each row: least region, least rack in it, least shard in that."""
+    region, rack = F.col("_r"), F.col("_k")
+    step = _least(df, "_r", F.lit(""), _nested([float(sum(map(sum, racks))) for racks in tree.regions]), tree.seed)
+    racks = F.get(_nested([[float(sum(shards)) for shards in racks] for racks in tree.regions]), region)
+    step = _least(step, "_k", F.concat(region.cast("string"), F.lit(".")), racks, tree.seed)
+    shards = F.get(F.get(_nested(tree.regions), region), rack)
+    step = _least(step, "_s", F.concat(region.cast("string"), F.lit("."), rack.cast("string"), F.lit(".")), shards, tree.seed)
+    first = F.get(F.get(_nested(tree.first_numbers()), region), rack)
+    return step.withColumn(column, (first + F.col("_s")).cast("int")).drop("_r", "_k", "_s")
 
 
 def number(df: DataFrame, group: str, order: list[str], column: str) -> DataFrame:

@@ -37,13 +37,25 @@ FROM d LEFT JOIN n USING (doc_id) JOIN c USING (doc_id)
 """
 
 
-def op7(shards: int, shards_a_rack: int, racks_a_region: int, seed: int) -> str:
+def op7(regions: tuple, grown: tuple, seed: int) -> str:
     """Shards, slots and CRC-32, the last by the reversed polynomial 0xEDB88320 over the bytes."""
     name = "coalesce(CAST(doc_id AS VARCHAR), 'null')"
 
-    def least(count: int) -> str:
-        return f"""(SELECT k, s FROM (SELECT k, s, row_number() OVER (PARTITION BY k ORDER BY draw, s) AS r
-        FROM draws WHERE s < {count}) WHERE r = 1)"""
+    def tree(of: tuple) -> str:
+        shards = [(r, k, s, w) for r, racks in enumerate(of) for k, rack in enumerate(racks) for s, w in enumerate(rack)]
+        return ", ".join(f"({r}, {k}, {s}, {n}, {w})" for n, (r, k, s, w) in enumerate(shards))
+
+    def drawn(path: str, weight: str) -> str:
+        return f"-ln((CAST('0x' || substr(md5(u.k || ':{seed}:' || {path}), 1, 12) AS BIGINT) + 0.5) / 281474976710656.0) / {weight}"
+
+    def levels(t: str) -> str:
+        """The tree's three draws, each among the children of the node that won the one before."""
+        return f"""
+{t}1 AS (SELECT k, arg_min(r, d) AS r FROM (SELECT u.k, r, {drawn("r", "w")} AS d FROM u, (SELECT r, sum(w) AS w FROM {t} GROUP BY r)) GROUP BY k),
+{t}2 AS (SELECT k, r, arg_min(rack, d) AS rack FROM (SELECT u.k, u.r, c.k AS rack, {drawn("u.r || '.' || c.k", "w")} AS d
+      FROM {t}1 u JOIN (SELECT r, k, sum(w) AS w FROM {t} GROUP BY r, k) c ON c.r = u.r) GROUP BY k, r),
+{t}3 AS (SELECT k, arg_min(n, d) AS s FROM (SELECT u.k, n, {drawn("u.r || '.' || u.rack || '.' || c.s", "w")} AS d
+      FROM {t}2 u JOIN {t} c ON c.r = u.r AND c.k = u.rack) GROUP BY k)"""
 
     step = "n"
     for i in range(8):
@@ -52,14 +64,14 @@ def op7(shards: int, shards_a_rack: int, racks_a_region: int, seed: int) -> str:
 WITH tab AS (SELECT list(c ORDER BY n) AS t FROM ({step})),
 d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text, {name} AS k FROM documents),
 u AS (SELECT DISTINCT k FROM d),
-draws AS (SELECT k, s, -ln((CAST('0x' || substr(md5(k || ':{seed}:' || s), 1, 12) AS BIGINT) + 0.5) / 281474976710656.0) AS draw
-          FROM u, (SELECT CAST(range AS INTEGER) AS s FROM range({shards + 1}))),
+a(r, k, s, n, w) AS (VALUES {tree(regions)}),
+b(r, k, s, n, w) AS (VALUES {tree(grown)}),{levels("a")},{levels("b")},
 x AS (SELECT id, hex(encode(text)) AS h, strlen(text) AS n FROM d),
 c AS (SELECT id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
         list_transform(regexp_extract_all(h, '..'), lambda e: CAST('0x' || e AS BIGINT))),
         lambda a, e: xor(a // 256, t[CAST(xor(a % 256, e) AS INTEGER) + 1])), CAST(4294967295 AS BIGINT)) AS text_crc32 FROM x, tab),
-p AS (SELECT d.doc_id, CAST(strlen(d.text) AS BIGINT) + 16 AS size, c.text_crc32, o.s AS shard, g.s AS grown_shard, md5(d.k || ':{seed}:slot') AS kk
-      FROM d JOIN c USING (id) JOIN {least(shards)} o ON o.k = d.k JOIN {least(shards + 1)} g ON g.k = d.k)
+p AS (SELECT d.doc_id, CAST(strlen(d.text) AS BIGINT) + 16 AS size, c.text_crc32, CAST(o.s AS INTEGER) AS shard, CAST(g.s AS INTEGER) AS grown_shard, md5(d.k || ':{seed}:slot') AS kk
+      FROM d JOIN c USING (id) JOIN a3 o ON o.k = d.k JOIN b3 g ON g.k = d.k)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY kk, size, text_crc32) - 1 AS slot, grown_shard FROM p
 """
