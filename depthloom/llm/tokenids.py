@@ -7,25 +7,22 @@ buckets of bounded size; each bucket's index file holds a minimal perfect hash w
 by slot, the key, shard, offset and length. ``locate`` finds documents in constant time from
 those files, ``read`` their ids.
 
-Texts are cut at spaces and line feeds, where the tokenizer's pre-tokeniser always cuts and its
-normaliser joins nothing, and a worker remembers the pieces it has encoded; the ids equal those of the whole text. At
-``CACHE_PIECES`` the memory becomes the older generation, from which pieces met again move to the new one.
+Every text goes to the library whole, whatever tokenizer the file holds; nothing is cut, remembered or taken past it.
 
 Edge cases: a null or empty text is the end id alone. Null doc_ids come first. Rows that repeat a
 doc_id are ordered by a hash of the text and are all written; the index leads to the first of them, and null
 doc_ids are not indexed: ``read_documents`` reads both by their stored place. An empty table gives no
 shards. Shard boundaries follow a sample; contents and order do not depend on them. The driver holds two
-numbers a shard of ``shard_bytes`` of text.
+numbers a shard of ``shard_bytes`` of text. A very long text is encoded whole too, alone in its batch; a worker holds about
+``BATCH_BYTES`` of text or one text, and its ids.
 """
 
 from __future__ import annotations
 
 import functools
 import json
-import logging
 import math
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -40,12 +37,10 @@ from pyspark.sql import functions as F
 from depthloom.llm import files
 from depthloom.llm.common import fresh_dir, stored, text_or_empty
 from depthloom.llm.perfecthash import PerfectHash
-from depthloom.llm.textkernel import mix
+from depthloom.llm.textkernel import mix, slices
 
-CACHE_PIECES = 350_000
-LONGEST_CACHED = 48
-log = logging.getLogger(__name__)
-_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]{0,64})([!-&(-/:-@\\[-`{-~]{0,16})").fullmatch
+BATCH_BYTES = 1_000_000
+READ_BYTES = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -53,87 +48,24 @@ class Params:
     tokenizer: str
     end_id: int = 2
     shard_bytes: int = 128_000_000
-    keys_a_bucket: int = 50_000
+    keys_a_bucket: int = 16_384
 
 
-def _byte_characters() -> dict[int, str]:
-    """Byte-level vocabularies write printable bytes as themselves and the others, in order, from U+0100 on."""
-    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    return {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in kept)}
-
-
-_CHARACTERS = _byte_characters()
-
-
-class Encoder(dict):
-    """Encodes texts to arrays of ids; a dictionary from pieces between spaces to their ids' bytes.
-
-    A piece of basic Latin or Latin-1 letters, or of ASCII marks without an apostrophe, or the one followed by the
-    other, is a pre-token of the letters and one of the marks whatever the normaliser does (composed letters stay,
-    lower case maps letter to letter), so its letters go to the model directly where the tokenizer's steps are the known
-    ones; all other pieces go through the whole tokenizer.
-    """
+class Encoder:
+    """Encodes whole texts to the bytes of their ids."""
 
     def __init__(self, path: str, end_id: int) -> None:
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 65_536 else "<u4")
-        self.code = self.dtype.char
         self.end = np.array([end_id], self.dtype).tobytes()
-        self.marks: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.plain = self._plain()
-
-    def _plain(self) -> bool:
-        """Whether letters may go to the model directly: tried on letters of both cases and on marks."""
-        try:
-            words = ["a", "Qz", "straße", "ÀÉÎÕÜ", "ñandú", "Îlexandréa", "thereof", "x" * 40]
-            marks = ["", *".,;:!?|", "!!", "%%%", "-->", "(*)"]
-            return all(self._simple(w, m) == self._whole(w + m) for w in ["", *words] for m in marks)
-        except Exception as error:  # a tokenizer of another kind
-            log.info("no direct model access: %s", error)
-            return False
-
-    def _simple(self, letters: str, mark: str) -> bytes:
-        low = letters.lower()
-        if not low.isascii():
-            low = low.encode().decode("latin-1").translate(_CHARACTERS)
-        ids = array(self.code, [t.id for t in self.model.tokenize(low)]).tobytes() if low else b""
-        tail = self.marks.get(mark)
-        if tail is None:
-            tail = self._whole(mark)
-            if len(self.marks) < CACHE_PIECES:
-                self.marks[mark] = tail
-        return ids + tail
-
-    def _whole(self, piece: str) -> bytes:
-        return array(self.code, self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            if self.plain and len(piece) <= 64 and piece.isascii() and piece.isalpha():
-                ids = array(self.code, [t.id for t in self.model.tokenize(piece.lower())]).tobytes()
-            else:
-                m = _SIMPLE(piece) if self.plain else None
-                ids = self._simple(m[1], m[2]) if m else self._whole(piece)
-        if len(piece) <= LONGEST_CACHED:
-            self[piece] = ids
-        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, as bytes."""
-        out, known, end = [], self.__getitem__, self.end
-        for text in texts:
-            if len(self) > CACHE_PIECES:
-                self.older = dict(self)
-                self.clear()
-            out.append(b"".join(map(known, text.replace("\n", " ").split(" "))) + end)
-        return out
+        code, end = self.dtype.char, self.end
+        return [array(code, e.ids).tobytes() + end for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -183,10 +115,10 @@ def write(docs: DataFrame, p: Params, path: str | None = None) -> Dataset:
                 continue
             draft = draft or files.Draft(_shard(path, number))
             lengths = np.zeros(batch.num_rows, np.int64)
-            for first in range(0, batch.num_rows, 128):
-                made = tool.encode(batch.column("text").slice(first, 128).to_pylist())
+            for first, end, _, _ in slices(batch.column("text"), BATCH_BYTES):
+                made = tool.encode(batch.column("text").slice(first, end - first).to_pylist())
                 draft.write(b"".join(made))
-                lengths[first : first + len(made)] = [len(x) // tool.dtype.itemsize for x in made]
+                lengths[first:end] = [len(x) // tool.dtype.itemsize for x in made]
             ends = at + np.cumsum(lengths)
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(np.full(batch.num_rows, number, np.int32)), pa.array(ends - lengths), pa.array(lengths)],
@@ -270,7 +202,8 @@ def locate(keys: DataFrame, data: Dataset) -> DataFrame:
 
 
 def read(places: DataFrame, data: Dataset) -> DataFrame:
-    """Adds start and ids_crc32 from the shard files to located rows; each task opens its shards in turn."""
+    """Adds start and ids_crc32 from the shard files to located rows; each task opens its shards
+    in turn and reads neighbouring documents, which come in order, by up to ``READ_BYTES`` at once."""
     path, width = data.path, data.width
     known = places.sparkSession.sparkContext.broadcast((data.shards, data.bases))  # two numbers a shard
 
@@ -279,14 +212,20 @@ def read(places: DataFrame, data: Dataset) -> DataFrame:
         for batch in batches:
             shard, offset, length = (np.asarray(batch.column(c)) for c in ("shard", "offset", "n_tokens"))
             start, crc = np.empty(len(shard), np.int64), np.empty(len(shard), np.int64)
-            for i in range(len(shard)):
-                if shard[i] != number:
-                    number = int(shard[i])
+            end, first = offset + length, 0
+            while first < len(shard):
+                if shard[first] != number:
+                    number = int(shard[first])
                     base = int(known.value[1][np.searchsorted(known.value[0], number)])
                     source = files.open_random(_shard(path, number))
-                raw = source.read_at(int(length[i]) * width, int(offset[i]) * width)
-                ids = np.frombuffer(raw, f"<u{width}")
-                start[i], crc[i] = base + int(offset[i]), zlib.crc32(ids.astype("<u4").tobytes())
+                far = (shard[first:] != number) | ((end[first:] - offset[first]) * width > READ_BYTES)
+                stop = first + max(1, int(np.argmax(far)) if far.any() else len(far))
+                low, high = int(offset[first]), int(end[first:stop].max())
+                raw = np.frombuffer(source.read_at((high - low) * width, low * width), f"<u{width}")
+                for i in range(first, stop):
+                    ids = raw[offset[i] - low : end[i] - low]
+                    start[i], crc[i] = base + int(offset[i]), zlib.crc32(ids.astype("<u4").tobytes())
+                first = stop
             yield pa.record_batch([batch.column("doc_id"), pa.array(start), batch.column("n_tokens"), pa.array(crc)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return places.select("doc_id", "shard", "offset", "n_tokens").mapInArrow(load, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -4,8 +4,6 @@ import zlib
 
 import numpy as np
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 
 from depthloom.llm import files, tokenids
 from depthloom.llm.perfecthash import PerfectHash
@@ -67,16 +65,19 @@ def test_empty_table(empty):
     assert tokenids.digest(empty, params()).collect() == []
 
 
-@pytest.fixture(scope="module")
-def tool():
-    return tokenids.encoder(tokenizer_path(), 2)
-
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_every_tokenizer_gets_whole_texts(spark, docs, name):
+    """Also one for which spaces count, so that cut texts would give other ids."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60))
-def test_pieces_give_the_ids_of_the_whole_text(tool, text):
-    for t in (text, f"It's {text} Ééà don't,{text}\n {text.upper()}.", f"<|endoftext|> {text}<|startoftext|>"):
-        assert np.frombuffer(tool.encode([t])[0], "<u2").tolist() == [*tool.tokenizer.encode(t, add_special_tokens=False).ids, 2]
+    path = public_tokenizers.path(name)
+    tool, end = Tokenizer.from_file(path), 2
+    said = [(1, "two  spaces and\n\nlines "), (2, "It's Ééà don't  ,\t\n STRASSE"), (3, " "), (4, "")] + [(10 + r.doc_id, r.text) for r in docs.where("doc_id > 10").collect()]
+    got = {r.doc_id: r for r in tokenids.digest(spark.createDataFrame(said, "doc_id long, text string"), tokenids.Params(path, end)).collect()}
+    for doc_id, text in said:
+        ids = [*tool.encode(text or "", add_special_tokens=False).ids, end]
+        assert (got[doc_id].n_tokens, got[doc_id].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 20_000])
