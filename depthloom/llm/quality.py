@@ -1,10 +1,10 @@
 """Quality classifier by importance resampling of hashed n-gram models, sampled by Gumbel top-k.
 
-Two bag-of-tokens models are counted over hashed buckets: a *target* model over
+Two models of tokens and of pairs of neighbouring tokens are counted over hashed buckets: a *target* model over
 texts labelled good and not toxic, and a *raw* model over every document of the
-corpus. A document is judged by its weakest passage: the smallest sum of
-log(target / raw) over any ``window`` consecutive tokens (or over the whole of a
-shorter text), so that a few bad lines are not outweighed by a long clean rest.
+corpus. A token weighs log(target / raw) of itself plus that of the pair that it ends; pairs are smoothed far more, as
+most are rare. A document is judged by its weakest passage: the smallest sum of weights over any ``window`` consecutive
+tokens (or over the whole of a shorter text), so that a few bad lines are not outweighed by a long clean rest.
 
 A minimum over more windows is lower, so a score is judged within its length: the held-back good labels
 are cut by token count into at most ``bands`` bands of equal size, ``band_rows`` of them or more in each, and a
@@ -16,10 +16,10 @@ Tokens are runs of ASCII letters, digits and non-ASCII bytes, or runs of other
 printable bytes, lower-cased over A-Z.
 
 Bounds: the labelled sample is at most ``max_labelled`` target rows, four fifths to count and one fifth
-to hold back, taken by smallest hash of doc_id; the models have 2**``bits`` buckets. Counts
+to hold back, taken by smallest hash of doc_id; the models have 2**``bits`` buckets for tokens and 2**``pair_bits`` for pairs. Counts
 of the raw model, scores and the draw cover all documents.
 
-Edge cases: null and empty texts have no tokens and score 0. Null doc_ids share one noise
+Edge cases: null and empty texts have no tokens and score 0; a very long text is scored whole, in one slice. Null doc_ids share one noise
 value, as do repeated doc_ids. Ties at the cut are all kept. Without any labelled target row
 every score is 0 and everything is kept. Null labels mark no target; a doc_id with
 contradicting labels is no target.
@@ -46,8 +46,10 @@ SPLIT = 0x5EED
 @dataclass(frozen=True)
 class Params:
     bits: int = 20
-    window: int = 48
+    pair_bits: int = 18
+    window: int = 16
     smoothing: float = 2.0
+    pair_smoothing: float = 200.0
     keep_clean: float = 0.98
     max_labelled: int = 40_000
     bands: int = 16
@@ -63,8 +65,8 @@ def _classes() -> np.ndarray:
     return kind
 
 
-def token_buckets(buf: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each token, row pointer)."""
+def token_buckets(buf: np.ndarray, offsets: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket of each token, bucket of the pair that it ends or -1, row pointer); those of pairs come after the tokens'."""
     low = K.lower_ascii()[buf]
     kind = _classes()[low]
     edge = np.ones(len(low) + 1, bool)
@@ -75,20 +77,23 @@ def token_buckets(buf: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.n
     starts, ends = at[:-1], at[1:]
     solid = kind[starts] > 0 if len(low) else np.zeros(0, bool)
     starts, ends = starts[solid], ends[solid]
-    hashed = K.word_hashes(low, starts, ends) >> np.uint64(64 - bits)
-    return hashed.astype(np.int64), np.searchsorted(starts, offsets)
+    hashed, ptr = K.word_hashes(low, starts, ends), np.searchsorted(starts, offsets)
+    pairs = np.full(len(hashed), -1, np.int64)
+    pairs[1:] = (K.gram_hashes(hashed, 2) >> np.uint64(64 - p.pair_bits)).astype(np.int64) + (1 << p.bits)
+    pairs[ptr[:-1][ptr[:-1] < len(pairs)]] = -1
+    return (hashed >> np.uint64(64 - p.bits)).astype(np.int64), pairs, ptr
 
 
-def weakest(weights: np.ndarray, buckets: np.ndarray, ptr: np.ndarray, window: int) -> np.ndarray:
-    """For each row the least sum of weights over ``window`` consecutive tokens; 0 without tokens."""
+def weakest(values: np.ndarray, ptr: np.ndarray, window: int) -> np.ndarray:
+    """For each row the least sum of ``window`` consecutive values; 0 without any."""
     out = np.zeros(len(ptr) - 1)
-    if len(buckets) == 0:
+    if len(values) == 0:
         return out
-    total = np.concatenate([[0.0], np.cumsum(weights[buckets])])
+    total = np.concatenate([[0.0], np.cumsum(values)])
     full = np.flatnonzero(np.diff(ptr))
     first, end = ptr[full], ptr[full + 1]
     lengths = end - first
-    at = np.arange(len(buckets))
+    at = np.arange(len(values))
     last = np.repeat(np.maximum(end - window, first), lengths)
     stop = np.minimum(at + window, np.repeat(end, lengths))
     sums = np.where(at <= last, total[stop] - total[:-1], np.inf)
@@ -126,7 +131,8 @@ def _member(ids: np.ndarray, sample: np.ndarray) -> np.ndarray:
 
 def model(docs: DataFrame, target: np.ndarray, p: Params) -> str | None:
     """Path of the table of log(target / raw) by bucket, the raw counts over all documents; None without target text."""
-    size = 1 << p.bits
+    tokens = 1 << p.bits
+    size = tokens + (1 << p.pair_bits)
     shared = docs.sparkSession.sparkContext.broadcast(target)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,11 +141,12 @@ def model(docs: DataFrame, target: np.ndarray, p: Params) -> str | None:
             ids = batch.column("doc_id")
             hit = _member(np.asarray(ids.fill_null(-1), np.int64), shared.value) & np.asarray(ids.is_valid())
             for first, end, buf, offsets in K.slices(batch.column("text")):
-                buckets, ptr = token_buckets(buf, offsets, p.bits)
-                raw += np.bincount(buckets, minlength=size)
+                *both, ptr = token_buckets(buf, offsets, p)
                 chosen = np.repeat(hit[first:end], np.diff(ptr))
-                if chosen.any():
-                    good += np.bincount(buckets[chosen], minlength=size)
+                for buckets in both:
+                    raw += np.bincount(buckets[buckets >= 0], minlength=size)
+                    if chosen.any():
+                        good += np.bincount(buckets[chosen & (buckets >= 0)], minlength=size)
         used = np.flatnonzero(raw)
         for i in range(0, len(used), 65_536):
             k = used[i : i + 65_536]
@@ -147,18 +154,21 @@ def model(docs: DataFrame, target: np.ndarray, p: Params) -> str | None:
 
     counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(count, "bucket int, raw long, good long")
     sums = stored(counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")), "quality-counts")
-    raw, good = sums.agg(F.sum("raw"), F.sum("good")).first()
-    if not good:
+    is_pair = F.col("bucket") >= tokens
+    said = {r.pair: r for r in sums.groupBy(is_pair.alias("pair")).agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).collect()}  # two rows
+    if not said or not said[False].good:
         return None
-    log_ratio = F.log((F.col("good") + p.smoothing) / (F.col("raw") * (good / raw) + p.smoothing))
+    share = {k: r.good / r.raw for k, r in said.items()}
+    smooth = F.when(is_pair, F.lit(p.pair_smoothing)).otherwise(p.smoothing)
+    log_ratio = F.log((F.col("good") + smooth) / (F.col("raw") * F.when(is_pair, share.get(True, 0.0)).otherwise(share[False]) + smooth))
     return stored_at(sums.select("bucket", log_ratio.alias("weight")), "quality-model")
 
 
 @functools.lru_cache(maxsize=2)
-def load_weights(path: str, bits: int) -> np.ndarray:
-    """A stored model as an array of 2**bits weights, once a worker process."""
+def load_weights(path: str, p: Params) -> np.ndarray:
+    """A stored model as an array of the weights of tokens, then pairs, then 0 for no pair; once a worker process."""
     rows = files.read_table(path)
-    out = np.zeros(1 << bits)
+    out = np.zeros((1 << p.bits) + (1 << p.pair_bits) + 1)
     out[np.asarray(rows["bucket"])] = np.asarray(rows["weight"])
     return out
 
@@ -210,8 +220,9 @@ def _scorer(weights: str | None, p: Params) -> Callable[[pa.RecordBatch], tuple[
     def scored(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         score, tokens = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
         for first, end, buf, offsets in K.slices(batch.column("text")) if weights else ():
-            buckets, ptr = token_buckets(buf, offsets, p.bits)
-            score[first:end] = weakest(load_weights(weights, p.bits), buckets, ptr, p.window)
+            buckets, pairs, ptr = token_buckets(buf, offsets, p)
+            weight = load_weights(weights, p)
+            score[first:end] = weakest(weight[buckets] + weight[pairs], ptr, p.window)
             tokens[first:end] = np.diff(ptr)
         return score, tokens, gumbel(batch.column("doc_id").cast(pa.int64()), p.seed)
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -15,31 +17,52 @@ from depthloom.llm import linetemplates, mixing, quality, recompress, sharding
 from depthloom.llm import textkernel as K
 
 
+def descended(doc_id, tree):
+    """The shard of a row by the tree's rule: region, rack and shard in turn, each by draws of its own."""
+
+    def least(weights, path):
+        def drawn(i, w):
+            said = hashlib.md5(f"{'null' if doc_id is None else doc_id}:{tree.seed}:{path}{i}".encode()).hexdigest()[:12]
+            return -math.log((int(said, 16) + 0.5) / 2**48) / w if w else math.inf
+
+        return min(range(len(weights)), key=lambda i: drawn(i, weights[i]))
+
+    r = least([sum(map(sum, racks)) for racks in tree.regions], "")
+    k = least([sum(rack) for rack in tree.regions[r]], f"{r}.")
+    s = least(tree.regions[r][k], f"{r}.{k}.")
+    return sum(len(rack) for racks in tree.regions[:r] for rack in racks) + sum(map(len, tree.regions[r][:k])) + s
+
+
 def test_new_shards_take_rows_only_into_themselves(spark):
     d = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     for n in (1, 7, 40, 41):
-        rows = sharding.assign(d, sharding.Tree((1.0,) * n)).collect()
+        rows = sharding.assign(d, sharding.Tree.even(n)).collect()
         assert {r.grown_shard for r in rows if r.grown_shard != r.shard} <= {n}
         counts = Counter(r.shard for r in rows)
         assert set(counts) == set(range(n)) and max(counts.values()) < 2.2 * 3000 / n
         for s in range(n):
             assert sorted(r.slot for r in rows if r.shard == s) == list(range(counts[s]))
+    assert sharding.Tree.even(40).grown() == sharding.Tree.even(41)
 
 
-def test_weights_and_the_descent(spark):
-    tree = sharding.Tree((1.0, 3.0, 1.0, 2.0, 1.0, 0.5, 4.0), shards_a_rack=2, racks_a_region=2)
+def test_the_descent_draws_at_every_level(spark):
+    tree = sharding.Tree((((1.0, 3.0), (1.0, 0.0, 2.0)), ((1.0, 0.5), (4.0,), (2.0,))))
     d = spark.range(4000).select(F.col("id").alias("doc_id"))
-    rows = sharding.descend(d, tree, "shard").select("doc_id", "shard", F.array(*[sharding.leaf_draw(tree, s) for s in range(7)]).alias("draws")).collect()
-    assert all(r.shard == int(np.argmin(r.draws)) for r in rows)
-    for s, w in enumerate(tree.weights):
-        assert abs(Counter(r.shard for r in rows)[s] / 4000 - w / sum(tree.weights)) < 0.03
+    rows = sharding.descend(d, tree, "shard").collect()
+    assert all(r.shard == descended(r.doc_id, tree) for r in rows)
+    weights = [w for racks in tree.regions for rack in racks for w in rack]
+    for s, w in enumerate(weights):
+        assert abs(Counter(r.shard for r in rows)[s] / 4000 - w / sum(weights)) < 0.03
 
 
-def test_sharding_odd_rows(odd, empty):
-    rows = sharding.assign(odd, sharding.Tree((1.0,) * 3)).collect()
-    assert len(rows) == odd.count() and len({r.shard for r in rows if r.doc_id == 7}) == 1
-    assert {(r.size, r.text_crc32) for r in rows if r.size == 16} == {(16, 0)}
-    assert sharding.assign(empty, sharding.Tree((1.0,) * 3)).count() == 0
+def test_movement_stays_in_the_subtree_whose_weights_change(spark):
+    before = sharding.Tree((((1.0, 3.0), (1.0, 1.0, 2.0)), ((1.0, 0.5), (4.0,), (2.0,))))
+    racks = [[0, 1], [2, 3, 4], [5, 6], [7], [8]]
+    moved = lambda after: {(r.a, r.b) for r in sharding.descend(sharding.descend(spark.range(6000).select(F.col("id").alias("doc_id")), before, "a"), after, "b").where("a <> b").collect()}
+    inner = moved(sharding.Tree((((1.0, 3.0), (2.0, 0.5, 1.5)), before.regions[1])))  # the rack's sum is the same
+    assert inner and {s for pair in inner for s in pair} <= set(racks[1])
+    heavier = moved(sharding.Tree((((1.0, 3.0), (1.0, 1.0, 2.0)), ((1.0, 0.5), (4.0,), (5.0,)))))
+    assert heavier and {b for _, b in heavier} <= set(racks[2] + racks[3] + racks[4]) and all(b == 8 or a <= 4 for a, b in heavier)
 
 
 def test_mix_totals(spark, docs):
@@ -107,6 +130,68 @@ def test_quality_on_held_out_documents(spark):
     assert kept == {i for i, r in rows.items() if r.kept}
 
 
+def classified(docs, labels, p):
+    """The whole query by plain loops; only the hash of a word, and of a pair of them, is the kernel's."""
+    space, mask = b" \t\n\v\f\r", 2**64 - 1
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    def grams(text):
+        raw = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+        words = re.findall(rb"[0-9a-z\x80-\xff]+|[^0-9a-z\x80-\xff" + space + rb"]+", raw)
+        buf, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum([len(w) for w in words]).astype(np.int64)
+        h = K.word_hashes(buf, ends - [len(w) for w in words], ends) if words else np.zeros(0, np.uint64)
+        return [int(x) >> 64 - p.bits for x in h], [int(x) >> 64 - p.pair_bits for x in K.gram_hashes(h, 2)]
+
+    told = {}
+    for doc_id, quality_, toxic in labels:
+        told.setdefault(doc_id, []).append((quality_, toxic))
+    target, held = quality.target_sample(*(x for x in (labels_df(labels), p)))
+    assert {*target.tolist(), *held.tolist()} == {d for d, said in told.items() if all(x == (1, 0) for x in said)}
+    cut_up = {d: grams(t) for d, t in docs}
+    raw, good = ([Counter(), Counter()] for _ in range(2))
+    for d, both in cut_up.items():
+        for kind, found in enumerate(both):
+            raw[kind].update(found)
+            good[kind].update(found if d in target else [])
+    share = [sum(good[k].values()) / sum(raw[k].values()) for k in (0, 1)]
+    weight = lambda k, g: math.log((good[k][g] + (p.smoothing, p.pair_smoothing)[k]) / (raw[k][g] * share[k] + (p.smoothing, p.pair_smoothing)[k]))
+    score, draw = {}, {}
+    for d, (ones, twos) in cut_up.items():
+        w = [weight(0, g) + (weight(1, twos[i - 1]) if i else 0) for i, g in enumerate(ones)]
+        score[d] = min((sum(w[i : i + p.window]) for i in range(max(1, len(w) - p.window + 1))), default=0.0) if w else 0.0
+    bands = max(1, min(p.bands, len(held) // p.band_rows))
+    edges = sorted({int(np.quantile([len(cut_up[d][0]) for d in held], i / bands)) for i in range(1, bands)})
+    band = lambda d: sum(len(cut_up[d][0]) > e for e in edges)
+    levels = [np.quantile([score[d] for d in held if band(d) == b], 1 - p.keep_clean) for b in range(len(edges) + 1)]
+    for d in score:
+        u = ((mix(mix((d + p.seed) & mask) ^ 0xA5A5A5A5) >> 11) + 0.5) / 2.0**53
+        draw[d] = p.sharpness * (score[d] - levels[band(d)]) - math.log(-math.log(u))
+    k = sum(score[d] >= levels[band(d)] for d in score)
+    kept = set(sorted(draw, key=draw.get, reverse=True)[:k])
+    return score, draw, kept
+
+
+def labels_df(labels):
+    from pyspark.sql import SparkSession
+
+    return SparkSession.getActiveSession().createDataFrame(labels, "doc_id long, quality int, toxic int")
+
+
+def test_quality_against_brute_force(spark):
+    docs, labels = _corpus(spark)
+    rows, told = [tuple(r) for r in docs.collect()] + [(2000, None), (2001, "one"), (2002, "")], [tuple(r) for r in labels.collect()]
+    p = quality.Params(band_rows=20, pair_smoothing=5.0)
+    score, draw, kept = classified(rows, told, p)
+    got = {r.doc_id: r for r in quality.classify(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), labels, p).collect()}
+    assert set(got) == set(score) and 0 < len(kept) < len(rows)
+    assert all(r.score == pytest.approx(score[d], abs=1e-6) and r.draw == pytest.approx(draw[d], abs=1e-5) for d, r in got.items())
+    assert {d for d, r in got.items() if r.kept} == kept
+
+
 def test_quality_on_the_driver_table(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
@@ -160,7 +245,7 @@ def test_weakest_passage():
     rng = np.random.default_rng(1)
     weights, lengths = rng.standard_normal(50), [0, 3, 48, 49, 200, 0]
     buckets, ptr = rng.integers(0, 50, sum(lengths)), np.concatenate([[0], np.cumsum(lengths)])
-    got = quality.weakest(weights, buckets, ptr, 48)
+    got = quality.weakest(weights[buckets], ptr, 48)
     for i, n in enumerate(lengths):
         w = weights[buckets[ptr[i] : ptr[i + 1]]]
         assert got[i] == pytest.approx(min((w[j : j + 48].sum() for j in range(max(1, n - 47))), default=0) if n else 0)
