@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import dataset, fs
@@ -65,3 +66,10 @@ def read_table(uri: str) -> pa.Table:
     """A Parquet folder as one table; for tables of bounded size."""
     system, path = resolve(uri)
     return dataset.dataset(path, filesystem=system, format="parquet", exclude_invalid_files=True).to_table()
+
+
+def batches(uri: str, rows: int) -> Iterator[pa.RecordBatch]:
+    """A Parquet folder in batches of at most ``rows`` rows, one at a time."""
+    system, path = resolve(uri)
+    held = dataset.dataset(path, filesystem=system, format="parquet", exclude_invalid_files=True)
+    yield from held.to_batches(batch_size=rows, batch_readahead=1, fragment_readahead=1) if held.schema.names else ()
