@@ -9,11 +9,14 @@ miss a pair with probability 5e-6.
 Pairs are not made within a bucket. In each of ``rounds`` rounds every bucket has a centre (first the member
 that meets most others, then a random one), and its members are compared with the centre alone: a pair must
 agree in enough minima (six standard deviations below the expected number at the threshold), then in the full sets
-of its texts. What buckets still hold in different components is compared in blocks, by products of
+of its texts. What buckets still hold in different components is looked at again by prefixes: two sets alike at the
+threshold share one of the ``n - ceil(threshold * n) + 1`` rarest shingles of each, in one order for all (by hashed
+counts, then hash), so texts that meet in buckets through common passages alone part here, whatever their number.
+Texts of different components that share such a shingle form clusters, which are compared in blocks, by products of
 shingle incidence matrices over the full sets, which give out a spanning forest only: every pair of a bucket
 that could still join two components is compared, and the links returned stay below the number of documents.
 
-Edge cases: documents without words are linked with nothing, have a set size of 0 and stay. In ``groups`` null doc_ids take
+Edge cases: a very long text is shingled whole, in a slice of its own. Documents without words are linked with nothing, have a set size of 0 and stay. In ``groups`` null doc_ids take
 no part: component null, kept. In ``deduplicate`` a set that only rows without a doc_id have is a node of its own, above
 2**62, so that a copy of a document with an id goes and one row of a group without ids stays. Rows that repeat a doc_id are one document, so its texts are linked; those of them with words
 share its fate. Ties of components go to the smallest doc_id.
@@ -21,6 +24,7 @@ share its fate. Ties of components go to the smallest doc_id.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,8 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from depthloom.llm import files
 from depthloom.llm import textkernel as K
-from depthloom.llm.common import stored, text_or_empty
+from depthloom.llm.common import stored, stored_at, text_or_empty
 from depthloom.llm.components import components
 
 _SALT = np.uint64(0x7F4A7C159E3779B9)
@@ -47,8 +52,13 @@ class Params:
     rounds: int = 2
     block_rows: int = 512
     block_bytes: int = 4_000_000
+    count_bits: int = 20
     seed: int = 5
 
+    def prefix(self, n: np.ndarray) -> np.ndarray:
+        """How many of n shingles must hold a common one with every set that is alike."""
+        return n + (-self.percent * n) // 100 + 1
+
     @property
     def hashes(self) -> int:
         return self.bands * self.rows
@@ -127,8 +137,11 @@ def signatures(docs: DataFrame, p: Params) -> DataFrame:
 
 
 def rows_without_id(docs: DataFrame, p: Params) -> DataFrame:
-    """row (all columns), text, n, k1, k2 of the rows without a doc_id."""
-    bare = docs.where("doc_id is null").select(F.struct("*").alias("row"), text_or_empty().alias("text"))
+    """row (all columns, as c0, c1, ...), text, n, k1, k2 of the rows without a doc_id."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    columns = docs.toDF(*own)
+    at = {name: own[i] for i, name in enumerate(docs.columns)}
+    bare = columns.where(F.col(at["doc_id"]).isNull()).select(F.struct(*own).alias("row"), text_or_empty(at["text"]).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,17 +240,68 @@ def _forest(batch: pa.Table, p: Params) -> pa.Table:
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
+def _distinct(column: pa.Array, p: Params) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, shingles, row of each) by slice, each shingle of a row once."""
+    for first, end, buf, offsets in K.slices(column):
+        grams, row = shingles(buf, offsets, p.shingle)
+        once = _first_of_row(grams, row)
+        yield first, end, grams[once], row[once]
+
+
+@functools.lru_cache(maxsize=2)
+def _counts(path: str, bits: int) -> np.ndarray:
+    """The stored counts of hashed shingles, once a worker process."""
+    rows, out = files.read_table(path), np.zeros(1 << bits, np.int64)
+    out[np.asarray(rows["slot"])] = np.asarray(rows["n"])
+    return out
+
+
+def _prefixes(texts: DataFrame, p: Params) -> DataFrame:
+    """node, component, gram: the rarest shingles of each text, as many as ``Params.prefix`` says."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << p.count_bits, np.int64)
+        for batch in batches:
+            for _, _, grams, _ in _distinct(batch.column("text"), p):
+                total += np.bincount((grams >> np.uint64(64 - p.count_bits)).astype(np.int64), minlength=len(total))
+        used = np.flatnonzero(total)
+        for i in range(0, len(used), 65_536):
+            yield pa.record_batch([pa.array(used[i : i + 65_536].astype(np.int32)), pa.array(total[used[i : i + 65_536]])], names=["slot", "n"])
+
+    path = stored_at(texts.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")), "shingle-counts")
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, grams, row in _distinct(batch.column("text"), p):
+                n = np.bincount(row, minlength=end - first)
+                times = _counts(path, p.count_bits)[(grams >> np.uint64(64 - p.count_bits)).astype(np.int64)]
+                order = np.lexsort((grams, times, row))
+                grams, row = grams[order], row[order]
+                chosen = np.arange(len(row)) - (np.cumsum(n) - n)[row] < p.prefix(n)[row]
+                at = pa.array(first + row[chosen])
+                yield pa.record_batch([batch.column("node").take(at), batch.column("component").take(at), pa.array(grams[chosen].view(np.int64))], names=["node", "component", "gram"])
+
+    return texts.select("node", "component", "text").mapInArrow(rarest, "node long, component long, gram long")
+
+
+def _clusters(texts: DataFrame, p: Params) -> DataFrame:
+    """node, component, cluster of the texts that share a prefix shingle with one of another component."""
+    held = stored(_prefixes(texts, p), "prefixes")
+    mixed = held.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("v")).where("x <> y").select("gram", "v")
+    edges = stored(held.join(mixed, "gram").select(F.col("node").alias("u"), "v", "component").distinct(), "prefix-links")
+    return edges.select(F.col("u").alias("node"), "component").distinct().join(components(edges.select("u", "v")).withColumnRenamed("component", "cluster"), "node")
+
+
 def _within_clusters(members: DataFrame, texts: DataFrame, found: DataFrame, p: Params) -> DataFrame:
     """Links between different components among documents that buckets of several components hold together.
 
-    Such documents form clusters; a cluster is cut by hash into blocks of about ``block_rows`` rows and
+    Their clusters (by prefixes) are cut by hash into blocks of about ``block_rows`` rows and
     ``block_bytes`` bytes, and every pair of blocks is one group, so no group grows with its cluster.
     """
     own = members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    mixed = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("node").alias("v")).where("x <> y").select("bucket", "v")
-    open_ = stored(own.join(mixed, "bucket"), "open-members")
-    cluster = components(open_.select(F.col("node").alias("u"), "v")).withColumnRenamed("component", "cluster")
-    rows = open_.select("node", "component").distinct().join(cluster, "node").join(texts, "node")
+    mixed = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
+    open_ = stored(own.join(mixed, "bucket").select("node", "component").distinct().join(texts, "node"), "open-texts")
+    rows = _clusters(open_, p).join(open_.select("node", "text"), "node")
     whole = rows.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / p.block_rows), F.ceil(F.sum(F.octet_length("text")) / p.block_bytes)).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = rows.join(whole, "cluster").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -298,15 +362,18 @@ def groups(docs: DataFrame, p: Params = Params()) -> DataFrame:
 
 def deduplicate(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The documents of smallest doc_id of each group, with their columns; of a group without doc_ids one row."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    at = {name: own[i] for i, name in enumerate(docs.columns)}
+    rows, told = docs.toDF(*own), docs.select("doc_id", "text")
     bare = stored(rows_without_id(docs, p), "rows-without-id")
     if bare.isEmpty():
-        gone = groups(docs, p).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    named, found = link(docs, p, bare)
+        gone = groups(told, p).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+        return rows.join(gone, F.col(at["doc_id"]) == F.col("gone"), "left_anti").toDF(*docs.columns)
+    named, found = link(told, p, bare)
     named = stored(named.join(found, "node", "left").withColumn("component", F.coalesce("component", "node", "doc_id")), "named")
-    gone = named.where("doc_id <> component").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.where("doc_id is not null").join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = named.where("doc_id <> component").select(F.col("doc_id").alias("gone")).distinct()
+    kept = rows.where(F.col(at["doc_id"]).isNotNull()).join(gone, F.col(at["doc_id"]) == F.col("gone"), "left_anti")
     alone = named.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.any_value("node").alias("node"), F.any_value("component").alias("component"))
     roots = alone.where("first is null and node = component").select("k1", "k2")
     one = bare.where("n > 0").join(roots, ["k1", "k2"]).groupBy("k1", "k2").agg(F.min_by("row", F.struct("text", F.xxhash64("row"))).alias("row"))
-    return kept.union(one.select("row.*")).union(bare.where("n = 0").select("row.*"))
+    return kept.union(one.select("row.*")).union(bare.where("n = 0").select("row.*")).toDF(*docs.columns)

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from depthloom.llm import neardup
 from depthloom.llm.components import components
@@ -53,6 +55,45 @@ def test_groups_of_near_copies(spark, copies, changes, block):
     assert got == brute(rows)
 
 
+def boilerplate(spark, n, shared, own):
+    """Texts that share a passage and have words of their own; each is a component by itself."""
+    rng = random.Random(own)
+    rows = [(i, i, " ".join([f"s{j}" for j in range(shared)] + [f"o{rng.randrange(10**9)}" for _ in range(own)])) for i in range(n)]
+    sets = [shingles(t) for _, _, t in rows[:2]]
+    return spark.createDataFrame(rows, "node long, component long, text string"), len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+@pytest.mark.parametrize(("own", "least", "most"), [(117, 0.29, 0.31), (61, 0.44, 0.46), (37, 0.56, 0.58)])
+def test_texts_that_share_a_passage_are_not_compared(spark, own, least, most):
+    """All meet in buckets, but no two share one of their rarest shingles, so the work stays linear."""
+    texts, similarity = boilerplate(spark, 300, 104, own)
+    assert least < similarity < most
+    assert neardup._clusters(texts, neardup.Params()).count() == 0
+    docs = texts.selectExpr("node as doc_id", "text")
+    assert all(r.kept for r in neardup.groups(docs).collect())
+
+
+def test_prefixes_lose_no_pair():
+    """Any two sets alike at the threshold share one of their rarest elements, in any common order."""
+    rng, p = random.Random(1), neardup.Params()
+    for _ in range(3000):
+        n = rng.randint(1, 60)
+        a = set(range(n))
+        b = set(rng.sample(range(n), rng.randint(max(1, n // 2), n))) | set(range(n, n + rng.randint(0, 20)))
+        if 100 * len(a & b) >= 75 * len(a | b):
+            order = list(range(100))
+            rng.shuffle(order)
+            cut = lambda s: set(sorted(s, key=order.index)[: int(p.prefix(np.array(len(s))))])  # noqa: B023, E731
+            assert cut(a) & cut(b)
+
+
+def test_columns_with_the_names_used_inside(spark, odd):
+    own = odd.withColumns({c: F.lit("clash") for c in ("_gone", "gone", "k1", "k2", "n", "row", "first", "c0", "c1")})
+    for docs in (own, own.where("doc_id is not null")):
+        kept = neardup.deduplicate(docs)
+        assert kept.columns == docs.columns and {r._gone for r in kept.collect()} == {"clash"} and sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [7, 7, 7, 8]
+
+
 def test_repeated_and_null_ids(odd):
     rows = neardup.groups(odd).collect()
     assert len(rows) == odd.count()
