@@ -9,12 +9,12 @@ compared through two 64-bit hashes; a word that no pattern has is id 0 and shift
 Cursors of many text pieces move together in numpy; pieces of a long text overlap by m - 1 words.
 
 The pattern tables are shipped to the executors in blocks of at most ``block_patterns`` patterns,
-so their size is bounded; a larger benchmark takes a pass over the words of the documents for each block.
-No document is shuffled.
+so their size is bounded; a larger benchmark takes a pass over the words of the documents for each block. A pass's result is
+written before the next block is shipped, so one block is held at a time. No document is shuffled.
 
 Words: after lower-casing A-Z, runs of 0-9, a-z and non-ASCII characters.
 
-Edge cases: null and empty texts have no words and are clean. Benchmark rows with a null item_id
+Edge cases: null and empty texts have no words and are clean; very long texts are searched whole, in overlapping pieces. Benchmark rows with a null item_id
 or no words are left out; repeated item_ids count once; a pattern in several items counts for each of them.
 """
 
@@ -26,11 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depthloom.llm import textkernel as K
-from depthloom.llm.common import text_or_empty
+from depthloom.llm.common import stored, text_or_empty
 
 PIECE = 256
 
@@ -38,7 +39,7 @@ PIECE = 256
 @dataclass(frozen=True)
 class Params:
     window: int = 10
-    block_patterns: int = 500_000
+    block_patterns: int = 200_000
 
 
 class Automaton:
@@ -180,13 +181,17 @@ def _scanned(docs: DataFrame, benchmark: DataFrame, p: Params) -> tuple[DataFram
     own = [f"c{i}" for i in range(len(docs.columns))]
     text = own[docs.columns.index("text")]
     out = docs.toDF(*own).withColumns({"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "items": F.array().cast("array<string>"), "bits": F.lit(None).cast("binary")})
-    passes = 0
+    last = None
     for searcher in searchers(benchmark, p):
-        out, passes = _pass(out, searcher, text), passes + 1
-    return (out if passes else _pass(out, Searcher({}), text)).drop("bits"), own
+        if last is not None:
+            out = stored(out, "pattern-pass")
+            last.destroy()
+        out, last = _pass(out, searcher, text)
+    return (out if last is not None else _pass(out, Searcher({}), text)[0]).drop("bits"), own
 
 
-def _pass(docs: DataFrame, searcher: Searcher, text: str) -> DataFrame:
+def _pass(docs: DataFrame, searcher: Searcher, text: str) -> tuple[DataFrame, Broadcast]:
+    """The documents with what a block of patterns adds, and the block as it is shipped."""
     shared, schema = docs.sparkSession.sparkContext.broadcast(searcher), docs.schema
     names = docs.columns
 
@@ -219,7 +224,7 @@ def _pass(docs: DataFrame, searcher: Searcher, text: str) -> DataFrame:
             made = {"n_words": pa.array(n_words), "n_hit": pa.array(n_hit), "items": pa.array(items, pa.list_(pa.string())), "bits": pa.array(bits, pa.binary())}
             yield pa.record_batch([made[c] if c in made else batch.column(c) for c in names], names=names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema), shared
 
 
 def digest(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
