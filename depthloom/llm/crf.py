@@ -180,7 +180,7 @@ class Crf:
         at_start, at_end = row_start[first], row_start[first + length]
         for size in np.unique(np.ceil(np.log2(length))).astype(int):
             group = np.flatnonzero(np.ceil(np.log2(length)) == size)
-            for some in np.array_split(group, max(1, len(group) * (1 << size) // 200_000)):
+            for some in np.array_split(group, max(1, min(len(group), len(group) * (1 << size) // 200_000))):
                 self._viterbi(score, offset[some], length[some], at_start[some], at_end[some], first[some], out)
         return out
 
