@@ -12,7 +12,7 @@ never spread out. Counting a leaf's documents and tokens is a partial aggregate;
 text is joined once, by row. Rows are told apart by doc_id and a 64-bit hash of their text.
 
 Edge cases: null and empty texts have no lines, as do lines of white space only, which are kept as they are and never
-counted. Rows that repeat a doc_id count as one document; null doc_ids count as one more; each row loses its own
+counted; very long texts are cut in time that grows with their length. Rows that repeat a doc_id count as one document; null doc_ids count as one more; each row loses its own
 lines only. Tokens at equal count in a
 place are taken by smallest token. Other columns are not read.
 """
@@ -86,7 +86,9 @@ def remove(docs: DataFrame, p: Params = Params()) -> DataFrame:
     often = named.select("template", "doc").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= p.documents).select("template")
     gone = named.join(often, "template", "left_semi").groupBy(*ROW).agg(F.collect_set("pos").alias("gone"))
     cut = F.split("text", "\n")
-    kept = F.filter(cut, lambda line, i: ~F.array_contains("gone", i))
+    gone_in_order = F.array_sort("gone")
+    edges = (F.concat(F.array(F.lit(-1)), gone_in_order), F.concat(gone_in_order, F.array(F.size(cut))))
+    kept = F.flatten(F.zip_with(*edges, lambda a, b: F.slice(cut, a + 2, b - a - 1)))  # the lines between those that go
     filled = F.size(F.filter(cut, lambda line: line.rlike("[^ \t\r]")))
     joined = base.join(gone.hint("merge"), ROW, "left")
     return joined.select(

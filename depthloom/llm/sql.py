@@ -109,27 +109,27 @@ FROM d LEFT JOIN k USING (doc_id)
 
 
 def op6(depth: int, share: float, similar: float, documents: int) -> str:
-    """The template tree over lines; md5 stands for leaves and templates as in the DataFrame form."""
+    """The template tree over lines; md5 stands for leaves and templates as in the DataFrame form. Each row loses its own lines."""
     mask = "lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END"
     return f"""
-WITH d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS doc, coalesce(text, '') AS text FROM documents),
-s AS (SELECT doc_id, doc, text, string_split(text, chr(10)) AS cut FROM d),
-l AS (SELECT doc, pos, list_filter(regexp_split_to_array(line, '[ \t\r]+'), lambda t: t <> '') AS tokens
-      FROM (SELECT doc, unnest(cut) AS line, unnest(range(len(cut))) AS pos FROM s)),
-f AS (SELECT doc, pos, tokens, md5(concat_ws(' ', len(tokens), array_to_string(list_transform(tokens[1:{depth}], {mask}), ' '))) AS leaf FROM l WHERE len(tokens) > 0),
+WITH d AS (SELECT row_number() OVER () AS id, doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS doc, coalesce(text, '') AS text FROM documents),
+s AS (SELECT id, doc_id, doc, text, string_split(text, chr(10)) AS cut FROM d),
+l AS (SELECT id, doc, pos, list_filter(regexp_split_to_array(line, '[ \t\r]+'), lambda t: t <> '') AS tokens
+      FROM (SELECT id, doc, unnest(cut) AS line, unnest(range(len(cut))) AS pos FROM s)),
+f AS (SELECT id, doc, pos, tokens, md5(concat_ws(' ', len(tokens), array_to_string(list_transform(tokens[1:{depth}], {mask}), ' '))) AS leaf FROM l WHERE len(tokens) > 0),
 h AS (SELECT leaf FROM f GROUP BY leaf HAVING count(DISTINCT doc) >= {documents}),
 m AS (SELECT f.* FROM f SEMI JOIN h USING (leaf)),
 t AS (SELECT leaf, place, token, count(*) AS n FROM (SELECT leaf, unnest(tokens) AS token, unnest(range(len(tokens))) AS place FROM m) GROUP BY ALL),
 b AS (SELECT leaf, place, token, n, sum(n) OVER (PARTITION BY leaf, place) AS total, row_number() OVER (PARTITION BY leaf, place ORDER BY n DESC, token) AS r FROM t),
 x AS (SELECT leaf, list(CASE WHEN n >= total * {share} THEN token ELSE NULL END ORDER BY place) AS fixed FROM b WHERE r = 1 GROUP BY leaf),
-o AS (SELECT doc, pos, md5(CASE WHEN len(list_filter(range(1, len(tokens) + 1), lambda i: coalesce(tokens[i] = fixed[i], false))) >= len(tokens) * {similar}
+o AS (SELECT id, doc, pos, md5(CASE WHEN len(list_filter(range(1, len(tokens) + 1), lambda i: coalesce(tokens[i] = fixed[i], false))) >= len(tokens) * {similar}
         THEN array_to_string(list_transform(fixed, lambda t: coalesce(t, '<*>')), ' ')
         ELSE array_to_string(list_transform(tokens, {mask}), ' ') END) AS template FROM m JOIN x USING (leaf)),
 w AS (SELECT template FROM o GROUP BY template HAVING count(DISTINCT doc) >= {documents}),
-g AS (SELECT doc, list(DISTINCT pos) AS gone FROM o SEMI JOIN w USING (template) GROUP BY doc)
+g AS (SELECT id, list(DISTINCT pos) AS gone FROM o SEMI JOIN w USING (template) GROUP BY id)
 SELECT doc_id, CAST(len(list_filter(cut, lambda c: regexp_matches(c, '[^ \t\r]'))) AS BIGINT) AS n_lines,
        CAST(coalesce(len(gone), 0) AS BIGINT) AS n_dropped,
        sha256(CASE WHEN gone IS NULL THEN text ELSE
          array_to_string(list_transform(list_filter(range(len(cut)), lambda i: NOT list_contains(gone, i)), lambda i: cut[i + 1]), chr(10)) END) AS kept_sha256
-FROM s LEFT JOIN g USING (doc)
+FROM s LEFT JOIN g USING (id)
 """

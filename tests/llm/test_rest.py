@@ -324,6 +324,14 @@ def test_line_templates(spark, odd, empty):
     assert linetemplates.remove(odd).count() == odd.count() and linetemplates.remove(empty).count() == 0
 
 
+def test_line_templates_of_a_text_with_very_many_lines(spark):
+    lines = [f"common line number {i} of many here" if i % 2 else f"{'xyz'[i % 3]}{i}q own{i}z word{i}y" for i in range(30_000)]
+    rows = [(0, "\n".join(lines))] + [(i, "common line number 5 of many here") for i in (1, 2)]
+    got = {r.doc_id: r for r in linetemplates.remove(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[0].n_lines, got[0].n_dropped, got[1].n_dropped) == (30_000, 15_000, 1)
+    assert got[0].kept_sha256 == hashlib.sha256("\n".join(lines[::2]).encode()).hexdigest()
+
+
 def test_line_templates_cut_each_row_by_itself(spark):
     """Rows that share a doc_id, null or not, lose their own recurring lines, not those at the places of another's."""
     sha = lambda *lines: hashlib.sha256("\n".join(lines).encode()).hexdigest()

@@ -51,3 +51,12 @@ def test_empty_tables(spark, empty, tmp_path, name):
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert same(spark, tmp_path, name) == []
+
+
+def test_line_templates_of_rows_that_share_ids(spark, odd, tmp_path):
+    """Null and repeated doc_ids: each row loses its own recurring lines in SQL too."""
+    common = "all rights are reserved here"
+    rows = [(None, f"{common}\nclean apples"), (None, f"plums stay clean too\n{common}"), (None, "nothing of it in this one line"), (7, f"{common}\na"), (7, f"b\n{common}"), (7, f"b\n{common}"), (8, common)]
+    df = odd.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    assert len(same(spark, tmp_path, "op6_line_templates")) == df.count()
