@@ -1,4 +1,4 @@
-"""Command line: list, doctor, convert, info, diff, and queries over the driver's tables."""
+"""Command line: list, doctor, convert, info, diff, qc, and queries over the driver's tables."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from depthloom import registry
 from depthloom.operators import quality
+from depthloom.plans import lines
 from depthloom.sources import filesystem
 
 
@@ -39,7 +40,7 @@ def entries(spark: SparkSession, path: str) -> DataFrame:
 
 def diff(spark: SparkSession, a: str, b: str, most: int = 20) -> int:
     """Prints the tally and the first changed keys; 0 if the manifests agree."""
-    states = quality.manifest_diff(entries(spark, a), entries(spark, b)).persist()
+    states = quality.manifest_diff(entries(spark, a), entries(spark, b))
     tally = {r.state: r.n for r in states.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()}
     print(json.dumps(tally))
     for r in states.where("state = 'changed'").orderBy("key").limit(most).collect():
@@ -71,6 +72,10 @@ def parser() -> argparse.ArgumentParser:
     compare.add_argument("a")
     compare.add_argument("b")
     sub.add_parser("info").add_argument("root")
+    check = sub.add_parser("qc")
+    check.add_argument("root")
+    check.add_argument("product")
+    check.add_argument("--every", type=int, default=25)
     return out
 
 
@@ -88,6 +93,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "info":
         info(spark, args.root)
         return 0
+    if args.command == "qc":
+        report = lines.quality_report(spark, args.root, args.product, args.every)
+        print(json.dumps({"errors": len(report["errors"]), "warnings": len(report["warnings"])}))
+        return int(bool(report["errors"]))
     run = registry.product(args.dataset, args.product)
     boxes = spark.read.parquet(args.boxes) if args.boxes else None
     result = run(spark.read.parquet(args.frames), boxes, args.root)

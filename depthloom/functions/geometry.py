@@ -119,6 +119,12 @@ def gravity_to_ego(tilt: Column, vector: Column) -> Column:
     return F.array(forward, -right, up)
 
 
+def gravity_rotation(tilt: Column, basis: Column) -> Column:
+    """A gravity-frame rotation in ego axes, column by column."""
+    columns = [gravity_to_ego(tilt, column_of(basis, j)) for j in range(3)]
+    return F.array(*[F.array(*[c[i] for c in columns]) for i in range(3)])
+
+
 def yaw_quaternion(yaw: Column) -> Column:
     """(w, x, y, z) of a turn about the vertical axis, by the largest-diagonal branches of the matrix form.
 
@@ -170,6 +176,63 @@ def projected_overlap(centre: Point, yaw: Column, half: Point, fx: Column, fy: C
     return F.when(F.least(*fs) > 0.05, overlap(image, (bx, by, bx + bw, by + bh)))
 
 
+def quaternion_matrix(q: Column) -> Column:
+    """Row-major rotation of a unit quaternion (w, x, y, z)."""
+    w, x, y, z = (q[i] for i in range(4))
+    return F.array(
+        F.array(1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y)),
+        F.array(2 * (x * y + w * z), 1 - 2 * (x * x + z * z), 2 * (y * z - w * x)),
+        F.array(2 * (x * z - w * y), 2 * (y * z + w * x), 1 - 2 * (x * x + y * y)),
+    )
+
+
+def matrix_quaternion(m: Column) -> Column:
+    """(w, x, y, z) of a row-major rotation: a positive trace leads with w, else the largest diagonal element's axis."""
+    d = [m[i][i] for i in range(3)]
+    skew = [m[2][1] - m[1][2], m[0][2] - m[2][0], m[1][0] - m[0][1]]
+    trace = d[0] + d[1] + d[2]
+
+    def led(i: int) -> Column:
+        main = F.sqrt(F.greatest(1 + 2 * d[i] - trace, F.lit(0.0))) / 2
+        parts = [main if j == i else (m[i][j] + m[j][i]) / (4 * main) for j in range(3)]
+        return F.array(skew[i] / (4 * main), *parts)
+
+    w = F.sqrt(F.greatest(trace + 1, F.lit(0.0))) / 2
+    lead = F.array(w, *[s / (4 * w) for s in skew])
+    return F.when(trace > 0, lead).when((d[0] >= d[1]) & (d[0] >= d[2]), led(0)).when(d[1] >= d[2], led(1)).otherwise(led(2))
+
+
+def box_corners(centre: Column, rotation: Column, half: Column) -> Column:
+    """Eight corners of a turned box, numbered by the bits of its axes."""
+    corners = []
+    for bits in range(8):
+        offset = F.array(*[half[i] * (1.0 if bits >> i & 1 else -1.0) for i in range(3)])
+        corners.append(F.zip_with(turned(rotation, offset), centre, lambda a, b: a + b))
+    return F.array(*corners)
+
+
+def inside_oriented_box(point: Column, centre: Column, rotation: Column, half: Column, margin: float) -> Column:
+    """Point whose coordinates in the box's axes lie within half its size plus a margin."""
+    delta = F.zip_with(point, centre, lambda a, b: a - b)
+    out = F.lit(True)
+    for i in range(3):
+        out = out & (F.abs(dot(delta, column_of(rotation, i))) <= half[i] + F.lit(margin))
+    return out
+
+
+def oriented_overlap(centre: Column, rotation: Column, half: Column, fx: Column, fy: Column, cx: Column, cy: Column, box: Column, width: Column, height: Column) -> Column:
+    """IoU of the image of any ego-frame box with a 2-D box [x, y, w, h] after clamping to the image.
+
+    Null if a corner is nearer than 0.05 in front of the camera, without a 2-D box, or if the union is empty.
+    """
+    corners = box_corners(centre, rotation, half)
+    us = F.transform(corners, lambda p: fx * -p[1] / p[0] + cx)
+    vs = F.transform(corners, lambda p: fy * -p[2] / p[0] + cy)
+    image = (F.greatest(F.array_min(us), F.lit(0.0)), F.greatest(F.array_min(vs), F.lit(0.0)), F.least(F.array_max(us), width), F.least(F.array_max(vs), height))
+    near = F.array_min(F.transform(corners, lambda p: p[0]))
+    return F.when((near > 0.05) & box.isNotNull(), overlap(image, (box[0], box[1], box[0] + box[2], box[1] + box[3])))
+
+
 def token(*parts: Column | str) -> Column:
     """Deterministic key: md5 of the parts joined by colons."""
     return F.md5(F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]))

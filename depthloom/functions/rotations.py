@@ -42,30 +42,19 @@ def quaternion(r: np.ndarray) -> np.ndarray:
     return out
 
 
-@pandas_udf(MATRIX)
-def proper_rotation(basis: pd.Series) -> pd.Series:
-    return basis.map(lambda b: [list(map(float, row)) for row in proper(np.array([list(r) for r in b], float))])
-
-
-@pandas_udf(VECTOR)
-def to_quaternion(rotation: pd.Series) -> pd.Series:
-    return rotation.map(lambda b: [float(x) for x in quaternion(np.array([list(r) for r in b], float))])
+def proper_batch(bases: np.ndarray) -> np.ndarray:
+    """``proper`` of many matrices at once."""
+    fine = np.isfinite(bases).all((1, 2))
+    m = np.where(fine[:, None, None], bases, np.eye(3))
+    m[:, :, 0] *= np.where(np.linalg.det(m) < 0, -1.0, 1.0)[:, None]
+    u, _, v = np.linalg.svd(m)
+    u[:, :, 2] *= np.where(np.linalg.det(u @ v) < 0, -1.0, 1.0)[:, None]
+    return np.where(fine[:, None, None], u @ v, np.eye(3))
 
 
 @pandas_udf(MATRIX)
-def ego_rotation(tilt: pd.Series, basis: pd.Series) -> pd.Series:
-    """Box rotation in ego axes: gravity tilt transposed, axes changed, basis made proper."""
-
-    def one(t: object, b: object) -> list[list[float]]:
-        turn = TO_RIGHT_FORWARD_UP.T @ np.array([list(r) for r in t], float).T
-        return [list(map(float, row)) for row in turn @ proper(np.array([list(r) for r in b], float))]
-
-    return pd.Series([one(t, b) for t, b in zip(tilt, basis, strict=True)])
-
-
-@pandas_udf(VECTOR)
-def ego_translation(tilt: pd.Series, centroid: pd.Series) -> pd.Series:
-    return pd.Series([[float(x) for x in TO_RIGHT_FORWARD_UP.T @ np.array([list(r) for r in t], float).T @ np.asarray(c, float)] for t, c in zip(tilt, centroid, strict=True)])
+def proper_rotation(basis: pd.Series) -> pd.Series:
+    return pd.Series(proper_batch(np.array([[list(r) for r in b] for b in basis], float).reshape(-1, 3, 3)).tolist())
 
 
 @pandas_udf(MATRIX)

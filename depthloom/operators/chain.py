@@ -50,3 +50,29 @@ def tasks(sample_data: DataFrame, sample: DataFrame, scene: DataFrame, calibrate
 def missing(expected: DataFrame, existing: DataFrame, on: list[str]) -> DataFrame:
     """What is still to do: expected keys without a result."""
     return expected.join(existing.select(*on).distinct(), on, "left_anti")
+
+
+def recounted(rows: DataFrame, fresh: DataFrame, key: str, column: str, value: str) -> DataFrame:
+    """Rows with a column's value renewed by key; those without a new one keep theirs."""
+    return rows.join(fresh, key, "left").withColumn(column, F.coalesce(F.col(value).cast(rows.schema[column].dataType), F.col(column))).drop(value)
+
+
+def frame_of_token(sample: DataFrame, scene: DataFrame, data: DataFrame) -> DataFrame:
+    """token, scene, frame: each sample's scene name and the frame that its camera file names."""
+    camera = data.where(F.col("filename").contains("CAM_FRONT")).select(F.col("sample_token").alias("token"), F.regexp_extract("filename", r"([^/]+)\.[a-z]+$", 1).alias("frame"))
+    named = scene.select(F.col("token").alias("scene_token"), F.col("name").alias("scene"))
+    return sample.select("token", "scene_token").join(named, "scene_token").join(camera, "token").select("token", "scene", "frame")
+
+
+def annotated(annotation: DataFrame, instance: DataFrame, category: DataFrame) -> DataFrame:
+    """Annotations with their category's name, by way of the instance."""
+    i = instance.select(F.col("token").alias("instance_token"), "category_token")
+    c = category.select(F.col("token").alias("category_token"), F.col("name").alias("category"))
+    return annotation.join(i, "instance_token").join(c, "category_token")
+
+
+def zipped(rows: DataFrame, values: DataFrame, by: str, order: list[str], value: str) -> DataFrame:
+    """Rows with the value at the same place of their group, where the group has as many values as rows; else null."""
+    w = Window.partitionBy(by)
+    place = lambda df: df.withColumns({"_at": F.row_number().over(w.orderBy(*order)), "_n": F.count(F.lit(1)).over(w)})
+    return place(rows).join(place(values).select(by, "_at", "_n", value), [by, "_at", "_n"], "left").drop("_at", "_n")

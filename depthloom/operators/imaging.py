@@ -38,45 +38,62 @@ def gradient_reject(pixels: DataFrame, by: tuple[str, ...] = ("frame",), least:
     return sloped.withColumn("kept", F.when(F.col("_k").isNotNull() & (size < steep), F.col(value)).otherwise(0.0)).drop("_k", "_gy", "_gx")
 
 
-def _middle_of_25(planes: list[np.ndarray]) -> np.ndarray:
-    """Median of 25 images, value by value: the least and the greatest of a growing sample can't be the median and go.
+def median_depth(pixels: DataFrame, value: str = "depth", least: float = 0.3, by: tuple[str, ...] = ("frame",)) -> DataFrame:
+    """median_depth of each frame: the median of the depths above ``least``, however far; 0 without any."""
+    return pixels.groupBy(*by).agg(F.coalesce(F.median(F.when(F.col(value) > least, F.col(value))), F.lit(0.0)).alias("median_depth"))
 
-    Fourteen images are enough to be sure of the first two; every further image comes with two fewer. Only minima and
-    maxima of whole images are taken. The planes are overwritten.
+
+def _sort_five(x: list[np.ndarray]) -> list[np.ndarray]:
+    """Five images sorted value by value, by nine exchanges."""
+    for i, j in ((0, 1), (3, 4), (2, 4), (2, 3), (1, 4), (0, 3), (0, 2), (1, 3), (1, 2)):
+        x[i], x[j] = np.minimum(x[i], x[j]), np.maximum(x[i], x[j])
+    return x
+
+
+def _middle(held: list[np.ndarray]) -> np.ndarray:
+    """Median of an odd number of images, value by value: the least and the greatest of a growing sample can't be the median and go.
+
+    Of n images, n // 2 + 2 are enough to be sure of the first two; every further image comes with two fewer.
     """
-    held, rest = planes[:14], planes[14:]
-    while True:
-        held = [x.copy() for x in held] if len(held) == 14 and rest else held
+    enough = len(held) // 2 + 2
+    held, rest = held[:enough], held[enough:]
+    while len(held) > 1:
         for i in range(len(held) // 2):  # lesser half in front, greater half behind
-            a, b = held[i], held[-1 - i]
-            low = np.minimum(a, b)
-            np.maximum(a, b, out=b)
-            held[i] = low
+            held[i], held[-1 - i] = np.minimum(held[i], held[-1 - i]), np.maximum(held[i], held[-1 - i])
         for i in range(1, (len(held) + 1) // 2):
-            low = np.minimum(held[0], held[i])
-            np.maximum(held[0], held[i], out=held[i])
-            held[0] = low
+            held[0], held[i] = np.minimum(held[0], held[i]), np.maximum(held[0], held[i])
         for i in range(len(held) // 2, len(held) - 1):
-            high = np.maximum(held[-1], held[i])
-            np.minimum(held[-1], held[i], out=held[i])
-            held[-1] = high
-        if len(held) == 3 and not rest:
-            return held[1]
-        held = held[1:-1]
-        if rest:
-            held.append(rest.pop(0).copy())
-
-
-def _window_median(seen: np.ndarray) -> np.ndarray:
-    """5x5 median leaving out NaN: whole windows by image minima and maxima, the others one by one."""
+            held[-1], held[i] = np.maximum(held[-1], held[i]), np.minimum(held[-1], held[i])
+        held = held[1:-1] + rest[:1]
+        rest = rest[1:]
+    return held[0]
+
+
+def _middle_of_25(padded: np.ndarray, h: int, w: int) -> np.ndarray:
+    """Median of every whole 5x5 window of an image with a border of two.
+
+    Each column of five is sorted once for all windows that hold it; in a window the columns' least values are sorted, then
+    their second ones and so on. A value in row i and column j of such a square has (i + 1)(j + 1) values at or below it and
+    (5 - i)(5 - j) at or above, itself counted, so only the 13 values for which neither exceeds 13 can be in the middle.
+    """
+    columns = _sort_five([padded[i : i + h] for i in range(5)])
+    square = [_sort_five([level[:, j : j + w] for j in range(5)]) for level in columns]
+    return _middle([square[i][j] for i in range(5) for j in range(5) if (i + 1) * (j + 1) <= 13 and (5 - i) * (5 - j) <= 13])
+
+
+def _window_median(seen: np.ndarray, raw: np.ndarray | None = None, scale: float = 1.0) -> np.ndarray:
+    """5x5 median leaving out NaN: whole windows by image minima and maxima, the others one by one.
+
+    With the ``raw`` whole numbers of which the image is ``scale`` times, whole windows are taken on these, which are narrower:
+    a middle value of 25 is one of them.
+    """
     h, w = seen.shape
     padded = np.pad(seen, 2, constant_values=np.nan)
     gaps = np.pad(np.cumsum(np.cumsum(np.isnan(padded), 0), 1), ((1, 0), (1, 0)))
     partial = (gaps[5:, 5:] - gaps[:-5, 5:] - gaps[5:, :-5] + gaps[:-5, :-5]) > 0
     out = np.full((h, w), np.nan)
     if not partial.all():
-        whole = np.nan_to_num(padded)
-        out = _middle_of_25([whole[i : i + h, j : j + w] for i in range(5) for j in range(5)])
+        out = _middle_of_25(np.nan_to_num(padded), h, w) if raw is None else _middle_of_25(np.pad(raw, 2), h, w).astype(np.float64) * scale
     v, u = np.nonzero(partial)
     if len(v):
         windows = np.sort(sliding_window_view(padded, (5, 5))[v, u].reshape(-1, 25), axis=1)
@@ -87,10 +104,12 @@ def _window_median(seen: np.ndarray) -> np.ndarray:
     return out
 
 
-def filtered_image(depth: np.ndarray, least: float = 0.3, most: float = 8.0, steep: float = 0.05) -> np.ndarray:
-    """Both filters on one image (the production kernel); 0 marks what is invalid or rejected."""
+def filtered_image(depth: np.ndarray, least: float = 0.3, most: float = 8.0, steep: float = 0.05, scale: float = 1.0) -> np.ndarray:
+    """Both filters on one image (the production kernel); 0 marks what is invalid or rejected. Whole numbers are times ``scale``."""
+    raw = depth.astype(depth.dtype.newbyteorder("="), copy=False) if depth.dtype.kind == "u" else None
+    depth = depth.astype(np.float64) * scale if raw is not None else depth
     valid = (depth > least) & (depth < most)
-    middle = _window_median(np.where(valid, depth, np.nan))
+    middle = _window_median(np.where(valid, depth, np.nan), raw, scale)
     smooth = np.where(valid, np.where(np.isfinite(middle), middle, depth), 0.0)
     known = np.where(smooth > least, smooth, np.nan)
     steps = [np.gradient(known, axis=a) if known.shape[a] > 1 else np.zeros_like(known) for a in (0, 1)]

@@ -20,12 +20,28 @@ def deproject(depth: np.ndarray, fx: float, fy: float, cx: float, cy: float, lea
     return np.stack([z, -(u - cx) / fx * z, -(v - cy) / fy * z], 1), mask
 
 
-def _codes(cells: np.ndarray) -> tuple[np.ndarray, int, int]:
-    """One number a cell, with a free cell around the occupied box, and the steps along the first two axes."""
-    low = cells.min(0) - 1
-    span = cells.max(0) - low + 2
-    step = int(span[1] * span[2]), int(span[2])
-    return (cells[:, 0] - low[0]) * step[0] + (cells[:, 1] - low[1]) * step[1] + (cells[:, 2] - low[2]), *step
+def _neighbours(cells: list[np.ndarray], points: bool) -> np.ndarray:
+    """For each point's cell, the points (or occupied cells) in the 3x3x3 cells around it, itself counted.
+
+    Cells are numbered in their own box with a free cell around it. A box of few cells a point is summed as it is,
+    axis by axis; a wider one by its occupied cells alone. Both give the same numbers.
+    """
+    low = [int(c.min()) - 1 for c in cells]
+    shape = tuple(int(c.max()) - lo + 2 for c, lo in zip(cells, low, strict=True))
+    code = ((cells[0] - low[0]) * shape[1] + (cells[1] - low[1])) * shape[2] + (cells[2] - low[2])
+    if shape[0] * shape[1] * shape[2] <= max(8 * len(code), 4_000_000):
+        held = np.bincount(code, minlength=shape[0] * shape[1] * shape[2]).astype(np.int32).reshape(shape)
+        held = held if points else (held > 0).astype(np.int32)
+        for axis in range(3):
+            ahead, behind = [slice(None)] * 3, [slice(None)] * 3
+            ahead[axis], behind[axis] = slice(1, None), slice(None, -1)
+            out = held.copy()
+            out[tuple(ahead)] += held[tuple(behind)]
+            out[tuple(behind)] += held[tuple(ahead)]
+            held = out
+        return held.ravel()[code]
+    keys, own, count = np.unique(code, return_inverse=True, return_counts=True)
+    return near_counts(keys, count if points else np.ones(len(keys), np.int64), shape[1] * shape[2], shape[2])[own]
 
 
 def near_counts(keys: np.ndarray, weights: np.ndarray, first: int, second: int) -> np.ndarray:
@@ -41,26 +57,25 @@ def near_counts(keys: np.ndarray, weights: np.ndarray, first: int, second: int)
 
 
 def radius_keep(points: np.ndarray, radius: float = 0.03, least: int = 6) -> np.ndarray:
-    codes, first, second = _codes(np.floor(points / radius).astype(np.int64))
-    keys, own, count = np.unique(codes, return_inverse=True, return_counts=True)
-    return near_counts(keys, count, first, second)[own] >= least
+    return _neighbours([np.floor(points[:, i] / radius).astype(np.int64) for i in range(3)], True) >= least
 
 
 def speckle_keep(points: np.ndarray, voxel: float = 0.05, low: tuple[float, float, float] = (-4.0, 0.3, -1.5), least: int = 4) -> np.ndarray:
     """Cells below the corner wrap round to the frame's other end, as negative indices do."""
-    cell = np.floor((points - np.asarray(low)) / voxel).astype(np.int64)
-    top = cell.max(0) + 1
-    codes, first, second = _codes(np.where(top > 0, np.mod(cell, np.maximum(top, 1)), cell))
-    keys, own = np.unique(codes, return_inverse=True)
-    return near_counts(keys, np.ones(len(keys), np.int64), first, second)[own] >= least
+    cells = [np.floor((points[:, i] - low[i]) / voxel).astype(np.int64) for i in range(3)]
+    for i, cell in enumerate(cells):
+        top = int(cell.max()) + 1
+        if top > 0 and cell.min() < 0:
+            cells[i] = np.mod(cell, top)
+    return _neighbours(cells, False) >= least
 
 
-def depth_to_points(depth: np.ndarray, rgb: np.ndarray, fx: float, cx: float, cy: float, fy: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+def depth_to_points(depth: np.ndarray, rgb: np.ndarray, fx: float, cx: float, cy: float, fy: float | None = None, scale: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
     """Median and gradient filter, deprojection, radius filter, speckle filter; points as 32-bit floats with colours.
 
-    Without fy, fx serves for both axes.
+    Depth in metres, or whole numbers that ``scale`` makes metres. Without fy, fx serves for both axes.
     """
-    points, mask = deproject(filtered_image(depth), fx, fx if fy is None else fy, cx, cy)
+    points, mask = deproject(filtered_image(depth, scale=scale), fx, fx if fy is None else fy, cx, cy)
     colours = rgb[mask]
     if len(points):
         keep = radius_keep(points)
@@ -81,10 +96,10 @@ def clouds(frames: DataFrame, scale: float = 1.0 / 6553.5, use_fy: bool = False)
         for batch in batches:
             for row in batch.to_pylist():
                 try:
-                    depth = codecs.decode_png(row["depth_bytes"]).astype(np.float64) * scale
-                    rgb = codecs.decode_png(row["rgb_bytes"]) if row["rgb_bytes"] else np.zeros((*depth.shape, 3), np.uint8)
+                    depth = codecs.decode_png(row["depth_bytes"])
+                    rgb = codecs.decode_colour(row["rgb_bytes"]) if row["rgb_bytes"] else np.zeros((*depth.shape, 3), np.uint8)
                     rgb = _fitted(rgb, depth.shape)
-                    p, c = depth_to_points(depth, rgb, row["fx"], row["cx"], row["cy"], row["fy"] if use_fy else None)
+                    p, c = depth_to_points(depth, rgb, row["fx"], row["cx"], row["cy"], row["fy"] if use_fy else None, scale)
                     columns = [pa.array(np.arange(len(p))), *(pa.array(p[:, i].astype(np.float64)) for i in range(3)), *(pa.array(c[:, i].astype(np.int16)) for i in range(3))]
                     yield pa.record_batch([pa.array([row["frame"]] * len(p), pa.string()), pa.nulls(len(p), pa.string()), *columns], names=["frame", "error", "seq", "x", "y", "z", "r", "g", "b"])
                 except Exception as error:
@@ -129,6 +144,23 @@ def surface_pixels(frames: DataFrame, scale: float = 1.0 / 6553.5, valid: tuple[
     return frames.select("frame", "fx", "fy", "cx", "cy", "depth_bytes", "label_bytes").mapInArrow(run, "frame string, error string, seq long, x double, y double, z double, label int")
 
 
+def median_depths(frames: DataFrame, scale: float = 1.0 / 6553.5, least: float = 0.3) -> DataFrame:
+    """frame, median_depth: the median of the raw depths above ``least`` of each frame, however far, 0 without any or if it is broken."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for raw in batch.column("depth_bytes").to_pylist():
+                try:
+                    depth = codecs.decode_png(raw).astype(np.float64) * scale
+                except Exception:  # the line itself tells what is wrong with the frame
+                    depth = np.zeros(0)
+                out.append(float(np.median(depth[depth > least])) if (depth > least).any() else 0.0)
+            yield pa.record_batch([batch.column("frame"), pa.array(out, pa.float64())], names=["frame", "median_depth"])
+
+    return frames.select("frame", "depth_bytes").mapInArrow(run, "frame string, median_depth double")
+
+
 def labelled_clouds(frames: DataFrame, scale: float = 1.0 / 6553.5) -> DataFrame:
     """frame, error, x, y, z, label: pixels that pass the median and gradient filter, with their label."""
 
@@ -137,7 +169,7 @@ def labelled_clouds(frames: DataFrame, scale: float = 1.0 / 6553.5) -> DataFrame
         for batch in batches:
             for row in batch.to_pylist():
                 try:
-                    depth = filtered_image(codecs.decode_png(row["depth_bytes"]).astype(np.float64) * scale)
+                    depth = filtered_image(codecs.decode_png(row["depth_bytes"]), scale=scale)
                     p, mask = deproject(depth, row["fx"], row["fx"], row["cx"], row["cy"])
                     label = codecs.decode_png(row["label_bytes"])[mask].astype(np.int32)
                     yield pa.record_batch([pa.array([row["frame"]] * len(p), pa.string()), pa.nulls(len(p), pa.string()), *(pa.array(p[:, i]) for i in range(3)), pa.array(label)], names=names)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from depthloom.sources import codecs
@@ -14,13 +14,42 @@ from depthloom.sources import codecs
 
 def low_counts(entries: DataFrame, count: str, share: float = 0.05) -> DataFrame:
     """Entries far below the exact median, which a one-row table brings to every row."""
-    median = entries.agg(F.median(count).alias("median"))
+    median = percentiles(entries, count, {"median": 0.5})
     return entries.crossJoin(F.broadcast(median)).where((F.col("median") > 0) & (F.col(count) < F.col("median") * share))
 
 
-def percentiles(df: DataFrame, column: str, shares: dict[str, float], by: list[str] | None = None) -> DataFrame:
-    """Exact percentiles with linear interpolation."""
-    return df.groupBy(*(by or [])).agg(*[F.percentile(column, F.lit(q)).alias(name) for name, q in shares.items()])
+def percentiles(df: DataFrame, column: str, shares: dict[str, float], by: list[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+    """Exact percentiles with linear interpolation, without a group's values in any one place.
+
+    A sketch of each group brackets each percentile between two values some ranks apart; a second pass counts what lies below
+    and gathers only what lies between, about 4 / ``accuracy`` of the rows, as counts of distinct values. There the ranks are exact.
+    """
+    keys = by or []
+    rows = df.select(*keys, F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    bounds = [q for share in shares.values() for q in (max(0.0, share - 2 / accuracy), min(1.0, share + 2 / accuracy))]
+    sketch = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", bounds, accuracy).alias("_b"))
+    marks = F.array(*[F.struct(F.lit(i).alias("s"), F.col("_b")[2 * i].alias("a"), F.col("_b")[2 * i + 1].alias("b"), F.col("_n").alias("n")) for i in range(len(shares))])
+    brackets = sketch.select(*keys, marks.alias("_m"))
+    if keys:
+        met = rows.join(brackets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_m"), [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    else:
+        met = rows.crossJoin(F.broadcast(brackets))  # one row
+    # what lies below a bracket is counted, the rest is kept by value; a value above it ends the search
+    told = met.select(*keys, "_v", F.explode("_m").alias("m")).select(*keys, F.col("m.s").alias("s"), F.col("m.n").alias("n"), F.when(F.col("_v") < F.col("m.a"), -1).when(F.col("_v") > F.col("m.b"), 1).otherwise(0).alias("side"), "_v")
+    counted = told.groupBy(*keys, "s", "n", "side", F.when(F.col("side") == 0, F.col("_v")).alias("v")).agg(F.count(F.lit(1)).alias("c"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    order = Window.partitionBy(*keys, "s").orderBy("side", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumn("last", F.sum("c").over(order) - 1).withColumn("first", F.col("last") - F.col("c") + 1)
+    share = F.element_at(F.array(*[F.lit(q) for q in shares.values()]), F.col("s") + 1)
+    at = (F.col("n") - 1) * share
+    held = lambda rank: F.max(F.when((rank >= F.col("first")) & (rank <= F.col("last")), F.when(F.col("side") < 0, F.col("hi")).otherwise(F.col("lo"))))
+    picked = ranked.groupBy(*keys, "s").agg(held(F.floor(at)).alias("x"), held(F.ceil(at)).alias("y"), F.any_value(at - F.floor(at)).alias("f"))
+    value = F.col("x") + (F.col("y") - F.col("x")) * F.col("f")
+    return picked.groupBy(*keys).agg(*[F.max(F.when(F.col("s") == i, value)).alias(name) for i, name in enumerate(shares)])
+
+
+def sampled(entries: DataFrame, every: int, place: str) -> DataFrame:
+    """Each ``every``-th entry by its place, the first counted."""
+    return entries.where(F.col(place) % every == 0)
 
 
 def legal_intrinsics(fx: Column, fy: Column, cx: Column, cy: Column, width: Column, height: Column) -> Column:
@@ -42,7 +71,7 @@ def signature(md5: Column, count: Column, size: Column) -> Column:
 
 def file_issues(entries: DataFrame, files: DataFrame) -> DataFrame:
     """First fault of each entry: missing, of another size, or empty; then low counts and near frames as warnings."""
-    median = entries.agg(F.median("count").alias("median"))
+    median = percentiles(entries, "count", {"median": 0.5})
     seen = entries.join(files.select(F.col("file"), F.col("length")), "file", "left").crossJoin(F.broadcast(median))
     fault = F.when(F.col("length").isNull(), "missing").when(F.col("length") != F.col("bytes"), "size").when(F.col("count") == 0, "empty")
     low = F.when((F.col("median") > 0) & (F.col("count") < F.col("median") * 0.05), "low_count")

@@ -47,7 +47,12 @@ def traverse(ends: np.ndarray, grid: Grid) -> tuple[np.ndarray, np.ndarray]:
 
 
 def crossed(points: DataFrame, grid: Grid, frame: str = "frame") -> DataFrame:
-    """Distinct (frame, ix, iy, iz) that the rays to the points cross; repeats within a batch never leave the worker."""
+    """Distinct (frame, ix, iy, iz) that the rays to the points cross."""
+    return crossings(points, grid, frame).distinct()
+
+
+def crossings(points: DataFrame, grid: Grid, frame: str = "frame") -> DataFrame:
+    """(frame, ix, iy, iz) that the rays to the points cross; repeats within a batch never leave the worker, others may stay."""
 
     size = math.prod(grid.dims)
 
@@ -61,7 +66,7 @@ def crossed(points: DataFrame, grid: Grid, frame: str = "frame") -> DataFrame:
             yield pa.record_batch([pa.array(names[seen // size]), *(pa.array(c.astype(np.int64)) for c in found)], names=[frame, *CELL])
 
     whole = points.select(F.col(frame).cast("long").alias(frame), *[F.col(c).cast("double").alias(c) for c in ("x", "y", "z")]).where("x is not null and y is not null and z is not null")
-    return whole.mapInArrow(run, f"{frame} long, ix long, iy long, iz long").distinct()
+    return whole.mapInArrow(run, f"{frame} long, ix long, iy long, iz long")
 
 
 def crossed_sql(grid: Grid, source: str, cast: str = "CAST({} AS BIGINT)") -> str:

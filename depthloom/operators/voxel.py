@@ -14,6 +14,11 @@ CELL = ("ix", "iy", "iz")
 FREE = 17
 
 
+def legal_label(label: Column) -> Column:
+    """A class number, 0 for none to 16."""
+    return (label >= 0) & (label < FREE)
+
+
 def with_cells(points: DataFrame, grid: Grid, clip: bool = True) -> DataFrame:
     """Adds ix, iy, iz; with ``clip`` drops points outside the grid."""
     cell = grid.cell((F.col("x"), F.col("y"), F.col("z")))
@@ -95,6 +100,14 @@ def tristate(labelled: DataFrame, free: DataFrame, by: tuple[str, ...] = ("frame
     return labelled.select(*by, *CELL, F.col("sem").cast("int").alias("sem")).union(free.select(*by, *CELL, F.lit(FREE)))
 
 
+def tristate_at_once(points: DataFrame, label: str, order: list[Column], rays: DataFrame, by: tuple[str, ...] = ("frame",)) -> DataFrame:
+    """``tristate`` of last labels and crossed cells, which may repeat, by one union and one aggregate over cells."""
+    place = F.struct(*order)
+    own = points.select(*by, *CELL, F.struct(place.alias("at"), F.col(label).cast("int").alias("sem")).alias("w"))
+    both = own.unionByName(rays.select(*by, *CELL), allowMissingColumns=True)
+    return both.groupBy(*by, *CELL).agg(F.coalesce(F.max_by("w.sem", "w.at"), F.lit(FREE)).alias("sem"))
+
+
 def densify(cells: DataFrame, grid: Grid, by: tuple[str, ...] = ("frame",)) -> DataFrame:
     """A row for each cell of the grid and frame: label (17 where unknown) and whether it was observed. For sinks."""
     whole = cells.select(*by).distinct()

@@ -28,7 +28,7 @@ def numbered(spark: SparkSession, splits: list[str], limit: int = 0, only: list[
 
 
 def prepared(wanted: DataFrame, meta: DataFrame, root: str, image_suffix: str = "jpg") -> DataFrame:
-    """Frames with both files: split, i, name, w, h, k, depth_bytes, rgb_bytes, label_bytes.
+    """Frames with both files: split, i, name, w, h, k, depth_bytes, rgb_bytes (decoded colours), label_bytes, rgb_file.
 
     meta: i (row of the metadata) and K, the 3x3 intrinsics. Sizes come from the depth image's header. Files are
     listed first, so contents are read for the wanted frames only; label images are optional.
@@ -40,19 +40,20 @@ def prepared(wanted: DataFrame, meta: DataFrame, root: str, image_suffix: str =
         files = None
         for split, s in SPLITS.items():
             try:
-                one = readers.contents(spark, f"{root}/{s[folder]}", glob)
+                one = (readers.contents if column == "depth" else readers.colours)(spark, f"{root}/{s[folder]}", glob)
             except Exception as error:
                 if "PATH_NOT_FOUND" not in str(error):
                     raise
                 continue
             number = F.regexp_extract("frame", r"(\d+)$", 1).cast("int")
-            one = one.select(F.lit(split).alias("split"), number.alias("i"), F.col("content").alias(f"{column}_bytes"))
+            found = [F.col("content").alias(f"{column}_bytes")] if column == "depth" else ["rgb_bytes", F.col("file").alias("rgb_file")]
+            one = one.select(F.lit(split).alias("split"), number.alias("i"), *found)
             files = one if files is None else files.union(one)
         out = out.join(files, ["split", "i"])
     labels = _labels(spark, root)
     out = out.join(labels, ["split", "i"], "left") if labels is not None else out.withColumn("label_bytes", F.lit(None).cast("binary"))
     number = lambda at: F.conv(F.hex(F.substring("depth_bytes", at, F.lit(4))), 16, 10).cast("int")
-    return out.select("split", "i", "name", number(17).alias("w"), number(21).alias("h"), "k", "depth_bytes", "rgb_bytes", "label_bytes")
+    return out.select("split", "i", "name", number(17).alias("w"), number(21).alias("h"), "k", "depth_bytes", "rgb_bytes", "label_bytes", "rgb_file")
 
 
 def _labels(spark: SparkSession, root: str) -> DataFrame | None:

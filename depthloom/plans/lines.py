@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from depthloom.functions import geometry as G
 from depthloom.functions import rotations as R
-from depthloom.operators import chain, detection, pointcloud, raycast, voxel
+from depthloom.operators import chain, detection, pointcloud, quality, raycast, voxel
 from depthloom.plans import tables
 from depthloom.sinks import writers
 from depthloom.sources import filesystem, readers
@@ -106,24 +106,24 @@ def occupancy(frames: DataFrame, root: str, grid: G.Grid = G.Grid(), ray_stride:
     writers.json_file(root, "annotations.json", document)
     classes = {"0": "others", "17": "free"} | {str(i): c for i, c in enumerate(detection.CLASSES, 1)}
     writers.json_file(root, "semantic_classes.json", {"mapping": "pixel value == semantic id", "classes": classes})
-    writers.manifest(root, "occ", {"voxel": grid.voxel, "ray_stride": ray_stride, "label_vote": vote, "backend": "exact"}, files)
+    medians = pointcloud.median_depths(f, scale).withColumnRenamed("frame", "key")
+    writers.manifest(root, "occ", {"voxel": grid.voxel, "ray_stride": ray_stride, "label_vote": vote, "backend": "exact"}, files.join(medians, "key", "left"))
     return Outcome(files, failed)
 
 
 def ego_boxes(boxes: DataFrame) -> DataFrame:
     """Boxes with class, translation, rotation, quaternion and size (w, l, h) in ego axes; malformed ones are dropped."""
     fine = (F.size("centroid") == 3) & (F.size("coeffs") == 3) & (F.size("basis") == 3)
-    b = boxes.where(F.coalesce(fine, F.lit(False))).withColumns({"translation": R.ego_translation("rtilt", "centroid"), "rot": R.ego_rotation("rtilt", "basis"), "cls13": detection.class_of(F.col("cls"))})
-    return b.withColumns({"rotation": R.to_quaternion("rot"), "size": F.array(F.col("coeffs")[1], F.col("coeffs")[0], F.col("coeffs")[2])})
+    b = boxes.where(F.coalesce(fine, F.lit(False))).withColumn("basis", R.proper_rotation("basis"))
+    tilt = F.col("rtilt")
+    b = b.withColumns({"translation": G.gravity_to_ego(tilt, F.col("centroid")), "rot": G.gravity_rotation(tilt, F.col("basis")), "cls13": detection.class_of(F.col("cls"))})
+    return b.withColumns({"rotation": G.matrix_quaternion(F.col("rot")), "size": F.array(F.col("coeffs")[1], F.col("coeffs")[0], F.col("coeffs")[2])})
 
 
 def box_counts(points: DataFrame, boxes: DataFrame, margin: float = 0.05) -> DataFrame:
     """Boxes with num_lidar_pts: points whose coordinates in the box's axes lie within half the coefficients plus a margin."""
     p = points.select("frame", "x", "y", "z")
-    delta = F.array(F.col("x") - F.col("translation")[0], F.col("y") - F.col("translation")[1], F.col("z") - F.col("translation")[2])
-    inside = F.lit(True)
-    for i in range(3):
-        inside = inside & (F.abs(G.dot(delta, G.column_of(F.col("rot"), i))) <= F.col("coeffs")[i] / 2 + F.lit(margin))
+    inside = G.inside_oriented_box(F.array("x", "y", "z"), F.col("translation"), F.col("rot"), F.transform("coeffs", lambda c: c / 2), margin)
     counts = p.join(boxes.select("frame", "j", "translation", "rot", "coeffs"), "frame").where(inside).groupBy("frame", "j").agg(F.count(F.lit(1)).alias("num_lidar_pts"))
     return boxes.join(counts, ["frame", "j"], "left").withColumn("num_lidar_pts", F.coalesce("num_lidar_pts", F.lit(0).cast("long")))
 
@@ -154,26 +154,29 @@ def label_agreement(frames: DataFrame, boxes: DataFrame, every: int = 50, scale:
     sampled = with_intrinsics(frames.where((F.col("i") % max(every, 1) == 0) & F.col("label_bytes").isNotNull()))
     cloud = pointcloud.labelled_clouds(sampled, scale).where("error is null")
     b = ego_boxes(boxes).withColumn("number", F.array_position(F.array(*[F.lit(c) for c in detection.CLASSES]), F.col("cls13")))
-    delta = F.array(*[F.col(c) - F.col("translation")[i] for i, c in enumerate(("x", "y", "z"))])
-    inside = F.lit(True)
-    for i in range(3):
-        inside = inside & (F.abs(G.dot(delta, G.column_of(F.col("rot"), i))) <= F.col("coeffs")[i] / 2 + F.lit(0.1))
+    inside = G.inside_oriented_box(F.array("x", "y", "z"), F.col("translation"), F.col("rot"), F.transform("coeffs", lambda c: c / 2), 0.1)
     pairs = cloud.join(b.select("frame", "j", "translation", "rot", "coeffs", "number"), "frame").where(inside)
     rates = pairs.groupBy("frame", "j").agg(F.count(F.lit(1)).alias("points"), F.avg((F.col("label") == F.col("number")).cast("double")).alias("rate")).where("points >= 5")
     return detection.rate_summary(rates)
 
 
 def copied_images(frames: DataFrame, root: str) -> DataFrame:
-    """Writes each frame's colour image below samples/CAM_FRONT as it is; returns frame and bytes."""
+    """Writes each frame's colour image below samples/CAM_FRONT as it is; returns frame and bytes.
+
+    The file named by ``rgb_file`` is copied, where there is one; else the frame's bytes are the image.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, raws = batch.column("frame").to_pylist(), batch.column("rgb_bytes").to_pylist()
-            for name, raw in zip(names, raws, strict=True):
+            names, raws = batch.column("frame").to_pylist(), []
+            for name, file, held in zip(names, batch.column("rgb_file").to_pylist(), batch.column("rgb_bytes").to_pylist(), strict=True):
+                raw = filesystem.read(file) if file else held
+                raws.append(raw)
                 filesystem.write(f"{root}/samples/CAM_FRONT/{name}.{'png' if raw[:4] == b'\x89PNG' else 'jpg'}", raw)
             yield pa.record_batch([batch.column("frame"), pa.array([len(r) for r in raws], pa.int64())], names=["frame", "bytes"])
 
-    rows = with_intrinsics(frames).where("rgb_bytes is not null").select("frame", "rgb_bytes")
+    file = F.col("rgb_file") if "rgb_file" in frames.columns else F.lit(None).cast("string")
+    rows = with_intrinsics(frames).where("rgb_bytes is not null").select("frame", file.alias("rgb_file"), F.when(file.isNull(), F.col("rgb_bytes")).alias("rgb_bytes"))
     return rows.mapInArrow(run, "frame string, bytes long")
 
 
@@ -193,7 +196,63 @@ def run_all(frames: DataFrame, boxes: DataFrame, root: str, min_pts: int = 0) ->
     clouds = point_clouds(frames, root)
     occ = occupancy(frames, root)
     points = readers.point_bins(frames.sparkSession, f"{root}/samples/LIDAR_TOP").where("error is null")
-    named = points.join(frames.select(F.concat_ws("/", "split", "name").alias("full"), "name"), F.col("frame") == F.col("name")).drop("frame", "name").withColumnRenamed("full", "frame")
-    detections(boxes, named, root, min_pts)
+    detections(boxes, points, root, min_pts)
     boxes_2d(boxes, root)
     return int(not (clouds.failed.isEmpty() and occ.failed.isEmpty()))
+
+
+def detection_product(frames: DataFrame, boxes: DataFrame, root: str, min_pts: int = 0, points_only: bool = False, skip_points: bool = False) -> DataFrame:
+    """The detection line over the point files below ``root``.
+
+    ``skip_points`` writes the annotations with no points counted; ``points_only`` writes the counts of the annotations
+    that are there anew, by token, and leaves all else as it is.
+    """
+    if skip_points:
+        empty = frames.sparkSession.createDataFrame([], "frame string, x double, y double, z double")
+        return detections(boxes, empty, root)
+    points = readers.point_bins(frames.sparkSession, f"{root}/samples/LIDAR_TOP").where("error is null")
+    if not points_only:
+        return detections(boxes, points, root, min_pts)
+    counted = box_counts(points, ego_boxes(boxes)).withColumn("split", F.split("frame", "/")[0])
+    number = F.regexp_extract("frame", r"img-(\d+)", 1).cast("int")
+    fresh = counted.select("split", G.token("ann", F.col("split"), number, F.col("j")).alias("token"), F.col("num_lidar_pts").alias("fresh")).persist()
+    for split in [r.split for r in fresh.select("split").distinct().collect()]:
+        held = readers.tables(frames.sparkSession, f"{root}/v1.0-{split}")
+        annotation = held["sample_annotation"]
+        renewed = chain.recounted(annotation, fresh.where(F.col("split") == split).select("token", "fresh"), "token", "num_lidar_pts", "fresh")
+        writers.annotation_tables(f"{root}/v1.0-{split}", {"sample_annotation": renewed.select(*annotation.columns), "instance": held["instance"]})
+    fresh.unpersist()
+    return counted
+
+
+def box_image_overlaps(boxes: DataFrame, frames: DataFrame) -> DataFrame:
+    """frame, j, iou: each box's projection into the image against its 2-D box; null where there is none."""
+    from depthloom.operators.detection import valid_bb2d
+
+    seen = with_intrinsics(frames).select("frame", "w", "h", "fx", "fy", "cx", "cy")
+    b = ego_boxes(boxes).join(seen, "frame").withColumn("bb", valid_bb2d(F.col("bb2d")))
+    half = F.transform("coeffs", lambda c: c / 2)
+    iou = G.oriented_overlap(F.col("translation"), F.col("rot"), half, *(F.col(c) for c in ("fx", "fy", "cx", "cy")), F.col("bb"), F.col("w").cast("double"), F.col("h").cast("double"))
+    return b.select("frame", "j", iou.alias("iou"))
+
+
+def quality_report(spark: object, root: str, product: str, sample_every: int = 25) -> dict:
+    """Checks a product's files against its manifest and writes qc_report_<product>.json; returns the report.
+
+    Every entry is checked for presence, size and count, each ``sample_every``-th one also inside; the lists of errors and warnings
+    hold findings only, so the driver sees a row a finding.
+    """
+    entries = readers.manifest(spark, f"{root}/manifest_{product}.json")
+    files = readers.listing(spark, root, "*.bin" if product == "nuscenes" else "*.npz").withColumn("file", readers.relative(F.col("file"), root))
+    issues = quality.file_issues(entries, files).select("level", F.concat_ws(" ", "code", "key").alias("message"))
+    sampled = quality.sampled(entries, sample_every, "at")
+    content = readers.contents(spark, root, "*.bin" if product == "nuscenes" else "*.npz").withColumn("file", readers.relative(F.col("file"), root))
+    inside = quality.deep_checks(content.join(sampled.select("file"), "file", "left_semi"), product)
+    found = issues.union(inside.select(F.lit("error"), F.concat_ws(" ", "fault", "file"))).orderBy("level", "message").collect()
+    stats = quality.percentiles(entries, "count", {"median": 0.5, "p5": 0.05, "p95": 0.95}).first()
+    report = {
+        "product": product, "entries": entries.count(), "sampled": sampled.count(), "sample_every": sample_every, "counts": stats.asDict() if stats else {},
+        "errors": [r.message for r in found if r.level == "error"], "warnings": [r.message for r in found if r.level == "warning"],
+    }
+    writers.json_file(root, f"qc_report_{product}.json", report)
+    return report

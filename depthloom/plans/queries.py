@@ -199,8 +199,8 @@ TRISTATE = f"{LAST}, y AS ({RAYS}), s AS (SELECT frame, ix, iy, iz, sem FROM o U
 
 
 def state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    taken = surfaces(spark, sf_dir)
-    return voxel.tristate(taken, voxel.free_only(raycast.crossed(points(spark, sf_dir), GRID), taken))
+    rays = raycast.crossings(points(spark, sf_dir), GRID)
+    return voxel.tristate_at_once(cells(spark, sf_dir), "label", [F.col(c) for c in ORDER], rays)
 
 
 @query(f"WITH {TRISTATE} SELECT * FROM s")
@@ -500,11 +500,12 @@ def q_box_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").where(~detection.sane_box(size, F.array(F.col("p_size").cast("double"), F.lit(0.0), F.lit(0.0)))).select("p_partkey")
 
 
-@query("SELECT l_returnflag AS split, label, count(*) AS n FROM (SELECT l_returnflag, l_linenumber AS label FROM lineitem WHERE l_linenumber BETWEEN 0 AND 16) GROUP BY ALL")
+@query("SELECT l_returnflag AS split, CAST(l_linenumber * 3 AS INTEGER) AS label, l_linenumber * 3 <= 16 AS legal, count(*) AS n FROM lineitem GROUP BY ALL")
 def q_legal_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels above 16 are an error; the histogram of the legal ones by split."""
-    label = F.when(F.col("l_linenumber") > 16, F.raise_error(F.lit("label above 16"))).otherwise(F.col("l_linenumber"))
-    return read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("split"), label.cast("int").alias("label")).groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+    """The histogram of labels by split; those above 16 are told apart."""
+    label = (F.col("l_linenumber") * 3).cast("int")
+    rows = read(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("split"), label.alias("label"))
+    return rows.groupBy("split", "label", voxel.legal_label(F.col("label")).alias("legal")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -523,6 +524,133 @@ def q_wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", (wanted(F.format_string("img-%06d", "p_partkey"), ["12"]) | wanted(F.col("p_name"), ["red"])).alias("wanted"))
 
 
+@query(f"""WITH {IMAGE} SELECT frame, coalesce(median(CASE WHEN depth > 0.3 THEN depth END), 0.0) AS median_depth FROM g GROUP BY frame""")
+def q_median_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imaging.median_depth(image(spark, sf_dir))
+
+
+@query(
+    """WITH e AS (SELECT CAST(doc_id AS VARCHAR) AS key, CASE WHEN doc_id % 50 = 0 THEN 0 WHEN doc_id % 50 = 1 THEN 1 ELSE n_chars END AS count, CAST(strlen(text) AS BIGINT) AS bytes, (doc_id % 40) / 10.0 AS near, doc_id FROM documents),
+f AS (SELECT CAST(doc_id AS VARCHAR) AS key, CAST(strlen(text) AS BIGINT) + CASE WHEN doc_id % 11 = 5 THEN 1 ELSE 0 END AS length FROM documents WHERE doc_id % 7 <> 3),
+s AS (SELECT e.*, length, (SELECT quantile_cont(count, 0.5) FROM e) AS m FROM e LEFT JOIN f USING (key))
+SELECT 'error' AS level, CASE WHEN length IS NULL THEN 'missing' WHEN length <> bytes THEN 'size' ELSE 'empty' END AS code, key FROM s WHERE length IS NULL OR length <> bytes OR count = 0
+UNION ALL SELECT 'warning', 'low_count', key FROM s WHERE m > 0 AND count < m * CAST(0.05 AS DOUBLE)
+UNION ALL SELECT 'warning', 'near', key FROM s WHERE near > 0 AND near < 1"""
+)
+def q_qc_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, i = read(spark, sf_dir, "documents"), F.col("doc_id")
+    key, size = i.cast("string").alias("key"), F.octet_length("text").cast("long")
+    count = F.when(i % 50 == 0, 0).when(i % 50 == 1, 1).otherwise(F.col("n_chars")).cast("long")
+    entries = d.select(key, i.cast("string").alias("file"), count.alias("count"), size.alias("bytes"), (i % 40 / 10.0).alias("median_depth"))
+    files = d.where(i % 7 != 3).select(i.cast("string").alias("file"), (size + F.when(i % 11 == 5, 1).otherwise(0)).alias("length"))
+    return quality.file_issues(entries, files)
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 25 = 0")
+def q_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.sampled(read(spark, sf_dir, "orders").select("o_orderkey"), 25, "o_orderkey")
+
+
+@query(
+    """SELECT o_orderkey AS token, c_name AS scene, 'img-' || CASE WHEN l_orderkey < 1000000 THEN lpad(CAST(l_orderkey AS VARCHAR), 6, '0') ELSE CAST(l_orderkey AS VARCHAR) END AS frame
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey WHERE l_linenumber = 1"""
+)
+def q_token_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("token"), F.col("o_custkey").alias("scene_token"))
+    scene = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("token"), F.col("c_name").alias("name"))
+    folder = F.when(F.col("l_linenumber") == 1, "CAM_FRONT").otherwise("LIDAR_TOP")
+    data = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("sample_token"), F.concat(F.lit("samples/"), folder, F.format_string("/img-%06d.jpg", "l_orderkey")).alias("filename"))
+    return chain.frame_of_token(sample, scene, data)
+
+
+@query(f"WITH {POINTS} SELECT {KEY}, upper(p_brand) AS category FROM p JOIN part ON l_partkey = p_partkey")
+def q_annotation_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part")
+    annotation = points(spark, sf_dir).select(*ORDER, F.col("l_partkey").alias("instance_token"))
+    instance = part.select(F.col("p_partkey").alias("token"), F.col("p_brand").alias("category_token"))
+    category = part.select(F.col("p_brand").alias("token"), F.upper("p_brand").alias("name")).distinct()
+    return chain.annotated(annotation, instance, category).select(*ORDER, "category")
+
+
+@query(
+    """WITH a AS (SELECT o_custkey, o_orderkey, row_number() OVER w AS r, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey)),
+b AS (SELECT o_custkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders WHERE o_totalprice > 50000)
+SELECT o_custkey, o_orderkey, o_totalprice AS fresh FROM a LEFT JOIN b USING (o_custkey, r, n)"""
+)
+def q_zipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders")
+    values = o.where("o_totalprice > 50000").select("o_custkey", "o_orderkey", F.col("o_totalprice").alias("fresh"))
+    return chain.zipped(o.select("o_custkey", "o_orderkey"), values, "o_custkey", ["o_orderkey"], "fresh")
+
+
+def turned_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The boxes, turned about a slanted axis, as centre, rotation and half size."""
+    b, half = boxes(spark, sf_dir), F.col("yaw") / 2
+    q = F.array(F.cos(half), F.sin(half) * 0.6, F.lit(0.0), F.sin(half) * 0.8)
+    return b.select("frame", "box", F.array("bx", "by", "bz").alias("centre"), G.quaternion_matrix(q).alias("rot"), F.array(F.col("sx") / 2, F.col("sy") / 2, F.col("sz") / 2).alias("half"))
+
+
+TURNED = f"""{BOXES}, h AS (SELECT *, cos(yaw / 2) AS qw, sin(yaw / 2) * 0.6 AS qx, CAST(0.0 AS DOUBLE) AS qy, sin(yaw / 2) * 0.8 AS qz FROM x),
+t AS (SELECT *, 1 - 2 * (qy * qy + qz * qz) AS m00, 2 * (qx * qy - qw * qz) AS m01, 2 * (qx * qz + qw * qy) AS m02, 2 * (qx * qy + qw * qz) AS m10, 1 - 2 * (qx * qx + qz * qz) AS m11,
+  2 * (qy * qz - qw * qx) AS m12, 2 * (qx * qz - qw * qy) AS m20, 2 * (qy * qz + qw * qx) AS m21, 1 - 2 * (qx * qx + qy * qy) AS m22 FROM h)"""
+_INSIDE = " AND ".join(f"abs((p.x - bx) * m0{j} + (p.y - b_y) * m1{j} + (p.z - bz) * m2{j}) <= s{'xyz'[j]} / 2 + CAST(0.05 AS DOUBLE)" for j in range(3))
+CORNERS = f"""{TURNED}, k AS (SELECT t.*, CAST(c.range AS INTEGER) AS corner, sx / 2 * (2 * (c.range & 1) - 1) AS a, sy / 2 * (2 * ((c.range >> 1) & 1) - 1) AS b, sz / 2 * (2 * ((c.range >> 2) & 1) - 1) AS d FROM t, range(8) c),
+v AS (SELECT box, corner, m00 * a + m01 * b + m02 * d + bx AS x, m10 * a + m11 * b + m12 * d + b_y AS y, m20 * a + m21 * b + m22 * d + bz AS z FROM k)"""
+
+
+@query(f"WITH {POINTS}, {TURNED}, i AS (SELECT t.box, count(*) AS n FROM p JOIN t ON p.frame = t.frame WHERE {_INSIDE} GROUP BY t.box) SELECT t.box, coalesce(n, 0) AS num_lidar_pts FROM t LEFT JOIN i USING (box)")
+def q_points_in_oriented_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = turned_boxes(spark, sf_dir)
+    inside = G.inside_oriented_box(F.array("x", "y", "z"), F.col("centre"), F.col("rot"), F.col("half"), 0.05)
+    n = points(spark, sf_dir).select("frame", "x", "y", "z").join(b, "frame").where(inside).groupBy("box").agg(F.count(F.lit(1)).alias("n"))
+    return b.select("box").join(n, "box", "left").select("box", F.coalesce("n", F.lit(0)).cast("long").alias("num_lidar_pts"))
+
+
+@query(f"WITH {CORNERS} SELECT box, corner, round(x, 6) AS x, round(y, 6) AS y, round(z, 6) AS z FROM v")
+def q_box_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = turned_boxes(spark, sf_dir).select("box", F.posexplode(G.box_corners(F.col("centre"), F.col("rot"), F.col("half"))).alias("corner", "p"))
+    return b.select("box", "corner", *[F.round(F.col("p")[i], 6).alias(c) for i, c in enumerate("xyz")])
+
+
+@query(
+    f"""WITH {CORNERS}, f AS (SELECT box, min(x + 5) AS near, greatest(min(200.0 * -y / (x + 5) + 160.0), 0.0) AS x1, greatest(min(200.0 * -z / (x + 5) + 120.0), 0.0) AS y1,
+  least(max(200.0 * -y / (x + 5) + 160.0), 320.0) AS x2, least(max(200.0 * -z / (x + 5) + 120.0), 240.0) AS y2 FROM v GROUP BY box),
+i AS (SELECT *, greatest(0.0, least(x2, 220.0) - greatest(x1, 100.0)) * greatest(0.0, least(y2, 150.0) - greatest(y1, 50.0)) AS i FROM f)
+SELECT box, CASE WHEN near > 0.05 AND box % 5 <> 0 AND (x2 - x1) * (y2 - y1) + 12000.0 - i > 0 THEN round(i / ((x2 - x1) * (y2 - y1) + 12000.0 - i), 6) END AS iou FROM i"""
+)
+def q_oriented_iou(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col("centre")
+    box = F.when(F.col("box") % 5 != 0, F.array(*[F.lit(v) for v in (100.0, 50.0, 120.0, 100.0)]))
+    iou = G.oriented_overlap(F.array(c[0] + 5, c[1], c[2]), F.col("rot"), F.col("half"), F.lit(200.0), F.lit(200.0), F.lit(160.0), F.lit(120.0), box, F.lit(320.0), F.lit(240.0))
+    return turned_boxes(spark, sf_dir).select("box", F.round(iou, 6).alias("iou"))
+
+
+_SIGN = "CASE WHEN m00 + m11 + m22 > 0 THEN qw WHEN m00 >= m11 AND m00 >= m22 THEN qx WHEN m11 >= m22 THEN qy ELSE qz END"
+
+
+@query(f"WITH {TURNED} SELECT box, " + ", ".join(f"round({q} * CASE WHEN {_SIGN} < 0 THEN -1.0 ELSE 1.0 END + 0.0, 6) AS {q}" for q in ("qw", "qx", "qy", "qz")) + " FROM t")
+def q_quaternion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rotation's quaternion is the one that it was made of, with the leading part positive."""
+    q = G.matrix_quaternion(F.col("rot"))
+    return turned_boxes(spark, sf_dir).select("box", *[(F.round(q[i], 6) + F.lit(0.0)).alias(n) for i, n in enumerate(("qw", "qx", "qy", "qz"))])
+
+
+@query(f"WITH {TURNED} SELECT box, " + ", ".join(f"CASE WHEN box % 9 = 0 THEN {float(i == j)} ELSE round(m{i}{j}, 6) + 0.0 END AS m{i}{j}" for i in range(3) for j in range(3)) + " FROM t")
+def q_proper_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bases that are stretched along their axes, mirrored in the first one or not finite give their rotation, or none."""
+    from depthloom.functions.rotations import proper_rotation
+
+    bad, flip = F.col("box") % 9 == 0, F.when(F.col("box") % 2 == 0, -1.5).otherwise(0.7)
+    stretched = F.transform("rot", lambda r: F.array(F.when(bad, F.lit(float("nan"))).otherwise(r[0] * flip), r[1] * 1.25, r[2] * 0.5))
+    out = turned_boxes(spark, sf_dir).select("box", proper_rotation(stretched).alias("r"))
+    return out.select("box", *[(F.round(F.col("r")[i][j], 6) + F.lit(0.0)).alias(f"m{i}{j}") for i in range(3) for j in range(3)])
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date_captured, strftime(o_orderdate, '%Y%m%d_%H%M%S') AS stamp FROM orders")
+def q_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_captured"), F.date_format("o_orderdate", "yyyyMMdd_HHmmss").alias("stamp"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -13,6 +13,7 @@ DATASETS: dict[str, dict[str, Callable]] = {
     "sunrgbd": {
         "nuscenes": lambda frames, boxes, root, **o: lines.point_clouds(frames, root, **o),
         "occ": lambda frames, boxes, root, **o: lines.occupancy(frames, root, **o),
+        "detection": lambda frames, boxes, root, **o: lines.detection_product(frames, boxes, root, **o),
         "2d": lambda frames, boxes, root, **o: lines.boxes_2d(boxes, root, **o),
         "all": lambda frames, boxes, root, **o: lines.run_all(frames, boxes, root, **o),
     }

@@ -93,6 +93,19 @@ def decode_image(name: str, raw: bytes) -> np.ndarray:
     return np.load(io.BytesIO(raw)) if name.endswith(".npy") else decode_png(raw)
 
 
+#: Mark of pixels that Spark's image source has decoded: height, width and channels follow as 32-bit numbers, then the bytes.
+PIXELS = b"BGR\x00"
+
+
+def decode_colour(raw: bytes) -> np.ndarray:
+    """Colour pixels (height, width, red green blue) of a PNG, or of what ``readers.colours`` made of any image."""
+    if raw[:4] != PIXELS:
+        return decode_png(raw)
+    h, w, channels = struct.unpack(">3I", raw[4:16])
+    image = np.frombuffer(raw, np.uint8, h * w * channels, 16).reshape(h, w, channels)
+    return np.repeat(image, 3, 2) if channels == 1 else image[..., 2::-1]
+
+
 def decode_depth(name: str, raw: bytes, scale: float = 1.0) -> np.ndarray:
     """Metres; the scale holds for images, an .npy is taken as it is."""
     image = decode_image(name, raw)

@@ -1,17 +1,19 @@
 """Readers: files become rows through Spark's binaryFile source and Arrow kernels.
 
-The JVM lists and reads, so any store Spark knows will do; a frame's name is its file name without suffixes. A file
+The JVM lists and reads, so any store Spark knows will do; a frame's name is its path below the folder that was
+read, without suffixes and without a closing ``labels``, so equal names in two splits stay apart. A file
 that can't be decoded gives a row with its error instead of failing the job.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depthloom import schemas
@@ -26,8 +28,41 @@ def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def contents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
-    base = F.element_at(F.split("path", "/"), -1)
-    return files.select(F.col("path").alias("file"), F.regexp_replace(base, r"\.(pcd\.bin|png|npy|npz|ply|mat|jpg)$", "").alias("frame"), "content")
+    return files.select(F.col("path").alias("file"), frame_below(F.col("path"), path).alias("frame"), "content")
+
+
+def frame_below(file: Column, folder: str) -> Column:
+    """Frame name of a file below a folder; its base name if the folder is a pattern or the file itself."""
+    tail = re.sub(r"^[a-z0-9]+:/*", "/", folder).rstrip("/")
+    below = F.regexp_extract(file, rf"\Q{tail}\E/+(.+)$", 1)
+    name = F.when(below == "", F.element_at(F.split(file, "/"), -1)).otherwise(below)
+    return F.regexp_replace(name, r"(/labels)?\.(pcd\.bin|png|npy|npz|ply|mat|jpg|jpeg)$", "")
+
+
+def relative(file: Column, folder: str) -> Column:
+    """The path of a file below a folder, suffixes and all."""
+    tail = re.sub(r"^[a-z0-9]+:/*", "/", folder).rstrip("/")
+    return F.regexp_extract(file, rf"\Q{tail}\E/+(.+)$", 1)
+
+
+def colours(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFrame:
+    """file, frame, rgb_bytes: images of any kind that the JVM reads (JPEG too), decoded there; for ``codecs.decode_colour``.
+
+    What can't be decoded is an empty image of no pixels.
+    """
+    files = spark.read.format("image").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    number = lambda c: F.unhex(F.lpad(F.hex(F.greatest(F.col(f"image.{c}"), F.lit(0)).cast("long")), 8, "0"))
+    raw = F.concat(F.lit(codecs.PIXELS), number("height"), number("width"), number("nChannels"), F.coalesce("image.data", F.lit(b"")))
+    return files.select(F.col("image.origin").alias("file"), frame_below(F.col("image.origin"), path).alias("frame"), raw.alias("rgb_bytes"))
+
+
+MANIFEST_ENTRY = "struct<file: string, count: bigint, bytes: bigint, md5: string, median_depth: double>"
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """key, at (place in the file), file, count, bytes, md5, median_depth of a manifest's entries."""
+    held = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<entries: map<string, {MANIFEST_ENTRY}>>").alias("m"))
+    return held.select(F.posexplode("m.entries").alias("at", "key", "e")).select("key", "at", "e.*")
 
 
 def decoded(files: DataFrame, decode: Callable[[str, bytes], Iterator[pa.RecordBatch]], columns: str) -> DataFrame:

@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from depthloom.operators import quality
+from depthloom.operators import pointcloud, quality
 from depthloom.plans import frames, lines
 from depthloom.sinks import raster
 from depthloom.sources import codecs, readers
@@ -24,14 +25,45 @@ def test_frames_from_folders(spark, tmp_path):
     assert [(r.split, r.i, r.name, r.w, r.h, r.k) for r in got] == [("val", 1, "img-000001", 56, 42, K)] and got[0].label_bytes
     assert frames.limited(wanted, 2, "split").count() == 2
 
-    made = spark.createDataFrame(got, "split string, i int, name string, w int, h int, k array<array<double>>, depth_bytes binary, rgb_bytes binary, label_bytes binary")
+    made = spark.createDataFrame(got, "split string, i int, name string, w int, h int, k array<array<double>>, depth_bytes binary, rgb_bytes binary, label_bytes binary, rgb_file string")
     box = [("val/img-000001", 0, "chair", [0.0, 2.0, 0.0], [0.2, 0.2, 0.2], EYE, None, EYE), ("val/img-000001", 1, "bed", [0.0, 2.0, 0.0], [0.2, 0.2, 0.2], EYE, None, EYE)]
     boxes = spark.createDataFrame(box, "frame string, j int, cls string, centroid array<double>, coeffs array<double>, basis array<array<double>>, bb2d array<double>, rtilt array<array<double>>")
     assert tuple(lines.label_agreement(made, boxes, 1).first()) == (2, 0.5, 0.5, 0.5)
-    assert lines.copied_images(made, str(tmp_path / "out")).first().bytes == len(got[0].rgb_bytes)
+    assert lines.copied_images(made, str(tmp_path / "out")).first().bytes == len((tmp_path / "SUNRGBD-test_images/img-000001.png").read_bytes())
     assert (tmp_path / "out/samples/CAM_FRONT/val/img-000001.png").exists()
 
 
+def jpeg(spark, path, width, height, grey=False):
+    """A real JPEG of one colour, written by the JVM."""
+    jvm = spark._jvm
+    image = jvm.java.awt.image.BufferedImage(width, height, 10 if grey else 1)
+    pen = image.createGraphics()
+    pen.setColor(jvm.java.awt.Color(200, 100, 50))
+    pen.fillRect(0, 0, width, height)
+    jvm.javax.imageio.ImageIO.write(image, "jpg", jvm.java.io.File(str(path)))
+
+
+def test_jpeg_colours(spark, tmp_path):
+    """The default input: JPEG colours of another size than the depth image, a grey one, and one that is broken."""
+    for folder in ("SUNRGBD-train_images", "sunrgbd_train_depth"):
+        (tmp_path / folder).mkdir()
+    for i in (1, 2, 3):
+        (tmp_path / f"sunrgbd_train_depth/{i}.png").write_bytes(codecs.encode_png(np.full((42, 56), 13107, np.uint16)))
+    jpeg(spark, tmp_path / "SUNRGBD-train_images/img-000001.jpg", 112, 84)
+    jpeg(spark, tmp_path / "SUNRGBD-train_images/img-000002.jpg", 56, 42, grey=True)
+    (tmp_path / "SUNRGBD-train_images/img-000003.jpg").write_bytes(b"no image")
+    meta = spark.createDataFrame([(5050 + i, K) for i in range(3)], "i long, K array<array<double>>")
+    made = frames.prepared(frames.numbered(spark, ["train"], limit=3), meta, f"file://{tmp_path}").persist()
+    assert made.count() == 3
+    rows = pointcloud.clouds(lines.with_intrinsics(made)).persist()
+    assert [r.frame for r in rows.where("error is not null").select("frame").distinct().collect()] == ["train/img-000003"]
+    tone = {r.frame: (r.r, r.g, r.b) for r in rows.where("error is null").groupBy("frame").agg(*[F.avg(c).alias(c) for c in "rgb"]).collect()}
+    assert np.allclose(tone["train/img-000001"], (200, 100, 50), atol=6) and len(set(tone["train/img-000002"])) == 1
+    copied = {r.frame: r.bytes for r in lines.copied_images(made, str(tmp_path / "out")).collect()}
+    whole = (tmp_path / "SUNRGBD-train_images/img-000001.jpg").read_bytes()
+    assert (tmp_path / "out/samples/CAM_FRONT/train/img-000001.jpg").read_bytes() == whole and copied["train/img-000001"] == len(whole)
+
+
 def test_boxes_from_metadata(spark):
     good, bad = ("bed", [0.0] * 3, [1.0] * 3, EYE, [1.0, 1.0, 0.0, 5.0]), ("bed", [0.0], None, EYE, None)
     meta = spark.createDataFrame([(0, EYE, [good, bad]), (1, EYE, None)], "i long, Rtilt array<array<double>>, boxes array<struct<cls: string, centroid: array<double>, coeffs: array<double>, basis: array<array<double>>, bb2d: array<double>>>")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -64,8 +66,8 @@ def test_gravity(spark):
     tilt = np.linalg.qr(np.random.default_rng(1).standard_normal((3, 3)))[0]
     v = np.array([0.5, 2.0, -1.0])
     df = spark.createDataFrame([(tilt.tolist(), v.tolist())], "t array<array<double>>, v array<double>")
-    sql = df.select(G.gravity_to_ego(F.col("t"), F.col("v")).alias("a"), rotations.ego_translation("t", "v").alias("b")).first()
-    assert np.allclose(sql.a, sql.b) and np.allclose(sql.a, rotations.TO_RIGHT_FORWARD_UP.T @ tilt.T @ v)
+    sql = df.select(G.gravity_to_ego(F.col("t"), F.col("v")).alias("a")).first()
+    assert np.allclose(sql.a, rotations.TO_RIGHT_FORWARD_UP.T @ tilt.T @ v)
 
 
 def test_median_and_gradient_kernel_equals_sql(spark):
@@ -121,3 +123,49 @@ def test_names_and_quality(spark):
     files = spark.createDataFrame([("fa", 10), ("fb", 10), ("fc", 10)], "file string, length long")
     got = {(r.key, r.code) for r in quality.file_issues(entries, files).collect()}
     assert got == {("b", "empty"), ("b", "low_count"), ("c", "size"), ("c", "near"), ("d", "missing")}
+
+
+def test_rotations_in_batches_and_columns(spark):
+    """Many bases at once as one by one, and quaternions by columns as by numpy, in every branch."""
+    rng = np.random.default_rng(0)
+    bases = rng.standard_normal((40, 3, 3))
+    bases[3], bases[4, 0, 0], bases[5] = np.diag([-1.0, 1, 1]), np.nan, np.diag([1, 1, 0.02])
+    assert np.allclose(rotations.proper_batch(bases), [rotations.proper(b) for b in bases])
+    turns = [*rotations.proper_batch(bases), np.diag([1.0, -1, -1]), np.diag([-1.0, 1, -1]), np.diag([-1.0, -1, 1])]
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(turns)], "i int, m array<array<double>>")
+    for r in df.select("i", "m", G.matrix_quaternion(F.col("m")).alias("q")).collect():
+        assert np.allclose(r.q, rotations.quaternion(np.array(r.m)))
+
+
+def test_median_of_whole_numbers():
+    rng = np.random.default_rng(2)
+    for gaps in (0.0, 0.1):
+        raw = rng.integers(2500, 50_000, (23, 31)).astype(np.uint16)
+        raw[rng.random(raw.shape) < gaps] = 0
+        depth = raw.astype(float) / 6553.5
+        assert (imaging.filtered_image(raw, scale=1 / 6553.5) == imaging.filtered_image(raw.astype(float) * (1 / 6553.5))).all()
+        padded = np.pad(np.where((depth > 0.3) & (depth < 8), depth, np.nan), 2, constant_values=np.nan)
+        want = [[np.nanmedian(padded[v : v + 5, u : u + 5]) for u in range(31)] for v in range(23)]
+        assert np.allclose(imaging._window_median(padded[2:-2, 2:-2], raw, 1 / 6553.5), want)
+
+
+@pytest.mark.parametrize("spread", [0.05, 30.0])
+def test_neighbours_in_boxes_of_any_width(spread):
+    cells = np.floor(np.random.default_rng(1).standard_normal((1500, 3)) * [40 * spread, 30 * spread, 10 * spread]).astype(int)
+    held = Counter(map(tuple, cells))
+    near = [[(x + a, y + b, z + c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)] for x, y, z in cells]
+    assert pointcloud._neighbours(list(cells.T), True).tolist() == [sum(held[k] for k in ks) for ks in near]
+    assert pointcloud._neighbours(list(cells.T), False).tolist() == [sum(k in held for k in ks) for ks in near]
+
+
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+def test_percentiles_are_exact(spark, accuracy):
+    rng = np.random.default_rng(4)
+    groups = {"a": rng.standard_normal(3000), "b": np.round(rng.standard_normal(500)), "c": np.array([3.0]), None: np.array([1.0, 2.0]), "d": np.repeat(7.0, 400)}
+    rows = [(k, float(v)) for k, x in groups.items() for v in x] + [("a", None), ("e", None)]
+    shares = {"p0": 0.0, "p5": 0.05, "median": 0.5, "p95": 0.95, "p100": 1.0}
+    got = quality.percentiles(spark.createDataFrame(rows, "k string, v double").repartition(4), "v", shares, ["k"], accuracy).collect()
+    assert {r.k for r in got} == set(groups)
+    for r in got:
+        assert [r[n] for n in shares] == pytest.approx([np.quantile(groups[r.k], q) for q in shares.values()])
+    assert quality.percentiles(spark.createDataFrame([], "v double"), "v", {"m": 0.5}).first().m is None

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from depthloom import cli, registry
 from depthloom.functions.geometry import Grid
 from depthloom.plans import lines, tables
 from depthloom.sinks import raster, writers
@@ -44,7 +45,7 @@ def test_all_lines(spark, frames, boxes, tmp_path):
     assert list(failed) == ["train/img-000003"]
     bins = readers.point_bins(spark, f"file://{root}/samples/LIDAR_TOP")
     assert bins.where("error is not null").count() == 0
-    p = bins.where("frame = 'img-000001'").toPandas()
+    p = bins.where("frame = 'train/img-000001'").toPandas()
     assert len(p) > 10 and np.allclose(p.x, 2, atol=1e-3) and np.allclose(p.intensity, 0.2, atol=1e-6) and (p.ring == 0).all()
     t = readers.tables(spark, f"file://{root}/v1.0-train")
     assert t["sample"].count() == 3 and t["sample_data"].count() == 6 and t["category"].count() == 13 and t["calibrated_sensor"].count() == 3
@@ -61,7 +62,7 @@ def test_all_lines(spark, frames, boxes, tmp_path):
     assert z["semantics"].shape == (200, 200, 16) and set(z["semantics"][(z["mask_camera"] == 1) & (z["semantics"] < 17)]) == {7}
     assert (z["mask_lidar"] == z["mask_camera"]).all() and (z["semantics"][z["mask_camera"] == 0] == 17).all()
     cells = readers.occupancy(spark, f"file://{root}/gts").where("error is null")
-    assert cells.groupBy("frame").count().count() == 1  # file names are all labels.npz
+    assert {r.frame for r in cells.select("frame").distinct().collect()} == {"train/img-000001", "train/img-000002"}
     manifest = json.loads((tmp_path / "manifest_occ.json").read_text())
     assert manifest["frames"] == 2 and manifest["entries"]["train/img-000001"]["count"] == int(z["mask_camera"].sum())
     again = lines.point_clouds(frames, root)
@@ -105,3 +106,41 @@ def test_streaming_resume(spark, tmp_path):
     incremental.run_new(spark, src, "frame string", work, out, mark)
     assert sorted(r.frame for r in spark.read.parquet(f"{out}/ok").collect()) == ["a", "c"]
     assert [r.frame for r in incremental.to_retry(spark, out).collect()] == ["b"]
+
+
+def test_equal_names_in_two_splits(spark, tmp_path):
+    """Frames of one name in two splits keep their own points, and boxes count those of their split."""
+    near, far = list(_frame(1)), list(_frame(1))
+    far[0], far[6] = "val", codecs.encode_png(np.full((42, 56), int(4 * 6553.5), np.uint16))
+    one = [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]]
+    rows = [(f"{split}/img-000001", 0, "bed", [0.0, d, 0.0], [0.2, 0.2, 0.2], one, None, one) for split, d in (("train", 2.0), ("val", 4.0))]
+    boxes = spark.createDataFrame(rows, "frame string, j int, cls string, centroid array<double>, coeffs array<double>, basis array<array<double>>, bb2d array<double>, rtilt array<array<double>>")
+    frames = spark.createDataFrame([tuple(near), tuple(far)], SCHEMA)
+    root = str(tmp_path)
+    assert lines.run_all(frames, boxes, root) == 0
+    depth = {r.frame: r.x for r in readers.point_bins(spark, f"file://{root}/samples/LIDAR_TOP").groupBy("frame").agg(F.round(F.avg("x"), 2).alias("x")).collect()}
+    assert depth == {"train/img-000001": 2.0, "val/img-000001": 4.0}
+    counts = {s: readers.tables(spark, f"file://{root}/v1.0-{s}")["sample_annotation"].first().num_lidar_pts for s in ("train", "val")}
+    held = {r.frame: r.n for r in readers.point_bins(spark, f"file://{root}/samples/LIDAR_TOP").where("abs(y) <= 0.15 and abs(z) <= 0.15").groupBy("frame").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {s: held[f"{s}/img-000001"] for s in ("train", "val")} and counts["train"] != counts["val"] and min(counts.values()) > 0
+
+    manifest = json.loads((tmp_path / "manifest_occ.json").read_text())["entries"]
+    assert {k: round(e["median_depth"], 2) for k, e in manifest.items()} == {"train/img-000001": 2.0, "val/img-000001": 4.0}
+    report = lines.quality_report(spark, root, "occ", 1)
+    assert report["errors"] == report["warnings"] == [] and report["entries"] == report["sampled"] == 2 and json.loads((tmp_path / "qc_report_occ.json").read_text()) == report
+    (tmp_path / "gts/val/img-000001/labels.npz").write_bytes(b"short")
+    found = lines.quality_report(spark, root, "occ", 1)["errors"]
+    assert len(found) == 2 and found[0].startswith("BadZipFile") and found[1] == "size val/img-000001"
+    (tmp_path / "gts/val/img-000001/labels.npz").unlink()
+    assert lines.quality_report(spark, root, "occ")["errors"] == ["missing val/img-000001"]
+
+    run = registry.product("sunrgbd", "detection")
+    run(frames, boxes, root, skip_points=True)
+    first = lambda: readers.tables(spark, f"file://{root}/v1.0-val")["sample_annotation"].collect()
+    before = first()
+    assert [r.num_lidar_pts for r in before] == [0]
+    run(frames, boxes, root, points_only=True)
+    after = first()
+    assert [r.num_lidar_pts for r in after] == [counts["val"]] and [r.token for r in after] == [r.token for r in before]
+    assert lines.box_image_overlaps(boxes, frames).where("iou is null").count() == 2
+    assert cli.main(["qc", root, "nuscenes"]) == 0
