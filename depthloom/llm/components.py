@@ -13,10 +13,10 @@ def _both(edges: DataFrame) -> DataFrame:
 
 
 def large_star(edges: DataFrame) -> DataFrame:
-    """Links each neighbour above a node to the node's least neighbour, itself counted."""
+    """Links each neighbour above a node to the node's least neighbour, itself counted; at most a row a link, repeats left in."""
     both = _both(edges)
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -27,22 +27,21 @@ def small_star(edges: DataFrame) -> DataFrame:
     return kept.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _print(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node has at most one link to a lesser node, and that node has none: finished components."""
+    ends = edges.select("u", F.lit(1).alias("down")).union(edges.select(F.col("v").alias("u"), F.lit(0).alias("down")))
+    told = ends.groupBy("u").agg(F.sum("down").alias("down"), F.min("down").alias("lower"))
+    return told.where("down > 1 or (down > 0 and lower = 0)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """From links (u, v) of integers to (node, component), the component its least node.
 
     Nodes without links are not in the result. Every round is written to the shared folder; rounds
-    end when the links, then stars around least nodes, no longer change.
+    end when the links are stars around least nodes.
     """
     now = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    mark = _print(now)
-    while mark[0]:
+    while not _stars(now):
         now = stored(small_star(large_star(now)), "links")
-        before, mark = mark, _print(now)
-        if mark == before:
-            break
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).groupBy("node").agg(F.min("component").alias("component"))
+    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -342,8 +342,9 @@ def link(docs: DataFrame, p: Params = Params(), bare: DataFrame | None = None) -
         first = F.struct(F.xxhash64("node", F.lit(turn)) if turn else -F.col("crowd"), F.col("node"))
         centre = own.groupBy("bucket").agg(F.min_by(F.struct(F.col("node").alias("c"), F.col("component").alias("cc")), first).alias("m")).select("bucket", "m.*")
         pairs = stored(_ordered(own.join(centre, "bucket").where("component <> cc"), "node", "c"), "pairs")
-        links = links.union(stored(_confirmed(_agreeing(pairs, met, p), texts, p), "confirmed"))
-        found = stored(components(links), "components")
+        new = stored(_confirmed(_agreeing(pairs, met, p), texts, p), "confirmed")
+        found = stored(components(links.union(new)), "components")
+        links = found.select(F.col("node").alias("u"), F.col("component").alias("v"))
     new = stored(_within_clusters(members, texts, found, p), "cluster-links")
     if not new.isEmpty():
         found = stored(components(links.union(new)), "components")
