@@ -1,4 +1,4 @@
-"""Command line: list, doctor, convert, info, diff, qc, and queries over the driver's tables."""
+"""Command line: list, doctor, convert, info, diff, qc, points, occ, preview, demo, walk."""
 
 from __future__ import annotations
 
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from depthloom import registry
 from depthloom.operators import quality
-from depthloom.plans import lines
-from depthloom.sources import filesystem
+from depthloom.plans import exports, lines
+from depthloom.sources import filesystem, readers
 
 
 def session() -> SparkSession:
@@ -76,9 +76,44 @@ def parser() -> argparse.ArgumentParser:
     check.add_argument("root")
     check.add_argument("product")
     check.add_argument("--every", type=int, default=25)
+    for name in ("points", "occ", "preview", "demo"):
+        export = sub.add_parser(name)
+        export.add_argument("root")
+        export.add_argument("out")
+        export.add_argument("--frames")
+        export.add_argument("--boxes")
+        export.add_argument("--names", nargs="*", default=[])
+        export.add_argument("--limit", type=int, default=0)
+        export.add_argument("--split", default="train" if name == "demo" else "")
+        if name == "points":
+            export.add_argument("--colour", choices=["intensity", "white"], default="intensity")
+        if name == "occ":
+            export.add_argument("--style", choices=["cube", "points"], default="cube")
+            export.add_argument("--free-every", type=int, default=8)
+            export.add_argument("--share", type=float, default=0.95)
+    sub.add_parser("walk").add_argument("folder")
     return out
 
 
+def export(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Runs an export verb and prints what was written; 1 if nothing was."""
+    frames, boxes = (spark.read.parquet(path) if path else None for path in (args.frames, args.boxes))
+    one = {"names": args.names, "limit": args.limit, "split": args.split}
+    if args.command == "demo":
+        made = [f for name in args.names or ["img-000001"] for f in exports.demo(spark, args.root, args.out, f"{args.split}/{name}", frames, boxes)]
+    elif args.command == "preview":
+        if frames is None or boxes is None:
+            raise SystemExit("preview needs --frames and --boxes")
+        named = exports.chosen(lines.with_intrinsics(frames), **one)
+        made = [f"{r.frame}: {r.boxes} boxes" for r in exports.previews(named, boxes, args.out).collect()]
+    elif args.command == "points":
+        made = [r.file for r in exports.points(spark, args.root, args.out, args.colour, frames, **one).collect()]
+    else:
+        made = [r.file for r in exports.occupancy(spark, args.root, args.out, args.style, args.share, args.free_every, frames=frames, **one).collect()]
+    print("\n".join(sorted(made)))
+    return int(not made)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     if args.command == "list":
@@ -97,6 +132,13 @@ def main(argv: list[str] | None = None) -> int:
         report = lines.quality_report(spark, args.root, args.product, args.every)
         print(json.dumps({"errors": len(report["errors"]), "warnings": len(report["warnings"])}))
         return int(bool(report["errors"]))
+    if args.command in ("points", "occ", "preview", "demo"):
+        return export(spark, args)
+    if args.command == "walk":
+        for name, rows in exports.walk(readers.tables(spark, args.folder)).items():
+            print(name)
+            rows.show(20, False)
+        return 0
     run = registry.product(args.dataset, args.product)
     boxes = spark.read.parquet(args.boxes) if args.boxes else None
     result = run(spark.read.parquet(args.frames), boxes, args.root)

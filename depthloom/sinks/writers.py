@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Callable
 
 import numpy as np
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depthloom import schemas
+from depthloom import schemas, version
 from depthloom.functions.geometry import Grid
 from depthloom.operators.voxel import CELL, FREE
 from depthloom.sources import codecs, filesystem
@@ -117,11 +118,12 @@ def annotation_tables(folder: str, rows: dict[str, DataFrame]) -> None:
         _json_rows(rows[name], f"{folder.rstrip('/')}/{name}.json")
 
 
-def manifest(root: str, product: str, params: dict, entries: DataFrame, version: str = "1") -> int:
+def manifest(root: str, product: str, params: dict, entries: DataFrame) -> int:
     """manifest_<product>.json with an entry for each file; returns their number."""
     held = {}
     for r in entries.orderBy("key").toLocalIterator():
         held[r.key] = {k: v for k, v in r.asDict().items() if k != "key" and v is not None}
         held[r.key]["file"] = held[r.key]["file"].replace("\\", "/")
-    json_file(root, f"manifest_{product}.json", {"generator": {"name": "depthloom", "version": version}, "product": product, "params": params, "frames": len(held), "entries": held})
+    made = {"name": "depthloom", "version": version.VERSION, "commit": version.commit(), "time": time.strftime("%Y-%m-%d %H:%M:%S")}
+    json_file(root, f"manifest_{product}.json", {"generator": made, "product": product, "params": params, "frames": len(held), "entries": held})
     return len(held)

@@ -90,14 +90,14 @@ def _arrow(columns: str) -> pa.Schema:
     return to_arrow_schema(_parse_datatype_string(columns))
 
 
-def point_bins(spark: SparkSession, path: str) -> DataFrame:
-    """frame, error, seq, x, y, z, intensity, ring."""
+def point_bins(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
+    """frame, error, seq, x, y, z, intensity, ring; of chosen ``files`` (as ``contents`` gives them), if any."""
 
     def decode(_: str, raw: bytes) -> Iterator[pa.RecordBatch]:
         p = codecs.decode_bin(raw)
         yield pa.record_batch([pa.array(np.arange(len(p))), *(pa.array(p[:, i].astype(float)) for i in range(5))], names=["seq", "x", "y", "z", "intensity", "ring"])
 
-    return decoded(contents(spark, path, "*.bin"), decode, "seq long, x double, y double, z double, intensity double, ring double")
+    return decoded(contents(spark, path, "*.bin") if files is None else files, decode, "seq long, x double, y double, z double, intensity double, ring double")
 
 
 def images(spark: SparkSession, path: str, scale: float = 1.0, glob: str = "*.{png,npy}") -> DataFrame:
@@ -116,8 +116,8 @@ def pixels(frames: DataFrame, value: str = "z") -> DataFrame:
     return out.select("frame", F.floor(F.col("at") / F.col("w")).cast("int").alias("v"), (F.col("at") % F.col("w")).alias("u"), value)
 
 
-def occupancy(spark: SparkSession, path: str) -> DataFrame:
-    """frame, error, ix, iy, iz, sem of the observed cells of labels files."""
+def occupancy(spark: SparkSession, path: str, files: DataFrame | None = None) -> DataFrame:
+    """frame, error, ix, iy, iz, sem of the observed cells of labels files; of chosen ``files``, if any."""
 
     def decode(_: str, raw: bytes) -> Iterator[pa.RecordBatch]:
         z = codecs.decode_npz(raw)
@@ -125,7 +125,7 @@ def occupancy(spark: SparkSession, path: str) -> DataFrame:
         sem = z["semantics"][tuple(cell.T)].astype(np.int32)
         yield pa.record_batch([*(pa.array(cell[:, i]) for i in range(3)), pa.array(sem)], names=["ix", "iy", "iz", "sem"])
 
-    return decoded(contents(spark, path, "*.npz"), decode, "ix long, iy long, iz long, sem int")
+    return decoded(contents(spark, path, "*.npz") if files is None else files, decode, "ix long, iy long, iz long, sem int")
 
 
 def meshes(spark: SparkSession, path: str) -> DataFrame:
