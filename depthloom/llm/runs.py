@@ -209,7 +209,7 @@ def maximal_runs(ids: np.ndarray, ptr: np.ndarray, p: Params = Params()) -> np.n
             fits[fits] = ids[begin[fits] - back] == ids[begin[fits] - back + d[fits]]
         ends.append(begin[fits] + 2 * d[fits])
         periods.append(d[fits])
-    if not ends:
+    if not sum(map(len, ends)):
         return np.zeros((0, 4), np.int64)
     pairs = np.unique(np.stack([np.concatenate(ends), np.concatenate(periods)], 1), axis=0)
     out, end, period = [], *pairs.T

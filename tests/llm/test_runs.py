@@ -136,6 +136,11 @@ def _collapsed(words):
     return " ".join(w for i, w in enumerate(words) if i not in gone)
 
 
+def test_repeats_too_short_for_a_run():
+    lists = [[1, 1, 2, 3, 4, 1, 1, 5, 6, 1, 1, 7], [4, 5, 4, 5, 4, 6, 7, 4, 8, 9]]
+    assert kernel(lists) == [[], []] and kernel(lists[:1]) == [[]]
+
+
 def test_odd_rows(spark, odd, empty):
     rows = R.digest(odd).collect()
     assert len(rows) == odd.count()
