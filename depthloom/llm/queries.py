@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthloom.llm import decontaminate, hilbert, linetemplates, mixing, neardup, pii, quality, recompress, runs, sharding, sql, tokenids
+from depthloom.llm import decontaminate, hilbert, linetemplates, mixing, neardup, pii, quality, recompress, runs, sharding, sql, tokenids, toxicity
 from depthloom.llm.common import table
 
 SHARDS = 40
@@ -64,6 +64,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [pipeline, op1_token_ids, op2_nearest_vectors, op3_decontamination, op4_personal_data, op5_near_duplicates, op6_line_templates, op7_sharding, op8_quality, op9_mixing, op10_substrings, op11_periodic_runs]
+    own = [pipeline, op1_token_ids, op2_nearest_vectors, op3_decontamination, op4_personal_data, op5_near_duplicates, op6_line_templates, op7_sharding, op8_quality, op9_mixing, op10_substrings, op11_periodic_runs, op12_toxicity]
     return {f.__name__: f for f in own}
 
 

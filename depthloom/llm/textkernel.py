@@ -131,6 +131,16 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int
     return mix((total[ends] - total[starts]) * inverse[starts])
 
 
+def value_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
+    """A 64-bit hash of each stretch of 64-bit values."""
+    if len(starts) == 0:
+        return np.zeros(0, np.uint64)
+    power, inverse = _powers(lane, len(values) + 1)
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[: len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * inverse[starts])
+
+
 def gram_hashes(words: np.ndarray, n: int, lane: int = 0) -> np.ndarray:
     """Hash of each run of n words; shorter by n - 1 than its input (rows are not told apart)."""
     if len(words) < n:
