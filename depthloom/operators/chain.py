@@ -12,6 +12,24 @@ def linked(frames: DataFrame, scene: str, order: list[str], token: str = "token"
     return frames.withColumns({"prev": F.coalesce(F.lag(token).over(w), F.lit(end)), "next": F.coalesce(F.lead(token).over(w), F.lit(end))})
 
 
+def linked_by_slices(frames: DataFrame, scene: list[str], part: str, order: list[str], token: str = "token", end: str = "EOF") -> DataFrame:
+    """``linked`` for scenes of any size, with nbr_samples: only a slice of a scene is ever in one task.
+
+    ``part`` is a column of the frames that never falls along ``order`` (a prefix of the time, say). Neighbours within a
+    slice come from a window over it, those across slices from the ends of the slice before and after; of a scene's slices
+    one row each is ordered.
+    """
+    key, first, last = F.struct(*order), f"_first_{token}", f"_last_{token}"
+    ends = frames.groupBy(*scene, part).agg(F.min_by(token, key).alias(first), F.max_by(token, key).alias(last), F.count(F.lit(1)).alias("_n"))
+    along = Window.partitionBy(*scene).orderBy(part)
+    sides = ends.select(
+        *scene, part, F.coalesce(F.lag(last).over(along), F.lit(end)).alias("_before"), F.coalesce(F.lead(first).over(along), F.lit(end)).alias("_after"), F.sum("_n").over(Window.partitionBy(*scene)).alias("nbr_samples")
+    )
+    w = Window.partitionBy(*scene, part).orderBy(*order)
+    inside = frames.withColumns({"prev": F.lag(token).over(w), "next": F.lead(token).over(w)})
+    return inside.join(sides, [*scene, part]).withColumns({"prev": F.coalesce("prev", "_before"), "next": F.coalesce("next", "_after")}).drop("_before", "_after")
+
+
 def extended(known: DataFrame, added: DataFrame, scene: str, order: list[str], token: str = "token", end: str = "EOF") -> DataFrame:
     """A chain after re-adding frames: known tokens keep their place and get the new values, new tokens follow at the tail."""
     place = F.row_number().over(Window.partitionBy(scene).orderBy(*order))
