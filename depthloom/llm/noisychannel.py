@@ -62,7 +62,7 @@ class Sizes:
 def tables() -> tuple[np.ndarray, np.ndarray]:
     """(lower-case code point, whether it is a letter) of every code point up to ``LIMIT``, which stands for all later ones."""
     chars = [chr(c) for c in range(LIMIT + 1)]
-    lower = np.array([ord(x.lower()) if len(x.lower()) == 1 else ord(x) for x in chars], np.int64)
+    lower = np.array([ord(x.lower()) if len(x.lower()) == 1 else ord(x) for x in chars], np.int32)
     letter = np.array([x.isalpha() for x in chars])
     letter[LIMIT] = True
     return lower, letter
@@ -70,23 +70,31 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
 
 def lowered(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 texts as lower-case code points, and their offsets."""
-    points = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+    points = np.frombuffer(buf.tobytes().decode().encode("utf-32-le"), np.int32)
     before = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
-    return np.where(points < LIMIT, tables()[0][np.minimum(points, LIMIT)], points), before[offsets]
+    low = tables()[0][np.minimum(points, LIMIT)]
+    late = np.flatnonzero(points >= LIMIT)
+    low[late] = points[late]
+    return low, before[offsets]
 
 
 def is_letter(points: np.ndarray) -> np.ndarray:
     return tables()[1][np.minimum(points, LIMIT)]
 
 
-def _bucket(points: np.ndarray | tuple[int, ...], sizes: Sizes) -> np.ndarray:
-    """Bucket of each column of one, two or three rows of letters."""
-    at = np.zeros(np.shape(points)[1], np.uint64)
-    for row in points:
-        at = K.mix(at ^ (np.asarray(row).astype(np.uint64) + np.uint64(1)))
-    bits = (sizes.one, sizes.two, sizes.three)[len(points) - 1]
-    first = (0, 1 << sizes.one, (1 << sizes.one) + (1 << sizes.two))[len(points) - 1]
-    return (at >> np.uint64(64 - bits)).astype(np.int64) + first
+def _pick(hashes: np.ndarray, length: int, sizes: Sizes) -> np.ndarray:
+    """Buckets of hashes of one, two or three letters."""
+    bits = (sizes.one, sizes.two, sizes.three)[length - 1]
+    first = (0, 1 << sizes.one, (1 << sizes.one) + (1 << sizes.two))[length - 1]
+    return (hashes >> np.uint64(64 - bits)).astype(np.int64) + first
+
+
+def _bucket(points: tuple[int, ...], sizes: Sizes) -> int:
+    """Bucket of one, two or three letters."""
+    at = np.zeros(1, np.uint64)
+    for point in points:
+        at = K.mix(at ^ np.uint64(point + 1))
+    return int(_pick(at, len(points), sizes)[0])
 
 
 def grams(points: np.ndarray, offsets: np.ndarray, sizes: Sizes) -> np.ndarray:
@@ -98,12 +106,12 @@ def grams(points: np.ndarray, offsets: np.ndarray, sizes: Sizes) -> np.ndarray:
     said = np.append(said, 0)
     keep = np.ones(len(said), bool)
     keep[1:] = (said[1:] != 0) | (said[:-1] != 0)
-    said = said[keep]
-    c, b = said[1:], said[:-1]
-    a = np.zeros(len(c), np.int64)
-    a[1:] = said[:-2]
-    a[b == 0] = 0
-    return np.concatenate([_bucket((c,), sizes), _bucket((b, c), sizes), _bucket((a, b, c), sizes)])
+    said = said[keep].astype(np.uint64) + np.uint64(1)
+    one = K.mix(said)
+    two = K.mix(one[:-1] ^ said[1:])
+    begin = K.mix(one[:1] ^ said[:1])  # a boundary after a boundary
+    before = np.where(said[:-1] == 1, begin, np.concatenate([begin, two[:-1]]))
+    return np.concatenate([_pick(one[1:], 1, sizes), _pick(two, 2, sizes), _pick(K.mix(before ^ said[1:]), 3, sizes)])
 
 
 def count(docs: DataFrame, sizes: Sizes = Sizes()) -> str:
@@ -140,7 +148,7 @@ class Letters:
         return Letters(counts, sizes)
 
     def _n(self, *points: int) -> float:
-        return float(self.counts[_bucket(tuple(np.array([x]) for x in points), self.sizes)[0]])
+        return float(self.counts[_bucket(points, self.sizes)])
 
     def log_p(self, a: int, b: int, c: int) -> float:
         """Log-probability of letter c (0: a boundary) after a, b."""
@@ -161,6 +169,7 @@ class Restorer:
     def __init__(self, letters: Letters, channel: Channel = Channel()) -> None:
         self.letters, self.channel = letters, channel
         self.restore = functools.lru_cache(maxsize=100_000)(self._restore)
+        self._layer = functools.lru_cache(maxsize=10_000)(self._layer)  # type: ignore[method-assign]
 
     def _layer(self, char: str, before: str) -> list[tuple[int, float]]:
         """(what a character may stand for, cost)."""
@@ -183,7 +192,7 @@ class Restorer:
             came: dict[tuple[int, int], tuple[tuple[int, int], int]] = {}
             for (state, score), (said, cost) in itertools.product(states.items(), layer):
                 a, b = state
-                if said == -1 or (said == 0 and b == 0):
+                if said < 0 or (said == 0 and b == 0):
                     to, value = state, score - cost
                 else:
                     to, value = (b, said) if said else (0, 0), score - cost + log_p(a, b, said)
@@ -205,7 +214,7 @@ def spans(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if len(points) == 0:
         return none, none
     space, sign, letter = _marks()
-    low = np.minimum(points, LIMIT)
+    low = np.minimum(points, LIMIT).astype(np.uint16)
     starts, ends, ptr = K.word_spans(low, offsets, space)
     if len(starts) == 0:
         return none, none
@@ -241,12 +250,19 @@ def _marks() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _core(starts: np.ndarray, ends: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words without the punctuation around them; an empty stretch where nothing else is there."""
+    """Words without the punctuation and rows of signs around them; an empty stretch where nothing else is there."""
+    letter = tables()[1]
+    row = np.zeros(len(low), bool)  # of three equal signs in a row: rules and ornaments
+    if len(low) > 2:
+        thrice = (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & ~letter[low[2:]]
+        row[2:] |= thrice
+        row[1:-1] |= thrice
+        row[:-2] |= thrice
     bounds = []
     for signs in (AT_BEGIN, AT_END):
-        solid = tables()[1].copy()
+        solid = letter.copy()
         solid[[ord(x) for x in signs + "0123456789"]] = True
-        bounds.append(np.flatnonzero(solid[low]))
+        bounds.append(np.flatnonzero(solid[low] & ~row))
     begin, end = bounds
     if len(begin) == 0 or len(end) == 0:
         return starts, starts

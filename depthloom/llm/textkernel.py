@@ -132,12 +132,14 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int
 
 
 def value_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
-    """A 64-bit hash of each stretch of 64-bit values."""
+    """A 64-bit hash of each stretch of 64-bit values. With several columns of ends, stretches of a row start together."""
     if len(starts) == 0:
-        return np.zeros(0, np.uint64)
+        return np.zeros(np.shape(ends), np.uint64)
     power, inverse = _powers(lane, len(values) + 1)
     total = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * power[: len(values)], out=total[1:])
+    if ends.ndim > 1:
+        starts = starts[:, None]
     return mix((total[ends] - total[starts]) * inverse[starts])
 
 

@@ -90,16 +90,13 @@ def word_weights(path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def features(points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(feature hashes of each word of letters: itself and its first letters, a column each; row of each word)."""
-    letter = np.append(noisychannel.tables()[1], False)
-    blank = len(letter) - 1
-    low = np.where(noisychannel.is_letter(points), np.minimum(points, noisychannel.LIMIT), blank)
+    letter = noisychannel.tables()[1]
+    low = np.minimum(points, noisychannel.LIMIT)
     starts, ends, ptr = K.word_spans(low, offsets, ~letter)
     values = K.mix(points.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    columns = [K.value_hashes(values, starts, ends)]
-    for n in FIRST_LETTERS:
-        some = np.minimum(starts + n, ends)
-        columns.append(K.mix(K.value_hashes(values, starts, some) + np.uint64(n)))
-    return np.stack(columns, 1).view(np.int64), np.repeat(np.arange(len(offsets) - 1), np.diff(ptr))
+    stops = np.stack([ends, *(np.minimum(starts + n, ends) for n in FIRST_LETTERS)], 1)
+    hashed = K.value_hashes(values, starts, stops) ^ np.array([0, *FIRST_LETTERS], np.uint64) * np.uint64(0xD1342543DE82EF95)
+    return hashed.view(np.int64), np.repeat(np.arange(len(offsets) - 1), np.diff(ptr))
 
 
 def _restored_slices(texts: pa.Array, model: str, p: Params) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
