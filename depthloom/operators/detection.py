@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from depthloom.functions import geometry as G
 
+# The class names, in the order of their numbers from 1.
 CLASSES = ("bed", "books", "ceiling", "chair", "floor", "furniture", "objects", "picture", "sofa", "table", "tv", "wall", "window")
 # The class of each annotated name; any other name is "objects".
 CLASS_OF = {
@@ -48,6 +49,44 @@ def point_box_pairs(points: DataFrame, boxes: DataFrame, margin: float) -> DataF
     return points.join(boxes, "frame").where(inside)
 
 
+#: Side of the smallest cells that boxes are put into, and a reach beyond every coordinate.
+LEAST_CELL, BEYOND = 0.25, 1e15
+
+
+def boxes_in_cells(boxes: DataFrame, margin: float) -> DataFrame:
+    """Oriented boxes with the cells that they touch: _level, _x, _y, _z, at most eight rows a box.
+
+    A box goes into the grid whose cells, ``LEAST_CELL`` times a power of two wide, are no narrower than its extent along any axis.
+    """
+    reach = [sum((F.abs(F.col("rot")[k][i]) * (F.col("coeffs")[i] / 2 + F.lit(margin)) for i in range(3)), F.lit(0.0)) for k in range(3)]
+    sized = boxes.withColumn("_e", F.array(*[F.least(r, F.lit(BEYOND)) for r in reach]))
+    level = F.greatest(F.ceil(F.log2(F.array_max("_e") * 2 / LEAST_CELL)), F.lit(0)).cast("int")
+    sized = sized.withColumn("_level", level).withColumn("_side", F.pow(F.lit(2.0), F.col("_level")) * LEAST_CELL)
+    for k, c in enumerate(("_x", "_y", "_z")):
+        t, e = F.col("translation")[k], F.col("_e")[k]
+        sized = sized.withColumn(c, F.explode(F.sequence(F.floor((t - e) / F.col("_side")), F.floor((t + e) / F.col("_side")))))
+    return sized.drop("_e", "_side")
+
+
+def oriented_pairs(points: DataFrame, boxes: DataFrame, margin: float) -> DataFrame:
+    """Points with the oriented boxes (translation, rot, coeffs) of their frame that hold them.
+
+    A range join by space: points meet the boxes of their own cell only, in each size of cell that some box is in, and the
+    exact test decides. So a frame with many boxes, or with many points, is dealt out by cells.
+    """
+    placed = boxes_in_cells(boxes, margin)
+    levels = sorted(r["_level"] for r in placed.select("_level").distinct().collect() if r["_level"] is not None)  # few sizes
+    return near_pairs(points, placed, levels).where(G.inside_oriented_box(F.array("x", "y", "z"), F.col("translation"), F.col("rot"), F.transform("coeffs", lambda c: c / 2), margin)).drop("_level", "_x", "_y", "_z")
+
+
+def near_pairs(points: DataFrame, placed: DataFrame, levels: list[int]) -> DataFrame:
+    """Points with the boxes that touch their cell, tested no further."""
+    spread = points.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")))
+    side = F.pow(F.lit(2.0), F.col("_level")) * LEAST_CELL
+    at = {f"_{c}": F.floor(F.col(c) / side) for c in "xyz"}
+    return spread.withColumns(at).join(placed, ["frame", "_level", "_x", "_y", "_z"])
+
+
 def points_per_box(points: DataFrame, boxes: DataFrame, margin: float = 0.05) -> DataFrame:
     """Boxes with num_lidar_pts, 0 for an empty box."""
     counts = point_box_pairs(points.select("frame", "x", "y", "z"), boxes, margin).groupBy("box").agg(F.count(F.lit(1)).alias("num_lidar_pts"))

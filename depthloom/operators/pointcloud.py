@@ -98,7 +98,7 @@ def clouds(frames: DataFrame, scale: float = 1.0 / 6553.5, use_fy: bool = False)
                 try:
                     depth = codecs.decode_png(row["depth_bytes"])
                     rgb = codecs.decode_colour(row["rgb_bytes"]) if row["rgb_bytes"] else np.zeros((*depth.shape, 3), np.uint8)
-                    rgb = _fitted(rgb, depth.shape)
+                    rgb = fitted(rgb, depth.shape)
                     p, c = depth_to_points(depth, rgb, row["fx"], row["cx"], row["cy"], row["fy"] if use_fy else None, scale)
                     columns = [pa.array(np.arange(len(p))), *(pa.array(p[:, i].astype(np.float64)) for i in range(3)), *(pa.array(c[:, i].astype(np.int16)) for i in range(3))]
                     yield pa.record_batch([pa.array([row["frame"]] * len(p), pa.string()), pa.nulls(len(p), pa.string()), *columns], names=["frame", "error", "seq", "x", "y", "z", "r", "g", "b"])
@@ -109,7 +109,7 @@ def clouds(frames: DataFrame, scale: float = 1.0 / 6553.5, use_fy: bool = False)
     return frames.select("frame", "fx", "fy", "cx", "cy", "depth_bytes", "rgb_bytes").mapInArrow(run, "frame string, error string, seq long, x double, y double, z double, r smallint, g smallint, b smallint")
 
 
-def _fitted(image: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+def fitted(image: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
     """Nearest-neighbour resampling of a colour image to the depth grid, by pixel centres."""
     if image.ndim == 2:
         image = np.stack([image] * 3, -1)

@@ -39,7 +39,8 @@ def occupied(points: DataFrame, by: tuple[str, ...] = ("frame",)) -> DataFrame:
 
 def last_label(points: DataFrame, label: str, order: list[Column], by: tuple[str, ...] = ("frame",)) -> DataFrame:
     """Label of the point that comes last in ``order`` in each cell: the last write wins."""
-    return points.groupBy(*by, *CELL).agg(F.max_by(label, F.struct(*order)).alias("sem"))
+    place = order[0] if len(order) == 1 else F.struct(*order)  # a struct can't be hashed on
+    return points.groupBy(*by, *CELL).agg(F.max_by(label, place).alias("sem"))
 
 
 def voted_label(points: DataFrame, label: str, by: tuple[str, ...] = ("frame",), unlabelled_yields: bool = False) -> DataFrame:
@@ -101,11 +102,13 @@ def tristate(labelled: DataFrame, free: DataFrame, by: tuple[str, ...] = ("frame
 
 
 def tristate_at_once(points: DataFrame, label: str, order: list[Column], rays: DataFrame, by: tuple[str, ...] = ("frame",)) -> DataFrame:
-    """``tristate`` of last labels and crossed cells, which may repeat, by one union and one aggregate over cells."""
-    place = F.struct(*order)
-    own = points.select(*by, *CELL, F.struct(place.alias("at"), F.col(label).cast("int").alias("sem")).alias("w"))
-    both = own.unionByName(rays.select(*by, *CELL), allowMissingColumns=True)
-    return both.groupBy(*by, *CELL).agg(F.coalesce(F.max_by("w.sem", "w.at"), F.lit(FREE)).alias("sem"))
+    """``tristate`` of last labels and crossed cells, which may repeat: 17 is above every label, so the least one of a cell is right.
+
+    Only the points are ever sorted; crossed cells, far more of them, go through hash aggregates.
+    """
+    own = last_label(points, label, order, by).select(*by, *CELL, F.col("sem").cast("int").alias("sem"))
+    free = rays.select(*by, *CELL).distinct().withColumn("sem", F.lit(FREE))
+    return own.union(free).groupBy(*by, *CELL).agg(F.min("sem").alias("sem"))
 
 
 def densify(cells: DataFrame, grid: Grid, by: tuple[str, ...] = ("frame",)) -> DataFrame:

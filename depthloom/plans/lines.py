@@ -7,73 +7,69 @@ skipped; failed frames are listed and done again by the next run.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from depthloom import logs
 from depthloom.functions import geometry as G
 from depthloom.functions import rotations as R
-from depthloom.operators import chain, detection, pointcloud, quality, raycast, voxel
-from depthloom.plans import tables
-from depthloom.sinks import writers
+from depthloom.operators import chain, detection, framefiles, pointcloud, quality, raycast, voxel
+from depthloom.plans import manifests, tables
+from depthloom.sinks import jsonfile, writers
 from depthloom.sources import filesystem, readers
 
 
 @dataclass(frozen=True)
 class Outcome:
-    """files: a manifest row a written file; failed: frame and error."""
+    """files: a manifest row a file that this run wrote; failed: frame and error. Both are read from the run's rows below ``runs``."""
 
     files: DataFrame
     failed: DataFrame
 
 
+def _outcome(made: DataFrame, root: str, product: str) -> Outcome:
+    """Lists the failures in failed_<product>.json; the file goes when there are none."""
+    failed = made.where("error is not null").select(F.col("key").alias("frame"), "error", F.lit(product).alias("product"))
+    file = f"{root}/failed_{product}.json"
+    if not failed.isEmpty():
+        jsonfile.mapping(failed, F.col("frame"), F.col("error"), file)
+    elif filesystem.exists(file):
+        filesystem.delete(file)
+    return Outcome(made.where("error is null").drop("error"), failed)
+
+
 def with_intrinsics(frames: DataFrame) -> DataFrame:
     k = F.col("k")
     return frames.withColumns({"frame": F.concat_ws("/", "split", "name"), "fx": k[0][0], "fy": k[1][1], "cx": k[0][2], "cy": k[1][2]})
 
 
-def to_do(frames: DataFrame, root: str, folder: str, glob: str) -> DataFrame:
+def to_do(frames: DataFrame, root: str, product: str) -> DataFrame:
     """Frames without a file; the listing reads no contents."""
-    try:
-        done = readers.listing(frames.sparkSession, f"{root}/{folder}", glob).select(F.regexp_extract("file", r"([^/]+/[^/]+?)(\.pcd\.bin|/labels\.npz)$", 1).alias("frame"))
-        done.head()
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return frames
-    return chain.missing(frames, done, ["frame"])
-
-
-def _failures(rows: DataFrame, root: str, product: str) -> DataFrame:
-    failed = rows.where("error is not null").select("frame", "error", F.lit(product).alias("product"))
-    found = {r.frame: r.error for r in failed.toLocalIterator()}
-    file = f"failed_{product}.json"
-    if found:
-        writers.json_file(root, file, found)
-    elif filesystem.exists(f"{root}/{file}"):
-        filesystem.delete(f"{root}/{file}")
-    return failed
+    done = manifests.listed(frames.sparkSession, root, product)
+    return frames if done is None else chain.missing(frames, done.select(F.col("key").alias("frame")), ["frame"])
 
 
 def point_clouds(frames: DataFrame, root: str, voxel_size: float = 0.03, scale: float = 1.0 / 6553.5, use_fy: bool = False) -> Outcome:
-    """Filtered, down-sampled clouds as point records in voxel order, the 13 tables by split, intrinsics and manifest."""
-    f = with_intrinsics(frames)
-    rows = pointcloud.clouds(to_do(f, root, "samples/LIDAR_TOP", "*.bin"), scale, use_fy).persist()
-    small = voxel.downsample(rows.where("error is null"), voxel_size, colours=("r", "g", "b"))
-    files = writers.point_bins(small, root, lambda k: f"samples/LIDAR_TOP/{k}.pcd.bin", list(voxel.CELL)).persist()
-    files.count()
-    failed = _failures(rows, root, "nuscenes")
+    """Filtered, down-sampled clouds as point records in voxel order, the images, the 13 tables by split, intrinsics and manifest.
+
+    Frames whose file is there are skipped; the manifest names them all the same.
+    """
+    spark, f = frames.sparkSession, with_intrinsics(frames)
+    made = manifests.kept(framefiles.cloud_files(to_do(f, root, "nuscenes"), root, voxel_size, scale, use_fy), root, "nuscenes")
+    copied_images(frames, root).write.format("noop").mode("overwrite").save()
     for split in [r.split for r in frames.select("split").distinct().collect()]:
         writers.tables(f"{root}/v1.0-{split}", tables.build(frames.where(F.col("split") == split)))
     scaled = [[F.col("k")[i][j] * s for j in range(3)] for i, s in ((0, 640.0 / F.col("w")), (1, 480.0 / F.col("h")), (2, F.lit(1.0)))]
     k640 = R.rounded(F.array(*[F.array(*row) for row in scaled]), F.lit(3))
-    intrinsics = {r.frame: {"W": r.w, "H": r.h, "K_native": r.k, "K_640": r.k640} for r in f.select("frame", "w", "h", "k", k640.alias("k640")).toLocalIterator()}
-    writers.json_file(root, "intrinsics_per_frame.json", intrinsics)
-    writers.manifest(root, "nuscenes", {"voxel": voxel_size, "depth_scale": scale, "use_fy": use_fy, "backend": "exact"}, files)
-    return Outcome(files, failed)
+    said = F.struct(F.col("w").alias("W"), F.col("h").alias("H"), F.col("k").alias("K_native"), k640.alias("K_640"))
+    jsonfile.mapping(f, F.col("frame"), said, f"{root}/intrinsics_per_frame.json")
+    manifests.write(spark, root, "nuscenes", {"voxel": voxel_size, "depth_scale": scale, "use_fy": use_fy, "backend": "exact"}, made)
+    return _outcome(made, root, "nuscenes")
 
 
 def occupancy_cells(frames: DataFrame, grid: G.Grid, ray_stride: int = 4, vote: bool = False, scale: float = 1.0 / 6553.5) -> tuple[DataFrame, DataFrame]:
@@ -89,26 +85,42 @@ def occupancy_cells(frames: DataFrame, grid: G.Grid, ray_stride: int = 4, vote:
     return voxel.tristate(labelled, voxel.free_only(named, labelled)), rows
 
 
+def annotation_tasks(frames: DataFrame) -> DataFrame:
+    """Rows of the occupancy annotations' frames: a split is a scene."""
+    stamp = (F.lit(tables.FIRST_STAMP) + F.col("i") * tables.STAMP_STEP).alias("ts")
+    return with_intrinsics(frames).select(F.col("split").alias("scene"), F.col("name").alias("token"), "split", stamp, "fx", "fy", "cx", "cy", F.lit("").alias("img"))
+
+
+def annotations_file(linked: DataFrame, path: str) -> None:
+    """annotations.json from linked rows (``tables.annotations``): scene, token, entry; the splits name their scenes."""
+    nothing = F.lit(None).cast("string")
+    camera = F.struct("intrinsics", nothing.alias("extrinsic"), nothing.alias("ego_pose"), "img_path")
+    entry = F.struct("timestamp", nothing.alias("ego_pose"), "gt_path", "prev", "next", F.struct(camera.alias("CAM_FRONT")).alias("camera_sensor"))
+    first, last = F.col("prev") == tables.END, F.col("next") == tables.END
+    opens, closes = F.when(first, F.concat(jsonfile.quoted(F.col("scene")), F.lit(": {\n"))).otherwise(""), F.when(last, "\n}").otherwise("")
+    rows = linked.withColumn("fragment", F.concat(opens, jsonfile.member(F.col("token"), entry, nulls=True), closes)).orderBy("scene", "timestamp", "token")
+    scenes = linked.groupBy("split").agg(F.array_sort(F.collect_set("scene")).alias("scenes")).collect()  # scenes are splits or cameras
+    held = {"train_split": [], "val_split": []} | {f"{r.split}_split": r.scenes for r in scenes}
+    jsonfile.write(rows.select("fragment"), path, json.dumps(held)[:-1] + ', "scene_infos": {\n', "\n}}")
+
+
 def occupancy(frames: DataFrame, root: str, grid: G.Grid = G.Grid(), ray_stride: int = 4, vote: bool = False, scale: float = 1.0 / 6553.5) -> Outcome:
-    """Dense label files with both masks, annotations with the frame chain, class names and manifest."""
-    f = to_do(with_intrinsics(frames), root, "gts", "*.npz")
-    cells, rows = occupancy_cells(f, grid, ray_stride, vote, scale)
-    files = writers.occupancy(cells, grid, root, lambda k: f"gts/{k}/labels.npz").persist()
-    files.count()
-    failed = _failures(rows, root, "occ")
-    scene = with_intrinsics(frames).select(F.col("split").alias("scene"), F.col("name").alias("token"), "split", (F.lit(tables.FIRST_STAMP) + F.col("i") * tables.STAMP_STEP).alias("ts"), "fx", "fy", "cx", "cy", F.lit("").alias("img"))
-    document: dict = {"train_split": [], "val_split": [], "scene_infos": {}}
-    for r in tables.annotations(scene).orderBy("scene", "timestamp", "token").toLocalIterator():
-        held = document.setdefault(f"{r.split}_split", [])
-        held += [] if r.scene in held else [r.scene]
-        camera = {"intrinsics": r.intrinsics, "extrinsic": None, "ego_pose": None, "img_path": r.img_path}
-        document["scene_infos"].setdefault(r.scene, {})[r.token] = {"timestamp": r.timestamp, "ego_pose": None, "gt_path": r.gt_path, "prev": r.prev, "next": r.next, "camera_sensor": {"CAM_FRONT": camera}}
-    writers.json_file(root, "annotations.json", document)
+    """Dense label files with both masks, annotations with the frame chain, class names and manifest; each image is decoded once.
+
+    Frames whose file is there are skipped; the manifest names them all the same.
+    """
+    spark, f = frames.sparkSession, with_intrinsics(frames)
+    made = manifests.kept(framefiles.label_files(to_do(f, root, "occ"), root, grid, ray_stride, vote, scale), root, "occ")
+    annotations_file(tables.annotations(annotation_tasks(frames)), f"{root}/annotations.json")
     classes = {"0": "others", "17": "free"} | {str(i): c for i, c in enumerate(detection.CLASSES, 1)}
     writers.json_file(root, "semantic_classes.json", {"mapping": "pixel value == semantic id", "classes": classes})
-    medians = pointcloud.median_depths(f, scale).withColumnRenamed("frame", "key")
-    writers.manifest(root, "occ", {"voxel": grid.voxel, "ray_stride": ray_stride, "label_vote": vote, "backend": "exact"}, files.join(medians, "key", "left"))
-    return Outcome(files, failed)
+
+    def medians(keys: DataFrame) -> DataFrame:
+        """Of files that a run left without an entry."""
+        return pointcloud.median_depths(f.join(keys.select(F.col("key").alias("frame")), "frame", "left_semi"), scale).withColumnRenamed("frame", "key")
+
+    manifests.write(spark, root, "occ", {"voxel": grid.voxel, "ray_stride": ray_stride, "label_vote": vote, "backend": "exact"}, made, medians)
+    return _outcome(made, root, "occ")
 
 
 def ego_boxes(boxes: DataFrame) -> DataFrame:
@@ -122,18 +134,22 @@ def ego_boxes(boxes: DataFrame) -> DataFrame:
 
 def box_counts(points: DataFrame, boxes: DataFrame, margin: float = 0.05) -> DataFrame:
     """Boxes with num_lidar_pts: points whose coordinates in the box's axes lie within half the coefficients plus a margin."""
-    p = points.select("frame", "x", "y", "z")
-    inside = G.inside_oriented_box(F.array("x", "y", "z"), F.col("translation"), F.col("rot"), F.transform("coeffs", lambda c: c / 2), margin)
-    counts = p.join(boxes.select("frame", "j", "translation", "rot", "coeffs"), "frame").where(inside).groupBy("frame", "j").agg(F.count(F.lit(1)).alias("num_lidar_pts"))
+    held = detection.oriented_pairs(points.select("frame", "x", "y", "z"), boxes.select("frame", "j", "translation", "rot", "coeffs"), margin)
+    counts = held.groupBy("frame", "j").agg(F.count(F.lit(1)).alias("num_lidar_pts"))
     return boxes.join(counts, ["frame", "j"], "left").withColumn("num_lidar_pts", F.coalesce("num_lidar_pts", F.lit(0).cast("long")))
 
 
-def detections(boxes: DataFrame, points: DataFrame, root: str, min_pts: int = 0) -> DataFrame:
-    """sample_annotation and instance rows of all boxes with enough points (counted first), by split, with class map."""
-    counted = box_counts(points, ego_boxes(boxes)).where(F.col("num_lidar_pts") >= min_pts).withColumn("split", F.split("frame", "/")[0])
+def detections(boxes: DataFrame, points: DataFrame, root: str, min_pts: int = 0, frames: DataFrame | None = None, label_sample: int = 50) -> DataFrame:
+    """sample_annotation and instance rows of all boxes with enough points (counted first), by split, with class map.
+
+    With ``frames`` the manifest says how boxes agree with their 2-D boxes and with the label images of each
+    ``label_sample``-th frame (0: none), how many lie outside the sane range, and how many had too few points.
+    """
+    spark = boxes.sparkSession
+    counted = manifests.kept(box_counts(points, ego_boxes(boxes)), root, "detection").withColumn("split", F.split("frame", "/")[0])
     number = F.regexp_extract("frame", r"img-(\d+)", 1).cast("int")
     key = (F.col("split"), number, F.col("j"))
-    rows = counted.withColumns({"token": G.token("ann", *key), "inst": G.token("inst", *key), "sample_token": G.token("sample", F.col("split"), F.element_at(F.split("frame", "/"), -1))}).persist()
+    rows = counted.where(F.col("num_lidar_pts") >= min_pts).withColumns({"token": G.token("ann", *key), "inst": G.token("inst", *key), "sample_token": G.token("sample", F.col("split"), F.element_at(F.split("frame", "/"), -1))})
     empty = F.lit("")
     for split in [r.split for r in rows.select("split").distinct().collect()]:
         mine = rows.where(F.col("split") == split).orderBy("frame", "j")
@@ -141,8 +157,14 @@ def detections(boxes: DataFrame, points: DataFrame, root: str, min_pts: int = 0)
         instance = mine.select(F.col("inst").alias("token"), F.md5(F.concat(F.lit("cat/"), "cls13")).alias("category_token"), F.lit(1).alias("nbr_annotations"), F.col("token").alias("first_annotation_token"), F.col("token").alias("last_annotation_token"))
         writers.annotation_tables(f"{root}/v1.0-{split}", {"sample_annotation": annotation, "instance": instance})
     writers.json_file(root, "class_map.json", detection.CLASS_OF)
-    entries = rows.groupBy("frame").agg(F.count(F.lit(1)).alias("count")).select(F.col("frame").alias("key"), F.lit("class_map.json").alias("file"), "count")
-    writers.manifest(root, "detection", {"min_pts": min_pts}, entries)
+    entries = rows.groupBy("frame").agg(F.count(F.lit(1)).alias("count")).select(F.col("frame").alias("key"), F.concat(F.lit("v1.0-"), F.split("frame", "/")[0], F.lit("/sample_annotation.json")).alias("file"), "count")
+    tally = counted.agg(F.count_if(F.col("num_lidar_pts") < min_pts).alias("few"), F.count_if((F.col("num_lidar_pts") >= min_pts) & ~detection.sane_box(F.col("size"), F.col("translation"))).alias("odd")).first()
+    params: dict = {"min_pts": min_pts, "dropped_by_min_pts": tally.few, "outside_range": tally.odd}
+    if frames is not None:
+        params["proj_iou"] = detection.rate_summary(box_image_overlaps(boxes, frames).where("iou is not null"), "iou").first().asDict()
+        params["label_qc"] = label_agreement(frames, boxes, label_sample).first().asDict() if label_sample else {}
+    writers.manifest(root, "detection", params, entries)
+    logs.logger().info("detection: %d boxes have too few points, %d lie outside the sane range; %s", tally.few, tally.odd, {k: params.get(k) for k in ("proj_iou", "label_qc")})
     return rows
 
 
@@ -154,8 +176,7 @@ def label_agreement(frames: DataFrame, boxes: DataFrame, every: int = 50, scale:
     sampled = with_intrinsics(frames.where((F.col("i") % max(every, 1) == 0) & F.col("label_bytes").isNotNull()))
     cloud = pointcloud.labelled_clouds(sampled, scale).where("error is null")
     b = ego_boxes(boxes).withColumn("number", F.array_position(F.array(*[F.lit(c) for c in detection.CLASSES]), F.col("cls13")))
-    inside = G.inside_oriented_box(F.array("x", "y", "z"), F.col("translation"), F.col("rot"), F.transform("coeffs", lambda c: c / 2), 0.1)
-    pairs = cloud.join(b.select("frame", "j", "translation", "rot", "coeffs", "number"), "frame").where(inside)
+    pairs = detection.oriented_pairs(cloud, b.select("frame", "j", "translation", "rot", "coeffs", "number"), 0.1)
     rates = pairs.groupBy("frame", "j").agg(F.count(F.lit(1)).alias("points"), F.avg((F.col("label") == F.col("number")).cast("double")).alias("rate")).where("points >= 5")
     return detection.rate_summary(rates)
 
@@ -186,22 +207,35 @@ def boxes_2d(boxes: DataFrame, root: str, limit: int = 0) -> DataFrame:
     rows = detection.boxes_by_frame(b, ["j"])
     if limit:
         rows = chain.first_rows(rows.withColumn("split", F.split("frame", "/")[0]), limit, "split", ["frame"]).drop("split")
-    document = {r.frame: [x.asDict() for x in r.boxes] for r in rows.orderBy("frame").toLocalIterator()}
-    writers.json_file(root, "annotations2d.json", document)
+    jsonfile.mapping(rows, F.col("frame"), F.col("boxes"), f"{root}/annotations2d.json")
     return rows
 
 
-def run_all(frames: DataFrame, boxes: DataFrame, root: str, min_pts: int = 0) -> int:
-    """All lines below one root; 1 if any frame failed."""
-    clouds = point_clouds(frames, root)
-    occ = occupancy(frames, root)
-    points = readers.point_bins(frames.sparkSession, f"{root}/samples/LIDAR_TOP").where("error is null")
-    detections(boxes, points, root, min_pts)
-    boxes_2d(boxes, root)
-    return int(not (clouds.failed.isEmpty() and occ.failed.isEmpty()))
+def run_all(frames: DataFrame, boxes: DataFrame, root: str, min_pts: int = 0, label_sample: int = 50) -> int:
+    """All lines below one root; 1 if a frame or a line failed. A line that fails is logged and does not stop the others."""
+    log = logs.logger()
+
+    def points() -> DataFrame:
+        return readers.point_bins(frames.sparkSession, f"{root}/samples/LIDAR_TOP").where("error is null")
 
+    steps: dict[str, Callable[[], bool]] = {
+        "nuscenes": lambda: point_clouds(frames, root).failed.isEmpty(),
+        "occ": lambda: occupancy(frames, root).failed.isEmpty(),
+        "detection": lambda: detections(boxes, points(), root, min_pts, frames, label_sample) is not None,
+        "2d": lambda: boxes_2d(boxes, root) is not None,
+    }
+    codes = {}
+    for name, step in steps.items():
+        try:
+            codes[name] = int(not step())
+        except Exception:
+            log.exception("line %s failed", name)
+            codes[name] = 1
+        log.info("line %s: %s", name, "ok" if codes[name] == 0 else "failed; the same command goes on from here")
+    return max(codes.values())
 
-def detection_product(frames: DataFrame, boxes: DataFrame, root: str, min_pts: int = 0, points_only: bool = False, skip_points: bool = False) -> DataFrame:
+
+def detection_product(frames: DataFrame, boxes: DataFrame, root: str, min_pts: int = 0, points_only: bool = False, skip_points: bool = False, label_sample: int = 50) -> DataFrame:
     """The detection line over the point files below ``root``.
 
     ``skip_points`` writes the annotations with no points counted; ``points_only`` writes the counts of the annotations
@@ -209,50 +243,65 @@ def detection_product(frames: DataFrame, boxes: DataFrame, root: str, min_pts: i
     """
     if skip_points:
         empty = frames.sparkSession.createDataFrame([], "frame string, x double, y double, z double")
-        return detections(boxes, empty, root)
+        return detections(boxes, empty, root, 0, frames, label_sample)
     points = readers.point_bins(frames.sparkSession, f"{root}/samples/LIDAR_TOP").where("error is null")
     if not points_only:
-        return detections(boxes, points, root, min_pts)
-    counted = box_counts(points, ego_boxes(boxes)).withColumn("split", F.split("frame", "/")[0])
+        return detections(boxes, points, root, min_pts, frames, label_sample)
+    counted = manifests.kept(box_counts(points, ego_boxes(boxes)), root, "detection").withColumn("split", F.split("frame", "/")[0])
     number = F.regexp_extract("frame", r"img-(\d+)", 1).cast("int")
-    fresh = counted.select("split", G.token("ann", F.col("split"), number, F.col("j")).alias("token"), F.col("num_lidar_pts").alias("fresh")).persist()
+    fresh = counted.select("split", G.token("ann", F.col("split"), number, F.col("j")).alias("token"), F.col("num_lidar_pts").alias("fresh"))
     for split in [r.split for r in fresh.select("split").distinct().collect()]:
-        held = readers.tables(frames.sparkSession, f"{root}/v1.0-{split}")
-        annotation = held["sample_annotation"]
+        annotation = readers.tables(frames.sparkSession, f"{root}/v1.0-{split}")["sample_annotation"]
         renewed = chain.recounted(annotation, fresh.where(F.col("split") == split).select("token", "fresh"), "token", "num_lidar_pts", "fresh")
-        writers.annotation_tables(f"{root}/v1.0-{split}", {"sample_annotation": renewed.select(*annotation.columns), "instance": held["instance"]})
-    fresh.unpersist()
+        jsonfile.array(renewed.select(*annotation.columns), f"{root}/v1.0-{split}/sample_annotation.json")
     return counted
 
 
 def box_image_overlaps(boxes: DataFrame, frames: DataFrame) -> DataFrame:
     """frame, j, iou: each box's projection into the image against its 2-D box; null where there is none."""
-    from depthloom.operators.detection import valid_bb2d
-
     seen = with_intrinsics(frames).select("frame", "w", "h", "fx", "fy", "cx", "cy")
-    b = ego_boxes(boxes).join(seen, "frame").withColumn("bb", valid_bb2d(F.col("bb2d")))
+    b = ego_boxes(boxes).join(seen, "frame").withColumn("bb", detection.valid_bb2d(F.col("bb2d")))
     half = F.transform("coeffs", lambda c: c / 2)
     iou = G.oriented_overlap(F.col("translation"), F.col("rot"), half, *(F.col(c) for c in ("fx", "fy", "cx", "cy")), F.col("bb"), F.col("w").cast("double"), F.col("h").cast("double"))
     return b.select("frame", "j", iou.alias("iou"))
 
 
-def quality_report(spark: object, root: str, product: str, sample_every: int = 25) -> dict:
+def intrinsics_faults(spark: SparkSession, root: str, product: str) -> list[str]:
+    """What is wrong with the intrinsics that a product's file names: a message a frame, or that the file is missing."""
+    name = "intrinsics_per_frame.json" if product == "nuscenes" else "annotations.json"
+    if not filesystem.exists(f"{root}/{name}"):
+        return [f"no {name}"]
+    if product == "nuscenes":
+        held = readers.members(spark, f"{root}/{name}", "struct<W: double, H: double, K_native: array<array<double>>>").select("key", F.col("value.K_native").alias("k"), F.col("value.W").alias("w"), F.col("value.H").alias("h"))
+    else:
+        held = readers.annotations(spark, f"{root}/{name}").select(F.concat_ws("/", "scene", "token").alias("key"), F.col("entry.camera_sensor.CAM_FRONT.intrinsics").alias("k"), F.lit(None).cast("double").alias("w"), F.lit(None).cast("double").alias("h"))
+    k = F.col("k")
+    fine = quality.legal_intrinsics(k[0][0], k[1][1], k[0][2], k[1][2], F.col("w"), F.col("h"))
+    said = F.concat(F.lit("intrinsics "), "key", F.lit(": "), F.coalesce(F.to_json("k"), F.lit("none")))
+    return sorted(r.message for r in held.where(~F.coalesce(fine, F.lit(False))).select(said.alias("message")).collect())  # a row a finding
+
+
+def quality_report(spark: SparkSession, root: str, product: str, sample_every: int = 25) -> dict:
     """Checks a product's files against its manifest and writes qc_report_<product>.json; returns the report.
 
-    Every entry is checked for presence, size and count, each ``sample_every``-th one also inside; the lists of errors and warnings
-    hold findings only, so the driver sees a row a finding.
+    Every entry is checked for presence, size and count, each ``sample_every``-th one in order of keys also inside (only those
+    files are opened), and so are the intrinsics; without a manifest that is the error. The lists of errors and warnings hold findings only, so
+    the driver sees a row a finding.
     """
-    entries = readers.manifest(spark, f"{root}/manifest_{product}.json")
-    files = readers.listing(spark, root, "*.bin" if product == "nuscenes" else "*.npz").withColumn("file", readers.relative(F.col("file"), root))
-    issues = quality.file_issues(entries, files).select("level", F.concat_ws(" ", "code", "key").alias("message"))
-    sampled = quality.sampled(entries, sample_every, "at")
-    content = readers.contents(spark, root, "*.bin" if product == "nuscenes" else "*.npz").withColumn("file", readers.relative(F.col("file"), root))
-    inside = quality.deep_checks(content.join(sampled.select("file"), "file", "left_semi"), product)
-    found = issues.union(inside.select(F.lit("error"), F.concat_ws(" ", "fault", "file"))).orderBy("level", "message").collect()
-    stats = quality.percentiles(entries, "count", {"median": 0.5, "p5": 0.05, "p95": 0.95}).first()
-    report = {
-        "product": product, "entries": entries.count(), "sampled": sampled.count(), "sample_every": sample_every, "counts": stats.asDict() if stats else {},
-        "errors": [r.message for r in found if r.level == "error"], "warnings": [r.message for r in found if r.level == "warning"],
-    }
+    entries = readers.manifest_or_none(spark, f"{root}/manifest_{product}.json")
+    report: dict = {"product": product, "entries": 0, "sampled": 0, "sample_every": sample_every, "counts": {}, "errors": [f"no manifest_{product}.json"], "warnings": []}
+    if entries is not None:
+        entries = chain.placed(entries, ["key"])
+        listed = manifests.listed(spark, root, product)
+        files = entries.limit(0).select("file", F.col("bytes").alias("length"), F.col("file").alias("path")) if listed is None else listed.select("file", "length", "path")
+        issues = quality.file_issues(entries, files).select("level", F.concat_ws(" ", "code", "key").alias("message"))
+        sampled = quality.sampled(entries, sample_every, "at")
+        inside = quality.deep_checks(readers.opened(files.join(sampled.select("file"), "file", "left_semi").select("file", "path")), product)
+        found = issues.union(inside.select(F.lit("error"), F.concat_ws(" ", "fault", "file"))).orderBy("level", "message").collect()
+        stats = quality.percentiles(entries, "count", {"median": 0.5, "p5": 0.05, "p95": 0.95}).first()
+        report |= {"entries": entries.count(), "sampled": sampled.count(), "counts": stats.asDict() if stats else {}}
+        report |= {f"{level}s": [r.message for r in found if r.level == level] for level in ("error", "warning")}
+    report["errors"] = report["errors"] + intrinsics_faults(spark, root, product)
     writers.json_file(root, f"qc_report_{product}.json", report)
+    logs.logger().info("quality of %s: %d entries, %d errors, %d warnings", product, report["entries"], len(report["errors"]), len(report["warnings"]))
     return report

@@ -12,6 +12,7 @@ from depthloom.operators import chain
 from depthloom.operators.detection import CLASSES
 
 # First timestamp and step in microseconds, cameras by image size, the camera's axis quaternion.
+END = "EOF"
 FIRST_STAMP, STAMP_STEP = 1532402927647951, 33000
 CAMERAS = {(730, 530): "kv2", (591, 441): "xtion", (561, 427): "kv1", (681, 531): "realsense"}
 CAMERA_AXES = [0.5, -0.5, 0.5, -0.5]

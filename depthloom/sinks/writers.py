@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from depthloom import schemas, version
 from depthloom.functions.geometry import Grid
 from depthloom.operators.voxel import CELL, FREE
+from depthloom.sinks import jsonfile
 from depthloom.sources import codecs, filesystem
 
 WRITTEN = "key string, file string, count long, bytes long, md5 string"
@@ -105,12 +106,10 @@ def tables(folder: str, rows: dict[str, DataFrame]) -> None:
 
 
 def _json_rows(df: DataFrame | None, file: str) -> None:
-    """Rows stream through the driver a partition at a time; the tables hold a few rows a frame."""
     if df is None:
         filesystem.write(file, b"[]")
-        return
-    lines = [r.j for r in df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("j")).toLocalIterator()]
-    filesystem.write(file, ("[" + ",\n ".join(lines) + "]").encode())
+    else:
+        jsonfile.array(df, file)
 
 
 def annotation_tables(folder: str, rows: dict[str, DataFrame]) -> None:
@@ -118,12 +117,10 @@ def annotation_tables(folder: str, rows: dict[str, DataFrame]) -> None:
         _json_rows(rows[name], f"{folder.rstrip('/')}/{name}.json")
 
 
-def manifest(root: str, product: str, params: dict, entries: DataFrame) -> int:
-    """manifest_<product>.json with an entry for each file; returns their number."""
-    held = {}
-    for r in entries.orderBy("key").toLocalIterator():
-        held[r.key] = {k: v for k, v in r.asDict().items() if k != "key" and v is not None}
-        held[r.key]["file"] = held[r.key]["file"].replace("\\", "/")
+def manifest(root: str, product: str, params: dict, entries: DataFrame) -> None:
+    """manifest_<product>.json with an entry for each file, each on a line of its own, in order of keys, and their number."""
     made = {"name": "depthloom", "version": version.VERSION, "commit": version.commit(), "time": time.strftime("%Y-%m-%d %H:%M:%S")}
-    json_file(root, f"manifest_{product}.json", {"generator": made, "product": product, "params": params, "frames": len(held), "entries": held})
-    return len(held)
+    head = json.dumps({"product": product, "generator": made, "params": params}, ensure_ascii=False)[:-1] + ', "entries": {\n'
+    held = [c for c in ("file", "count", "bytes", "md5", "median_depth") if c in entries.columns]
+    fields = [F.replace("file", F.lit("\\"), F.lit("/")).alias("file") if c == "file" else c for c in held]
+    jsonfile.mapping(entries, F.col("key"), F.struct(*fields), f"{root.rstrip('/')}/manifest_{product}.json", head, '\n}, "frames": {rows}}')

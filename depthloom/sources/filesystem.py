@@ -21,6 +21,11 @@ def write(uri: str, data: bytes) -> None:
     draft = f"{path}.{uuid.uuid4().hex}.part"
     with system.open_output_stream(draft) as out:
         out.write(data)
+    take_name(system, draft, path)
+
+
+def take_name(system: fs.FileSystem, draft: str, path: str) -> None:
+    """Puts a draft in the place of its file."""
     try:
         system.move(draft, path)
     except OSError:  # some stores refuse to rename onto a file

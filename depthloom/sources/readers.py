@@ -13,11 +13,58 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from depthloom import schemas
-from depthloom.sources import codecs
+from depthloom.sources import codecs, filesystem
+
+#: Bytes of opened files that a task holds at once, if a file is not longer itself.
+OPEN_BYTES = 64 << 20
+
+
+def as_uri(path: str) -> str:
+    """A path as Spark's readers and writers take it whatever the default store is: plain ones are local."""
+    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+
+
+def listing_or_none(spark: SparkSession, path: str, glob: str = "*") -> DataFrame | None:
+    """``listing``, or None where there is no such folder."""
+    try:
+        return listing(spark, path, glob)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def opened(files: DataFrame) -> DataFrame:
+    """Rows with ``content``, the bytes of the file that their ``path`` names; only these files are opened.
+
+    For files chosen from a ``listing``: a filter on names never reaches the scan of contents, so choose first, then open.
+    """
+    names = files.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:  # some files at a time, by bytes
+                held, size, first = [], 0, at
+                while at < batch.num_rows and (not held or size < OPEN_BYTES):
+                    held.append(filesystem.read(batch.column("path")[at].as_py()))
+                    size += len(held[-1])
+                    at += 1
+                yield pa.record_batch([*batch.slice(first, at - first).columns, pa.array(held, pa.binary())], names=[*names, "content"])
+
+    return files.mapInArrow(run, StructType([*files.schema.fields, StructField("content", BinaryType())]))
+
+
+def listed(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """file, frame, path and length of every file below a folder, for ``opened``; contents are not read."""
+    files = listing(spark, path, glob)
+    return files.select("file", frame_below(F.col("file"), path).alias("frame"), F.col("file").alias("path"), "length")
 
 
 def listing(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
@@ -57,12 +104,63 @@ def colours(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFrame:
 
 
 MANIFEST_ENTRY = "struct<file: string, count: bigint, bytes: bigint, md5: string, median_depth: double>"
+#: How a manifest of this library begins: its entries follow, each on a line of its own.
+MANIFEST_HEAD = '{"product"'
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """key, at (place in the file), file, count, bytes, md5, median_depth of a manifest's entries."""
-    held = spark.read.text(path, wholetext=True).select(F.from_json("value", f"struct<entries: map<string, {MANIFEST_ENTRY}>>").alias("m"))
-    return held.select(F.posexplode("m.entries").alias("at", "key", "e")).select("key", "at", "e.*")
+    """key, file, count, bytes, md5, median_depth of a manifest's entries.
+
+    Manifests of this library are read line by line; others, whose entries may stand over several lines, as a whole.
+    """
+    lines = spark.read.text(as_uri(path))
+    first = lines.first()
+    if first is not None and first.value.startswith(MANIFEST_HEAD):
+        return _member_lines(lines, MANIFEST_ENTRY).select("key", "value.*")
+    held = spark.read.text(as_uri(path), wholetext=True).select(F.from_json("value", f"struct<entries: map<string, {MANIFEST_ENTRY}>>").alias("m"))
+    return held.select(F.explode("m.entries").alias("key", "e")).select("key", "e.*")
+
+
+def _member_lines(lines: DataFrame, kind: str) -> DataFrame:
+    """key and value of the lines that hold one member of an object each, as ``jsonfile`` writes them."""
+    said = F.concat(F.lit("{"), F.regexp_replace("value", ",$", ""), F.lit("}"))
+    return lines.where(F.col("value").startswith('"') & ~F.col("value").endswith("{")).select(F.explode(F.from_json(said, f"map<string, {kind}>")).alias("key", "value"))
+
+
+def members(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """key and value of a JSON object's members; line by line where each has a line of its own."""
+    lines = spark.read.text(as_uri(path))
+    first = lines.first()
+    if first is not None and first.value == "{":
+        return _member_lines(lines, kind)
+    held = spark.read.text(as_uri(path), wholetext=True).select(F.from_json("value", f"map<string, {kind}>").alias("m"))
+    return held.select(F.explode("m").alias("key", "value"))
+
+
+CAMERA = "struct<intrinsics: array<array<double>>, extrinsic: string, ego_pose: string, img_path: string>"
+ANNOTATION = f"struct<timestamp: bigint, ego_pose: string, gt_path: string, prev: string, next: string, camera_sensor: struct<CAM_FRONT: {CAMERA}>>"
+
+
+def annotations(spark: SparkSession, path: str) -> DataFrame:
+    """scene, token, entry of the occupancy annotations."""
+    lines = spark.read.text(as_uri(path))
+    first = lines.first()
+    if first is not None and first.value.startswith('{"train_split"') and first.value.endswith("{"):
+        held = _member_lines(lines, ANNOTATION)
+        return held.select(F.element_at(F.split("value.gt_path", "/"), -3).alias("scene"), F.col("key").alias("token"), F.col("value").alias("entry"))
+    whole = spark.read.text(as_uri(path), wholetext=True).select(F.from_json("value", f"struct<scene_infos: map<string, map<string, {ANNOTATION}>>>").alias("m"))
+    scenes = whole.select(F.explode("m.scene_infos").alias("scene", "tokens"))
+    return scenes.select("scene", F.explode("tokens").alias("token", "entry"))
+
+
+def manifest_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """``manifest``, or None where there is none."""
+    try:
+        return manifest(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def decoded(files: DataFrame, decode: Callable[[str, bytes], Iterator[pa.RecordBatch]], columns: str) -> DataFrame:
