@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StringType, StructField, StructType
 
 from depthloom.functions import names
 from depthloom.operators import chain
@@ -16,6 +17,10 @@ SPLITS = {
 }
 
 
+# Folders of the label images.
+LABELS = {"train": "train13labels", "val": "test13labels"}
+
+
 def numbered(spark: SparkSession, splits: list[str], limit: int = 0, only: list[int] | None = None) -> DataFrame:
     """split, i, name, meta_row of the wanted frames; a choice of numbers goes before a limit a split."""
     out = None
@@ -27,49 +32,56 @@ def numbered(spark: SparkSession, splits: list[str], limit: int = 0, only: list[
     return out.where(F.col("i").isin(only)) if only else out
 
 
-def prepared(wanted: DataFrame, meta: DataFrame, root: str, image_suffix: str = "jpg") -> DataFrame:
-    """Frames with both files: split, i, name, w, h, k, depth_bytes, rgb_bytes (decoded colours), label_bytes, rgb_file.
+#: Frames up to which their rows (paths and intrinsics, a few hundred bytes each) are broadcast to the images.
+FEW = 200_000
+#: Frames up to which the images are named one by one instead of listing their folders.
+NAMED = 1_000
 
-    meta: i (row of the metadata) and K, the 3x3 intrinsics. Sizes come from the depth image's header. Files are
-    listed first, so contents are read for the wanted frames only; label images are optional.
-    """
-    spark = wanted.sparkSession
-    out = wanted.join(meta.select(F.col("i").alias("meta_row"), F.col("K").alias("k")), "meta_row")
-    kinds = {"rgb": ("images", f"*.{image_suffix}"), "depth": ("depth", "*.png")}
-    for column, (folder, glob) in kinds.items():
-        files = None
-        for split, s in SPLITS.items():
-            try:
-                one = (readers.contents if column == "depth" else readers.colours)(spark, f"{root}/{s[folder]}", glob)
-            except Exception as error:
-                if "PATH_NOT_FOUND" not in str(error):
-                    raise
-                continue
-            number = F.regexp_extract("frame", r"(\d+)$", 1).cast("int")
-            found = [F.col("content").alias(f"{column}_bytes")] if column == "depth" else ["rgb_bytes", F.col("file").alias("rgb_file")]
-            one = one.select(F.lit(split).alias("split"), number.alias("i"), *found)
-            files = one if files is None else files.union(one)
-        out = out.join(files, ["split", "i"])
-    labels = _labels(spark, root)
-    out = out.join(labels, ["split", "i"], "left") if labels is not None else out.withColumn("label_bytes", F.lit(None).cast("binary"))
-    number = lambda at: F.conv(F.hex(F.substring("depth_bytes", at, F.lit(4))), 16, 10).cast("int")
-    return out.select("split", "i", "name", number(17).alias("w"), number(21).alias("h"), "k", "depth_bytes", "rgb_bytes", "label_bytes", "rgb_file")
-
-
-def _labels(spark: SparkSession, root: str) -> DataFrame | None:
+
+def _listed(spark: SparkSession, root: str, folders: dict[str, str], glob: str, column: str) -> DataFrame | None:
+    """split, i and path of the numbered files of each split's folder; no contents are read."""
     out = None
-    for split, folder in (("train", "train13labels"), ("val", "test13labels")):
-        try:
-            one = readers.contents(spark, f"{root}/{folder}", "*.png")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
+    for split, folder in folders.items():
+        files = readers.listing_or_none(spark, f"{root}/{folder}", glob)
+        if files is None:
             continue
-        one = one.select(F.lit(split).alias("split"), F.regexp_extract("frame", r"(\d+)$", 1).cast("int").alias("i"), F.col("content").alias("label_bytes"))
+        number = F.regexp_extract(F.element_at(F.split("file", "/"), -1), r"(\d+)\.[a-z]+$", 1).cast("int")
+        one = files.select(F.lit(split).alias("split"), number.alias("i"), F.col("file").alias(column))
         out = one if out is None else out.union(one)
     return out
 
 
+def prepared(wanted: DataFrame, meta: DataFrame, root: str, image_suffix: str = "jpg") -> DataFrame:
+    """Frames with both files: split, i, name, w, h, k, depth_bytes, rgb_bytes (decoded colours), label_bytes, rgb_file.
+
+    meta: i (row of the metadata) and K, the 3x3 intrinsics. Sizes come from the depth image's header; label images are
+    optional. Paths are joined first, contents are not: the colour images are read where they are decoded, the row of each frame is
+    brought to them (by broadcast up to ``FEW`` frames; beyond that images are shuffled with their rows), and the same
+    task opens its depth and label files. Up to ``NAMED`` frames only their own images are read.
+    """
+    spark = wanted.sparkSession
+    schema = StructType([*wanted.schema.fields, StructField("k", ArrayType(ArrayType(DoubleType()))), *(StructField(c, StringType()) for c in ("depth", "rgb_file", "label"))])
+    depth = _listed(spark, root, {s: v["depth"] for s, v in SPLITS.items()}, "*.png", "depth")
+    images = _listed(spark, root, {s: v["images"] for s, v in SPLITS.items()}, f"*.{image_suffix}", "rgb_file")
+    if depth is None or images is None:
+        rows = spark.createDataFrame([], schema)
+    else:
+        rows = wanted.join(meta.select(F.col("i").alias("meta_row"), F.col("K").alias("k")), "meta_row").join(depth, ["split", "i"]).join(images, ["split", "i"])
+        labels = _listed(spark, root, LABELS, "*.png", "label")
+        rows = rows.withColumn("label", F.lit(None).cast("string")) if labels is None else rows.join(labels, ["split", "i"], "left")
+    number = rows.count()  # of narrow rows
+    if number <= NAMED:
+        files = [r.rgb_file for r in rows.select("rgb_file").collect()]
+        colours = readers.colours_of(spark, files)
+    else:
+        colours = readers.colours_of(spark, [f"{root}/{s['images']}" for s in SPLITS.values()], f"*.{image_suffix}")
+    both = colours.join(F.broadcast(rows) if number <= FEW else rows, "rgb_file")
+    opened = readers.opened(both.select(*rows.columns, "rgb_bytes", F.col("depth").alias("path"))).withColumnRenamed("content", "depth_bytes")
+    whole = readers.opened(opened.withColumn("path", F.col("label"))).withColumnRenamed("content", "label_bytes")
+    size = lambda at: F.conv(F.hex(F.substring("depth_bytes", at, F.lit(4))), 16, 10).cast("int")
+    return whole.select("split", "i", "name", size(17).alias("w"), size(21).alias("h"), "k", "depth_bytes", "rgb_bytes", "label_bytes", "rgb_file")
+
+
 META = "struct<Rtilt: array<array<double>>, K: array<array<double>>, boxes: array<struct<cls: string, centroid: array<double>, coeffs: array<double>, basis: array<array<double>>, bb2d: array<double>>>>"
 
 

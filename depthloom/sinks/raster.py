@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from depthloom.functions.geometry import Grid
 from depthloom.operators import voxel
+from depthloom.sinks import writers
 from depthloom.sources import codecs
 
 # Colours of label 0 and of the 13 classes.
@@ -29,33 +33,55 @@ def _marked(image: np.ndarray, row: float, column: float, radius: int = 6) -> np
     return image
 
 
-def occupancy_png(cells: DataFrame, grid: Grid, size: int = 600, margin: int = 10) -> bytes:
-    """Picture of one frame's cells; the driver gets a row a column of the grid, which bounds it."""
-    tops = voxel.bev_top(cells.withColumn("frame", F.lit(0))).select("ix", "iy", "top", "any_free").toPandas()
+def occupancy_picture(tops: pa.Table, grid: Grid, size: int = 600, margin: int = 10) -> bytes:
+    """Picture of one frame's columns (ix, iy, top): the class on top, or free."""
+    ix, iy, top = (np.asarray(tops.column(c).to_pandas(), float) for c in ("ix", "iy", "top"))
     image = np.full((*grid.dims[:2], 3), BACKGROUND, np.uint8)
-    for r in tops.itertuples():
-        image[r.ix, r.iy] = COLOURS[int(r.top)] if r.top == r.top and r.top is not None and int(r.top) < len(COLOURS) else FREE_COLOUR
+    taken = np.isfinite(top) & (np.nan_to_num(top) < len(COLOURS))
+    colours = np.where(taken[:, None], np.asarray(COLOURS)[np.where(taken, top, 0).astype(int)], FREE_COLOUR)
+    image[ix.astype(int), iy.astype(int)] = colours
     x0 = y0 = 0
     x1, y1 = grid.dims[:2]
-    if len(tops):
-        x0, x1 = max(tops.ix.min() - margin, 0), min(tops.ix.max() + margin + 1, x1)
-        y0, y1 = max(tops.iy.min() - margin, 0), min(tops.iy.max() + margin + 1, y1)
+    if len(ix):
+        x0, x1 = max(int(ix.min()) - margin, 0), min(int(ix.max()) + margin + 1, x1)
+        y0, y1 = max(int(iy.min()) - margin, 0), min(int(iy.max()) + margin + 1, y1)
     out = _enlarged(image[x0:x1, y0:y1][::-1, ::-1], size)
     ego = [(-lo / grid.voxel) for lo in grid.low[:2]]
     return codecs.encode_png(_marked(out, size * (1 - (ego[0] - x0) / (x1 - x0)), size * (1 - (ego[1] - y0) / (y1 - y0))))
 
 
-def points_png(points: DataFrame, size: int = 600, extent: float = 40.0) -> bytes:
-    """Picture of one frame's points by height; points are reduced to the highest of each pixel in Spark."""
+def occupancy_png(cells: DataFrame, grid: Grid, size: int = 600, margin: int = 10) -> bytes:
+    """Picture of one frame's cells; the driver gets a row a column of the grid, which bounds it."""
+    tops = voxel.bev_top(cells.withColumn("frame", F.lit(0))).select("ix", "iy", "top").toArrow()
+    return occupancy_picture(tops, grid, size, margin)
+
+
+def highest_points(points: DataFrame, size: int = 600, extent: float = 40.0) -> DataFrame:
+    """frame, row, column, z: the highest point of each pixel."""
     place = lambda c: F.floor((F.lit(0.5) - F.col(c) / extent * 0.5) * size).cast("int")
-    seen = points.select(place("x").alias("row"), place("y").alias("column"), "z").where(f"row between 0 and {size - 1} and column between 0 and {size - 1}")
-    top = seen.groupBy("row", "column").agg(F.max("z").alias("z")).toPandas()
+    seen = points.select("frame", place("x").alias("row"), place("y").alias("column"), "z").where(f"row between 0 and {size - 1} and column between 0 and {size - 1}")
+    return seen.groupBy("frame", "row", "column").agg(F.max("z").alias("z"))
+
+
+def points_picture(top: pa.Table, size: int = 600) -> bytes:
+    """Picture of one frame's highest points by height."""
+    row, column, z = (np.asarray(top.column(c).to_pandas()) for c in ("row", "column", "z"))
     image = np.full((size, size, 3), BACKGROUND, np.uint8)
-    share = (top.z.clip(-1, 5.4).to_numpy() + 1) / 6.4
-    image[top.row, top.column] = np.stack([60 + 195 * share, 80 + 120 * share, 255 - 195 * share], 1).astype(np.uint8)
+    share = (np.clip(z.astype(float), -1, 5.4) + 1) / 6.4
+    image[row.astype(int), column.astype(int)] = np.stack([60 + 195 * share, 80 + 120 * share, 255 - 195 * share], 1).astype(np.uint8)
     return codecs.encode_png(_marked(image, size / 2, size / 2))
 
 
+def points_png(points: DataFrame, size: int = 600, extent: float = 40.0) -> bytes:
+    """Picture of one frame's points by height; points are reduced to the highest of each pixel in Spark."""
+    return points_picture(highest_points(points.withColumn("frame", F.lit(0)), size, extent).toArrow(), size)
+
+
+def drawn(rows: DataFrame, out: str, name: Callable[[str], str], picture: Callable[[pa.Table], bytes]) -> DataFrame:
+    """A picture for each frame, made by the executor that has its rows; a manifest row each."""
+    return writers.per_frame(rows, out, name, lambda held: (picture(held), held.num_rows), [])
+
+
 def _line(image: np.ndarray, a: tuple[float, float], b: tuple[float, float], colour: tuple[int, int, int]) -> None:
     """A straight line between two (u, v) places, cut at the picture's border."""
     n = int(max(abs(b[0] - a[0]), abs(b[1] - a[1]), 1)) + 1

@@ -43,7 +43,7 @@ def listing_or_none(spark: SparkSession, path: str, glob: str = "*") -> DataFram
 def opened(files: DataFrame) -> DataFrame:
     """Rows with ``content``, the bytes of the file that their ``path`` names; only these files are opened.
 
-    For files chosen from a ``listing``: a filter on names never reaches the scan of contents, so choose first, then open.
+    A null path gives a null. For files chosen from a ``listing``: a filter on names never reaches the scan of contents, so choose first, then open.
     """
     names = files.columns
 
@@ -53,8 +53,9 @@ def opened(files: DataFrame) -> DataFrame:
             while at < batch.num_rows:  # some files at a time, by bytes
                 held, size, first = [], 0, at
                 while at < batch.num_rows and (not held or size < OPEN_BYTES):
-                    held.append(filesystem.read(batch.column("path")[at].as_py()))
-                    size += len(held[-1])
+                    path = batch.column("path")[at].as_py()
+                    held.append(filesystem.read(path) if path is not None else None)
+                    size += len(held[-1] or b"")
                     at += 1
                 yield pa.record_batch([*batch.slice(first, at - first).columns, pa.array(held, pa.binary())], names=[*names, "content"])
 
@@ -97,10 +98,18 @@ def colours(spark: SparkSession, path: str, glob: str = "*.jpg") -> DataFrame:
 
     What can't be decoded is an empty image of no pixels.
     """
-    files = spark.read.format("image").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return colours_of(spark, [path], glob).select(F.col("rgb_file").alias("file"), frame_below(F.col("rgb_file"), path).alias("frame"), "rgb_bytes")
+
+
+def colours_of(spark: SparkSession, paths: list[str], glob: str = "*") -> DataFrame:
+    """rgb_file and rgb_bytes of files and folders, as ``colours`` has them; folders that are not there are left out."""
+    paths = [p for p in paths if listing_or_none(spark, p) is not None] if glob != "*" else paths
+    if not paths:
+        return spark.createDataFrame([], "rgb_file string, rgb_bytes binary")
+    files = spark.read.format("image").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(paths)
     number = lambda c: F.unhex(F.lpad(F.hex(F.greatest(F.col(f"image.{c}"), F.lit(0)).cast("long")), 8, "0"))
     raw = F.concat(F.lit(codecs.PIXELS), number("height"), number("width"), number("nChannels"), F.coalesce("image.data", F.lit(b"")))
-    return files.select(F.col("image.origin").alias("file"), frame_below(F.col("image.origin"), path).alias("frame"), raw.alias("rgb_bytes"))
+    return files.select(F.regexp_replace("image.origin", "^file:/+", "file:/").alias("rgb_file"), raw.alias("rgb_bytes"))  # as listings name it
 
 
 MANIFEST_ENTRY = "struct<file: string, count: bigint, bytes: bigint, md5: string, median_depth: double>"
@@ -130,8 +139,8 @@ def _member_lines(lines: DataFrame, kind: str) -> DataFrame:
 def members(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """key and value of a JSON object's members; line by line where each has a line of its own."""
     lines = spark.read.text(as_uri(path))
-    first = lines.first()
-    if first is not None and first.value == "{":
+    begin = [r.value for r in lines.head(2)]
+    if len(begin) == 2 and begin[0] == "{" and begin[1].startswith('"'):
         return _member_lines(lines, kind)
     held = spark.read.text(as_uri(path), wholetext=True).select(F.from_json("value", f"map<string, {kind}>").alias("m"))
     return held.select(F.explode("m").alias("key", "value"))
