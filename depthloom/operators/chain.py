@@ -30,15 +30,19 @@ def linked_by_slices(frames: DataFrame, scene: list[str], part: str, order: list
     return inside.join(sides, [*scene, part]).withColumns({"prev": F.coalesce("prev", "_before"), "next": F.coalesce("next", "_after")}).drop("_before", "_after")
 
 
-def extended(known: DataFrame, added: DataFrame, scene: str, order: list[str], token: str = "token", end: str = "EOF") -> DataFrame:
-    """A chain after re-adding frames: known tokens keep their place and get the new values, new tokens follow at the tail."""
-    place = F.row_number().over(Window.partitionBy(scene).orderBy(*order))
-    old = known.select(*added.columns, F.struct(F.lit(0).alias("late"), place.alias("at")).alias("_o"))
-    kept = old.join(added.select(token), token, "left_anti").select(*added.columns, "_o")
-    fresh = added.join(old.select(token, F.col("_o").alias("_old")), token, "left").select(
-        *added.columns, F.coalesce("_old", F.struct(F.lit(1).alias("late"), place.alias("at"))).alias("_o")
+def extended(known: DataFrame, added: DataFrame, scene: str, order: list[str], token: str = "token", end: str = "EOF", place: str = "") -> DataFrame:
+    """A chain after re-adding frames: known tokens keep their place and get the new values, new tokens follow at the tail.
+
+    A token stands once in a scene; the same token in two scenes is two frames. ``place`` names a column to keep the order in.
+    """
+    at = F.row_number().over(Window.partitionBy(scene).orderBy(*order))
+    old = known.select(*added.columns, F.struct(F.lit(0).alias("late"), at.alias("at")).alias("_o"))
+    kept = old.join(added.select(scene, token), [scene, token], "left_anti").select(*added.columns, "_o")
+    fresh = added.join(old.select(scene, token, F.col("_o").alias("_old")), [scene, token], "left").select(
+        *added.columns, F.coalesce("_old", F.struct(F.lit(1).alias("late"), at.alias("at"))).alias("_o")
     )
-    return linked(kept.union(fresh), scene, ["_o"], token, end).drop("_o")
+    out = linked(kept.union(fresh), scene, ["_o"], token, end)
+    return out.withColumnRenamed("_o", place) if place else out.drop("_o")
 
 
 def scene_rollup(frames: DataFrame, scene: str, order: list[str], token: str = "token") -> DataFrame:

@@ -94,15 +94,27 @@ def label_grid(points: np.ndarray, label: np.ndarray, grid: Grid, ray_stride: in
     return sem, mask
 
 
-def label_files(frames: DataFrame, root: str, grid: Grid, ray_stride: int = 4, vote: bool = False, scale: float = 1.0 / 6553.5, valid: tuple[float, float] = (0.3, 8.0)) -> DataFrame:
-    """Dense label files gts/<split>/<name>/labels.npz with both masks; the median is that of raw depths above ``valid``'s start."""
+def label_files(
+    frames: DataFrame, root: str, grid: Grid, ray_stride: int = 4, vote: bool = False, scale: float = 1.0 / 6553.5,
+    valid: tuple[float, float] | None = (0.3, 8.0), distortion: tuple[float, float] = (0.0, 0.0), least: float = 0.3,
+) -> DataFrame:
+    """Dense label files gts/<split>/<name>/labels.npz with both masks; the median is that of raw depths above ``least``.
+
+    Without ``valid`` every depth counts. ``distortion`` (k1, k2) moves a pixel's ray by 1 + k1 r^2 + k2 r^4.
+    """
 
     def make(row: dict) -> tuple[bytes, int, float]:
-        raw = codecs.decode_png(row["depth_bytes"]).astype(np.float64) * scale
-        far = raw[raw > valid[0]]
-        depth = np.where((raw < valid[0]) | (raw > valid[1]), 0.0, raw)
+        raw = codecs.depth_metres(row["depth_bytes"], scale)
+        far = raw[raw > least]
+        depth = raw if valid is None else np.where((raw < valid[0]) | (raw > valid[1]), 0.0, raw)
         points, seen = pointcloud.deproject(depth, row["fx"], row["fy"], row["cx"], row["cy"], 1e-4, np.inf)
-        label = codecs.decode_png(row["label_bytes"])[seen] if row["label_bytes"] else np.zeros(len(points), np.uint8)
+        if any(distortion):
+            square = ((points[:, 1:] / points[:, :1]) ** 2).sum(1)
+            points[:, 1:] *= (1 + distortion[0] * square + distortion[1] * square**2)[:, None]
+        label = codecs.label_image(row["label_bytes"]) if row["label_bytes"] else np.zeros(depth.shape, np.uint8)
+        if label.shape != depth.shape:
+            raise ValueError(f"labels are {label.shape}, depth is {depth.shape}")
+        label = label[seen]
         if len(label) and label.max() > 16:
             raise ValueError(f"label {label.max()} is above 16")
         sem, mask = label_grid(points, label, grid, ray_stride, vote)

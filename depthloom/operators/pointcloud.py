@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from depthloom.operators.imaging import filtered_image
+from depthloom.operators.imaging import filtered_image, resized
 from depthloom.sources import codecs
 
 
@@ -110,14 +110,10 @@ def clouds(frames: DataFrame, scale: float = 1.0 / 6553.5, use_fy: bool = False)
 
 
 def fitted(image: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
-    """Nearest-neighbour resampling of a colour image to the depth grid, by pixel centres."""
+    """A colour image on the depth grid, by bicubic resampling where the shapes differ."""
     if image.ndim == 2:
         image = np.stack([image] * 3, -1)
-    if image.shape[:2] == shape:
-        return image[..., :3]
-    rows = ((np.arange(shape[0]) + 0.5) * image.shape[0] / shape[0]).astype(int)
-    columns = ((np.arange(shape[1]) + 0.5) * image.shape[1] / shape[1]).astype(int)
-    return image[rows][:, columns, :3]
+    return resized(image[..., :3], shape)
 
 
 def surface_pixels(frames: DataFrame, scale: float = 1.0 / 6553.5, valid: tuple[float, float] = (0.3, 8.0)) -> DataFrame:

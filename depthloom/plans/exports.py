@@ -55,12 +55,12 @@ def _file(prefix: str, suffix: str):  # noqa: ANN202
     return lambda frame: f"{prefix}_{frame.replace('/', '_')}{suffix}"
 
 
-def points(spark: SparkSession, root: str, out: str, colour: str = "intensity", frames: DataFrame | None = None, names: list[str] | None = None, limit: int = 0, split: str = "") -> DataFrame:
+def points(spark: SparkSession, root: str, out: str, colour: str = "intensity", frames: DataFrame | None = None, names: list[str] | None = None, limit: int = 0, split: str = "", token: str = "") -> DataFrame:
     """points_<split>_<frame>.ply of each point file, grey by intensity or white.
 
     With ``frames`` the points of these frames are made anew with the colours of their images, as the files hold no colour.
     """
-    files = chosen(readers.listed(spark, f"{root}/samples/LIDAR_TOP", "*.bin"), names, limit, split)
+    files = chosen(readers.listed(spark, f"{root}/samples/LIDAR_TOP", "*.bin"), names, limit, split, token=token)
     if frames is not None:
         seen = lines.with_intrinsics(frames).join(files.select("frame"), "frame", "left_semi")
         fresh = pointcloud.clouds(seen).where("error is null")
@@ -69,13 +69,13 @@ def points(spark: SparkSession, root: str, out: str, colour: str = "intensity",
     return writers.ply(held if colour == "intensity" else held.withColumn("intensity", F.lit(1.0)), out, _file("points", ".ply"), ["seq"])
 
 
-def occupancy(spark: SparkSession, root: str, out: str, style: str = "cube", share: float = 0.95, free_every: int = 8, grid: Grid = Grid(), frames: DataFrame | None = None, names: list[str] | None = None, limit: int = 0, split: str = "") -> DataFrame:
+def occupancy(spark: SparkSession, root: str, out: str, style: str = "cube", share: float = 0.95, free_every: int = 8, grid: Grid = Grid(), frames: DataFrame | None = None, names: list[str] | None = None, limit: int = 0, split: str = "", token: str = "") -> DataFrame:
     """occ_<split>_<frame>_occupied_cubes.ply (or _occupied.ply with style ``points``) and _free.ply of each label file.
 
     Free cells are thinned to each ``free_every``-th. With ``frames`` the cells are made anew from their depth, 0.05 m wide, within
     the indoor range.
     """
-    files = chosen(readers.listed(spark, f"{root}/gts", "*.npz"), names, limit, split)
+    files = chosen(readers.listed(spark, f"{root}/gts", "*.npz"), names, limit, split, token=token)
     if frames is None:
         cells = readers.occupancy(spark, root, readers.opened(files)).where("error is null")
     else:
@@ -167,7 +167,7 @@ def demo(spark: SparkSession, root: str, out: str, frame: str, frames: DataFrame
     """Everything that shows one frame (split/name): PLY of points and cells, bird's-eye views, a preview if images and boxes are given."""
     split, name = frame.split("/")
     one = {"token": name, "split": split}
-    made = [r.file for part in (points(spark, root, out, names=[name], split=split), occupancy(spark, root, out, grid=grid, names=[name], split=split)) for r in part.select("file").collect()]
+    made = [r.file for part in (points(spark, root, out, **one), occupancy(spark, root, out, grid=grid, **one)) for r in part.select("file").collect()]
     bins = readers.opened(chosen(readers.listed(spark, f"{root}/samples/LIDAR_TOP", "*.bin"), **one))
     labels = readers.opened(chosen(readers.listed(spark, f"{root}/gts", "*.npz"), **one))
     views = bird_views(readers.occupancy(spark, root, labels).where("error is null"), readers.point_bins(spark, root, bins).where("error is null"), out, grid)

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depthloom import logs
@@ -91,17 +91,80 @@ def annotation_tasks(frames: DataFrame) -> DataFrame:
     return with_intrinsics(frames).select(F.col("split").alias("scene"), F.col("name").alias("token"), "split", stamp, "fx", "fy", "cx", "cy", F.lit("").alias("img"))
 
 
-def annotations_file(linked: DataFrame, path: str) -> None:
-    """annotations.json from linked rows (``tables.annotations``): scene, token, entry; the splits name their scenes."""
-    nothing = F.lit(None).cast("string")
-    camera = F.struct("intrinsics", nothing.alias("extrinsic"), nothing.alias("ego_pose"), "img_path")
-    entry = F.struct("timestamp", nothing.alias("ego_pose"), "gt_path", "prev", "next", F.struct(camera.alias("CAM_FRONT")).alias("camera_sensor"))
-    first, last = F.col("prev") == tables.END, F.col("next") == tables.END
+def annotation_entry(timestamp: Column, ego_pose: Column, gt_path: Column, prev: Column, next_: Column, k: Column, extrinsic: Column, camera_pose: Column, img_path: Column) -> Column:
+    camera = F.struct(k.alias("intrinsics"), extrinsic.cast(readers.POSE).alias("extrinsic"), camera_pose.cast(readers.CAMERA_POSE).alias("ego_pose"), img_path.alias("img_path"))
+    sensors = F.struct(camera.alias("CAM_FRONT")).alias("camera_sensor")
+    return F.struct(timestamp.cast("long").alias("timestamp"), ego_pose.cast(readers.POSE).alias("ego_pose"), gt_path.alias("gt_path"), prev.alias("prev"), next_.alias("next"), sensors)
+
+
+def annotations_file(entries: DataFrame, splits: dict[str, list[str]], path: str, order: list[str]) -> None:
+    """annotations.json from rows (scene, token, entry with prev and next); along each scene in ``order``; the splits name their scenes."""
+    first, last = F.col("entry.prev") == tables.END, F.col("entry.next") == tables.END
     opens, closes = F.when(first, F.concat(jsonfile.quoted(F.col("scene")), F.lit(": {\n"))).otherwise(""), F.when(last, "\n}").otherwise("")
-    rows = linked.withColumn("fragment", F.concat(opens, jsonfile.member(F.col("token"), entry, nulls=True), closes)).orderBy("scene", "timestamp", "token")
-    scenes = linked.groupBy("split").agg(F.array_sort(F.collect_set("scene")).alias("scenes")).collect()  # scenes are splits or cameras
-    held = {"train_split": [], "val_split": []} | {f"{r.split}_split": r.scenes for r in scenes}
-    jsonfile.write(rows.select("fragment"), path, json.dumps(held)[:-1] + ', "scene_infos": {\n', "\n}}")
+    rows = entries.withColumn("fragment", F.concat(opens, jsonfile.member(F.col("token"), F.col("entry"), nulls=True), closes)).orderBy("scene", *order)
+    held = {f"{k}_split": splits.get(k, []) for k in ("train", "val")} | {f"{k}_split": v for k, v in splits.items()}
+    jsonfile.write(rows.select("fragment"), path, json.dumps(held, ensure_ascii=False)[:-1] + ', "scene_infos": {\n', "\n}}")
+
+
+def annotate(spark: SparkSession, path: str, added: DataFrame) -> None:
+    """Adds frames (scene, token, split, entry) to an annotations file, or begins one.
+
+    A token that is there keeps its place and its neighbours and gets the new entry; new ones follow at their scene's tail, in the order of
+    (timestamp, token).
+    """
+    rows = added.select("scene", "token", "entry", F.lit(None).cast("long").alias("at"))
+    if filesystem.exists(path):
+        known, splits = readers.annotations(spark, path), readers.annotation_splits(spark, path)
+    else:
+        known, splits = rows.limit(0), {}
+    for r in added.select("split", "scene").distinct().orderBy("split", "scene").collect():  # scenes are splits or cameras
+        held = splits.setdefault(r.split, [])
+        held += [] if r.scene in held else [r.scene]
+    stamped = [df.withColumn("stamp", F.col("entry.timestamp")).select("scene", "token", "entry", "at", "stamp") for df in (known, rows)]
+    linked = chain.extended(*stamped, "scene", ["at", "stamp", "token"], place="place")
+    entry = F.col("entry").withField("prev", F.col("prev")).withField("next", F.col("next"))
+    annotations_file(linked.select("scene", "token", "place", entry.alias("entry")), splits, path, ["place"])
+
+
+@dataclass(frozen=True)
+class Single:
+    """What one frame is annotated with: poses are null, never made up, where neither part is given."""
+
+    scene: str
+    token: str
+    split: str = "train"
+    timestamp: int = 0
+    image: str = ""
+    ego_translation: tuple[float, ...] | None = None
+    ego_rotation: tuple[float, ...] | None = None
+    extrinsic_translation: tuple[float, ...] | None = None
+    extrinsic_rotation: tuple[float, ...] | None = None
+
+
+def single(
+    spark: SparkSession, depth: bytes, label: bytes | None, k: tuple[float, float, float, float], about: Single, root: str, grid: G.Grid = G.Grid(), ray_stride: int = 4,
+    scale: float = 0.001, valid: tuple[float, float] | None = None, distortion: tuple[float, float] = (0.0, 0.0), annotations: str = "",
+) -> int:
+    """One frame's label file gts/<scene>/<token>/labels.npz, and its entry in annotations.json; the number of observed cells.
+
+    An error of the frame is raised, and nothing is annotated then.
+    """
+    row = spark.createDataFrame([(f"{about.scene}/{about.token}", *map(float, k), depth, label)], "frame string, fx double, fy double, cx double, cy double, depth_bytes binary, label_bytes binary")
+    made = framefiles.label_files(row, root, grid, ray_stride, False, scale, valid, distortion).first()
+    if made.error:
+        raise ValueError(made.error)
+
+    def pose(translation: tuple[float, ...] | None, rotation: tuple[float, ...] | None) -> Column:
+        return G.pose(*(F.lit(None).cast("array<double>") if v is None else F.array(*[F.lit(float(x)) for x in v]) for v in (translation, rotation)))
+
+    ego = pose(about.ego_translation, about.ego_rotation)
+    stamp, end = F.lit(about.timestamp).cast("long"), F.lit(tables.END)
+    camera = F.when(ego.isNotNull(), F.struct(F.lit(about.token).alias("token"), stamp.alias("timestamp"), ego["translation"].alias("translation"), ego["rotation"].alias("rotation")))
+    fx, fy, cx, cy = (F.lit(float(v)) for v in k)
+    matrix = F.array(F.array(fx, F.lit(0.0), cx), F.array(F.lit(0.0), fy, cy), F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0)))
+    entry = annotation_entry(stamp, ego, F.lit(made.file), end, end, matrix, pose(about.extrinsic_translation, about.extrinsic_rotation), camera, F.lit(about.image))
+    annotate(spark, annotations or f"{root}/annotations.json", spark.range(1).select(F.lit(about.scene).alias("scene"), F.lit(about.token).alias("token"), F.lit(about.split).alias("split"), entry.alias("entry")))
+    return made["count"]
 
 
 def occupancy(frames: DataFrame, root: str, grid: G.Grid = G.Grid(), ray_stride: int = 4, vote: bool = False, scale: float = 1.0 / 6553.5) -> Outcome:
@@ -111,7 +174,10 @@ def occupancy(frames: DataFrame, root: str, grid: G.Grid = G.Grid(), ray_stride:
     """
     spark, f = frames.sparkSession, with_intrinsics(frames)
     made = manifests.kept(framefiles.label_files(to_do(f, root, "occ"), root, grid, ray_stride, vote, scale), root, "occ")
-    annotations_file(tables.annotations(annotation_tasks(frames)), f"{root}/annotations.json")
+    linked, none = tables.annotations(annotation_tasks(frames)), F.lit(None)
+    entry = annotation_entry(F.col("timestamp"), none, F.col("gt_path"), F.col("prev"), F.col("next"), F.col("intrinsics"), none, none, F.col("img_path"))
+    splits = {r.split: r.scenes for r in linked.groupBy("split").agg(F.array_sort(F.collect_set("scene")).alias("scenes")).collect()}  # a split is a scene
+    annotations_file(linked.withColumn("entry", entry), splits, f"{root}/annotations.json", ["timestamp", "token"])
     classes = {"0": "others", "17": "free"} | {str(i): c for i, c in enumerate(detection.CLASSES, 1)}
     writers.json_file(root, "semantic_classes.json", {"mapping": "pixel value == semantic id", "classes": classes})
 
@@ -211,16 +277,19 @@ def boxes_2d(boxes: DataFrame, root: str, limit: int = 0) -> DataFrame:
     return rows
 
 
-def run_all(frames: DataFrame, boxes: DataFrame, root: str, min_pts: int = 0, label_sample: int = 50) -> int:
-    """All lines below one root; 1 if a frame or a line failed. A line that fails is logged and does not stop the others."""
+def run_all(frames: DataFrame, boxes: DataFrame, root: str, min_pts: int = 0, label_sample: int = 50, clouds: dict | None = None, occ: dict | None = None) -> int:
+    """All lines below one root; 1 if a frame or a line failed. A line that fails is logged and does not stop the others.
+
+    ``clouds`` and ``occ`` are further parameters of their lines.
+    """
     log = logs.logger()
 
     def points() -> DataFrame:
         return readers.point_bins(frames.sparkSession, f"{root}/samples/LIDAR_TOP").where("error is null")
 
     steps: dict[str, Callable[[], bool]] = {
-        "nuscenes": lambda: point_clouds(frames, root).failed.isEmpty(),
-        "occ": lambda: occupancy(frames, root).failed.isEmpty(),
+        "nuscenes": lambda: point_clouds(frames, root, **(clouds or {})).failed.isEmpty(),
+        "occ": lambda: occupancy(frames, root, **(occ or {})).failed.isEmpty(),
         "detection": lambda: detections(boxes, points(), root, min_pts, frames, label_sample) is not None,
         "2d": lambda: boxes_2d(boxes, root) is not None,
     }

@@ -11,7 +11,11 @@ import numpy as np
 
 PNG_MAGIC = b"\x89PNG\r\n\x1a\n"
 _CHANNELS = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}
-_PLY_TYPES = {"float": "<f4", "double": "<f8", "uchar": "u1", "uint8": "u1", "int": "<i4", "ushort": "<u2", "float32": "<f4"}
+# Number types of the PLY format, by both of their names.
+_PLY_TYPES = {
+    "char": "i1", "uchar": "u1", "short": "<i2", "ushort": "<u2", "int": "<i4", "uint": "<u4", "float": "<f4", "double": "<f8",
+    "int8": "i1", "uint8": "u1", "int16": "<i2", "uint16": "<u2", "int32": "<i4", "uint32": "<u4", "float32": "<f4", "float64": "<f8",
+}
 
 
 def png_size(raw: bytes) -> tuple[int, int]:
@@ -106,6 +110,19 @@ def decode_colour(raw: bytes) -> np.ndarray:
     return np.repeat(image, 3, 2) if channels == 1 else image[..., 2::-1]
 
 
+def is_npy(raw: bytes) -> bool:
+    return raw[:6] == b"\x93NUMPY"
+
+
+def depth_metres(raw: bytes, scale: float) -> np.ndarray:
+    """A depth image in metres, by what its bytes are: the scale holds for PNG, an array is taken as it is."""
+    return decode_depth(".npy" if is_npy(raw) else "", raw, scale)
+
+
+def label_image(raw: bytes) -> np.ndarray:
+    return decode_image(".npy" if is_npy(raw) else "", raw).astype(np.uint8)
+
+
 def decode_depth(name: str, raw: bytes, scale: float = 1.0) -> np.ndarray:
     """Metres; the scale holds for images, an .npy is taken as it is."""
     image = decode_image(name, raw)
@@ -158,26 +175,66 @@ def encode_ply(xyz: np.ndarray, rgb: np.ndarray, intensity: np.ndarray | None =
     return ("\n".join([*head, "end_header"]) + "\n").encode() + rows.tobytes() + tail
 
 
-def decode_ply(raw: bytes) -> dict[str, object]:
-    """Vertex properties by name, and faces if there are any."""
+def _ply_head(raw: bytes) -> tuple[int, dict[str, int], list[tuple[str, str]], tuple[str, str]]:
+    """(end of the header, number of each element, vertex properties, kinds of a face's count and of its indices)."""
     end = raw.index(b"end_header\n") + len(b"end_header\n")
-    kinds, counts, element = [], {}, ""
+    kinds, counts, element, lists = [], {}, "", ("u1", "<i4")
     for words in (line.split() for line in raw[:end].decode("ascii").splitlines()):
+        if words[0] == "format" and words[1] != "binary_little_endian":
+            raise ValueError(f"format {words[1]}")
         if words[0] == "element":
             element = words[1]
             counts[element] = int(words[2])
         elif words[0] == "property" and element == "vertex":
             kinds.append((words[2], _PLY_TYPES[words[1]]))
-    dtype, n = np.dtype(kinds), counts.get("vertex", 0)
-    rows = np.frombuffer(raw, dtype, n, end)
+        elif words[0] == "property" and element == "face":
+            if words[1] != "list":
+                raise ValueError("faces with other properties than their vertices")
+            lists = (_PLY_TYPES[words[2]], _PLY_TYPES[words[3]])
+    return end, counts, kinds, lists
+
+
+def decode_faces(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, vertex numbers) of a mesh's faces: records of changing length, face f is numbers[offsets[f]:offsets[f + 1]].
+
+    Runs of faces with one number of vertices are read at once.
+    """
+    end, counts, kinds, (count_kind, index_kind) = _ply_head(raw)
+    at, left = end + counts.get("vertex", 0) * np.dtype(kinds).itemsize, counts.get("face", 0)
+    sizes, numbers = [], []
+    count, index = np.dtype(count_kind), np.dtype(index_kind)
+    while left:
+        if at + count.itemsize > len(raw):
+            raise ValueError(f"{left} faces are missing")
+        k = int(np.frombuffer(raw, count, 1, at)[0])
+        record = np.dtype([("k", count), ("v", index, (k,))])
+        some, step = min(left, (len(raw) - at) // record.itemsize), 16
+        if some == 0:
+            raise ValueError(f"{left} faces are missing")
+        same = 0
+        while same < some:  # longer and longer stretches, until a face has another number
+            held = np.frombuffer(raw, record, min(step, some - same), at + same * record.itemsize)
+            other = np.flatnonzero(held["k"] != k)
+            n = int(other[0]) if len(other) else len(held)
+            sizes.append(np.full(n, k, np.int64))
+            numbers.append(held["v"][:n].astype(np.int64).ravel())
+            same += n
+            if len(other):
+                break
+            step *= 4
+        at, left = at + same * record.itemsize, left - same
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes) if sizes else np.zeros(0, np.int64))])
+    return offsets, np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+
+
+def decode_ply(raw: bytes) -> dict[str, object]:
+    """Vertex properties by name, and faces if there are any."""
+    end, counts, kinds, _ = _ply_head(raw)
+    rows = np.frombuffer(raw, np.dtype(kinds), counts.get("vertex", 0), end)
     out: dict[str, object] = {name: rows[name].copy() for name, _ in kinds}
     if "face" in counts:
-        at, faces = end + n * dtype.itemsize, []
-        for _ in range(counts["face"]):
-            k = raw[at]
-            faces.append(np.frombuffer(raw, "<i4", k, at + 1).tolist())
-            at += 1 + 4 * k
-        out["faces"] = faces
+        offsets, numbers = decode_faces(raw)
+        out["faces"] = [numbers[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
     return out
 
 

@@ -1,4 +1,4 @@
-"""Spark data sources by name: ``spark.read.format("pointbin" | "occupancy" | "plymesh" | "mat5").load(folder)``.
+"""Spark data sources by name: ``spark.read.format("pointbin" | "occupancy" | "plymesh" | "plyfaces" | "mat5").load(folder)``.
 
 One partition a file; files are listed and read through Arrow's file systems, so a store that only Spark reads
 needs the functions of ``readers`` instead. Register with ``register(spark)``.
@@ -39,6 +39,12 @@ def _vertices(file: str, raw: bytes, _: dict) -> pa.RecordBatch:
     return _batch(file, {"seq": np.arange(len(p["x"]))} | {c: p[c].astype(float) for c in "xyz"} | {c: p[c].astype(np.int32) for c in ("red", "green", "blue")})
 
 
+def _faces(file: str, raw: bytes, _: dict) -> pa.RecordBatch:
+    offsets, numbers = codecs.decode_faces(raw)
+    lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(numbers))
+    return pa.record_batch([pa.array([file] * len(lists), pa.string()), pa.array(np.arange(len(lists))), lists], names=["file", "face", "vertices"])
+
+
 def _structs(file: str, raw: bytes, options: dict) -> pa.RecordBatch:
     rows = codecs.decode_mat(raw)[options["variable"]]
     rows = rows if isinstance(rows, list) else [rows]
@@ -95,11 +101,16 @@ class PlyMesh(_Files):
     columns = "file string, seq long, x double, y double, z double, red int, green int, blue int"
 
 
+class PlyFaces(_Files):
+    title, suffix, decode = "plyfaces", ".ply", staticmethod(_faces)
+    columns = "file string, face long, vertices array<long>"
+
+
 class Mat5(_Files):
     title, suffix, decode = "mat5", ".mat", staticmethod(_structs)
     columns = "file string, i long, json string"
 
 
 def register(spark: SparkSession) -> None:
-    for source in (PointBin, Occupancy, PlyMesh, Mat5):
+    for source in (PointBin, Occupancy, PlyMesh, PlyFaces, Mat5):
         spark.dataSource.register(source)

@@ -146,20 +146,34 @@ def members(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return held.select(F.explode("m").alias("key", "value"))
 
 
-CAMERA = "struct<intrinsics: array<array<double>>, extrinsic: string, ego_pose: string, img_path: string>"
-ANNOTATION = f"struct<timestamp: bigint, ego_pose: string, gt_path: string, prev: string, next: string, camera_sensor: struct<CAM_FRONT: {CAMERA}>>"
+POSE = "struct<translation: array<double>, rotation: array<double>>"
+CAMERA_POSE = "struct<token: string, timestamp: bigint, translation: array<double>, rotation: array<double>>"
+CAMERA = f"struct<intrinsics: array<array<double>>, extrinsic: {POSE}, ego_pose: {CAMERA_POSE}, img_path: string>"
+ANNOTATION = f"struct<timestamp: bigint, ego_pose: {POSE}, gt_path: string, prev: string, next: string, camera_sensor: struct<CAM_FRONT: {CAMERA}>>"
+
+
+def annotation_splits(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The scenes of each split, as the annotations list them; few, as they are splits or cameras."""
+    kind = "struct<train_split: array<string>, val_split: array<string>>"
+    first = spark.read.text(as_uri(path)).first()
+    if first is not None and first.value.startswith('{"train_split"') and first.value.endswith("{"):
+        held = json.loads(first.value[: first.value.rindex(', "scene_infos"')] + "}")
+    else:
+        row = spark.read.text(as_uri(path), wholetext=True).select(F.from_json("value", kind).alias("s")).first()
+        held = row.s.asDict() if row is not None and row.s is not None else {}
+    return {k: list(held.get(f"{k}_split") or []) for k in ("train", "val")}
 
 
 def annotations(spark: SparkSession, path: str) -> DataFrame:
-    """scene, token, entry of the occupancy annotations."""
+    """scene, token, entry and at (growing along the file) of the occupancy annotations."""
     lines = spark.read.text(as_uri(path))
     first = lines.first()
     if first is not None and first.value.startswith('{"train_split"') and first.value.endswith("{"):
         held = _member_lines(lines, ANNOTATION)
-        return held.select(F.element_at(F.split("value.gt_path", "/"), -3).alias("scene"), F.col("key").alias("token"), F.col("value").alias("entry"))
+        return held.select(F.element_at(F.split("value.gt_path", "/"), -3).alias("scene"), F.col("key").alias("token"), F.col("value").alias("entry"), F.monotonically_increasing_id().alias("at"))
     whole = spark.read.text(as_uri(path), wholetext=True).select(F.from_json("value", f"struct<scene_infos: map<string, map<string, {ANNOTATION}>>>").alias("m"))
     scenes = whole.select(F.explode("m.scene_infos").alias("scene", "tokens"))
-    return scenes.select("scene", F.explode("tokens").alias("token", "entry"))
+    return scenes.select("scene", F.posexplode("tokens").alias("at", "token", "entry")).select("scene", "token", "entry", F.col("at").cast("long").alias("at"))
 
 
 def manifest_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -246,6 +260,16 @@ def meshes(spark: SparkSession, path: str) -> DataFrame:
     return decoded(contents(spark, path, "*.ply"), decode, "seq long, x double, y double, z double, red int, green int, blue int")
 
 
+def faces(spark: SparkSession, path: str) -> DataFrame:
+    """frame, error, face, vertices (numbers of ``meshes``' seq) of PLY meshes, faces of any number of vertices."""
+
+    def decode(_: str, raw: bytes) -> Iterator[pa.RecordBatch]:
+        offsets, numbers = codecs.decode_faces(raw)
+        yield pa.record_batch([pa.array(np.arange(len(offsets) - 1)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(numbers))], names=["face", "vertices"])
+
+    return decoded(contents(spark, path, "*.ply"), decode, "face long, vertices array<long>")
+
+
 def _plain(x: object) -> object:
     if isinstance(x, np.ndarray):
         return x.tolist()
