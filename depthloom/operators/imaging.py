@@ -81,8 +81,13 @@ def _middle_of_25(padded: np.ndarray, h: int, w: int) -> np.ndarray:
     return _middle([square[i][j] for i in range(5) for j in range(5) if (i + 1) * (j + 1) <= 13 and (5 - i) * (5 - j) <= 13])
 
 
-def _window_median(seen: np.ndarray, raw: np.ndarray | None = None, scale: float = 1.0) -> np.ndarray:
-    """5x5 median leaving out NaN: whole windows by image minima and maxima, the others one by one.
+#: Stands for a gap among 16-bit numbers.
+GAP = 65535
+
+
+def _window_median(seen: np.ndarray, raw: np.ndarray | None = None, scale: float = 1.0, wanted_only: bool = False) -> np.ndarray:
+    """5x5 median leaving out NaN: whole windows by image minima and maxima, the others one by one (with ``wanted_only`` only those around
+    a value).
 
     With the ``raw`` whole numbers of which the image is ``scale`` times, whole windows are taken on these, which are narrower:
     a middle value of 25 is one of them.
@@ -90,17 +95,21 @@ def _window_median(seen: np.ndarray, raw: np.ndarray | None = None, scale: float
     h, w = seen.shape
     padded = np.pad(seen, 2, constant_values=np.nan)
     gaps = np.pad(np.cumsum(np.cumsum(np.isnan(padded), 0), 1), ((1, 0), (1, 0)))
-    partial = (gaps[5:, 5:] - gaps[:-5, 5:] - gaps[5:, :-5] + gaps[:-5, :-5]) > 0
+    lacking = gaps[5:, 5:] - gaps[:-5, 5:] - gaps[5:, :-5] + gaps[:-5, :-5]
+    partial = lacking > 0
     out = np.full((h, w), np.nan)
     if not partial.all():
         out = _middle_of_25(np.nan_to_num(padded), h, w) if raw is None else _middle_of_25(np.pad(raw, 2), h, w).astype(np.float64) * scale
-    v, u = np.nonzero(partial)
+    v, u = np.nonzero(partial & ~np.isnan(seen) if wanted_only else partial)
     if len(v):
-        windows = np.sort(sliding_window_view(padded, (5, 5))[v, u].reshape(-1, 25), axis=1)
-        count = np.isfinite(windows).sum(1)
+        count = 25 - lacking[v, u]
+        narrow = raw is not None and raw.dtype == np.uint16 and not (raw[~np.isnan(seen)] == GAP).any()
+        # gaps sort behind everything
+        held = np.pad(np.where(np.isnan(seen), raw.dtype.type(GAP), raw), 2, constant_values=GAP) if narrow else padded
+        windows = np.sort(sliding_window_view(held, (5, 5))[v, u].reshape(-1, 25), axis=1)
         row = np.arange(len(v))
-        pair = windows[row, np.maximum(count - 1, 0) // 2] + windows[row, np.minimum(count // 2, 24)]
-        out[v, u] = np.where(count > 0, pair / 2, np.nan)
+        low, high = (windows[row, at].astype(np.float64) * (scale if narrow else 1.0) for at in (np.maximum(count - 1, 0) // 2, np.minimum(count // 2, 24)))
+        out[v, u] = np.where(count > 0, (low + high) / 2, np.nan)
     return out
 
 
@@ -109,7 +118,7 @@ def filtered_image(depth: np.ndarray, least: float = 0.3, most: float = 8.0, ste
     raw = depth.astype(depth.dtype.newbyteorder("="), copy=False) if depth.dtype.kind == "u" else None
     depth = depth.astype(np.float64) * scale if raw is not None else depth
     valid = (depth > least) & (depth < most)
-    middle = _window_median(np.where(valid, depth, np.nan), raw, scale)
+    middle = _window_median(np.where(valid, depth, np.nan), raw, scale, True)
     smooth = np.where(valid, np.where(np.isfinite(middle), middle, depth), 0.0)
     known = np.where(smooth > least, smooth, np.nan)
     steps = [np.gradient(known, axis=a) if known.shape[a] > 1 else np.zeros_like(known) for a in (0, 1)]
