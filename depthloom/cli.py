@@ -11,7 +11,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depthloom import registry
+from depthloom import logs, registry
 from depthloom.functions.geometry import Grid
 from depthloom.operators import quality, voxel
 from depthloom.plans import exports, lines
@@ -33,11 +33,8 @@ def doctor() -> int:
 
 
 def entries(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of a manifest file."""
-    held = json.loads(filesystem.read(path))["entries"]
-    rows = [(k, e.get("md5"), e.get("count"), e.get("bytes")) for k, e in held.items()]
-    df = spark.createDataFrame(rows, "key string, md5 string, count long, bytes long")
-    return df.select("key", quality.signature(F.col("md5"), F.col("count"), F.col("bytes")).alias("signature"))
+    """Keys and signatures of a manifest's entries."""
+    return readers.manifest(spark, path).select("key", quality.signature(F.col("md5"), F.col("count"), F.col("bytes")).alias("signature"))
 
 
 def diff(spark: SparkSession, a: str, b: str, most: int = 20) -> int:
@@ -50,13 +47,9 @@ def diff(spark: SparkSession, a: str, b: str, most: int = 20) -> int:
     return int(set(tally) - {"same"} != set())
 
 
-def info(spark: SparkSession, root: str) -> dict[str, int]:
-    """Entries of each manifest below a root."""
-    out = {}
-    for name in ("nuscenes", "occ", "detection", "2d"):
-        path = f"{root.rstrip('/')}/manifest_{name}.json"
-        if filesystem.exists(path):
-            out[name] = json.loads(filesystem.read(path))["frames"]
+def info(spark: SparkSession, root: str) -> dict:
+    """Prints what a package holds."""
+    out = exports.overview(spark, root.rstrip("/"))
     print(json.dumps(out))
     return out
 
@@ -111,6 +104,7 @@ def stats(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="depthloom")
+    out.add_argument("--log-file", help="a file for what is logged, beside the screen")
     sub = out.add_subparsers(dest="command", required=True)
     sub.add_parser("list")
     sub.add_parser("doctor")
@@ -189,6 +183,7 @@ def parser() -> argparse.ArgumentParser:
 def export(spark: SparkSession, args: argparse.Namespace) -> int:
     """Runs an export verb and prints what was written; 1 if nothing was."""
     frames, boxes = (spark.read.parquet(path) if path else None for path in (args.frames, args.boxes))
+    args.root = exports.package_root(args.root) or args.root  # of a file or folder within a package
     one = {"names": args.names, "limit": args.limit, "split": args.split or args.scene, "token": args.token}
     if args.command == "demo":
         made = [f for name in args.names or ["img-000001"] for f in exports.demo(spark, args.root, args.out, f"{args.split}/{name}", frames, boxes)]
@@ -213,6 +208,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.command == "doctor":
         return doctor()
+    if args.log_file:
+        logs.to_file(logs.logger(), args.log_file)
     spark = session()
     if args.command == "diff":
         return diff(spark, args.a, args.b)

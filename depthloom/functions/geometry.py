@@ -236,3 +236,22 @@ def oriented_overlap(centre: Column, rotation: Column, half: Column, fx: Column,
 def token(*parts: Column | str) -> Column:
     """Deterministic key: md5 of the parts joined by colons."""
     return F.md5(F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]))
+
+
+def hashed_hue(name: Column) -> Column:
+    """A stable place on the colour circle for any name: the first 32 bits of its md5 in golden-ratio steps."""
+    number = F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double")
+    turns = number * F.lit(0.61803398875)
+    return turns - F.floor(turns)
+
+
+def hashed_colour(name: Column, known: dict[str, tuple[int, int, int]], saturation: float = 0.75) -> Column:
+    """Red, green and blue of a name: those of ``known`` names, else of its hue at full brightness, cut to whole steps."""
+    hue = hashed_hue(name)
+    parts = []
+    for shift in (5.0, 3.0, 1.0):  # each part is dark for a sixth of the circle and rises and falls over a sixth beside it
+        at = hue * 6 + shift
+        k = at - F.floor(at / 6) * 6
+        parts.append(F.floor((1 - F.lit(saturation) * F.greatest(F.lit(0.0), F.least(k, 4 - k, F.lit(1.0)))) * 255).cast("int"))
+    pairs = [x for n, c in known.items() for x in (F.lit(n), F.array(*[F.lit(int(v)) for v in c]))]
+    return F.coalesce(F.create_map(*pairs)[name], F.array(*parts)) if pairs else F.array(*parts)

@@ -15,9 +15,13 @@ def frame_number(path: Column) -> Column:
 
 
 def wanted(name: Column, chosen: list[str]) -> Column:
-    """A choice of digits means exactly that frame, any other is searched for in the name; no choice keeps all."""
-    out = F.lit(not chosen)
-    for c in chosen:
+    """A choice of digits means exactly that frame, any other is searched for in the name; no choice keeps all.
+
+    A choice may list several, with commas between them.
+    """
+    each = [c.strip() for said in chosen for c in said.split(",") if c.strip()]
+    out = F.lit(not each)
+    for c in each:
         out = out | (name == F.lit(f"img-{int(c):06d}") if c.isdigit() else name.contains(c))
     return out
 

@@ -6,6 +6,7 @@ executor.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from depthloom.functions.geometry import Grid, box_corners
 from depthloom.functions.names import wanted
 from depthloom.operators import chain, detection, pointcloud, quality, voxel
-from depthloom.plans import lines
+from depthloom.plans import lines, manifests
 from depthloom.sinks import raster, writers
 from depthloom.sources import codecs, filesystem, readers
 
@@ -191,6 +192,31 @@ def point_stats(rows: DataFrame) -> DataFrame:
     return rows.groupBy("frame").agg(F.count(F.lit(1)).alias("n"), *ends)
 
 
+def overview(spark: SparkSession, root: str) -> dict:
+    """What a package holds: manifests with their generator and sums, findings of reports, rows of tables, files by folder."""
+    out: dict = {"manifests": {}, "reports": {}, "tables": {}, "files": {}}
+    for product in ("nuscenes", "occ", "detection", "2d"):
+        path = f"{root}/manifest_{product}.json"
+        entries = readers.manifest_or_none(spark, path)
+        if entries is not None:
+            sums = entries.agg(F.count(F.lit(1)).alias("entries"), F.sum("count").alias("count"), F.sum("bytes").alias("bytes")).first()
+            out["manifests"][product] = sums.asDict() | {"generator": readers.manifest_head(spark, path).get("generator", {})}
+        if filesystem.exists(f"{root}/qc_report_{product}.json"):
+            report = json.loads(filesystem.read(f"{root}/qc_report_{product}.json"))
+            out["reports"][product] = {level: len(report.get(level, [])) for level in ("errors", "warnings")}
+    held = readers.listing_or_none(spark, root, "*.json")
+    versions = [] if held is None else [r.v for r in held.select(F.regexp_extract("file", r"/v1\.0-([^/]+)/scene\.json$", 1).alias("v")).where("v <> ''").distinct().orderBy("v").collect()]
+    for version in versions:
+        tables = readers.tables(spark, f"{root}/v1.0-{version}")
+        out["tables"][version] = {name: tables[name].count() for name in ("scene", "sample", "sample_annotation")}
+    for product in manifests.FILES:
+        files = manifests.listed(spark, root, product)
+        if files is not None:
+            folders = files.groupBy(F.split("key", "/")[0].alias("folder")).agg(F.count(F.lit(1)).alias("n")).orderBy("folder").collect()  # splits or scenes
+            out["files"][manifests.FILES[product][0]] = {r.folder: r.n for r in folders}
+    return out
+
+
 def walk(tables: dict[str, DataFrame], steps: int = 3) -> dict[str, DataFrame]:
     """The scene model read as its users do: scenes; the first ``steps`` samples of each scene along the chain; for
     its first sample the files, the camera's intrinsics and the annotations with their categories."""

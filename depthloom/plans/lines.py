@@ -208,10 +208,11 @@ def box_counts(points: DataFrame, boxes: DataFrame, margin: float = 0.05) -> Dat
 def detections(boxes: DataFrame, points: DataFrame, root: str, min_pts: int = 0, frames: DataFrame | None = None, label_sample: int = 50) -> DataFrame:
     """sample_annotation and instance rows of all boxes with enough points (counted first), by split, with class map.
 
-    With ``frames`` the manifest says how boxes agree with their 2-D boxes and with the label images of each
+    With ``frames`` boxes of frames that are not there are skipped, and the manifest says how boxes agree with their 2-D boxes and with the label images of each
     ``label_sample``-th frame (0: none), how many lie outside the sane range, and how many had too few points.
     """
-    spark = boxes.sparkSession
+    if frames is not None:  # boxes of other frames have no sample to belong to
+        boxes = boxes.join(with_intrinsics(frames).select("frame").distinct(), "frame", "left_semi")
     counted = manifests.kept(box_counts(points, ego_boxes(boxes)), root, "detection").withColumn("split", F.split("frame", "/")[0])
     number = F.regexp_extract("frame", r"img-(\d+)", 1).cast("int")
     key = (F.col("split"), number, F.col("j"))

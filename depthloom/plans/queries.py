@@ -651,6 +651,98 @@ def q_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_captured"), F.date_format("o_orderdate", "yyyyMMdd_HHmmss").alias("stamp"))
 
 
+@query(
+    f"""WITH {FRAMES}, old AS (SELECT scene, token, o_totalprice AS price, 0 AS late, row_number() OVER (PARTITION BY scene ORDER BY o_orderdate, token) AS place FROM f WHERE o_orderkey % 3 <> 0),
+added AS (SELECT scene, token, o_totalprice * 2 AS price, row_number() OVER (PARTITION BY scene ORDER BY o_orderdate, token) AS place FROM f WHERE o_orderkey % 2 = 0),
+x AS (SELECT * FROM old WHERE token NOT IN (SELECT token FROM added)
+  UNION ALL SELECT a.scene, a.token, a.price, coalesce(o.late, 1), coalesce(o.place, a.place) FROM added a LEFT JOIN old o USING (scene, token))
+SELECT scene, token, price, coalesce(lag(token) OVER w, 'EOF') AS prev, coalesce(lead(token) OVER w, 'EOF') AS next FROM x WINDOW w AS (PARTITION BY scene ORDER BY late, place)"""
+)
+def q_extended_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two thirds of the frames are known, every other frame comes (again): known ones keep their place, new ones go to the tail."""
+    f = frames(spark, sf_dir).select("scene", "token", "o_orderdate", "o_orderkey", F.col("o_totalprice").alias("price"))
+    added = f.where("o_orderkey % 2 = 0").withColumn("price", F.col("price") * 2)
+    return chain.extended(f.where("o_orderkey % 3 <> 0"), added, "scene", ["o_orderdate", "token"]).select("scene", "token", "price", "prev", "next")
+
+
+@query(
+    f"""WITH {FRAMES} SELECT o_orderstatus AS scene, token, coalesce(lag(token) OVER w, 'EOF') AS prev, coalesce(lead(token) OVER w, 'EOF') AS next, count(*) OVER (PARTITION BY o_orderstatus) AS nbr_samples
+FROM f WINDOW w AS (PARTITION BY o_orderstatus ORDER BY o_orderdate, token)"""
+)
+def q_sliced_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three scenes that hold everything, ordered a month at a time."""
+    f = frames(spark, sf_dir).withColumns({"scene": F.col("o_orderstatus"), "month": F.date_format("o_orderdate", "yyyy-MM")})
+    return chain.linked_by_slices(f, ["scene"], "month", ["o_orderdate", "token"]).select("scene", "token", "prev", "next", "nbr_samples")
+
+
+@query(f"""WITH {FRAMES}, n AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS place FROM f) SELECT token, place FROM n WHERE place % 25 = 0""")
+def q_sampled_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each 25th manifest entry in order of keys, as the quality report takes them."""
+    placed = chain.placed(frames(spark, sf_dir).select("token"), ["token"], "place")
+    return quality.sampled(placed, 25, "place").select("token", "place")
+
+
+@query(f"""WITH {FRAMES} SELECT scene, token FROM f WHERE token IN (SELECT md5('sample:' || doc_id) FROM documents WHERE n_chars < 2000)""")
+def q_warned_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames that the report's warnings name: short documents warn of the frame of their number."""
+    said = read(spark, sf_dir, "documents").where("n_chars < 2000").select(F.concat(F.lit("low_count "), G.token("sample", F.col("doc_id")), F.lit(": "), F.col("n_chars").cast("string")).alias("message"))
+    return quality.warned_frames(said, frames(spark, sf_dir).select("scene", "token"))
+
+
+_HUE = "(SELECT *, t - floor(t) AS hue FROM (SELECT DISTINCT p_brand AS name, CAST(('0x' || substr(md5(p_brand), 1, 8))::BIGINT AS DOUBLE) * CAST(0.61803398875 AS DOUBLE) AS t FROM part))"
+
+
+@query(
+    f"""WITH k AS (SELECT name, hue * 6 + 5.0 - floor((hue * 6 + 5.0) / 6) * 6 AS kr, hue * 6 + 3.0 - floor((hue * 6 + 3.0) / 6) * 6 AS kg, hue * 6 + 1.0 - floor((hue * 6 + 1.0) / 6) * 6 AS kb FROM {_HUE})
+SELECT name, """
+    + ", ".join(f"CASE WHEN name = 'Brand#11' THEN {n} ELSE CAST(floor((1 - CAST(0.75 AS DOUBLE) * greatest(0.0, least(k{c}, 4 - k{c}, 1.0))) * 255) AS INTEGER) END AS {c}" for c, n in (("r", 1), ("g", 2), ("b", 3)))
+    + " FROM k"
+)
+def q_hashed_colour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Colours of names outside the palette; one brand stands for a name inside."""
+    named = read(spark, sf_dir, "part").select(F.col("p_brand").alias("name")).distinct()
+    colour = G.hashed_colour(F.col("name"), {"Brand#11": (1, 2, 3)})
+    return named.select("name", *[colour[i].alias(c) for i, c in enumerate("rgb")])
+
+
+@query("SELECT split, i, name FROM (SELECT lang AS split, doc_id AS i, 'img-' || lpad(CAST(doc_id AS VARCHAR), 6, '0') AS name, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS r FROM documents) WHERE r <= 7")
+def q_limit_per_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from depthloom.functions import names
+    from depthloom.plans import frames as prepare
+
+    rows = read(spark, sf_dir, "documents").select(F.col("lang").alias("split"), F.col("doc_id").alias("i"), names.frame_name(F.col("doc_id")).alias("name"))
+    return prepare.limited(rows, 7, "split").select("split", "i", "name")
+
+
+@query(
+    """WITH b AS (SELECT s_suppkey AS s, j, (j + s_suppkey) % 5 <> 0 AS fine, (j + s_suppkey) % 3 <> 0 AS two FROM supplier, range(4) r(j) WHERE j < s_nationkey % 4)
+SELECT (SELECT count(*) FROM supplier) AS frames, count_if(NOT fine) AS dropped, count_if(fine) AS kept, count_if(fine AND NOT two) AS no2d FROM b"""
+)
+def q_parse_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the boxes of metadata rows: a fifth lacks a coordinate, a third has an empty 2-D box; some frames have none."""
+    from depthloom.plans import frames as prepare
+
+    s = F.col("s_suppkey")
+    row = lambda *v: F.array(*[F.lit(x) for x in v])
+    three = F.array(row(1.0, 0.0, 0.0), row(0.0, 1.0, 0.0), row(0.0, 0.0, 1.0))
+    j = lambda x: (x + s) % 5 != 0
+    box = lambda x: F.struct(F.lit("bed").alias("cls"), F.when(j(x), row(0.0, 1.0, 2.0)).otherwise(row(0.0, 1.0)).alias("centroid"), row(1.0, 1.0, 1.0).alias("coeffs"), three.alias("basis"), F.when((x + s) % 3 != 0, row(1.0, 2.0, 3.0, 4.0)).otherwise(row(1.0, 2.0, 0.0, 4.0)).alias("bb2d"))
+    held = F.filter(F.array(*[F.lit(i) for i in range(4)]), lambda x: x < F.col("s_nationkey") % 4)
+    meta = read(spark, sf_dir, "supplier").select(s.alias("i"), three.alias("Rtilt"), F.transform(held, box).alias("boxes"))
+    wanted = read(spark, sf_dir, "supplier").select(s.alias("meta_row"), F.lit("train").alias("split"), s.cast("string").alias("name"))
+    return prepare.boxes(wanted, meta)[1]
+
+
+@query(
+    f"""WITH {TURNED} SELECT box, """
+    + ", ".join(f"round({e}, 6) + 0.0 AS {n}" for n, e in (("x", "m01 * bx + m11 * b_y + m21 * bz"), ("y", "-(m00 * bx + m10 * b_y + m20 * bz)"), ("z", "m02 * bx + m12 * b_y + m22 * bz")))
+    + " FROM t"
+)
+def q_gravity_to_ego(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = G.gravity_to_ego(F.col("rot"), F.col("centre"))
+    return turned_boxes(spark, sf_dir).select("box", *[(F.round(v[i], 6) + F.lit(0.0)).alias(c) for i, c in enumerate("xyz")])
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -130,6 +130,16 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return held.select(F.explode("m.entries").alias("key", "e")).select("key", "e.*")
 
 
+def manifest_head(spark: SparkSession, path: str) -> dict:
+    """product, generator and params of a manifest, without its entries."""
+    first = spark.read.text(as_uri(path)).first()
+    if first is not None and first.value.startswith(MANIFEST_HEAD):
+        return json.loads(first.value[: first.value.rindex(', "entries"')] + "}")
+    kind = "struct<product: string, generator: map<string, string>, params: map<string, string>>"
+    row = spark.read.text(as_uri(path), wholetext=True).select(F.from_json("value", kind).alias("h")).first()
+    return {k: v for k, v in row.h.asDict().items() if v is not None} if row is not None and row.h is not None else {}
+
+
 def _member_lines(lines: DataFrame, kind: str) -> DataFrame:
     """key and value of the lines that hold one member of an object each, as ``jsonfile`` writes them."""
     said = F.concat(F.lit("{"), F.regexp_replace("value", ",$", ""), F.lit("}"))

@@ -10,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from depthloom import logs
+
 
 def run_new(spark: SparkSession, source: str, schema: str, work: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, fmt: str = "parquet", files_per_batch: int = 100) -> None:
     """Applies ``work`` to rows of files not seen before. Rows with a non-null ``error`` go to ``<out>/failed``."""
@@ -19,8 +21,10 @@ def run_new(spark: SparkSession, source: str, schema: str, work: Callable[[DataF
         try:
             done.where("error is null").drop("error").write.mode("overwrite").parquet(f"{out}/ok/batch={number}")
             done.where("error is not null").write.mode("overwrite").parquet(f"{out}/failed/batch={number}")
+            tally = done.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("failed")).first()
         finally:
             done.unpersist()
+        logs.logger().info("batch %d: %d rows of new files of %s, %d failed", number, tally.n, source, tally.failed)
 
     stream = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch).load(source)
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

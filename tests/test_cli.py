@@ -18,7 +18,8 @@ def test_diff_and_info(spark, tmp_path, capsys):
     assert cli.main(["diff", str(tmp_path / "manifest_nuscenes.json"), str(tmp_path / "manifest_occ.json")]) == 1
     assert json.loads(capsys.readouterr().out.splitlines()[0]) == {"same": 1, "changed": 1, "only_a": 1, "only_b": 1}
     assert cli.main(["diff", str(tmp_path / "manifest_occ.json"), str(tmp_path / "manifest_occ.json")]) == 0
-    assert cli.info(spark, str(tmp_path)) == {"nuscenes": 3, "occ": 3}
+    told = cli.info(spark, str(tmp_path))
+    assert told["manifests"] == {k: {"entries": 3, "count": 3, "bytes": 6, "generator": {}} for k in ("nuscenes", "occ")} and told["tables"] == told["files"] == {}
 
 
 def test_registry(tmp_path, monkeypatch):

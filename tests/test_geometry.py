@@ -169,3 +169,16 @@ def test_percentiles_are_exact(spark, accuracy):
     for r in got:
         assert [r[n] for n in shares] == pytest.approx([np.quantile(groups[r.k], q) for q in shares.values()])
     assert quality.percentiles(spark.createDataFrame([], "v double"), "v", {"m": 0.5}).first().m is None
+
+
+def test_hashed_colours(spark):
+    import colorsys
+    import hashlib
+
+    names = [f"name {i}" for i in range(300)] + ["bed"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = {r.n: list(r.c) for r in df.select("n", G.hashed_colour(F.col("n"), {"bed": (255, 127, 80)}).alias("c")).collect()}
+    for n in names[:-1]:
+        hue = int(hashlib.md5(n.encode()).hexdigest()[:8], 16) * 0.61803398875 % 1.0
+        assert np.abs(np.array(got[n]) - np.array(colorsys.hsv_to_rgb(hue, 0.75, 1.0)) * 255).max() < 1.001
+    assert got["bed"] == [255, 127, 80] and len({tuple(c) for c in got.values()}) > 250

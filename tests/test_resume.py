@@ -268,3 +268,16 @@ def test_exit_code_over_all_lines(spark, frames, tmp_path, monkeypatch):
     assert held["params"]["proj_iou"]["n"] == 0 and held["params"]["label_qc"]["n"] == 0 and held["frames"] == 0
     assert sorted(p.name for p in (tmp_path / "a/samples/CAM_FRONT/train").iterdir()) == ["img-000001.png", "img-000002.png", "img-000003.png"]
     assert manifests.listed(spark, str(tmp_path / "none"), "occ") is None
+
+
+def test_overview(spark, package):
+    lines.quality_report(spark, package, "occ", 1)
+    told = exports.overview(spark, package)
+    assert {k: v["entries"] for k, v in told["manifests"].items()} == {"nuscenes": 4, "occ": 4} and told["manifests"]["occ"]["generator"]["name"] == "depthloom"
+    assert told["reports"]["occ"] == {"errors": 0, "warnings": 0} and told["tables"]["train"] == {"scene": 1, "sample": 3, "sample_annotation": 0}
+    assert told["files"] == {"samples/LIDAR_TOP": {"train": 3, "val": 1}, "gts": {"train": 3, "val": 1}}
+
+
+def test_several_names_in_one_choice(spark, package):
+    files = readers.listed(spark, f"{package}/gts", "*.npz")
+    assert exports.chosen(files, ["1,3"]).count() == 3 and exports.chosen(files, ["img-000002, img-000003"]).count() == 2 and exports.chosen(files, [","]).count() == 4
