@@ -81,6 +81,12 @@ def _middle_of_25(padded: np.ndarray, h: int, w: int) -> np.ndarray:
     return _middle([square[i][j] for i in range(5) for j in range(5) if (i + 1) * (j + 1) <= 13 and (5 - i) * (5 - j) <= 13])
 
 
+def _sum_of_25(padded: np.ndarray, h: int, w: int) -> np.ndarray:
+    """Sums of the 5x5 windows of small numbers, rows first, then columns."""
+    rows = sum(padded[i : i + h] for i in range(1, 5)) + padded[:h]
+    return sum(rows[:, j : j + w] for j in range(1, 5)) + rows[:, :w]
+
+
 #: Stands for a gap among 16-bit numbers.
 GAP = 65535
 
@@ -93,19 +99,18 @@ def _window_median(seen: np.ndarray, raw: np.ndarray | None = None, scale: float
     a middle value of 25 is one of them.
     """
     h, w = seen.shape
-    padded = np.pad(seen, 2, constant_values=np.nan)
-    gaps = np.pad(np.cumsum(np.cumsum(np.isnan(padded), 0), 1), ((1, 0), (1, 0)))
-    lacking = gaps[5:, 5:] - gaps[:-5, 5:] - gaps[5:, :-5] + gaps[:-5, :-5]
+    gap = np.isnan(seen)
+    lacking = _sum_of_25(np.pad(gap.view(np.uint8), 2, constant_values=1), h, w)
     partial = lacking > 0
     out = np.full((h, w), np.nan)
     if not partial.all():
-        out = _middle_of_25(np.nan_to_num(padded), h, w) if raw is None else _middle_of_25(np.pad(raw, 2), h, w).astype(np.float64) * scale
-    v, u = np.nonzero(partial & ~np.isnan(seen) if wanted_only else partial)
+        out = _middle_of_25(np.pad(np.nan_to_num(seen), 2), h, w) if raw is None else _middle_of_25(np.pad(raw, 2), h, w).astype(np.float64) * scale
+    v, u = np.nonzero(partial & ~gap if wanted_only else partial)
     if len(v):
-        count = 25 - lacking[v, u]
-        narrow = raw is not None and raw.dtype == np.uint16 and not (raw[~np.isnan(seen)] == GAP).any()
+        count = 25 - lacking[v, u].astype(np.int64)
+        narrow = raw is not None and raw.dtype == np.uint16 and not ((raw == GAP) & ~gap).any()
         # gaps sort behind everything
-        held = np.pad(np.where(np.isnan(seen), raw.dtype.type(GAP), raw), 2, constant_values=GAP) if narrow else padded
+        held = np.pad(np.where(gap, raw.dtype.type(GAP), raw), 2, constant_values=GAP) if narrow else np.pad(seen, 2, constant_values=np.nan)
         windows = np.sort(sliding_window_view(held, (5, 5))[v, u].reshape(-1, 25), axis=1)
         row = np.arange(len(v))
         low, high = (windows[row, at].astype(np.float64) * (scale if narrow else 1.0) for at in (np.maximum(count - 1, 0) // 2, np.minimum(count // 2, 24)))

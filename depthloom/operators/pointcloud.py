@@ -17,7 +17,9 @@ def deproject(depth: np.ndarray, fx: float, fy: float, cx: float, cy: float, lea
     mask = (depth > least) & (depth < most)
     v, u = np.nonzero(mask)
     z = depth[mask]
-    return np.stack([z, -(u - cx) / fx * z, -(v - cy) / fy * z], 1), mask
+    out = np.empty((len(z), 3))
+    out[:, 0], out[:, 1], out[:, 2] = z, -(u - cx) / fx * z, -(v - cy) / fy * z
+    return out, mask
 
 
 def _neighbours(cells: list[np.ndarray], points: bool) -> np.ndarray:
@@ -60,9 +62,10 @@ def radius_keep(points: np.ndarray, radius: float = 0.03, least: int = 6) -> np.
     return _neighbours([np.floor(points[:, i] / radius).astype(np.int64) for i in range(3)], True) >= least
 
 
-def speckle_keep(points: np.ndarray, voxel: float = 0.05, low: tuple[float, float, float] = (-4.0, 0.3, -1.5), least: int = 4) -> np.ndarray:
-    """Cells below the corner wrap round to the frame's other end, as negative indices do."""
-    cells = [np.floor((points[:, i] - low[i]) / voxel).astype(np.int64) for i in range(3)]
+def speckle_keep(points: np.ndarray | tuple[np.ndarray, ...], voxel: float = 0.05, low: tuple[float, float, float] = (-4.0, 0.3, -1.5), least: int = 4) -> np.ndarray:
+    """Cells below the corner wrap round to the frame's other end, as negative indices do. Points are rows, or three columns."""
+    columns = points if isinstance(points, tuple) else tuple(points.T)
+    cells = [np.floor((columns[i] - low[i]) / voxel).astype(np.int64) for i in range(3)]
     for i, cell in enumerate(cells):
         top = int(cell.max()) + 1
         if top > 0 and cell.min() < 0:
@@ -70,19 +73,25 @@ def speckle_keep(points: np.ndarray, voxel: float = 0.05, low: tuple[float, floa
     return _neighbours(cells, False) >= least
 
 
+def _rows(keep: np.ndarray, *tables: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The kept rows of each table."""
+    if keep.all():
+        return tables
+    at = np.flatnonzero(keep)
+    return tuple(t.take(at, 0) for t in tables)
+
+
 def depth_to_points(depth: np.ndarray, rgb: np.ndarray, fx: float, cx: float, cy: float, fy: float | None = None, scale: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
     """Median and gradient filter, deprojection, radius filter, speckle filter; points as 32-bit floats with colours.
 
     Depth in metres, or whole numbers that ``scale`` makes metres. Without fy, fx serves for both axes.
     """
     points, mask = deproject(filtered_image(depth, scale=scale), fx, fx if fy is None else fy, cx, cy)
-    colours = rgb[mask]
+    (colours,) = _rows(mask.ravel(), rgb.reshape(-1, rgb.shape[-1]))
     if len(points):
-        keep = radius_keep(points)
-        points, colours = points[keep], colours[keep]
+        points, colours = _rows(radius_keep(points), points, colours)
     if len(points):
-        keep = speckle_keep(np.stack([-points[:, 1], points[:, 0], points[:, 2]], 1))
-        points, colours = points[keep], colours[keep]
+        points, colours = _rows(speckle_keep((-points[:, 1], points[:, 0], points[:, 2])), points, colours)
     return points.astype(np.float32), colours
 
 
