@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -292,20 +292,43 @@ def _clusters(texts: DataFrame, p: Params) -> DataFrame:
     return edges.select(F.col("u").alias("node"), "component").distinct().join(components(edges.select("u", "v")).withColumnRenamed("component", "cluster"), "node")
 
 
+def _blocks(rows: DataFrame, p: Params) -> DataFrame:
+    """Adds block to the rows of clusters (cluster, node, component, size), and pure: the component that fills the block, if one does.
+
+    A component of half a block or more has blocks of its own, by hash of its nodes; smaller ones are pooled whole, by hash of
+    the component. A block has about ``block_rows`` rows and ``block_bytes`` bytes.
+    """
+
+    def share(n: str, size: str) -> Column:
+        return F.greatest(F.col(n) / p.block_rows, F.col(size) / p.block_bytes)
+
+    parts = rows.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    parts = parts.withColumn("share", share("n", "size")).withColumn("own", F.col("share") >= 0.5)
+    pool = parts.groupBy("cluster").agg(F.ceil(F.greatest(F.sum(F.when(~F.col("own"), F.col("share"))), F.lit(1.0))).cast("int").alias("pool"))
+    dealt = rows.join(parts.select("cluster", "component", "own", F.ceil("share").cast("int").alias("parts")).join(pool, "cluster"), ["cluster", "component"])
+    name = F.when(F.col("own"), F.xxhash64("component", F.pmod(F.xxhash64("node"), F.col("parts")))).otherwise(F.pmod(F.xxhash64("component"), F.col("pool")))
+    return dealt.withColumns({"block": name.cast("long"), "pure": F.when(F.col("own"), F.col("component"))}).drop("own", "parts", "pool")
+
+
+def _block_pairs(blocks: DataFrame) -> DataFrame:
+    """cluster, i, j: pairs of blocks of a cluster, a block with itself too, but none that holds one component only."""
+    left, right = blocks.toDF("cluster", "i", "x"), blocks.toDF("cluster", "j", "y")
+    return left.join(right, "cluster").where("i <= j and not coalesce(x = y, false)").select("cluster", "i", "j")
+
+
 def _within_clusters(members: DataFrame, texts: DataFrame, found: DataFrame, p: Params) -> DataFrame:
     """Links between different components among documents that buckets of several components hold together.
 
-    Their clusters (by prefixes) are cut by hash into blocks of about ``block_rows`` rows and
-    ``block_bytes`` bytes, and every pair of blocks is one group, so no group grows with its cluster.
+    Their clusters (by prefixes) are cut into blocks by component and by hash, and every pair of blocks that can hold two
+    components is one group: no group grows with its cluster, and what is joined already is not compared with itself.
     """
     own = members.join(found, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed = own.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
     open_ = stored(own.join(mixed, "bucket").select("node", "component").distinct().join(texts, "node"), "open-texts")
-    rows = _clusters(open_, p).join(open_.select("node", "text"), "node")
-    whole = rows.groupBy("cluster").agg(F.greatest(F.ceil(F.count(F.lit(1)) / p.block_rows), F.ceil(F.sum(F.octet_length("text")) / p.block_bytes)).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    placed = rows.join(whole, "cluster").withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = placed.select("cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "component", "text")
+    rows = stored(_blocks(_clusters(open_, p).join(open_.select("node", F.octet_length("text").alias("size")), "node"), p), "cluster-blocks")
+    pairs = stored(_block_pairs(rows.select("cluster", "block", "pure").distinct()), "block-pairs")
+    sides = pairs.withColumn("block", F.col("i")).union(pairs.where("i <> j").withColumn("block", F.col("j")))
+    keyed = rows.join(sides, ["cluster", "block"]).join(open_.select("node", "text"), "node").select("cluster", "i", "j", "node", "component", "text")
     return keyed.groupBy("cluster", "i", "j").applyInArrow(lambda t: _forest(t, p), "u long, v long")
 
 

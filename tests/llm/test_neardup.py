@@ -122,6 +122,36 @@ def test_empty(empty):
     assert neardup.groups(empty).collect() == [] and neardup.deduplicate(empty).count() == 0
 
 
+def test_one_joined_component_and_an_outsider(spark):
+    """1,500 joined copies and one text of another component are compared with it, not with each other."""
+    p = neardup.Params(block_rows=100)
+    rows = spark.range(1500).select(F.lit(7).cast("long").alias("cluster"), F.col("id").alias("node"), F.lit(0).cast("long").alias("component"), F.lit(9).alias("size"))
+    alone = spark.createDataFrame([(7, 5000, 5000, 10), (7, 5001, 5001, 10)], rows.schema)
+    blocks = neardup._blocks(rows.union(alone), p)
+    sizes = {(r.block, r.pure): r["count"] for r in blocks.groupBy("block", "pure").count().collect()}
+    assert len(sizes) == 16 and max(sizes.values()) < 200 and sum(n for (_, pure), n in sizes.items() if pure is None) == 2
+    pairs = neardup._block_pairs(blocks.select("cluster", "block", "pure").distinct()).collect()
+    assert len(pairs) == 16  # the outsiders with each block and with themselves
+    of = {b: n for (b, _), n in sizes.items()}
+    assert sum(of[r.i] * of[r.j] for r in pairs) <= 2 * 1500 + 4
+
+
+def test_blocks_leave_no_pair_of_components_out(spark):
+    """Every two rows of different components meet in exactly one pair of blocks, whatever their sizes."""
+    rng = random.Random(4)
+    rows = [(rng.randrange(2), i, int(rng.choice([0, 0, 0, 1, 1, 2, 100 + i % 40])), rng.choice([1, 1, 400])) for i in range(300)]
+    df = spark.createDataFrame(rows, "cluster long, node long, component long, size int")
+    blocks = neardup._blocks(df, neardup.Params(block_rows=20, block_bytes=4000))
+    pairs = neardup._block_pairs(blocks.select("cluster", "block", "pure").distinct()).collect()
+    assert len(pairs) == len(set(pairs))
+    held = {}
+    for r in blocks.collect():
+        held.setdefault((r.cluster, r.block), []).append((r.node, r.component))
+    met = [frozenset((a[0], b[0])) for r in pairs for k, a in enumerate(held[r.cluster, r.i]) for m, b in enumerate(held[r.cluster, r.j]) if a[1] != b[1] and (r.i != r.j or k < m)]
+    want = {frozenset((a[1], b[1])) for a in rows for b in rows if a[0] == b[0] and a[2] != b[2]}
+    assert len(met) == len(set(met)) and set(met) == want
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7)]
