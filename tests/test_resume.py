@@ -201,8 +201,11 @@ def test_report_of_intrinsics_and_of_nothing(spark, package, tmp_path):
 
 def test_places_in_order(spark):
     rows = spark.range(1000).select(F.format_string("k%05d", (F.col("id") * 7919) % 1000).alias("key"))
-    got = chain.placed(rows.repartition(7), ["key"], parts=5).orderBy("at").collect()
-    assert [r.at for r in got] == list(range(1000)) and [r.key for r in got] == sorted(r.key for r in got)
+    for parts, sampled in ((5, 100), (8, 2), (1, 1), (40, 30)):  # samples smaller and larger than the table
+        got = chain.placed(rows.repartition(7), ["key"], parts=parts, sampled=sampled).orderBy("at").collect()
+        assert [r.at for r in got] == list(range(1000)) and [r.key for r in got] == sorted(r.key for r in got)
+    same = spark.createDataFrame([("a", 2), ("a", 1), (None, 3), ("a", 3), ("b", None)], "key string, n int")
+    assert [(r.key, r.n) for r in chain.placed(same, ["key", "n"], parts=3).orderBy("at").collect()] == [(None, 3), ("a", 1), ("a", 2), ("a", 3), ("b", None)]
     assert chain.placed(rows.limit(0), ["key"]).count() == 0
 
 
