@@ -2,7 +2,8 @@
 
 Each task writes its rows' fragments to a part of its own. When all tasks have succeeded, the parts are copied one after
 the other, in the order of the partitions and in small pieces, between a head and a tail into one file, which then takes its
-name at once. So a document is whole or it is the one before; nothing but a piece of a part is ever in memory.
+name at once. So a document is whole or it is the one before; nothing but a piece of a part is ever in memory. After a failed write
+a folder ``<file>.<id>.parts`` of tasks that were still running can stay; nothing reads it.
 """
 
 from __future__ import annotations
