@@ -5,6 +5,8 @@ Cells are grouped by composite keys, so the work is proportional to occupied cel
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from depthloom.functions.geometry import Grid
 
 CELL = ("ix", "iy", "iz")
 FREE = 17
+BLOCK = 16
 
 
 def legal_label(label: Column) -> Column:
@@ -54,16 +57,28 @@ def highest_label(points: DataFrame, label: str, by: tuple[str, ...] = ("frame",
     return points.groupBy(*by, *CELL).agg(F.max(label).alias("sem"))
 
 
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def neighbour_sums(cells: DataFrame, weight: str, by: tuple[str, ...] = ("frame",)) -> DataFrame:
     """Sum of ``weight`` over the 3x3x3 cells around each cell, itself counted.
 
-    A cell is sent to the nine columns around its own; in a column, a range window over iz adds what lies within one
-    step of each cell. One shuffle by column, nine rows a cell, and no join.
+    Cells are cut into blocks of ``BLOCK`` a side, and a cell goes to the block it lies in and to those it borders on: 1.4
+    rows a cell where cells are dense. In a block, a cell's place is one number, and its neighbours are nine ranges of three
+    places: nine frames of one window. One shuffle by block, one sort, no join; a block holds at most 18 ** 3 cells. The
+    number of parts is given, as cells pack so well that by their bytes too many would be joined into one.
     """
-    shifts = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    spread = cells.withColumn("_s", F.explode(shifts)).withColumns({"ix": F.col("ix") + F.col("_s.a"), "iy": F.col("iy") + F.col("_s.b"), "_own": (F.col("_s.a") == 0) & (F.col("_s.b") == 0)})
-    column = Window.partitionBy(*by, "ix", "iy").orderBy("iz").rangeBetween(-1, 1)
-    return spread.withColumn("near", F.sum(weight).over(column)).where("_own").drop("_s", "_own", weight)
+    spread, blocks = cells, [f"_{c}" for c in CELL]
+    for c, b in zip(CELL, blocks, strict=True):
+        spread = spread.withColumn(b, F.explode(F.sequence(F.shiftright(F.col(c) - 1, 4), F.shiftright(F.col(c) + 1, 4))))
+    x, y, z = [F.col(c) - F.col(b) * BLOCK + 1 for c, b in zip(CELL, blocks, strict=True)]
+    placed = spread.withColumn("_place", (x * 1024 + y * 32 + z).cast("int")).drop(*CELL).repartition(_parts(cells), *by, *blocks)  # 0 to 17 each, so 5 bits
+    block = Window.partitionBy(*by, *blocks).orderBy("_place")
+    nine = [F.coalesce(F.sum(weight).over(block.rangeBetween(at - 1, at + 1)), F.lit(0)) for at in (a * 1024 + b * 32 for a in (-1, 0, 1) for b in (-1, 0, 1))]
+    inside = [F.shiftright("_place", bits).bitwiseAND(31) - 1 for bits in (10, 5, 0)]
+    summed = placed.withColumn("near", functools.reduce(Column.__add__, nine)).where(functools.reduce(Column.__and__, [i.between(0, BLOCK - 1) for i in inside]))
+    return summed.select(*by, *[(F.col(b) * BLOCK + i).alias(c) for c, b, i in zip(CELL, blocks, inside, strict=True)], "near")
 
 
 def radius_filter(points: DataFrame, radius: float = 0.03, least: int = 6, by: tuple[str, ...] = ("frame",)) -> DataFrame:
@@ -83,7 +98,7 @@ def speckle_filter(points: DataFrame, voxel: float = 0.05, low: tuple[float, flo
     cells = with_cells(points, Grid(voxel, low), clip=False)
     if wrap:
         top = cells.groupBy(*by).agg(*[(F.max(c) + 1).alias(f"_{c}") for c in CELL])
-        cells = cells.join(top, list(by))
+        cells = cells.join(top.hint("shuffle_hash"), list(by))  # a row a frame is held, points are not sorted
         for c in CELL:
             cells = cells.withColumn(c, F.when(F.col(f"_{c}") > 0, F.pmod(F.col(c), F.col(f"_{c}"))).otherwise(F.col(c))).drop(f"_{c}")
     taken = occupied(cells, by).withColumn("n", F.lit(1))

@@ -96,6 +96,35 @@ def test_filters_kernel_equals_sql(spark):
     assert kept == set(np.flatnonzero(pointcloud.speckle_keep(p, 0.2, low, 8)).tolist()) and 0 < len(kept) < 400
 
 
+def shuffled_rows(spark, work) -> int:
+    """Rows that the stages of ``work`` write for shuffles."""
+    sc = spark.sparkContext
+    sc.setJobGroup("shuffled_rows", "", False)
+    work()
+    tracker, store = sc.statusTracker(), sc._jsc.sc().statusStore()
+    stages = {i for job in tracker.getJobIdsForGroup("shuffled_rows") for i in tracker.getJobInfo(job).stageIds}
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    return sum(store.lastStageAttempt(i).shuffleWriteRecords() for i in stages)
+
+
+def test_neighbour_sums_over_blocks(spark):
+    """Also across the edges of blocks, below zero and with several keys, in few rows a cell where cells are dense."""
+    rng = np.random.default_rng(8)
+    cells = {(int(f), *map(int, c)) for f, c in zip(rng.integers(0, 2, 4000), rng.integers(-20, 20, (4000, 3)), strict=True)} | {(0, 10**15, -(10**15), z) for z in (15, 16, 17)}
+    n = {c: 1 + i % 5 for i, c in enumerate(sorted(cells))}
+    df = spark.createDataFrame([("r", *c, w) for c, w in n.items()], "run string, frame int, ix long, iy long, iz long, n long")
+    got = {(r.frame, r.ix, r.iy, r.iz): r.near for r in voxel.neighbour_sums(df, "n", ("run", "frame")).collect()}
+    steps = [(a, b, c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)]
+    assert got == {(f, x, y, z): sum(n.get((f, x + a, y + b, z + c), 0) for a, b, c in steps) for f, x, y, z in n}
+
+    i = F.col("id")
+    dense = spark.range(32**3).select((i < 0).cast("int").alias("frame"), F.shiftright(i, 10).alias("ix"), F.shiftright(i, 5).bitwiseAND(31).alias("iy"), i.bitwiseAND(31).alias("iz"), F.lit(1).alias("n"))
+    count = []
+    rows = shuffled_rows(spark, lambda: count.extend(voxel.neighbour_sums(dense, "n").groupBy("near").count().collect()))
+    assert {r.near: r["count"] for r in count} == {27: 30**3, 18: 6 * 30**2, 12: 12 * 30, 8: 8}
+    assert rows < 1.5 * 32**3
+
+
 def test_cloud_of_a_wall():
     depth = np.full((60, 80), 2.0)
     points, colours = pointcloud.depth_to_points(depth, np.full((60, 80, 3), 7, np.uint8), 400, 40, 30)
