@@ -69,19 +69,28 @@ def tasks(sample_data: DataFrame, sample: DataFrame, scene: DataFrame, calibrate
     return camera.join(s, "sample_token").join(c, "scene_token").join(k, "calibrated_sensor_token")
 
 
+def _bounds_upto(key: Column, bounds: list[Column]) -> Column:
+    """How many of the ascending ``bounds`` are not above ``key``, by halving steps.
+
+    The key is bound to a variable, so that it is worked out once a row, not once a comparison.
+    """
+    ascending, steps = F.array(*bounds), F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    found = lambda own: F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(ascending, at + step - 1) <= own, at + step).otherwise(at))
+    return F.transform(F.array(key), found)[0]
+
+
 def placed(rows: DataFrame, order: list[str], at: str = "at", parts: int = 0, sampled: int = 100) -> DataFrame:
     """Adds the place of each row in a total order, from 0, without one task seeing them all.
 
     Bounds from a sample by hash (about ``sampled`` rows a part) cut the order into parts, so a row's part follows from the row
-    alone, whenever it is worked out; a window places the rows of a part, and the driver adds up a count a part.
+    alone, whenever it is worked out, by a binary search; a window places the rows of a part, and the driver adds up a count a part.
     """
     parts = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     every = max(1, rows.count() // (parts * sampled))
     chosen = rows.where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0).select(*order).orderBy(*order).collect()  # bounded by the sample
     cuts = [chosen[len(chosen) * i // parts] for i in range(1, parts)] if chosen else []
     bounds = [F.struct(*[F.lit(cut[c]).cast(rows.schema[c].dataType).alias(c) for c in order]) for cut in dict.fromkeys(cuts)]
-    part = F.size(F.filter(F.array(*bounds), lambda x: x <= F.struct(*order))) if bounds else F.lit(0)
-    dealt = rows.withColumn("_p", part)
+    dealt = rows.withColumn("_p", _bounds_upto(F.struct(*order), bounds) if bounds else F.lit(0))
     counts = {r["_p"]: r["count"] for r in dealt.groupBy("_p").count().collect()}  # a row a part
     before, total = [], 0
     for number in range(len(bounds) + 1):

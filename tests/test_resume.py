@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import shutil
+import time
 
 import numpy as np
 import pytest
@@ -209,6 +210,30 @@ def test_places_in_order(spark):
     assert chain.placed(rows.limit(0), ["key"]).count() == 0
 
 
+def test_places_of_worked_out_keys(spark):
+    """A key that takes long is worked out once a row, however many parts there are."""
+    key = F.sha2(F.repeat(F.col("id").cast("string"), 200), 512).alias("key")
+    rows = spark.range(20_000).select(key)
+
+    def seconds(parts: int) -> float:
+        began = time.perf_counter()
+        assert chain.placed(rows, ["key"], parts=parts, sampled=2).agg(F.count_distinct("at"), F.max("at")).first() == (20_000, 19_999)
+        return time.perf_counter() - began
+
+    seconds(2)
+    assert seconds(300) < 4 * seconds(2) + 2
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 8, 9, 31])
+def test_bounds_up_to_a_key(spark, n):
+    bounds = [None, *range(10, 10 * n, 10)]
+    keys = [None, *range(-1, 10 * n + 2)]
+    low = lambda v: -(10**9) if v is None else v
+    at = chain._bounds_upto(F.struct("k"), [F.struct(F.lit(b).cast("int").alias("k")) for b in bounds])
+    got = {r.k: r.at for r in spark.createDataFrame([(k,) for k in keys], "k int").select("k", at.alias("at")).collect()}
+    assert got == {k: sum(low(b) <= low(k) for b in bounds) for k in keys}
+
+
 def test_json_documents(spark, tmp_path):
     rows = spark.range(0, 5000, 1, 9).select(F.format_string('k"%05d', F.col("id")).alias("k"), F.struct("id", F.lit(None).cast("string").alias("none"), F.lit("é\n").alias("s")).alias("v"))
     path = str(tmp_path / "deep/a.json")
