@@ -8,6 +8,8 @@ by slot, the key, shard, offset and length. ``locate`` finds documents in consta
 those files, ``read`` their ids.
 
 Every text goes to the library whole, whatever tokenizer the file holds; nothing is cut, remembered or taken past it.
+For files with the known steps (``_STEPS``), a text skips those that cannot change its ids: NFC where it is composed
+already, white space made one space (the split drops either), the byte characters where it is printable ASCII.
 
 Edge cases: a null or empty text is the end id alone. Null doc_ids come first. Rows that repeat a
 doc_id are ordered by a hash of the text and are all written; the index leads to the first of them, and null
@@ -23,6 +25,8 @@ import functools
 import json
 import math
 import os
+import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -42,6 +46,22 @@ from depthloom.llm.textkernel import mix, slices
 BATCH_BYTES = 1_000_000
 READ_BYTES = 8_000_000
 
+#: The steps before the model from which a text may skip some.
+_STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+#: The same split, letters first: no two alternatives but the last and the shortened forms start with the same character.
+_COMPOSED = r"\p{L}+|\p{N}|'(?:[stmd]|re|ve|ll)|[^\s\p{L}\p{N}]+"
+_ASCII = r"[a-z]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\sa-z0-9]+"
+_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]").search
+
 
 @dataclass(frozen=True)
 class Params:
@@ -61,11 +81,43 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 65_536 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
+        self.kinds = [self.tokenizer, *self._fewer_steps(path)]
+
+    def _fewer_steps(self, path: str) -> list:
+        """The tokenizers of composed and of printable ASCII texts, on the same model; none if the file has other steps."""
+        from tokenizers import Regex, Tokenizer, normalizers, pre_tokenizers
+
+        said = json.loads(self.tokenizer.to_str())
+        if any(said[k] != v for k, v in _STEPS.items()) or any(t["normalized"] for t in said["added_tokens"]):
+            return []
+        made = []
+        for pattern, last in ((_COMPOSED, [pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]), (_ASCII, [])):
+            tool = Tokenizer.from_file(path)
+            tool.model = self.tokenizer.model
+            tool.normalizer = normalizers.Lowercase()
+            split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+            tool.pre_tokenizer = pre_tokenizers.Sequence([split, *last]) if last else split
+            made.append(tool)
+        return made
+
+    def kind(self, text: str) -> int:
+        """Which of the tokenizers takes the text: 0 the file's, 1 that of composed, 2 that of printable ASCII texts."""
+        if len(self.kinds) == 1:
+            return 0
+        if text.isascii():
+            return 1 if _CONTROL(text) else 2
+        return 1 if unicodedata.is_normalized("NFC", text) else 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text with the end id, as bytes."""
-        code, end = self.dtype.char, self.end
-        return [array(code, e.ids).tobytes() + end for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code, end, out = self.dtype.char, self.end, [b""] * len(texts)
+        kinds = [self.kind(text) for text in texts]
+        for k in set(kinds):
+            mine = [i for i, kind in enumerate(kinds) if kind == k]
+            made = self.kinds[k].encode_batch_fast([texts[i] for i in mine], add_special_tokens=False)
+            for i, e in zip(mine, made, strict=True):
+                out[i] = array(code, e.ids).tobytes() + end
+        return out
 
 
 @functools.lru_cache(maxsize=2)

@@ -92,3 +92,23 @@ def test_perfect_hash(n):
 def test_perfect_hash_refuses_repeated_keys():
     with pytest.raises(ValueError):
         PerfectHash.build(np.array([5, 5], np.uint64))
+
+
+def test_skipped_steps_change_no_ids():
+    """Texts skip the steps of the known file that cannot change them; the ids stay those of the file's own tokenizer."""
+    import unicodedata
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tool, own = tokenids.Encoder(tokenizer_path(), 2), Tokenizer.from_file(tokenizer_path())
+    assert [tool.kind(t) for t in ("e\u0301", "\u00e9", "a\x1cb", "It's\t2 LINES\n", "")] == [0, 1, 1, 2, 2]
+    rng = np.random.default_rng(7)
+    parts = [*"abSsTtRrEeVvLlMmDd  \t\n\r'''019.,-!_", "<|endoftext|>", "<|ENDOFTEXT|>", "\x00", "\x1c", "\x7f", "\x85", "\u2003", "\u2000", "\u0130", "\u00df", "\u03a3", "\u212a", "e\u0301", "\u0301", "\u0323", "\uac00", "\u1100", "\u1161", "\u00b2", "\u0663"]
+    texts = ["".join(parts[i] for i in rng.integers(0, high, 25)) for high in (len(parts), 38, 38, 39) for _ in range(3_000)]
+    points = [chr(c) for c in range(0x30000) if unicodedata.category(chr(c)) not in ("Cn", "Co", "Cs")]
+    texts += [f"a{c}'{c}s {c}1{c}" for c in points[:20_000:2]] + ["".join(points[i : i + 30]) for i in range(0, len(points), 30)]
+    assert {tool.kind(t) for t in texts} == {0, 1, 2}
+    assert tool.encode(texts) == [np.array([*e.ids, 2], "<u2").tobytes() for e in own.encode_batch(texts, add_special_tokens=False)]
+    other = tokenids.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 2)
+    assert len(other.kinds) == 1 and {other.kind(t) for t in texts} == {0}
