@@ -112,3 +112,18 @@ def test_skipped_steps_change_no_ids():
     assert tool.encode(texts) == [np.array([*e.ids, 2], "<u2").tobytes() for e in own.encode_batch(texts, add_special_tokens=False)]
     other = tokenids.Encoder(public_tokenizers.path("byte_bpe_50k.json"), 2)
     assert len(other.kinds) == 1 and {other.kind(t) for t in texts} == {0}
+
+
+def test_whole_text_is_one_sequence():
+    """The library merges a whole text at once, with ends of words as characters; no merge goes past them."""
+    from tokenizers import Tokenizer
+
+    tool, own = tokenids.Encoder(tokenizer_path(), 2), Tokenizer.from_file(tokenizer_path())
+    last = lambda c: chr(ord(c) + 0x200)
+    assert tool.words.marked(["It's 2 CATS", "", "x'Re'llx ''s"], True) == ["i" + last("t") + "'" + last("s") + last("2") + "cat" + last("s"), "", f"{last('x')}'r{last('e')}'l{last('l')}{last('x')}'{last(chr(39))}{last('s')}"]
+    assert tool.words.marked(["İ", "É 1"], False) == [None, "Ã" + last("©") + last("1")]
+    assert [tool.kind(t) for t in ("a <|endoftext|>", "a <|ENDOFTEXT|>")] == [0, 2]
+    texts = ["th e the\nthe the", " ", "'s'S 'sx 'll'l ''re're '", "a" * 70_000, "İ is 1", "x <|endoftext|> y", "x <|EndOfText|> y", "中文 \U0001f600\U0001f600! \U0001d7d8٣", "ΟΣ ΟΣΑ", "\x00\x1f \x7f'"]
+    texts += ["It's the café's; he'll 've 12 %%% " * 20_000]
+    assert tool.encode(texts) == [np.array([*own.encode(t, add_special_tokens=False).ids, 2], "<u2").tobytes() for t in texts]
+    assert all(len(t.encode(tool.words.marked([texts[-1]], False)[0]).ids) == len(own.encode(texts[-1]).ids) for t in tool.kinds[1:])
