@@ -10,8 +10,8 @@ Pairs are not made within a bucket. In each of ``rounds`` rounds every bucket ha
 that meets most others, then a random one), and its members are compared with the centre alone: a pair must
 agree in enough minima (six standard deviations below the expected number at the threshold), then in the full sets
 of its texts. What buckets still hold in different components is looked at again by prefixes: two sets alike at the
-threshold share one of the ``n - ceil(threshold * n) + 1`` rarest shingles of each, in one order for all (by hashed
-counts, then hash), so texts that meet in buckets through common passages alone part here, whatever their number.
+threshold share one of the ``n - ceil(threshold * n) + 1`` rarest shingles of each, in one order for all (shingles of
+one component, then by exact counts and hash), so texts that meet in buckets through common passages alone part here, whatever their number.
 Texts of different components that share such a shingle form clusters, which are compared in blocks, by products of
 shingle incidence matrices over the full sets, which give out a spanning forest only: every pair of a bucket
 that could still join two components is compared, and the links returned stay below the number of documents.
@@ -24,19 +24,17 @@ share its fate. Ties of components go to the smallest doc_id.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from depthloom.llm import files
 from depthloom.llm import textkernel as K
-from depthloom.llm.common import stored, stored_at, text_or_empty
+from depthloom.llm.common import stored, text_or_empty
 from depthloom.llm.components import components
 
 _SALT = np.uint64(0x7F4A7C159E3779B9)
@@ -52,12 +50,12 @@ class Params:
     rounds: int = 2
     block_rows: int = 512
     block_bytes: int = 4_000_000
-    count_bits: int = 20
     seed: int = 5
 
-    def prefix(self, n: np.ndarray) -> np.ndarray:
+    def prefix(self, n: np.ndarray | Column) -> np.ndarray | Column:
         """How many of n shingles must hold a common one with every set that is alike."""
-        return n + (-self.percent * n) // 100 + 1
+        share = self.percent * n
+        return n - (share + (100 - share % 100) % 100) / 100 + 1
 
     @property
     def hashes(self) -> int:
@@ -248,40 +246,26 @@ def _distinct(column: pa.Array, p: Params) -> Iterator[tuple[int, int, np.ndarra
         yield first, end, grams[once], row[once]
 
 
-@functools.lru_cache(maxsize=2)
-def _counts(path: str, bits: int) -> np.ndarray:
-    """The stored counts of hashed shingles, once a worker process."""
-    rows, out = files.read_table(path), np.zeros(1 << bits, np.int64)
-    out[np.asarray(rows["slot"])] = np.asarray(rows["n"])
-    return out
-
-
 def _prefixes(texts: DataFrame, p: Params) -> DataFrame:
-    """node, component, gram: the rarest shingles of each text, as many as ``Params.prefix`` says."""
+    """node, component, gram: the shingles of each text's prefix that texts of several components hold.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << p.count_bits, np.int64)
-        for batch in batches:
-            for _, _, grams, _ in _distinct(batch.column("text"), p):
-                total += np.bincount((grams >> np.uint64(64 - p.count_bits)).astype(np.int64), minlength=len(total))
-        used = np.flatnonzero(total)
-        for i in range(0, len(used), 65_536):
-            yield pa.record_batch([pa.array(used[i : i + 65_536].astype(np.int32)), pa.array(total[used[i : i + 65_536]])], names=["slot", "n"])
-
-    path = stored_at(texts.select("text").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")), "shingle-counts")
+    The order is that of exact counts at every size: shingles of one component come first, as they can join nothing,
+    then the others by the number of texts that hold them. Only the latter are ranked; the former are told by their number.
+    """
 
-    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, grams, row in _distinct(batch.column("text"), p):
-                n = np.bincount(row, minlength=end - first)
-                times = _counts(path, p.count_bits)[(grams >> np.uint64(64 - p.count_bits)).astype(np.int64)]
-                order = np.lexsort((grams, times, row))
-                grams, row = grams[order], row[order]
-                chosen = np.arange(len(row)) - (np.cumsum(n) - n)[row] < p.prefix(n)[row]
-                at = pa.array(first + row[chosen])
-                yield pa.record_batch([batch.column("node").take(at), batch.column("component").take(at), pa.array(grams[chosen].view(np.int64))], names=["node", "component", "gram"])
-
-    return texts.select("node", "component", "text").mapInArrow(rarest, "node long, component long, gram long")
+                at, n = pa.array(first + row), np.bincount(row, minlength=end - first)
+                yield pa.record_batch([batch.column("node").take(at), batch.column("component").take(at), pa.array(n[row]), pa.array(grams.view(np.int64))], names=["node", "component", "n", "gram"])
+
+    held = stored(texts.select("node", "component", "text").mapInArrow(run, "node long, component long, n long, gram long"), "shingles")
+    spread = held.groupBy("gram").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("times"))
+    common = stored(spread.where("x <> y").select("gram", "times"), "common-shingles")
+    of_node = Window.partitionBy("node")
+    ranked = held.select("gram", "node", "n").join(common, "gram").select("*", F.count(F.lit(1)).over(of_node).alias("held"), F.row_number().over(of_node.orderBy("times", "gram")).alias("rank"))
+    chosen = ranked.where(F.col("rank") <= p.prefix(F.col("n")) - (F.col("n") - F.col("held"))).select("node", "gram")
+    return chosen.join(texts.select("node", "component"), "node").select("node", "component", "gram")
 
 
 def _clusters(texts: DataFrame, p: Params) -> DataFrame:

@@ -73,6 +73,22 @@ def test_texts_that_share_a_passage_are_not_compared(spark, own, least, most):
     assert all(r.kept for r in neardup.groups(docs).collect())
 
 
+def test_rare_shingles_are_told_apart_in_a_large_table(spark):
+    """Pairs that share 30 of 100 words form no cluster among three million other shingles, and stay out of the prefixes; a pair alike stays in."""
+    rng = random.Random(8)
+    say = lambda n: [f"o{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for k in range(20):
+        common = say(30)
+        rows += [(i, i, " ".join(common + say(70))) for i in (2 * k, 2 * k + 1)]
+    alike = say(100)
+    rows += [(100, 100, " ".join(alike)), (101, 101, " ".join([*alike[:-3], *say(3)]))]
+    filler = spark.range(1000, 1030, 1, 4).selectExpr("id as node", "id as component", "array_join(transform(sequence(1, 100000), i -> xxhash64(id, i)), ' ') as text")
+    texts = spark.createDataFrame(rows, "node long, component long, text string").union(filler)
+    clusters = neardup._clusters(texts, neardup.Params()).collect()
+    assert sorted((r.node, r.component, r.cluster) for r in clusters) == [(100, 100, 100), (101, 101, 100)]
+
+
 def test_prefixes_lose_no_pair():
     """Any two sets alike at the threshold share one of their rarest elements, in any common order."""
     rng, p = random.Random(1), neardup.Params()
