@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -46,3 +47,25 @@ def test_odd_documents(spark, odd, empty, sf_dir):
             docs = stage(spark, docs, sf_dir)
             assert docs.columns == df.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() == docs.count()
+
+
+def test_near_duplicates_send_no_text_to_clusters_for_a_common_passage(spark, sf_dir, monkeypatch):
+    """Texts that meet in buckets by a passage of 60 of 100 words are not compared in blocks, whatever else the buckets hold."""
+    rng, held = random.Random(9), {}
+    say = lambda n: [f"o{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for k in range(20):
+        common = say(60)
+        rows += [(i, " ".join(common + say(40))) for i in (2 * k, 2 * k + 1)]
+    long = "array_join(transform(sequence(1, 100000), i -> xxhash64(if(i <= 60000, 0L, id), i)), ' ')"
+    docs = spark.createDataFrame(rows, "doc_id long, text string").union(spark.range(1000, 1030, 1, 4).selectExpr("id", long))
+    real = neardup.stored
+
+    def seen(df, name):
+        held[name] = real(df, name)
+        return held[name]
+
+    monkeypatch.setattr(neardup, "stored", seen)
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, sf_dir).count() == 70
+    assert held["open-texts"].count() > 30
+    assert held["cluster-blocks"].count() == 0
